@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.schemas import EVENTS, FATALITIES, LOAD_YEAR
+from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR
+from tempestry.sources.csv_files import FILE_NAME
 
 _EVENT_TEXT = {
     "EVENT_ID": "if(k % 997 = 0, null, cast(k as string))",
@@ -84,3 +85,40 @@ def raw_fatalities(spark: SparkSession, sf_dir: str, with_year: bool = False) ->
 
 def raw(spark: SparkSession, sf_dir: str, dataset: str, with_year: bool = False) -> DataFrame:
     return {"events": raw_events, "fatalities": raw_fatalities}[dataset](spark, sf_dir, with_year)
+
+
+#: where :func:`write_year_files` puts a file's parts, for the readers' ``layout``
+FOLDER_LAYOUT = "file={name}"
+
+
+def _write_csv(df: DataFrame, path: str, folder_column: str | None = None) -> None:
+    """Gzip CSV with header, texts as they are: blanks kept, quotes doubled."""
+    writer = df.write.option("header", True).option("compression", "gzip").option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    (writer.mode("append").partitionBy(folder_column) if folder_column else writer).csv(path)
+
+
+def write_csv(spark: SparkSession, sf_dir: str, dataset: str, path: str) -> None:
+    """The whole dataset as a folder of gzip CSV files."""
+    _write_csv(raw(spark, sf_dir, dataset), path)
+
+
+def write_year_files(spark: SparkSession, sf_dir: str, dataset: str, root: str) -> None:
+    """One folder per file name and year below ``root``, reloads as a later revision of their year."""
+    spec = DATASETS[dataset]
+    rows = raw(spark, sf_dir, dataset, with_year=True)
+    year = F.col(LOAD_YEAR).cast("string")
+    stem = F.concat(F.lit(FILE_NAME.format(kind=spec.file_kind, year="")), year)
+    revision = F.when(F.col("SOURCE") == "Reload", "_c20250201").otherwise("_c20250101") if spec is EVENTS else F.lit(
+        "_c20250101"
+    )
+    named = rows.withColumn("file", F.concat(stem, revision, F.lit(".csv.gz"))).drop(LOAD_YEAR)
+    _write_csv(named.hint("rebalance", "file"), root, "file")
+
+
+def years_of(spark: SparkSession, sf_dir: str, dataset: str) -> list[int]:
+    """First to last year of the dataset's files."""
+    table, column = {"events": ("orders", "o_orderdate"), "fatalities": ("lineitem", "l_shipdate")}[dataset]
+    span = _table(spark, sf_dir, table).agg(F.min(F.year(column)).alias("first"), F.max(F.year(column)).alias("last"))
+    first, last = span.first()
+    return list(range(first, last + 1))

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values ---
+PLAIN_DIGITS = r"[+-]?[0-9]{1,18}"
 BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 NUMBER = r"[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?"
 DAMAGE_UNITS = {"K": 1e3, "M": 1e6, "B": 1e9}
@@ -20,13 +21,14 @@ def strip(text: Column) -> Column:
 def whole_number(text: Column) -> Column:
     """[C2] Text to bigint, fractions cut towards zero, null where it is no number.
 
-    Plain digits take the first branch, which is a cheap cast. The pattern
-    keeps out what Spark reads as a double but is no count (``10F``, ``NaN``)
-    and spares the cost of an exception per bad value.
+    The patterns come before the casts on purpose: a cast that fails costs an
+    exception per row, and Spark would read ``10F`` as the double 10.
     """
     digits = strip(text)
-    fraction = F.when(digits.rlike(f"^{NUMBER}$"), digits.try_cast("double").try_cast("bigint"))
-    return F.coalesce(digits.try_cast("bigint"), fraction)
+    return (
+        F.when(digits.rlike(f"^{PLAIN_DIGITS}$"), digits.try_cast("bigint"))
+        .when(digits.rlike(f"^{NUMBER}$"), digits.try_cast("double").try_cast("bigint"))
+    )
 
 
 def real_number(text: Column, single_precision: bool = False) -> Column:

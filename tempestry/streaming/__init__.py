@@ -1,0 +1,5 @@
+"""Empty on purpose: the work is yearly batches, with no stream, watermark or state.
+
+Late or corrected records arrive as a newer file of a year, which
+:func:`tempestry.sources.warehouse.replace_years` loads in place of the old one.
+"""

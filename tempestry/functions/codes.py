@@ -11,6 +11,8 @@ SEXES = {"M": "Male", "F": "Female"}
 UNKNOWN = "Unknown"
 # --- end of fixed values ---
 
+TYPE_LABELS = (*FATALITY_TYPES.values(), UNKNOWN)
+
 
 def decode(code: Column, labels: dict[str, str]) -> Column:
     """[C10, C11, F4] The label of ``code``; null and anything unlisted is Unknown."""

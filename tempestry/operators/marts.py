@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempestry.functions import codes
+
 
 def costliest_events(events: DataFrame) -> DataFrame:
     """[A1, C12] Damage per start year and event type, undated events included.
@@ -37,17 +39,37 @@ def fatalities_by_sex(fatalities: DataFrame) -> DataFrame:
 def fatality_type_by_event_type(events: DataFrame, fatalities: DataFrame) -> DataFrame:
     """[J1, A4, O3] Fatalities per start year, event type and fatality type.
 
-    ``events`` has one row per event id. Fatalities are counted per event id
-    and type before the join, which changes no sum but leaves the join with a
-    few rows per event: an event with a third of all fatalities does not
-    become one big join partition. Fatalities without id count 0 but keep
-    their group, and rows without event id take no part.
+    Fatalities are counted per event id before the join, one column per label,
+    which :func:`codes.decode` limits to three. This changes no sum, but an
+    event with a third of all fatalities reaches the shuffle as one row per
+    map task and the join as a single row, and as the count is by event id
+    alone, the join needs no further shuffle of it. Fatalities without id
+    count 0 but keep their group; rows without event id take no part.
     """
+    label = F.col("fatality_type")
+    known = F.when(label.isin(*codes.TYPE_LABELS), label).otherwise(F.raise_error(F.lit("not a decoded type")))
     per_event = (
         fatalities.filter(F.col("event_id").isNotNull())
-        .groupBy("event_id", "fatality_type")
-        .agg(F.count("fatality_id").alias("_n"))
+        .select("event_id", "fatality_id", known.alias("_label"))
+        .groupBy("event_id")
+        .agg(
+            *(F.count_if(F.col("_label") == text).alias(f"rows_{text}") for text in codes.TYPE_LABELS),
+            *(F.count(F.when(F.col("_label") == text, F.col("fatality_id"))).alias(text) for text in codes.TYPE_LABELS),
+        )
     )
     joined = events.select("event_id", "event_start_year", "event_type").join(per_event, "event_id")
-    counts = joined.groupBy("event_start_year", "event_type", "fatality_type").agg(F.sum("_n").alias("fatality_count"))
+    totals = joined.groupBy("event_start_year", "event_type").agg(
+        *(F.sum(c).alias(c) for c in per_event.columns if c != "event_id")
+    )
+    one_per_label = F.inline(
+        F.array(
+            *(
+                F.struct(
+                    F.lit(text).alias("fatality_type"), F.col(text).alias("fatality_count"), F.col(f"rows_{text}").alias("_rows")
+                )
+                for text in codes.TYPE_LABELS
+            )
+        )
+    )
+    counts = totals.select("event_start_year", "event_type", one_per_label).filter("_rows > 0").drop("_rows")
     return counts.orderBy("event_type")

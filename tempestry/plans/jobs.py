@@ -22,7 +22,8 @@ def clean_file(
 ) -> None:
     """[S1, S3, P1, P2, K1, K2] One CSV file or folder to cleaned Parquet, without a load year."""
     spec = DATASETS[dataset]
-    parquet_files.write_parquet(clean(csv_files.read_csv(spark, source, spec), spec, **options), target, files)
+    raw = parquet_files.spread(csv_files.read_csv(spark, source, spec), files=files)
+    parquet_files.write_parquet(clean(raw, spec, **options), target)
 
 
 def ingest(
@@ -47,7 +48,7 @@ def ingest(
         spec = DATASETS[name]
         raw = csv_files.read_years(spark, source_root, spec, years, layout=layout)
         cleaned = clean(
-            raw,
+            parquet_files.spread(raw, LOAD_YEAR),
             spec,
             date_format=(date_formats or {}).get(name),
             century_from=LOAD_YEAR if rebase_century and spec is EVENTS else None,

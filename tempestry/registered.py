@@ -88,7 +88,8 @@ def _parquet_roundtrip(dataset: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = DATASETS[dataset]
         path = scratch_path(spark, f"parquet_{dataset}")
-        parquet_files.write_parquet(clean.clean(driver_tables.raw(spark, sf_dir, dataset), spec), path)
+        raw = parquet_files.spread(driver_tables.raw(spark, sf_dir, dataset))
+        parquet_files.write_parquet(clean.clean(raw, spec), path)
         return parquet_files.read_parquet(spark, path, spec.schema)
 
     return query

@@ -9,14 +9,20 @@ from pyspark.sql import types as T
 from tempestry.schemas import LOAD_YEAR, Dataset
 
 
-def write_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
-    """[K1, K2] Replace ``path``.
+def spread(raw: DataFrame, *columns: str, files: int | None = None) -> DataFrame:
+    """[K2] Redistribute rows before they are typed and written.
 
-    By default Spark rebalances the rows into files of about the advisory
-    partition size, which holds for any volume. ``files`` fixes their number.
+    A gzip file is read by one task. Spreading its rows first lets many tasks
+    do the typing and writing, also where one file holds much of the rows. By
+    default Spark aims at partitions of the advisory size, and splits large
+    and joins small groups of ``columns``; ``files`` fixes their number.
     """
-    sized = df.repartition(files) if files else df.hint("rebalance")
-    sized.write.mode("overwrite").parquet(path)
+    return raw.repartition(files) if files else raw.hint("rebalance", *columns)
+
+
+def write_parquet(df: DataFrame, path: str) -> None:
+    """[K1] Replace ``path``; one file per partition."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -25,14 +31,9 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def write_years(df: DataFrame, path: str) -> None:
-    """[K3] One folder per ``load_year``; replaces the years present and no others.
-
-    Rows of one year may go to several tasks, so a large year is no
-    bottleneck.
-    """
+    """[K3] One folder per ``load_year``; replaces the years present and no others."""
     (
-        df.hint("rebalance", LOAD_YEAR)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_YEAR)
         .parquet(path)

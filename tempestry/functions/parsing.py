@@ -48,10 +48,11 @@ def in_century_of(value: Column, year: Column) -> Column:
 
     A two-digit year is read as 20xx. Files of the last century need this to
     get their own dates back, also where an event runs past the turn of it.
+    Without a ``year`` the value stays as it is.
     """
     centuries = F.round((year - F.year(value)) / F.lit(100)).cast("int")
     moved = value + F.make_interval(years=centuries * F.lit(100))
-    return F.when(centuries == 0, value).otherwise(moved)
+    return F.when(centuries != 0, moved).otherwise(value)
 
 
 def damage_is_blank(text: Column) -> Column:

@@ -81,11 +81,11 @@ def replace_years(
     years = sorted(set(years))
     create_table(spark, path, dataset)
     written = Observation()
-    rows = _laid_out(cleaned, dataset).filter(F.col(LOAD_YEAR).isin(*years))
+    rows = _laid_out(cleaned, dataset).filter(F.col(LOAD_YEAR).isin(*years)).hint("rebalance", LOAD_YEAR, MONTH_KEY)
+    # Observed above the shuffle: below it, adaptive execution drops the node when no row arrives.
     observed = rows.observe(written, F.collect_set(F.struct(LOAD_YEAR, MONTH_KEY)).alias("months"))
     (
-        observed.hint("rebalance", LOAD_YEAR, MONTH_KEY)
-        .write.mode("overwrite")
+        observed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_YEAR, MONTH_KEY)
         .parquet(path)

@@ -1,0 +1,148 @@
+import math
+import re
+from datetime import datetime
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tempestry.functions import calendar, codes, parsing
+
+
+@pytest.fixture(scope="module")
+def apply(spark):
+    """Run one column expression over a list of texts, in order."""
+
+    def run(expression, values, type_="string"):
+        df = spark.createDataFrame(list(enumerate(values)), f"i int, v {type_}")
+        return [row.r for row in df.select("i", expression(F.col("v")).alias("r")).orderBy("i").collect()]
+
+    return run
+
+
+DAMAGE = {
+    None: 0, "": 0, "   ": 0, "\t\n": 0,
+    "10.00K": 10_000, "10.00k": 10_000, " 3.5m ": 3_500_000, "10 K": 10_000, "\t2K\n": 2_000,
+    "1.5M": 1_500_000, "6B": 6_000_000_000, ".5M": 500_000, "5.": 5, "0": 0, "250": 250, "12.99": 12,
+    "1E3K": 1_000_000, "-5K": -5_000, "+5K": 5_000, "-1.5": -1,
+    "1.001K": 1_000,  # the double 1.001 * 1e3 lies below 1001 and is cut, not rounded
+    "0.29K": 290, "4.35K": 4_350, "2.3M": 2_300_000,
+}
+BAD_DAMAGE = ["K", "?", "5h", "nan", "inf", "10F", "1_000", "5KK", "1.2.3", "K5", "1e300", "--5", "."]
+
+
+def test_damage(apply):
+    assert apply(parsing.damage_dollars, list(DAMAGE)) == list(DAMAGE.values())
+    assert apply(parsing.damage_is_bad, list(DAMAGE)) == [False] * len(DAMAGE)
+
+
+def test_bad_damage_is_null_and_flagged(apply):
+    assert apply(parsing.damage_dollars, BAD_DAMAGE) == [None] * len(BAD_DAMAGE)
+    assert apply(parsing.damage_is_bad, BAD_DAMAGE) == [True] * len(BAD_DAMAGE)
+
+
+def test_bad_damage_can_stop_the_job(apply):
+    assert apply(parsing.damage_or_error, ["1K", None]) == [1000, 0]
+    with pytest.raises(PySparkException, match="not a damage amount: 5h"):
+        apply(parsing.damage_or_error, ["1K", "5h"])
+
+
+def brute_force_damage(text):
+    """Digit by digit, without the expression's pattern."""
+    text = text.strip(" \t\n").upper()
+    if not text:
+        return 0
+    unit = 1.0
+    if text[-1] in "KMB":
+        unit = 10.0 ** (3 + 3 * "KMB".index(text[-1]))
+        text = text[:-1].rstrip(" ")
+    if not text or any(c not in "0123456789.+-E" for c in text):
+        return None
+    try:
+        value = float(text) * unit
+    except ValueError:
+        return None
+    return math.trunc(value) if abs(value) < 2**63 else None
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.KkMmBb +-eE\t", max_size=8), min_size=100, max_size=300))
+def test_damage_against_brute_force(apply, texts):
+    assert apply(parsing.damage_dollars, texts) == [brute_force_damage(t) for t in texts]
+
+
+def test_whole_number(apply):
+    cases = {
+        None: None, "": None, "x": None, "7": 7, " 7 ": 7, "-3": -3, "+3": 3, "2.7": 2, "-2.7": -2, "0.7": 0, "5.": 5,
+        "10F": None, "nan": None, "inf": None, "1e3": 1000, "007": 7, "5000000000": 5_000_000_000, "1 2": None,
+        "123456789012345678": 123456789012345678, "1e30": None,
+    }
+    assert apply(parsing.whole_number, list(cases)) == list(cases.values())
+
+
+def test_real_number(apply):
+    cases = {None: None, "": None, "52.00": 52.0, " 1.5": 1.5, "x": None, "10F": None, "NaN": None, "0.1": 0.1}
+    assert apply(parsing.real_number, list(cases)) == list(cases.values())
+    assert apply(lambda c: parsing.real_number(c, single_precision=True), ["0.1"]) == [0.10000000149011612]
+
+
+def test_event_instant(apply):
+    cases = {
+        "28-APR-50 14:45:00": datetime(2050, 4, 28, 14, 45),
+        "1-JAN-24 00:00:00": datetime(2024, 1, 1),
+        "01-JAN-24 00:00:00": datetime(2024, 1, 1),
+        " 1-jan-99 23:59:59 ": datetime(2099, 1, 1, 23, 59, 59),
+        "29-FEB-24 00:00:00": datetime(2024, 2, 29),
+        "29-FEB-23 00:00:00": None, "not a date": None, "": None, None: None, "2024-01-01 00:00:00": None,
+    }
+    assert apply(lambda c: parsing.instant(c, "d-MMM-yy HH:mm:ss"), list(cases)) == list(cases.values())
+
+
+def test_fatality_instant(apply):
+    cases = {
+        "06/05/2024 00:00:00": datetime(2024, 5, 6), "04/26/2024 00:00:00": None, "6/5/2024 00:00:00": None,
+        "": None, None: None, "05/06/2024": None,
+    }
+    assert apply(lambda c: parsing.instant(c, "dd/MM/yyyy HH:mm:ss"), list(cases)) == list(cases.values())
+    assert apply(lambda c: parsing.instant(c, "MM/dd/yyyy HH:mm:ss"), ["04/26/2024 00:00:00"]) == [datetime(2024, 4, 26)]
+
+
+@pytest.mark.parametrize(
+    ("text", "year", "expected"),
+    [
+        ("28-APR-50 14:45:00", 1950, datetime(1950, 4, 28, 14, 45)),
+        ("31-DEC-99 00:00:00", 1999, datetime(1999, 12, 31)),
+        ("01-JAN-00 02:00:00", 1999, datetime(2000, 1, 1, 2)),
+        ("29-FEB-96 00:00:00", 1996, datetime(1996, 2, 29)),
+        ("05-MAY-24 00:00:00", 2024, datetime(2024, 5, 5)),
+        ("05-MAY-24 00:00:00", None, datetime(2024, 5, 5)),
+        ("nothing", 1950, None),
+    ],
+)
+def test_century_of_file(spark, text, year, expected):
+    df = spark.createDataFrame([(text, year)], "t string, y int")
+    value = parsing.instant(F.col("t"), "d-MMM-yy HH:mm:ss")
+    assert df.select(parsing.in_century_of(value, F.col("y"))).first()[0] == expected
+
+
+def test_year_month_label(spark):
+    jan, feb = datetime(2024, 1, 31), datetime(2024, 2, 1)
+    df = spark.createDataFrame([(1, jan, feb), (2, None, feb), (3, jan, None)], "i int, a timestamp, b timestamp")
+    label = calendar.year_month_label(F.col("a"), F.col("b"))
+    assert [r[0] for r in df.orderBy("i").select(label).collect()] == ["2024-2", None, None]
+    keys = df.orderBy("i").select(calendar.month_key(F.col("a"))).collect()
+    assert [r[0] for r in keys] == ["2024-01", None, "2024-01"]
+
+
+def test_decode(apply):
+    decode = lambda labels: lambda c: codes.decode(c, labels)
+    assert apply(decode(codes.FATALITY_TYPES), ["I", "D", "d", None, "R", " D"]) == [
+        "Indirect", "Direct", "Unknown", "Unknown", "Unknown", "Unknown",
+    ]
+    assert apply(decode(codes.SEXES), ["M", "F", "m", None]) == ["Male", "Female", "Unknown", "Unknown"]
+
+
+def test_blank_characters_match_the_pattern_of_blanks():
+    assert all(re.fullmatch(r"\s", c) for c in parsing.BLANKS)

@@ -1,0 +1,214 @@
+"""CSV files, cleaned Parquet and loaded tables."""
+
+import gzip
+from datetime import date
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
+
+from tempestry.operators.clean import clean, clean_events, damage_rejects
+from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR, MONTH_KEY
+from tempestry.sources import csv_files, parquet_files, warehouse
+
+
+def event_line(event_id, begin="01-MAY-24 10:00:00", end="02-MAY-24 10:00:00", damage="1K", state="TEXAS"):
+    return f'{event_id},x,"{state}",Hail,{begin},{end},0,0,1,0,{damage},,Public,52.00,EG\n'
+
+
+EVENT_HEADER = (
+    "EVENT_ID,EPISODE_ID,STATE,EVENT_TYPE,BEGIN_DATE_TIME,END_DATE_TIME,INJURIES_DIRECT,INJURIES_INDIRECT,"
+    "DEATHS_DIRECT,DEATHS_INDIRECT,DAMAGE_PROPERTY,DAMAGE_CROPS,SOURCE,MAGNITUDE,MAGNITUDE_TYPE\n"
+)
+FATALITY_HEADER = ",".join(FATALITIES.raw_columns) + "\n"
+
+
+def write_gz(root, name, text):
+    path = Path(root) / name
+    with gzip.open(path, "wt", newline="") as file:
+        file.write(text)
+    return str(path)
+
+
+# --- CSV ---
+
+
+def test_quotes_and_line_ends_inside_fields(spark, tmp_path):
+    text = EVENT_HEADER + event_line("007", state='he said ""x, y"" ok\nsecond line') + event_line("8")
+    rows = csv_files.read_csv(spark, write_gz(tmp_path, "a.csv.gz", text), EVENTS).orderBy("EVENT_ID").collect()
+    assert [r.EVENT_ID for r in rows] == ["007", "8"]  # text stays text
+    assert rows[0].STATE == 'he said "x, y" ok\nsecond line'
+    assert rows[0].DAMAGE_CROPS is None
+    assert rows[0].asDict().keys() == set(EVENTS.raw_columns)
+
+
+def test_missing_column_and_unlike_headers_are_errors(spark, tmp_path):
+    path = write_gz(tmp_path, "a.csv.gz", "EVENT_ID,STATE\n1,TEXAS\n")
+    with pytest.raises(AnalysisException):
+        csv_files.read_csv(spark, path, EVENTS)
+    swapped = EVENT_HEADER.replace("STATE,EVENT_TYPE", "EVENT_TYPE,STATE")
+    paths = [write_gz(tmp_path, "b.csv.gz", EVENT_HEADER + event_line("1")), write_gz(tmp_path, "c.csv.gz", swapped + event_line("2"))]
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        csv_files.read_csv(spark, paths, EVENTS).collect()
+
+
+@pytest.fixture
+def year_files(tmp_path):
+    for year in (2022, 2023, 2024):
+        for revision in ("c20250520", "c20250101"):
+            name = f"StormEvents_details-ftp_v1.0_d{year}_{revision}.csv.gz"
+            write_gz(tmp_path, name, EVENT_HEADER + event_line(f"{year}-{revision}"))
+        write_gz(tmp_path, f"StormEvents_fatalities-ftp_v1.0_d{year}_c20250101.csv.gz", FATALITY_HEADER + f"f{year},e,D,,,,\n")
+    return str(tmp_path)
+
+
+def test_first_revision_of_each_year_is_read_in_one_scan(spark, year_files):
+    rows = csv_files.read_years(spark, year_files, EVENTS, [2022, 2024]).collect()
+    assert sorted((r.EVENT_ID, r[LOAD_YEAR]) for r in rows) == [("2022-c20250101", 2022), ("2024-c20250101", 2024)]
+    fatalities = csv_files.read_years(spark, year_files, FATALITIES, [2023])
+    assert [(r.FATALITY_ID, r[LOAD_YEAR]) for r in fatalities.collect()] == [("f2023", 2023)]
+
+
+def test_year_without_file_is_an_error(spark, year_files):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        csv_files.read_years(spark, year_files, EVENTS, [2024, 2031])
+
+
+# --- cleaning ---
+
+
+def test_clean_types_names_and_order(rows):
+    raw = rows([*EVENTS.raw_columns, "OTHER"], [{"EVENT_ID": " 7", "BEGIN_DATE_TIME": "28-APR-50 14:45:00", "DAMAGE_CROPS": "?"}])
+    cleaned = clean_events(raw)
+    assert [(f.name, f.dataType) for f in cleaned.schema] == [(f.name, f.dataType) for f in EVENTS.schema]
+    row = cleaned.first()
+    assert (row.event_id, row.event_start_date.year, row.damage_property, row.damage_crops) == (" 7", 2050, 0, None)
+    assert {r["column"]: r.failures for r in damage_rejects(raw).collect()} == {"DAMAGE_PROPERTY": 0, "DAMAGE_CROPS": 1}
+    with pytest.raises(PySparkException, match="not a damage amount"):
+        clean_events(raw, on_bad="error").collect()
+    with pytest.raises(ValueError, match="on_bad"):
+        clean_events(raw, on_bad="skip")
+
+
+# --- Parquet ---
+
+
+def test_fixed_number_of_files(spark, tmp_path):
+    df = spark.range(100).select(F.col("id").cast("string").alias("fatality_id"))
+    parquet_files.write_parquet(parquet_files.spread(df, files=4), str(tmp_path / "p"))
+    assert len(list((tmp_path / "p").glob("*.parquet"))) == 4
+    parquet_files.write_parquet(parquet_files.spread(df.limit(5)), str(tmp_path / "p"))  # replaces
+    back = parquet_files.read_parquet(spark, str(tmp_path / "p"), FATALITIES.schema)
+    assert back.columns == FATALITIES.columns and back.count() == 5
+
+
+def test_write_years_replaces_only_the_years_present(spark, tmp_path, rows):
+    path = str(tmp_path / "lake")
+    cleaned = lambda records: clean(
+        rows(FATALITIES.raw_columns, [{"FATALITY_ID": i, "EVENT_ID": str(y)} for i, y in records]), FATALITIES
+    ).withColumn(LOAD_YEAR, F.col("event_id").cast("int"))
+    parquet_files.write_years(cleaned([("a", 2022), ("b", 2023)]), path)
+    parquet_files.write_years(cleaned([("c", 2023)]), path)
+    assert sorted(r.fatality_id for r in parquet_files.read_years(spark, path, FATALITIES).collect()) == ["a", "c"]
+    assert [r.fatality_id for r in parquet_files.read_years(spark, path, FATALITIES, [2022]).collect()] == ["a"]
+
+
+# --- loaded tables ---
+
+
+@pytest.fixture
+def loaded(spark, rows):
+    """Cleaned fatalities out of (id, date text, file year)."""
+
+    def build(records):
+        raw = rows(["FATALITY_ID", "FATALITY_DATE", "Y", *FATALITIES.raw_columns[1:3], *FATALITIES.raw_columns[4:]],
+                   [{"FATALITY_ID": i, "FATALITY_DATE": d and f"{d} 00:00:00", "Y": str(y)} for i, d, y in records])
+        return clean(raw.withColumn(LOAD_YEAR, F.col("Y").cast("int")), FATALITIES)
+
+    return build
+
+
+FIRST = [("a", "01/01/2023", 2023), ("b", None, 2023), ("c", "05/02/2024", 2024), ("d", "05/03/2024", 2024), ("e", None, 2024)]
+
+
+def content(spark, path):
+    table = warehouse.read_table(spark, path, FATALITIES).collect()
+    return sorted((r.fatality_id, r[LOAD_YEAR], r[MONTH_KEY]) for r in table)
+
+
+def keys(spark, path):
+    return [key for key, _, _ in content(spark, path)]
+
+
+def test_create_leaves_an_existing_table_alone(spark, tmp_path, loaded):
+    path = str(tmp_path / "t")
+    warehouse.create_table(spark, path, FATALITIES)
+    table = warehouse.read_table(spark, path, FATALITIES)
+    assert table.schema == FATALITIES.table_schema and table.count() == 0
+    warehouse.append(spark, loaded(FIRST), path, FATALITIES)
+    warehouse.create_table(spark, path, FATALITIES)
+    assert keys(spark, path) == ["a", "b", "c", "d", "e"]
+
+
+def test_append_twice_doubles(spark, tmp_path, loaded):
+    path = str(tmp_path / "t")
+    for _ in range(2):
+        warehouse.append(spark, loaded(FIRST), path, FATALITIES)
+    assert keys(spark, path) == sorted("abcde" * 2)
+
+
+def test_replace_is_idempotent_and_by_year(spark, tmp_path, loaded):
+    path = str(tmp_path / "t")
+    for _ in range(2):
+        warehouse.replace_years(spark, loaded(FIRST), path, FATALITIES, [2023, 2024])
+    assert content(spark, path) == [
+        ("a", 2023, "2023-01"), ("b", 2023, None), ("c", 2024, "2024-02"), ("d", 2024, "2024-03"), ("e", 2024, None),
+    ]
+    # The corrected 2024 has no February and no undated row any more; 2023 keeps its undated row.
+    corrected = [("d2", "06/03/2024", 2024), ("f", "01/07/2024", 2024)]
+    for _ in range(2):
+        warehouse.replace_years(spark, loaded(corrected), path, FATALITIES, [2024])
+        assert keys(spark, path) == ["a", "b", "d2", "f"]
+
+
+def test_replace_with_an_empty_year_empties_it(spark, tmp_path, loaded):
+    path = str(tmp_path / "t")
+    warehouse.replace_years(spark, loaded(FIRST), path, FATALITIES, [2023, 2024])
+    warehouse.replace_years(spark, loaded([]), path, FATALITIES, [2024])
+    assert keys(spark, path) == ["a", "b"]
+
+
+def test_failed_replace_keeps_the_old_rows(spark, tmp_path, loaded):
+    path = str(tmp_path / "t")
+    warehouse.replace_years(spark, loaded(FIRST), path, FATALITIES, [2023, 2024])
+    broken = loaded(FIRST).withColumn("fatality_sex", F.when(F.col("fatality_id") == "e", F.raise_error(F.lit("broken"))))
+    with pytest.raises(PySparkException, match="broken"):
+        warehouse.replace_years(spark, broken, path, FATALITIES, [2023, 2024])
+    assert keys(spark, path) == list("abcde")
+
+
+def test_between_reads_only_its_months(spark, tmp_path, loaded):
+    path = str(tmp_path / "t")
+    warehouse.append(spark, loaded(FIRST), path, FATALITIES)
+    part = warehouse.between(warehouse.read_table(spark, path, FATALITIES), FATALITIES, date(2024, 2, 1), date(2024, 3, 4))
+    assert [r.fatality_id for r in part.collect()] == ["c"]
+    scan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_key" in scan and "2024-02" in scan
+    files = part.select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    assert files == 1
+
+
+def test_register_table(spark, tmp_path, loaded):
+    path = str(tmp_path / "t")
+    warehouse.append(spark, loaded(FIRST), path, FATALITIES)
+    table = warehouse.register_table(spark, "loaded_fatalities", path, FATALITIES)
+    try:
+        assert sorted(r.fatality_id for r in table.collect()) == list("abcde")
+        assert table.schema == FATALITIES.table_schema
+    finally:
+        spark.sql("drop table loaded_fatalities")
+
+
+def test_dataset_names():
+    assert list(DATASETS) == ["events", "fatalities"]

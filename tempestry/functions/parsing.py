@@ -6,10 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values ---
-PLAIN_DIGITS = r"[+-]?[0-9]{1,18}"
 BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
-NUMBER = r"[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?"
-DAMAGE_UNITS = {"K": 1e3, "M": 1e6, "B": 1e9}
+NUMBER = r"[+-]?(?:[0-9]+(?:[.][0-9]*)?|[.][0-9]+)(?:[eE][+-]?[0-9]+)?"
+DAMAGE_UNITS = "KMB"  # thousands, millions, billions
 # --- end of fixed values ---
 
 
@@ -18,29 +17,24 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
-def whole_number(text: Column) -> Column:
-    """[C2] Text to bigint, fractions cut towards zero, null where it is no number.
+def real_number(text: Column, single_precision: bool = False) -> Column:
+    """[C3] Text to double; ``single_precision`` rounds through a 32-bit float first.
 
-    The patterns come before the casts on purpose: a cast that fails costs an
+    The pattern comes before the cast on purpose: a cast that fails costs an
     exception per row, and Spark would read ``10F`` as the double 10.
     """
-    digits = strip(text)
-    return (
-        F.when(digits.rlike(f"^{PLAIN_DIGITS}$"), digits.try_cast("bigint"))
-        .when(digits.rlike(f"^{NUMBER}$"), digits.try_cast("double").try_cast("bigint"))
-    )
+    number = text.try_cast("float" if single_precision else "double").cast("double")
+    return F.when(text.rlike(rf"^\s*{NUMBER}\s*$"), number)
 
 
-def real_number(text: Column, single_precision: bool = False) -> Column:
-    """[C3] Text to double; ``single_precision`` rounds through a 32-bit float first."""
-    digits = strip(text)
-    number = F.when(digits.rlike(f"^{NUMBER}$"), digits.try_cast("float" if single_precision else "double"))
-    return number.cast("double")
+def whole_number(text: Column) -> Column:
+    """[C2] Text to bigint, fractions cut towards zero, null where it is no number."""
+    return real_number(text).try_cast("bigint")
 
 
 def instant(text: Column, pattern: str) -> Column:
     """[C4, C5] Text to timestamp in the session's zone."""
-    return F.try_to_timestamp(strip(text), F.lit(pattern))
+    return F.try_to_timestamp(F.trim(text), F.lit(pattern))
 
 
 def in_century_of(value: Column, year: Column) -> Column:
@@ -56,7 +50,7 @@ def in_century_of(value: Column, year: Column) -> Column:
 
 
 def damage_is_blank(text: Column) -> Column:
-    return text.isNull() | (strip(text) == "")
+    return F.coalesce(strip(text) == "", F.lit(True))
 
 
 def damage_dollars(text: Column) -> Column:
@@ -66,14 +60,13 @@ def damage_dollars(text: Column) -> Column:
     null, see :func:`damage_is_bad`. The result is a bigint, as amounts pass
     the 32-bit range.
     """
-    amount = F.upper(strip(text))
-    units = "".join(DAMAGE_UNITS)
-    number = F.regexp_extract(amount, rf"^({NUMBER}) *[{units}]?$", 1).try_cast("double")
-    unit = F.right(amount, F.lit(1))
-    factor = F.lit(1.0)
-    for letter, value in DAMAGE_UNITS.items():
-        factor = F.when(unit == letter, F.lit(value)).otherwise(factor)
-    return F.when(damage_is_blank(text), F.lit(0).cast("bigint")).otherwise((number * factor).try_cast("bigint"))
+    amount = strip(text)
+    units = DAMAGE_UNITS + DAMAGE_UNITS.lower()
+    number = F.rtrim(amount, F.lit(f"{units} ")).try_cast("double")
+    factor = F.pow(F.lit(1000.0), F.instr(F.lit(DAMAGE_UNITS), F.upper(F.right(amount, F.lit(1)))))
+    return F.when(damage_is_blank(text), F.lit(0).cast("bigint")).when(
+        amount.rlike(f"^{NUMBER} *[{units}]?$"), (number * factor).try_cast("bigint")
+    )
 
 
 def damage_is_bad(text: Column) -> Column:

@@ -12,6 +12,7 @@ from tempestry.session import build_session, scratch_path
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tempestry", description=__doc__)
+    parser.add_argument("--data-gb", type=float, help="size of the data, to choose the number of shuffle partitions")
     commands = parser.add_subparsers(dest="job", required=True)
     previous = jobs.year_to_load(date.today())
 
@@ -35,6 +36,11 @@ def _parser() -> argparse.ArgumentParser:
     job = commands.add_parser("build", help="loaded tables to facts and marts")
     job.add_argument("warehouse_root")
     job.add_argument("model_root")
+    job.add_argument("--facts-by-month", action="store_true", help="partition the fact tables by month")
+
+    job = commands.add_parser("answers", help="print what the marts say")
+    job.add_argument("model_root")
+    job.add_argument("--year", type=int)
 
     job = commands.add_parser("check", help="print the data tests' report")
     job.add_argument("warehouse_root")
@@ -43,7 +49,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build_session(f"tempestry-{args.job}")
+    spark = build_session(f"tempestry-{args.job}", data_gb=args.data_gb)
     if args.job == "clean":
         jobs.clean_file(
             spark, args.source, args.target, args.dataset, args.files, date_format=args.date_format, on_bad=args.on_bad
@@ -54,7 +60,11 @@ def main(argv: list[str] | None = None) -> None:
             rebase_century=args.rebase_century,
         )
     elif args.job == "build":
-        models.build(spark, args.warehouse_root, args.model_root)
+        models.build(spark, args.warehouse_root, args.model_root, facts_by_month=args.facts_by_month)
+    elif args.job == "answers":
+        for question, answer in models.answers(spark, args.model_root, args.year).items():
+            print(question)
+            answer.show(truncate=False)
     else:
         models.check(spark, args.warehouse_root, scratch_path(spark, "check")).show(truncate=False)
 

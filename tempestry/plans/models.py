@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempestry.functions.calendar import month_key
-from tempestry.operators import dedup, facts, marts, quality
-from tempestry.schemas import EVENTS, FACT_EVENT_COLUMNS, FACT_FATALITY_COLUMNS, FATALITIES, MONTH_KEY
+from tempestry.operators import dedup, facts, insights, marts, quality
+from tempestry.schemas import EVENTS, FATALITIES, MONTH_KEY
 from tempestry.sources import warehouse
 
 STG_EVENTS = "stg_events"
@@ -44,38 +44,70 @@ def rebuild(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def rebuild_fact(spark: SparkSession, fact: DataFrame, path: str, date: str, columns: tuple[str, ...]) -> DataFrame:
-    """[K10] As :func:`rebuild`, partitioned by the month of ``date``, as readers filter by it."""
+def rebuild_by_month(spark: SparkSession, fact: DataFrame, path: str, date: str) -> DataFrame:
+    """[K10] As :func:`rebuild`, in one folder per month of ``date`` (``month_key``).
+
+    For readers that filter facts by date. It costs a shuffle of the whole
+    table, which the marts do not gain from.
+    """
     keyed = fact.withColumn(MONTH_KEY, month_key(F.col(date)))
     keyed.hint("rebalance", MONTH_KEY).write.mode("overwrite").partitionBy(MONTH_KEY).parquet(path)
-    return spark.read.schema(keyed.schema).parquet(path).select(*columns, MONTH_KEY)
+    return spark.read.schema(keyed.schema).parquet(path)
 
 
-def build(spark: SparkSession, warehouse_root: str, model_root: str, **options) -> dict[str, DataFrame]:
+def build(
+    spark: SparkSession, warehouse_root: str, model_root: str, *, facts_by_month: bool = False, **options
+) -> dict[str, DataFrame]:
     """All models. The facts are written once and read by the marts, which are written too.
 
     The de-duplication, the one costly step, so runs once per table, and a
-    mart that loses an executor starts from files.
+    mart that loses an executor starts from files. Without ``facts_by_month``
+    the facts are written by the tasks that de-duplicate, with no shuffle in
+    between. All are temporary views under their names afterwards.
     """
     staged = staging_views(spark, warehouse_root, **options)
-    events = rebuild_fact(
-        spark, facts.fact_events(staged.events), f"{model_root}/fact_events", "event_start_date", FACT_EVENT_COLUMNS
-    )
-    fatalities = rebuild_fact(
-        spark,
-        facts.fact_fatalities(staged.fatalities),
-        f"{model_root}/fact_fatalities",
-        "fatality_date",
-        FACT_FATALITY_COLUMNS,
-    )
+    dated = {
+        "fact_events": (facts.fact_events(staged.events), "event_start_date"),
+        "fact_fatalities": (facts.fact_fatalities(staged.fatalities), "fatality_date"),
+    }
+    tables = {}
+    for name, (fact, date) in dated.items():
+        path = f"{model_root}/{name}"
+        tables[name] = (
+            rebuild_by_month(spark, fact, path, date) if facts_by_month else rebuild(spark, fact, path)
+        )
+    events, fatalities = tables["fact_events"], tables["fact_fatalities"]
     summaries = {
         "fact_costliest_events": marts.costliest_events(events),
         "fact_fatalities_by_month": marts.fatalities_by_month(fatalities),
         "fact_fatalities_by_sex": marts.fatalities_by_sex(fatalities),
         "fact_fatality_type_by_event_type": marts.fatality_type_by_event_type(events, fatalities),
     }
-    tables = {name: rebuild(spark, df, f"{model_root}/{name}") for name, df in summaries.items()}
-    return {"fact_events": events, "fact_fatalities": fatalities, **tables}
+    tables.update({name: rebuild(spark, df, f"{model_root}/{name}") for name, df in summaries.items()})
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
+    return tables
+
+
+def read_mart(spark: SparkSession, model_root: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{model_root}/{name}")
+
+
+def answers(spark: SparkSession, model_root: str, year: int | None = None, k: int = 10) -> dict[str, DataFrame]:
+    """[D1-D4] The questions answered from the marts, for one year or for all."""
+
+    def mart(name: str, year_column: str) -> DataFrame:
+        df = read_mart(spark, model_root, name)
+        return df if year is None else df.filter(F.col(year_column) == year)
+
+    types = mart("fact_fatality_type_by_event_type", "event_start_year")
+    return {
+        "most common fatality type": insights.top_fatality_type(types),
+        "fatality types by event type, percent": insights.fatality_balance(types),
+        "month with most fatalities": insights.peak_month(mart("fact_fatalities_by_month", "fatality_year")),
+        "costliest event types": insights.top_cost(mart("fact_costliest_events", "event_start_year"), k),
+        "fatalities by sex, percent": insights.sex_share(mart("fact_fatalities_by_sex", "fatality_year")),
+    }
 
 
 def check(spark: SparkSession, warehouse_root: str, scratch: str, **options) -> DataFrame:

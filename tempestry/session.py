@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import SparkSession
 
@@ -17,10 +18,28 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+SHUFFLE_PARTITION_GB = 0.25
+MOST_SHUFFLE_PARTITIONS = 40_000
 
-def build_session(app: str = "tempestry", master: str | None = None, **conf: str) -> SparkSession:
+
+def shuffle_partitions(data_gb: float) -> int:
+    """Partitions that keep a shuffle of ``data_gb`` near 256 MB each.
+
+    Adaptive execution joins partitions that turn out small but splits only
+    skewed ones, so the number should rather be too high. Beyond some ten
+    thousand the bookkeeping on the driver costs more than larger, spilling
+    partitions do.
+    """
+    return min(max(200, ceil(data_gb / SHUFFLE_PARTITION_GB)), MOST_SHUFFLE_PARTITIONS)
+
+
+def build_session(
+    app: str = "tempestry", master: str | None = None, data_gb: float | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings above; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
+    if data_gb is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(data_gb)))
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():

@@ -8,6 +8,7 @@ import pytest
 from tempestry import __main__ as command_line
 from tempestry.plans import jobs, models
 from tempestry.schemas import EVENTS, FATALITIES
+from tempestry.session import scratch_path, shuffle_partitions
 from tempestry.sources import parquet_files, warehouse
 
 EVENT_HEADER = ",".join(EVENTS.raw_columns)
@@ -60,6 +61,10 @@ def test_from_files_to_marts(spark, files, tmp_path, capsys):
     assert counts(read("fact_fatalities_by_sex")) == [(1999, "Female", 1), (1999, "Male", 1), (2000, "Unknown", 1)]
     assert read("fact_events").count() == 3 and read("fact_fatalities").count() == 4
 
+    command_line.main(["answers", built, "--year", "1999"])
+    printed = capsys.readouterr().out
+    assert "costliest event types" in printed and "1000002500" in printed and "2000" not in printed.replace("1000002500", "")
+
     command_line.main(["check", tables])
     printed = capsys.readouterr().out
     assert "relationships" in printed and "warn" in printed
@@ -101,3 +106,13 @@ def test_clean_one_file(spark, files, tmp_path):
 
 def test_year_to_load():
     assert jobs.year_to_load(date(2025, 1, 1)) == 2024
+
+
+def test_shuffle_partitions_grow_with_the_data():
+    assert [shuffle_partitions(gb) for gb in (0.1, 1_000, 100_000)] == [200, 4_000, 40_000]
+
+
+def test_scratch_is_the_shared_folder_of_the_session(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first != second and first.startswith(f"{shared}/")

@@ -1,6 +1,7 @@
 """The physical plans: no Python workers, no cross joins, pruned scans, no shuffle more than needed."""
 
 import re
+from datetime import datetime
 
 import pytest
 
@@ -78,16 +79,26 @@ def test_staging_leaves_load_columns_behind(spark, staged):
 
 def test_marts_read_few_columns_of_a_written_fact(spark, staged, tmp_path):
     from tempestry.operators import facts, marts
-    from tempestry.schemas import FACT_EVENT_COLUMNS
 
-    events = models.rebuild_fact(
-        spark, facts.fact_events(staged.events), str(tmp_path / "f"), "event_start_date", FACT_EVENT_COLUMNS
-    )
+    events = models.rebuild(spark, facts.fact_events(staged.events), str(tmp_path / "f"))
     plan = plan_of(marts.costliest_events(events))
     assert "ReadSchema: struct<event_type:string,event_start_year:bigint,damage_property:bigint,damage_crops:bigint>" in plan
     assert plan.count("Exchange") == 1
 
 
+def test_facts_by_month_can_be_pruned(spark, tmp_path):
+    from tempestry.operators import facts
+    from tempestry.schemas import FACT_EVENT_COLUMNS
+
+    row = {"event_id": "1", "event_start_date": datetime(2024, 5, 1)}
+    fact = facts.fact_events(spark.createDataFrame([tuple(row.get(c) for c in EVENTS.columns)], EVENTS.schema))
+    events = models.rebuild_by_month(spark, fact, str(tmp_path / "f"), "event_start_date")
+    assert events.columns == [*FACT_EVENT_COLUMNS, "month_key"]
+    month = events.filter("month_key = '2024-05'")
+    assert re.search(r"PartitionFilters: \[.*month_key#\d+ = 2024-05", plan_of(month))
+    assert month.count() == 1
+
+
 def test_duplicate_check_of_staged_rows_needs_no_second_shuffle(staged):
     from tempestry.operators import quality
 

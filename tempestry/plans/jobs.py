@@ -54,7 +54,7 @@ def ingest(
             century_from=LOAD_YEAR if rebase_century and spec is EVENTS else None,
             on_bad=on_bad,
         )
-        parquet_files.write_years(cleaned, f"{lake_root}/{name}")
+        parquet_files.write_years(spark, cleaned, f"{lake_root}/{name}", years)
 
 
 def load(

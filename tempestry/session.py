@@ -33,6 +33,15 @@ def shuffle_partitions(data_gb: float) -> int:
     return min(max(200, ceil(data_gb / SHUFFLE_PARTITION_GB)), MOST_SHUFFLE_PARTITIONS)
 
 
+def output_partition_mb(data_gb: float) -> int:
+    """Size Spark aims at for coalesced partitions and, after a rebalance, for files.
+
+    64 MB, Spark's own value, up to 25 TB; then growing to keep the files
+    below some 400,000.
+    """
+    return min(max(64, ceil(data_gb * 1024 / 400_000)), 1024)
+
+
 def build_session(
     app: str = "tempestry", master: str | None = None, data_gb: float | None = None, **conf: str
 ) -> SparkSession:
@@ -40,6 +49,8 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if data_gb is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(data_gb)))
+        size = f"{output_partition_mb(data_gb)}m"
+        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():

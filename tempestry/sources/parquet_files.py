@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempestry.schemas import LOAD_YEAR, Dataset
+from tempestry.sources import partitions
 
 
 def spread(raw: DataFrame, *columns: str, files: int | None = None) -> DataFrame:
@@ -30,14 +33,9 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
-def write_years(df: DataFrame, path: str) -> None:
-    """[K3] One folder per ``load_year``; replaces the years present and no others."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LOAD_YEAR)
-        .parquet(path)
-    )
+def write_years(spark: SparkSession, df: DataFrame, path: str, years: Iterable[int]) -> None:
+    """[K3] One folder per ``load_year``; ``df`` becomes the whole content of ``years``, others stay."""
+    partitions.replace_years(spark, df, path, [LOAD_YEAR], years)
 
 
 def read_years(spark: SparkSession, path: str, dataset: Dataset, years: list[int] | None = None) -> DataFrame:

@@ -10,15 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempestry.functions.calendar import month_key
 from tempestry.schemas import LOAD_YEAR, MONTH_KEY, Dataset
-
-# --- fixed value: Spark's folder name for a null partition value ---
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-# --- end of fixed value ---
+from tempestry.sources import partitions
 
 
 def create_table(spark: SparkSession, path: str, dataset: Dataset) -> None:
@@ -70,30 +67,7 @@ def append(spark: SparkSession, cleaned: DataFrame, path: str, dataset: Dataset)
 def replace_years(
     spark: SparkSession, cleaned: DataFrame, path: str, dataset: Dataset, years: Iterable[int]
 ) -> None:
-    """[K8] Make ``cleaned`` the whole content of ``years``; other years stay as they are.
-
-    All years are written by one job, which swaps in the months it has rows
-    for when it commits, so that a job that fails leaves the old rows. Months
-    that had rows before and have none now are emptied after it. The write
-    reports the months it wrote (13 per year at most), so nothing is read or
-    computed a second time. Running it again gives the same table.
-    """
-    years = sorted(set(years))
+    """[K8] Make ``cleaned`` the whole content of ``years``; see :func:`partitions.replace_years`."""
     create_table(spark, path, dataset)
-    written = Observation()
-    rows = _laid_out(cleaned, dataset).filter(F.col(LOAD_YEAR).isin(*years)).hint("rebalance", LOAD_YEAR, MONTH_KEY)
-    # Observed above the shuffle: below it, adaptive execution drops the node when no row arrives.
-    observed = rows.observe(written, F.collect_set(F.struct(LOAD_YEAR, MONTH_KEY)).alias("months"))
-    (
-        observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LOAD_YEAR, MONTH_KEY)
-        .parquet(path)
-    )
-    fresh = {(row[LOAD_YEAR], row[MONTH_KEY]) for row in written.get["months"]}
-    present = read_table(spark, path, dataset).filter(F.col(LOAD_YEAR).isin(*years))
-    empty = spark.createDataFrame([], dataset.schema)
-    for row in present.select(LOAD_YEAR, MONTH_KEY).distinct().collect():
-        if (row[LOAD_YEAR], row[MONTH_KEY]) not in fresh:
-            folder = f"{LOAD_YEAR}={row[LOAD_YEAR]}/{MONTH_KEY}={row[MONTH_KEY] or NULL_PARTITION}"
-            empty.write.mode("overwrite").parquet(f"{path}/{folder}")
+    rows = _laid_out(cleaned, dataset).hint("rebalance", LOAD_YEAR, MONTH_KEY)
+    partitions.replace_years(spark, rows, path, [LOAD_YEAR, MONTH_KEY], years)

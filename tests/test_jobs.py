@@ -8,7 +8,7 @@ import pytest
 from tempestry import __main__ as command_line
 from tempestry.plans import jobs, models
 from tempestry.schemas import EVENTS, FATALITIES
-from tempestry.session import scratch_path, shuffle_partitions
+from tempestry.session import output_partition_mb, scratch_path, shuffle_partitions
 from tempestry.sources import parquet_files, warehouse
 
 EVENT_HEADER = ",".join(EVENTS.raw_columns)
@@ -110,9 +110,19 @@ def test_year_to_load():
 
 def test_shuffle_partitions_grow_with_the_data():
     assert [shuffle_partitions(gb) for gb in (0.1, 1_000, 100_000)] == [200, 4_000, 40_000]
+    assert [output_partition_mb(gb) for gb in (0.1, 1_000, 100_000)] == [64, 64, 256]
 
 
 def test_scratch_is_the_shared_folder_of_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(f"{shared}/")
+
+
+def test_a_year_that_lost_its_rows_is_emptied(spark, files, tmp_path):
+    lake, tables = str(tmp_path / "lake"), str(tmp_path / "tables")
+    jobs.backfill(spark, str(files), lake, tables, 1999, 2000)
+    write(files, "fatalities", 2000, [FATALITY_HEADER])
+    jobs.backfill(spark, str(files), lake, tables, 2000, 2000)
+    kept = warehouse.read_table(spark, f"{tables}/fatalities", FATALITIES)
+    assert sorted(r.fatality_id for r in kept.collect()) == ["f1", "f2"]

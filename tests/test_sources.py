@@ -103,13 +103,13 @@ def test_fixed_number_of_files(spark, tmp_path):
     assert back.columns == FATALITIES.columns and back.count() == 5
 
 
-def test_write_years_replaces_only_the_years_present(spark, tmp_path, rows):
+def test_write_years_replaces_the_years_asked_for(spark, tmp_path, rows):
     path = str(tmp_path / "lake")
     cleaned = lambda records: clean(
         rows(FATALITIES.raw_columns, [{"FATALITY_ID": i, "EVENT_ID": str(y)} for i, y in records]), FATALITIES
     ).withColumn(LOAD_YEAR, F.col("event_id").cast("int"))
-    parquet_files.write_years(cleaned([("a", 2022), ("b", 2023)]), path)
-    parquet_files.write_years(cleaned([("c", 2023)]), path)
+    parquet_files.write_years(spark, cleaned([("a", 2022), ("b", 2023), ("x", 2021)]), path, [2021, 2022, 2023])
+    parquet_files.write_years(spark, cleaned([("c", 2023)]), path, [2021, 2023])
     assert sorted(r.fatality_id for r in parquet_files.read_years(spark, path, FATALITIES).collect()) == ["a", "c"]
     assert [r.fatality_id for r in parquet_files.read_years(spark, path, FATALITIES, [2022]).collect()] == ["a"]
 

@@ -84,11 +84,14 @@ def _year_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_events(rows).withColumn(LOAD_YEAR, F.col(LOAD_YEAR).cast("bigint"))
 
 
-def _parquet_roundtrip(dataset: str) -> Query:
+def _parquet_roundtrip(dataset: str, files_per_core: int | None = None) -> Query:
+    """Files of about equal size, or a fixed number of them, here one that grows with the cluster."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = DATASETS[dataset]
         path = scratch_path(spark, f"parquet_{dataset}")
-        raw = parquet_files.spread(driver_tables.raw(spark, sf_dir, dataset))
+        files = files_per_core and files_per_core * spark.sparkContext.defaultParallelism
+        raw = parquet_files.spread(driver_tables.raw(spark, sf_dir, dataset), files=files)
         parquet_files.write_parquet(clean.clean(raw, spec), path)
         return parquet_files.read_parquet(spark, path, spec.schema)
 
@@ -250,7 +253,7 @@ QUERIES: dict[str, Query] = {
     "clean_events_own_century": _clean_events_own_century,
     "clean_fatalities": _clean_fatalities,
     "clean_fatalities_month_first": _clean_fatalities_month_first,
-    "parquet_roundtrip": _parquet_roundtrip("events"),
+    "parquet_roundtrip": _parquet_roundtrip("events", files_per_core=1),
     "parquet_roundtrip_fatalities": _parquet_roundtrip("fatalities"),
     "load_append": _load_append("events"),
     "load_append_fatalities": _load_append("fatalities"),

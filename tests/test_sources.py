@@ -199,6 +199,30 @@ def test_between_reads_only_its_months(spark, tmp_path, loaded):
     assert files == 1
 
 
+def test_a_hot_month_is_written_by_several_tasks(spark, tmp_path):
+    """All but a few rows fall into one month; the rebalance splits it."""
+    path = tmp_path / "t"
+    ids = spark.range(0, 60_000, 1, 12)
+    month = F.when(F.col("id") % 1000 == 0, F.col("id") / 1000 % 12 + 1).otherwise(5).cast("int")
+    rows = ids.select(
+        F.sha2(F.col("id").cast("string"), 256).alias("fatality_id"),
+        *(F.lit(None).cast("string").alias(c) for c in ("event_id", "fatality_type")),
+        F.make_timestamp(F.lit(2024), month, F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("fatality_date"),
+        F.lit(None).cast("bigint").alias("fatality_age"),
+        *(F.lit(None).cast("string").alias(c) for c in ("fatality_sex", "fatality_location")),
+        F.lit(2024).alias(LOAD_YEAR),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+    try:
+        warehouse.append(spark, rows, str(path), FATALITIES)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (path / "load_year=2024").iterdir()}
+    assert files.pop("month_key=2024-05") > 4
+    assert min(files.values()) == 1
+    assert warehouse.read_table(spark, str(path), FATALITIES).count() == 60_000
+
+
 def test_register_table(spark, tmp_path, loaded):
     path = str(tmp_path / "t")
     warehouse.append(spark, loaded(FIRST), path, FATALITIES)

@@ -23,6 +23,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--files", type=int, help="number of output files (default: by size)")
     job.add_argument("--date-format")
     job.add_argument("--on-bad", choices=("null", "error"), default="null")
+    job.add_argument("--one-line-rows", action="store_true", help="no line ends inside fields: split plain CSV files")
 
     job = commands.add_parser("backfill", help="files of a range of years into the loaded tables")
     job.add_argument("source_root")
@@ -52,7 +53,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"tempestry-{args.job}", data_gb=args.data_gb)
     if args.job == "clean":
         jobs.clean_file(
-            spark, args.source, args.target, args.dataset, args.files, date_format=args.date_format, on_bad=args.on_bad
+            spark, args.source, args.target, args.dataset, args.files, not args.one_line_rows,
+            date_format=args.date_format, on_bad=args.on_bad,
         )
     elif args.job == "backfill":
         jobs.backfill(

@@ -232,6 +232,7 @@ _SQL = {
     "load_replace_year_fatalities": _FATALITY_MONTH,
     "table_by_month": f"""
         select month_key, count(*) as n, max(fatality_date) as last_date from ({_FATALITY_MONTH}) group by month_key""",
+    "table_between": f"select * exclude (load_year) from ({_FATALITY_MONTH}) where fatality_date is not null",
     "stg_events": "select * from stg_events",
     "stg_events_latest_load": """
         select * exclude (load_year) from typed_events

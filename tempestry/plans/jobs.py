@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from datetime import date
+from functools import partial
 
 from pyspark.sql import SparkSession
 
 from tempestry.operators.clean import clean
 from tempestry.schemas import DATASETS, EVENTS, LOAD_YEAR
+from tempestry.session import together
 from tempestry.sources import csv_files, parquet_files, warehouse
 
 
@@ -18,11 +20,17 @@ def year_to_load(today: date) -> int:
 
 
 def clean_file(
-    spark: SparkSession, source: str, target: str, dataset: str, files: int | None = None, **options
+    spark: SparkSession,
+    source: str,
+    target: str,
+    dataset: str,
+    files: int | None = None,
+    multiline: bool = True,
+    **options,
 ) -> None:
     """[S1, S3, P1, P2, K1, K2] One CSV file or folder to cleaned Parquet, without a load year."""
     spec = DATASETS[dataset]
-    raw = parquet_files.spread(csv_files.read_csv(spark, source, spec), files=files)
+    raw = parquet_files.spread(csv_files.read_csv(spark, source, spec, multiline=multiline), files=files)
     parquet_files.write_parquet(clean(raw, spec, **options), target)
 
 
@@ -37,6 +45,7 @@ def ingest(
     date_formats: Mapping[str, str] | None = None,
     rebase_century: bool = False,
     on_bad: str = "null",
+    multiline: bool = True,
 ) -> None:
     """[S2, K3, K8] The files of ``years`` to cleaned Parquet, one job per dataset for all years.
 
@@ -44,9 +53,10 @@ def ingest(
     ``rebase_century`` is for events, the ones with two-digit years.
     """
     years = list(years)
-    for name in datasets:
+
+    def one(name: str) -> None:
         spec = DATASETS[name]
-        raw = csv_files.read_years(spark, source_root, spec, years, layout=layout)
+        raw = csv_files.read_years(spark, source_root, spec, years, layout=layout, multiline=multiline)
         cleaned = clean(
             parquet_files.spread(raw, LOAD_YEAR),
             spec,
@@ -56,6 +66,8 @@ def ingest(
         )
         parquet_files.write_years(spark, cleaned, f"{lake_root}/{name}", years)
 
+    together(spark, *(partial(one, name) for name in datasets))
+
 
 def load(
     spark: SparkSession, lake_root: str, warehouse_root: str, years: Iterable[int], mode: str = "replace"
@@ -64,13 +76,17 @@ def load(
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
     years = list(years)
-    for name, spec in DATASETS.items():
+
+    def one(name: str) -> None:
+        spec = DATASETS[name]
         cleaned = parquet_files.read_years(spark, f"{lake_root}/{name}", spec, years)
         if mode == "append":
             warehouse.append(spark, cleaned, f"{warehouse_root}/{name}", spec)
         else:
             warehouse.replace_years(spark, cleaned, f"{warehouse_root}/{name}", spec, years)
 
+    together(spark, *(partial(one, name) for name in DATASETS))
+
 
 def backfill(
     spark: SparkSession,

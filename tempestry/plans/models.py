@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tempestry.functions.calendar import month_key
 from tempestry.operators import dedup, facts, insights, marts, quality
 from tempestry.schemas import EVENTS, FATALITIES, MONTH_KEY
+from tempestry.session import together
 from tempestry.sources import warehouse
 
 STG_EVENTS = "stg_events"
@@ -70,20 +72,23 @@ def build(
         "fact_events": (facts.fact_events(staged.events), "event_start_date"),
         "fact_fatalities": (facts.fact_fatalities(staged.fatalities), "fatality_date"),
     }
-    tables = {}
-    for name, (fact, date) in dated.items():
+
+    def write_fact(name: str) -> DataFrame:
+        fact, date = dated[name]
         path = f"{model_root}/{name}"
-        tables[name] = (
-            rebuild_by_month(spark, fact, path, date) if facts_by_month else rebuild(spark, fact, path)
-        )
-    events, fatalities = tables["fact_events"], tables["fact_fatalities"]
+        return rebuild_by_month(spark, fact, path, date) if facts_by_month else rebuild(spark, fact, path)
+
+    events, fatalities = together(spark, *(partial(write_fact, name) for name in dated))
     summaries = {
         "fact_costliest_events": marts.costliest_events(events),
         "fact_fatalities_by_month": marts.fatalities_by_month(fatalities),
         "fact_fatalities_by_sex": marts.fatalities_by_sex(fatalities),
         "fact_fatality_type_by_event_type": marts.fatality_type_by_event_type(events, fatalities),
     }
-    tables.update({name: rebuild(spark, df, f"{model_root}/{name}") for name, df in summaries.items()})
+    written = together(
+        spark, *(partial(rebuild, spark, df, f"{model_root}/{name}") for name, df in summaries.items())
+    )
+    tables = dict(zip([*dated, *summaries], [events, fatalities, *written]))
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
     return tables
@@ -113,7 +118,9 @@ def answers(spark: SparkSession, model_root: str, year: int | None = None, k: in
 def check(spark: SparkSession, warehouse_root: str, scratch: str, **options) -> DataFrame:
     """The data tests on the staged tables, which are written to ``scratch`` and read by each test."""
     staged = staging_views(spark, warehouse_root, **options)
-    return quality.all_checks(
-        rebuild(spark, staged.events, f"{scratch}/{STG_EVENTS}"),
-        rebuild(spark, staged.fatalities, f"{scratch}/{STG_FATALITIES}"),
+    events, fatalities = together(
+        spark,
+        partial(rebuild, spark, staged.events, f"{scratch}/{STG_EVENTS}"),
+        partial(rebuild, spark, staged.fatalities, f"{scratch}/{STG_FATALITIES}"),
     )
+    return quality.all_checks(events, fatalities)

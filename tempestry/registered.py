@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from tempestry.functions import parsing
 from tempestry.operators import clean, dedup, facts, insights, marts, quality
 from tempestry.plans import jobs, models
 from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR, MONTH_KEY
-from tempestry.session import scratch_path
+from tempestry.session import scratch_path, together
 from tempestry.sources import csv_files, parquet_files, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +133,14 @@ def _table_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.groupBy(MONTH_KEY).agg(F.count(F.lit(1)).alias("n"), F.max("fatality_date").alias("last_date"))
 
 
+def _table_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of dates that holds every dated row."""
+    path = scratch_path(spark, "between")
+    warehouse.append(spark, _cleaned(spark, sf_dir, "fatalities"), path, FATALITIES)
+    table = warehouse.read_table(spark, path, FATALITIES)
+    return warehouse.between(table, FATALITIES, date(1950, 1, 1), date(2099, 12, 31)).drop(LOAD_YEAR)
+
+
 def _mart_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "mart")
     models.rebuild(spark, _costliest(spark, sf_dir), path)
@@ -140,16 +150,16 @@ def _mart_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _yearly_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly files of both datasets through every job, down to the joined mart."""
     root = scratch_path(spark, "backfill")
-    years: set[int] = set()
-    for dataset in DATASETS:
-        driver_tables.write_year_files(spark, sf_dir, dataset, f"{root}/files")
-        years.update(driver_tables.years_of(spark, sf_dir, dataset))
-    for dataset in DATASETS:
-        jobs.ingest(
-            spark, f"{root}/files", f"{root}/lake", driver_tables.years_of(spark, sf_dir, dataset),
-            layout=driver_tables.FOLDER_LAYOUT, datasets=[dataset],
-        )
-    jobs.load(spark, f"{root}/lake", f"{root}/tables", sorted(years))
+    years = {dataset: driver_tables.years_of(spark, sf_dir, dataset) for dataset in DATASETS}
+
+    def ingest(dataset: str) -> None:
+        files = f"{root}/files/{dataset}"
+        driver_tables.write_year_files(spark, sf_dir, dataset, files)
+        layout = driver_tables.FOLDER_LAYOUT
+        jobs.ingest(spark, files, f"{root}/lake", years[dataset], layout=layout, datasets=[dataset])
+
+    together(spark, *(partial(ingest, dataset) for dataset in DATASETS))
+    jobs.load(spark, f"{root}/lake", f"{root}/tables", set().union(*years.values()))
     return models.build(spark, f"{root}/tables", f"{root}/models")["fact_fatality_type_by_event_type"]
 
 
@@ -238,8 +248,11 @@ def _dq_unexpected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "report")
-    for dataset in DATASETS:
+
+    def load(dataset: str) -> None:
         warehouse.append(spark, _cleaned(spark, sf_dir, dataset), f"{root}/{dataset}", DATASETS[dataset])
+
+    together(spark, *(partial(load, dataset) for dataset in DATASETS))
     return models.check(spark, root, f"{root}/staged")
 
 
@@ -260,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "load_replace_year": _load_replace_year("events"),
     "load_replace_year_fatalities": _load_replace_year("fatalities"),
     "table_by_month": _table_by_month,
+    "table_between": _table_between,
     "stg_events": _stg_events,
     "stg_events_latest_load": _stg_events_latest_load,
     "stg_fatalities": _stg_fatalities,

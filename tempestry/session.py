@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from math import ceil
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
+
+Result = TypeVar("Result")
 
 # Only settings that change results or plans; sizes of executors and shuffles
 # are left to the cluster. ANSI mode stays on: bad text is handled by try_*.
@@ -60,6 +66,18 @@ def build_session(
     return builder.getOrCreate()
 
 
+def together(spark: SparkSession, *jobs: Callable[[], Result]) -> list[Result]:
+    """Run independent jobs at the same time and return their results in order.
+
+    The last tasks of one fill the executors together with the first of
+    another, which matters where a table has few files. The first error is
+    raised after all have ended.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in running]
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 

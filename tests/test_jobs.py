@@ -8,7 +8,7 @@ import pytest
 from tempestry import __main__ as command_line
 from tempestry.plans import jobs, models
 from tempestry.schemas import EVENTS, FATALITIES
-from tempestry.session import output_partition_mb, scratch_path, shuffle_partitions
+from tempestry.session import output_partition_mb, scratch_path, shuffle_partitions, together
 from tempestry.sources import parquet_files, warehouse
 
 EVENT_HEADER = ",".join(EVENTS.raw_columns)
@@ -100,6 +100,7 @@ def test_clean_one_file(spark, files, tmp_path):
     source = str(next(files.glob("*details*1999*")))
     target = str(tmp_path / "cleaned")
     command_line.main(["clean", source, target, "--dataset", "events", "--files", "4"])
+    assert len(list((tmp_path / "cleaned").glob("*.parquet"))) <= 4
     back = parquet_files.read_parquet(spark, target, EVENTS.schema)
     assert sorted((r.event_id, r.damage_property) for r in back.collect()) == [("1", 1_000), ("2", 1_000_000_000)]
 
@@ -126,3 +127,9 @@ def test_a_year_that_lost_its_rows_is_emptied(spark, files, tmp_path):
     jobs.backfill(spark, str(files), lake, tables, 2000, 2000)
     kept = warehouse.read_table(spark, f"{tables}/fatalities", FATALITIES)
     assert sorted(r.fatality_id for r in kept.collect()) == ["f1", "f2"]
+
+
+def test_together_keeps_order_and_raises(spark):
+    assert together(spark, lambda: spark.range(3).count(), lambda: "b") == [3, "b"]
+    with pytest.raises(ZeroDivisionError):
+        together(spark, lambda: 1, lambda: 1 / 0)

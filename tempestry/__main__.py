@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--last", type=int, default=previous)
     job.add_argument("--mode", choices=("replace", "append"), default="replace")
     job.add_argument("--rebase-century", action="store_true", help="read two-digit years in the century of the file")
+    job.add_argument("--headers-differ", action="store_true", help="read each file by its own header")
 
     job = commands.add_parser("build", help="loaded tables to facts and marts")
     job.add_argument("warehouse_root")
@@ -59,7 +60,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "backfill":
         jobs.backfill(
             spark, args.source_root, args.lake_root, args.warehouse_root, args.first, args.last, args.mode,
-            rebase_century=args.rebase_century,
+            rebase_century=args.rebase_century, same_header=not args.headers_differ,
         )
     elif args.job == "build":
         models.build(spark, args.warehouse_root, args.model_root, facts_by_month=args.facts_by_month)

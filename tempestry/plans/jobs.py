@@ -46,6 +46,7 @@ def ingest(
     rebase_century: bool = False,
     on_bad: str = "null",
     multiline: bool = True,
+    same_header: bool = True,
 ) -> None:
     """[S2, K3, K8] The files of ``years`` to cleaned Parquet, one job per dataset for all years.
 
@@ -56,9 +57,10 @@ def ingest(
 
     def one(name: str) -> None:
         spec = DATASETS[name]
-        raw = csv_files.read_years(spark, source_root, spec, years, layout=layout, multiline=multiline)
+        files = csv_files.year_files(spark, source_root, spec, years, layout)
+        raw = csv_files.read_year_files(spark, files, spec, multiline=multiline, same_header=same_header)
         cleaned = clean(
-            parquet_files.spread(raw, LOAD_YEAR),
+            csv_files.deal_out(raw, files),
             spec,
             date_format=(date_formats or {}).get(name),
             century_from=LOAD_YEAR if rebase_century and spec is EVENTS else None,

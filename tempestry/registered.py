@@ -82,7 +82,8 @@ def _year_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "year_files")
     driver_tables.write_year_files(spark, sf_dir, "events", root)
     years = driver_tables.years_of(spark, sf_dir, "events")
-    rows = csv_files.read_years(spark, root, EVENTS, years, layout=driver_tables.FOLDER_LAYOUT)
+    files = csv_files.year_files(spark, root, EVENTS, years, driver_tables.FOLDER_LAYOUT)
+    rows = csv_files.read_year_files(spark, files, EVENTS)
     return clean.clean_events(rows).withColumn(LOAD_YEAR, F.col(LOAD_YEAR).cast("bigint"))
 
 

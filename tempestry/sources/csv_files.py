@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from tempestry.schemas import LOAD_YEAR, Dataset
 FILE_NAME = "StormEvents_{kind}-ftp_v1.0_d{year}"
 # --- end of fixed value ---
 
+#: compressed bytes of a file that make one piece, see :func:`deal_out`
+PIECE_BYTES = 32 * 1024 * 1024
+
 
 def read_csv(spark: SparkSession, paths: str | list[str], dataset: Dataset, *, multiline: bool = True) -> DataFrame:
     """The dataset's raw columns as text, nothing inferred, other columns not parsed.
@@ -41,37 +46,67 @@ def _year_of(path: Column, dataset: Dataset) -> Column:
     return F.regexp_extract(path, _name_pattern(dataset, r"([0-9]+)"), 1).cast("int")
 
 
-def year_paths(
+@dataclass(frozen=True)
+class YearFile:
+    year: int
+    path: str
+    size: int
+
+
+def year_files(
     spark: SparkSession, root: str, dataset: Dataset, years: Iterable[int], layout: str = "{name}"
-) -> list[str]:
-    """[S2] One path per year: of several revisions the first by name, else a year would load twice.
+) -> list[YearFile]:
+    """[S2] One file per year: of several revisions the first by name, else a year would load twice.
 
     A name may stand for a file or for a folder of part files, and ``layout``
     says how it begins below ``root``. Only the listing is read, not the
-    content, and what reaches the driver is one name per year. A year without
+    content, and what reaches the driver is one entry per year. A year without
     any file raises ``PATH_NOT_FOUND``.
     """
     names = [FILE_NAME.format(kind=dataset.file_kind, year=year) for year in years]
     listing = spark.read.format("binaryFile").load([f"{root}/{layout.format(name=name)}*" for name in names])
     entry = F.regexp_extract("path", f"^(.*/[^/]*{_name_pattern(dataset, '[0-9]+')}[^/]*)", 1)
-    first = listing.groupBy(_year_of(F.col("path"), dataset).alias("year")).agg(F.min(entry).alias("entry"))
-    return [row.entry for row in first.orderBy("year").collect()]
+    entries = listing.groupBy(entry.alias("path")).agg(F.sum("length").alias("size"))
+    first = entries.groupBy(_year_of(F.col("path"), dataset).alias("year")).agg(
+        F.min(F.struct("path", "size")).alias("first")
+    )
+    return [YearFile(row.year, *row.first) for row in first.orderBy("year").collect()]
 
 
-def read_years(
+def read_year_files(
     spark: SparkSession,
-    root: str,
+    files: Iterable[YearFile],
     dataset: Dataset,
-    years: Iterable[int],
     *,
-    layout: str = "{name}",
     multiline: bool = True,
+    same_header: bool = True,
 ) -> DataFrame:
-    """[S1, S2, K8] The files of all ``years`` in one scan, with the file's year as ``load_year``.
+    """[S1, K8] All ``files`` in one job, with the file's year as ``load_year``.
 
     The year comes from the file name: dates in the rows can be missing or a
-    century off.
+    century off. Files whose headers differ are an error; with ``same_header``
+    off, each is read by its own header.
+    """
+    paths = [file.path for file in files]
+    groups = [paths] if same_header else [[path] for path in paths]
+    scans = [
+        read_csv(spark, group, dataset, multiline=multiline).withColumn(
+            LOAD_YEAR, _year_of(F.col("_metadata.file_path"), dataset)
+        )
+        for group in groups
+    ]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def deal_out(rows: DataFrame, files: Iterable[YearFile], piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Spread the rows of each year over as many pieces as the size of its file asks for.
+
+    A gzip file is read by one task, and all its rows are in that task's
+    shuffle output, which adaptive execution cannot split. Dealt out in turn,
+    a file with a third of all rows is typed and written by many tasks, while
+    a small one stays one piece. ``rows`` must come straight from the scan: a
+    retried task then reads and deals the same rows in the same order.
     """
-    paths = year_paths(spark, root, dataset, years, layout)
-    rows = read_csv(spark, paths, dataset, multiline=multiline)
-    return rows.withColumn(LOAD_YEAR, _year_of(F.col("_metadata.file_path"), dataset))
+    pieces = F.create_map(*(F.lit(n) for file in files for n in (file.year, -(-file.size // piece_bytes) or 1)))
+    dealt = rows.withColumn("_piece", F.pmod(F.monotonically_increasing_id(), pieces[F.col(LOAD_YEAR)]))
+    return dealt.hint("rebalance", LOAD_YEAR, "_piece").drop("_piece")

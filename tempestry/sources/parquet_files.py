@@ -12,15 +12,14 @@ from tempestry.schemas import LOAD_YEAR, Dataset
 from tempestry.sources import partitions
 
 
-def spread(raw: DataFrame, *columns: str, files: int | None = None) -> DataFrame:
-    """[K2] Redistribute rows before they are typed and written.
+def spread(raw: DataFrame, files: int | None = None) -> DataFrame:
+    """[K2] Redistribute rows evenly before they are typed and written.
 
-    A gzip file is read by one task. Spreading its rows first lets many tasks
-    do the typing and writing, also where one file holds much of the rows. By
-    default Spark aims at partitions of the advisory size, and splits large
-    and joins small groups of ``columns``; ``files`` fixes their number.
+    A gzip file is read by one task; this lets many tasks do the rest. By
+    default Spark aims at partitions of the advisory size; ``files`` fixes
+    their number.
     """
-    return raw.repartition(files) if files else raw.hint("rebalance", *columns)
+    return raw.repartition(files) if files else raw.hint("rebalance")
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -1,6 +1,7 @@
 """CSV files, cleaned Parquet and loaded tables."""
 
 import gzip
+from contextlib import contextmanager
 from datetime import date
 from pathlib import Path
 
@@ -31,6 +32,21 @@ def write_gz(root, name, text):
     return str(path)
 
 
+@contextmanager
+def small_partitions(spark, size):
+    """Make adaptive execution treat few rows as it treats gigabytes."""
+    settings = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    for key in settings:
+        spark.conf.set(key, size)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def read_years(spark, root, dataset, years):
+    return csv_files.read_year_files(spark, csv_files.year_files(spark, root, dataset, years), dataset)
+
+
 # --- CSV ---
 
 
@@ -64,15 +80,47 @@ def year_files(tmp_path):
 
 
 def test_first_revision_of_each_year_is_read_in_one_scan(spark, year_files):
-    rows = csv_files.read_years(spark, year_files, EVENTS, [2022, 2024]).collect()
+    rows = read_years(spark, year_files, EVENTS, [2022, 2024]).collect()
     assert sorted((r.EVENT_ID, r[LOAD_YEAR]) for r in rows) == [("2022-c20250101", 2022), ("2024-c20250101", 2024)]
-    fatalities = csv_files.read_years(spark, year_files, FATALITIES, [2023])
+    fatalities = read_years(spark, year_files, FATALITIES, [2023])
     assert [(r.FATALITY_ID, r[LOAD_YEAR]) for r in fatalities.collect()] == [("f2023", 2023)]
 
 
+def test_files_can_be_read_by_their_own_headers(spark, tmp_path):
+    swapped = EVENT_HEADER.replace("STATE,EVENT_TYPE", "EVENT_TYPE,STATE")
+    write_gz(tmp_path, "StormEvents_details-ftp_v1.0_d2023_c1.csv.gz", EVENT_HEADER + event_line("1"))
+    write_gz(tmp_path, "StormEvents_details-ftp_v1.0_d2024_c1.csv.gz", swapped + event_line("2"))
+    files = csv_files.year_files(spark, str(tmp_path), EVENTS, [2023, 2024])
+    rows = csv_files.read_year_files(spark, files, EVENTS, same_header=False)
+    assert sorted((r[LOAD_YEAR], r.STATE, r.EVENT_TYPE) for r in rows.collect()) == [
+        (2023, "TEXAS", "Hail"), (2024, "Hail", "TEXAS"),
+    ]
+    assert csv_files.deal_out(rows, files).count() == 2
+
+
 def test_year_without_file_is_an_error(spark, year_files):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
-        csv_files.read_years(spark, year_files, EVENTS, [2024, 2031])
+        read_years(spark, year_files, EVENTS, [2024, 2031])
+
+
+def test_a_large_file_is_dealt_out_evenly(spark, tmp_path):
+    """One gzip file, half of its rows equal, is read by one task and dealt to several."""
+    lines = [event_line("same" if i % 2 else f"{i:08}") for i in range(40_000)]
+    write_gz(tmp_path, "StormEvents_details-ftp_v1.0_d2023_c20250101.csv.gz", EVENT_HEADER + "".join(lines))
+    write_gz(tmp_path, "StormEvents_details-ftp_v1.0_d2024_c20250101.csv.gz", EVENT_HEADER + event_line("1"))
+    files = csv_files.year_files(spark, str(tmp_path), EVENTS, [2023, 2024])
+    assert [f.year for f in files] == [2023, 2024] and files[0].size > 50_000 > files[1].size > 0
+    rows = csv_files.read_year_files(spark, files, EVENTS)
+    assert rows.filter(f"{LOAD_YEAR} = 2023").select(F.spark_partition_id()).distinct().count() == 1
+    dealt = csv_files.deal_out(rows, files, piece_bytes=files[0].size // 20)
+    assert sorted(dealt.columns) == sorted([*EVENTS.raw_columns, LOAD_YEAR])
+    with small_partitions(spark, "10k"):
+        parquet_files.write_years(spark, clean_events(dealt), str(tmp_path / "lake"), [2023, 2024])
+    lake = parquet_files.read_years(spark, str(tmp_path / "lake"), EVENTS)
+    counts = lake.groupBy(LOAD_YEAR, "_metadata.file_path").count().collect()
+    large = [r["count"] for r in counts if r[LOAD_YEAR] == 2023]
+    assert sum(large) == 40_000 and len(large) > 4 and max(large) < 14_000
+    assert [r["count"] for r in counts if r[LOAD_YEAR] == 2024] == [1]
 
 
 # --- cleaning ---
@@ -212,11 +260,8 @@ def test_a_hot_month_is_written_by_several_tasks(spark, tmp_path):
         *(F.lit(None).cast("string").alias(c) for c in ("fatality_sex", "fatality_location")),
         F.lit(2024).alias(LOAD_YEAR),
     )
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
-    try:
+    with small_partitions(spark, "500k"):
         warehouse.append(spark, rows, str(path), FATALITIES)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = {d.name: len(list(d.glob("*.parquet"))) for d in (path / "load_year=2024").iterdir()}
     assert files.pop("month_key=2024-05") > 4
     assert min(files.values()) == 1

@@ -111,3 +111,14 @@ def test_year_filter_prunes_folders(spark, tmp_path):
     spark.createDataFrame([("1", 2024)], "fatality_id string, load_year int").write.partitionBy("load_year").parquet(path)
     plan = plan_of(parquet_files.read_years(spark, path, FATALITIES, [2024]))
     assert re.search(r"PartitionFilters: \[.*load_year#\d+ = 2024", plan)
+
+
+def test_orphans_are_counted_before_the_join(spark, staged, no_broadcast):
+    """So a parent key with a third of the child rows is one row in the join."""
+    from tempestry.operators import quality
+
+    plan = plan_of(quality.orphan_keys(staged.fatalities, staged.events, "event_id"))
+    join = plan.index("LeftAnti")
+    assert plan.index("HashAggregate(keys=[event_id") > join
+    shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(shuffles) == ["event_id", "event_id", "fatality_id"]

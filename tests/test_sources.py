@@ -1,6 +1,7 @@
 """CSV files, cleaned Parquet and loaded tables."""
 
 import gzip
+import random
 from contextlib import contextmanager
 from datetime import date
 from pathlib import Path
@@ -220,6 +221,22 @@ def test_replace_is_idempotent_and_by_year(spark, tmp_path, loaded):
         assert keys(spark, path) == ["a", "b", "d2", "f"]
 
 
+def test_random_reloads_against_a_dictionary(spark, tmp_path, loaded):
+    rng = random.Random(3)
+    path, model = str(tmp_path / "t"), {}
+    for load in range(5):
+        years = rng.sample([2021, 2022, 2023], rng.randint(1, 2))
+        rows = [
+            (f"{load}-{year}-{i}", rng.choice([None, f"05/{rng.randint(1, 3):02}/{year}"]), year)
+            for year in years
+            for i in range(rng.randint(0, 4))
+        ]
+        warehouse.replace_years(spark, loaded(rows), path, FATALITIES, years)
+        model.update({year: [row for row in rows if row[2] == year] for year in years})
+        expected = [(i, year, d and f"{year}-{d[3:5]}") for part in model.values() for i, d, year in part]
+        assert content(spark, path) == sorted(expected)
+
+
 def test_replace_with_an_empty_year_empties_it(spark, tmp_path, loaded):
     path = str(tmp_path / "t")
     warehouse.replace_years(spark, loaded(FIRST), path, FATALITIES, [2023, 2024])

@@ -27,8 +27,8 @@ def _parser() -> argparse.ArgumentParser:
 
     job = commands.add_parser("backfill", help="files of a range of years into the loaded tables")
     job.add_argument("source_root")
-    job.add_argument("lake_root")
     job.add_argument("warehouse_root")
+    job.add_argument("--lake", help="keep the cleaned rows as Parquet here, one folder per year")
     job.add_argument("--first", type=int, default=previous)
     job.add_argument("--last", type=int, default=previous)
     job.add_argument("--mode", choices=("replace", "append"), default="replace")
@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.job == "backfill":
         jobs.backfill(
-            spark, args.source_root, args.lake_root, args.warehouse_root, args.first, args.last, args.mode,
+            spark, args.source_root, args.warehouse_root, args.first, args.last, lake_root=args.lake, mode=args.mode,
             rebase_century=args.rebase_century, same_header=not args.headers_differ,
         )
     elif args.job == "build":

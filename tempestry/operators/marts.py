@@ -65,7 +65,9 @@ def fatality_type_by_event_type(events: DataFrame, fatalities: DataFrame) -> Dat
         F.array(
             *(
                 F.struct(
-                    F.lit(text).alias("fatality_type"), F.col(text).alias("fatality_count"), F.col(f"rows_{text}").alias("_rows")
+                    F.lit(text).alias("fatality_type"),
+                    F.col(text).alias("fatality_count"),
+                    F.col(f"rows_{text}").alias("_rows"),
                 )
                 for text in codes.TYPE_LABELS
             )

@@ -168,7 +168,8 @@ def _failures(check: str, table: str, column: str, count: str) -> str:
 def _unique(table: str, relation: str, key: str) -> str:
     return _failures(
         "unique", table, key,
-        f"select count(*) from (select {key} from {relation} where {key} is not null group by {key} having count(*) > 1)",
+        f"select count(*) from (select {key} from {relation} where {key} is not null "
+        f"group by {key} having count(*) > 1)",
     )
 
 

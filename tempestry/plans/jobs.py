@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date
 from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tempestry.operators.clean import clean
 from tempestry.schemas import DATASETS, EVENTS, LOAD_YEAR
@@ -34,73 +34,105 @@ def clean_file(
     parquet_files.write_parquet(clean(raw, spec, **options), target)
 
 
-def ingest(
+def cleaned_years(
     spark: SparkSession,
     source_root: str,
-    lake_root: str,
+    dataset: str,
     years: Iterable[int],
     *,
-    datasets: Iterable[str] = tuple(DATASETS),
     layout: str = "{name}",
     date_formats: Mapping[str, str] | None = None,
     rebase_century: bool = False,
     on_bad: str = "null",
     multiline: bool = True,
     same_header: bool = True,
-) -> None:
-    """[S2, K3, K8] The files of ``years`` to cleaned Parquet, one job per dataset for all years.
+) -> DataFrame:
+    """[S1, S2, P1, P2] The files of ``years`` as typed rows with their ``load_year``.
 
     ``date_formats`` maps a dataset's name to a pattern other than its own.
     ``rebase_century`` is for events, the ones with two-digit years.
     """
+    spec = DATASETS[dataset]
+    files = csv_files.year_files(spark, source_root, spec, years, layout)
+    raw = csv_files.read_year_files(spark, files, spec, multiline=multiline, same_header=same_header)
+    return clean(
+        csv_files.deal_out(raw, files),
+        spec,
+        date_format=(date_formats or {}).get(dataset),
+        century_from=LOAD_YEAR if rebase_century and spec is EVENTS else None,
+        on_bad=on_bad,
+    )
+
+
+def ingest(
+    spark: SparkSession,
+    source_root: str,
+    lake_root: str,
+    years: Iterable[int],
+    datasets: Iterable[str] = tuple(DATASETS),
+    **options,
+) -> None:
+    """[K3, K8] The files of ``years`` to cleaned Parquet, one job per dataset for all years.
+
+    ``options`` are those of :func:`cleaned_years`.
+    """
     years = list(years)
 
     def one(name: str) -> None:
-        spec = DATASETS[name]
-        files = csv_files.year_files(spark, source_root, spec, years, layout)
-        raw = csv_files.read_year_files(spark, files, spec, multiline=multiline, same_header=same_header)
-        cleaned = clean(
-            csv_files.deal_out(raw, files),
-            spec,
-            date_format=(date_formats or {}).get(name),
-            century_from=LOAD_YEAR if rebase_century and spec is EVENTS else None,
-            on_bad=on_bad,
-        )
+        cleaned = cleaned_years(spark, source_root, name, years, **options)
         parquet_files.write_years(spark, cleaned, f"{lake_root}/{name}", years)
 
     together(spark, *(partial(one, name) for name in datasets))
 
 
-def load(
-    spark: SparkSession, lake_root: str, warehouse_root: str, years: Iterable[int], mode: str = "replace"
+def _store(
+    spark: SparkSession, cleaned: Callable[[str], DataFrame], warehouse_root: str, years: list[int], mode: str
 ) -> None:
-    """[S4, S5, K4-K8] Cleaned Parquet of ``years`` into the loaded tables."""
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
-    years = list(years)
 
     def one(name: str) -> None:
-        spec = DATASETS[name]
-        cleaned = parquet_files.read_years(spark, f"{lake_root}/{name}", spec, years)
+        path, spec = f"{warehouse_root}/{name}", DATASETS[name]
         if mode == "append":
-            warehouse.append(spark, cleaned, f"{warehouse_root}/{name}", spec)
+            warehouse.append(spark, cleaned(name), path, spec)
         else:
-            warehouse.replace_years(spark, cleaned, f"{warehouse_root}/{name}", spec, years)
+            warehouse.replace_years(spark, cleaned(name), path, spec, years)
 
     together(spark, *(partial(one, name) for name in DATASETS))
 
 
+def load(
+    spark: SparkSession, lake_root: str, warehouse_root: str, years: Iterable[int], mode: str = "replace"
+) -> None:
+    """[S4, S5, K4-K8] Cleaned Parquet of ``years`` into the loaded tables."""
+    years = list(years)
+
+    def cleaned(name: str) -> DataFrame:
+        return parquet_files.read_years(spark, f"{lake_root}/{name}", DATASETS[name], years)
+
+    _store(spark, cleaned, warehouse_root, years, mode)
+
+
 def backfill(
     spark: SparkSession,
     source_root: str,
-    lake_root: str,
     warehouse_root: str,
     first: int,
     last: int,
+    *,
+    lake_root: str | None = None,
     mode: str = "replace",
     **options,
 ) -> None:
-    """[K8] Ingest and load ``first`` to ``last``, both included."""
-    years = range(first, last + 1)
-    ingest(spark, source_root, lake_root, years, **options)
-    load(spark, lake_root, warehouse_root, years, mode)
+    """[K8] The files of ``first`` to ``last``, both included, into the loaded tables.
+
+    With ``lake_root`` the cleaned rows are kept as Parquet too and loaded from
+    there; without it they go straight to the tables, which saves writing and
+    reading them once.
+    """
+    years = list(range(first, last + 1))
+    if lake_root:
+        ingest(spark, source_root, lake_root, years, **options)
+        load(spark, lake_root, warehouse_root, years, mode)
+    else:
+        _store(spark, lambda name: cleaned_years(spark, source_root, name, years, **options), warehouse_root, years, mode)

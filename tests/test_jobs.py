@@ -45,10 +45,13 @@ def counts(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_from_files_to_marts(spark, files, tmp_path, capsys):
+@pytest.mark.parametrize("with_lake", [True, False])
+def test_from_files_to_marts(spark, files, tmp_path, capsys, with_lake):
     lake, tables, built = (str(tmp_path / name) for name in ("lake", "tables", "models"))
-    command_line.main(["backfill", str(files), lake, tables, "--first", "1999", "--last", "2000", "--rebase-century"])
-    command_line.main(["backfill", str(files), lake, tables, "--first", "2000", "--last", "2000", "--rebase-century"])
+    options = ["--last", "2000", "--rebase-century", *(["--lake", lake] if with_lake else [])]
+    command_line.main(["backfill", str(files), tables, "--first", "1999", *options])
+    command_line.main(["backfill", str(files), tables, "--first", "2000", *options])
+    assert (tmp_path / "lake" / "events" / "load_year=1999").exists() == with_lake
     command_line.main(["build", tables, built])
     read = lambda name: spark.read.parquet(f"{built}/{name}")
     assert counts(read("fact_fatality_type_by_event_type")) == [
@@ -120,11 +123,12 @@ def test_scratch_is_the_shared_folder_of_the_session(spark):
     assert first != second and first.startswith(f"{shared}/")
 
 
-def test_a_year_that_lost_its_rows_is_emptied(spark, files, tmp_path):
-    lake, tables = str(tmp_path / "lake"), str(tmp_path / "tables")
-    jobs.backfill(spark, str(files), lake, tables, 1999, 2000)
+@pytest.mark.parametrize("with_lake", [True, False])
+def test_a_year_that_lost_its_rows_is_emptied(spark, files, tmp_path, with_lake):
+    lake, tables = str(tmp_path / "lake") if with_lake else None, str(tmp_path / "tables")
+    jobs.backfill(spark, str(files), tables, 1999, 2000, lake_root=lake)
     write(files, "fatalities", 2000, [FATALITY_HEADER])
-    jobs.backfill(spark, str(files), lake, tables, 2000, 2000)
+    jobs.backfill(spark, str(files), tables, 2000, 2000, lake_root=lake)
     kept = warehouse.read_table(spark, f"{tables}/fatalities", FATALITIES)
     assert sorted(r.fatality_id for r in kept.collect()) == ["f1", "f2"]
 

@@ -231,6 +231,7 @@ _SQL = {
     "load_append_fatalities": f"{_FATALITY_MONTH} union all {_FATALITY_MONTH}",
     "load_replace_year": _EVENT_MONTH,
     "load_replace_year_fatalities": _FATALITY_MONTH,
+    "load_from_files": f"select * from ({_EVENT_MONTH}) where source <> 'Reload'",
     "table_by_month": f"""
         select month_key, count(*) as n, max(fatality_date) as last_date from ({_FATALITY_MONTH}) group by month_key""",
     "table_between": f"select * exclude (load_year) from ({_FATALITY_MONTH}) where fatality_date is not null",

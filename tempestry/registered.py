@@ -127,6 +127,17 @@ def _load_replace_year(dataset: str) -> Query:
     return query
 
 
+def _load_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly files straight into a loaded table, the first revision of each year."""
+    root = scratch_path(spark, "from_files")
+    driver_tables.write_year_files(spark, sf_dir, "events", f"{root}/files")
+    years = driver_tables.years_of(spark, sf_dir, "events")
+    layout = driver_tables.FOLDER_LAYOUT
+    cleaned = jobs.cleaned_years(spark, f"{root}/files", "events", years, layout=layout)
+    warehouse.replace_years(spark, cleaned, f"{root}/events", EVENTS, years)
+    return _loaded(spark, f"{root}/events", "events")
+
+
 def _table_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "by_month")
     warehouse.append(spark, _cleaned(spark, sf_dir, "fatalities"), path, FATALITIES)
@@ -273,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "load_append_fatalities": _load_append("fatalities"),
     "load_replace_year": _load_replace_year("events"),
     "load_replace_year_fatalities": _load_replace_year("fatalities"),
+    "load_from_files": _load_from_files,
     "table_by_month": _table_by_month,
     "table_between": _table_between,
     "stg_events": _stg_events,

@@ -135,4 +135,5 @@ def backfill(
         ingest(spark, source_root, lake_root, years, **options)
         load(spark, lake_root, warehouse_root, years, mode)
     else:
-        _store(spark, lambda name: cleaned_years(spark, source_root, name, years, **options), warehouse_root, years, mode)
+        cleaned = partial(cleaned_years, spark, source_root, years=years, **options)
+        _store(spark, cleaned, warehouse_root, years, mode)

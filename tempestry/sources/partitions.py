@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempestry.schemas import LOAD_YEAR
 
-# --- fixed value: Spark's folder name for a null partition value ---
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-# --- end of fixed value ---
+
+def _first_files(spark: SparkSession, path: str, years: list[int]) -> dict[str, str]:
+    """The first file of each partition folder of ``years``: a listing, with one entry per folder."""
+    folders = f"{path}/{LOAD_YEAR}={{{','.join(map(str, years))}}}"
+    try:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    folder = F.regexp_extract("path", f"({LOAD_YEAR}=.*)/", 1)
+    firsts = listing.groupBy(folder.alias("folder")).agg(F.min("path").alias("file"))
+    return {row.folder: row.file for row in firsts.collect()}
 
 
 def replace_years(
@@ -21,27 +32,22 @@ def replace_years(
 
     ``partition_by`` begins with ``load_year``. All years are written by one
     job, which swaps in the folders it has rows for when it commits, so that a
-    job that fails leaves the old rows. Folders that had rows before and have
-    none now are emptied after it. The write reports the folders it wrote (13
-    per year at most), so nothing is read or computed a second time. Running
-    it again gives the same table.
+    job that fails leaves the old rows. A folder that still holds its old first
+    file after that got no rows and is emptied. Listing the folders of these
+    years before and after (13 per year at most) tells, so no row is read or
+    computed a second time. Running it again gives the same table.
     """
     years = sorted(set(years))
-    written = Observation()
-    # Observed above any shuffle: below one, adaptive execution drops the node when no row arrives.
-    observed = rows.filter(F.col(LOAD_YEAR).isin(*years)).observe(
-        written, F.collect_set(F.struct(*partition_by)).alias("folders")
-    )
+    before = _first_files(spark, path, years)
     (
-        observed.write.mode("overwrite")
+        rows.filter(F.col(LOAD_YEAR).isin(*years))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    fresh = {tuple(folder) for folder in written.get["folders"]}
-    present = spark.read.schema(rows.schema).parquet(path).filter(F.col(LOAD_YEAR).isin(*years))
-    stale = {tuple(row) for row in present.select(*partition_by).distinct().collect()} - fresh
+    after = _first_files(spark, path, years) if before else {}
     empty = spark.createDataFrame([], rows.drop(*partition_by).schema)
-    for values in stale:
-        folder = "/".join(f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(partition_by, values))
-        empty.write.mode("overwrite").parquet(f"{path}/{folder}")
+    for folder, file in before.items():
+        if after.get(folder) == file:
+            empty.write.mode("overwrite").parquet(f"{path}/{folder}")

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import dedup_exact, mixing, quality
+from tempestry.llm import dedup_exact, dedup_lines, mixing, quality
 from tempestry.llm.common import reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,27 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without lines that many documents share."""
+    result = dedup_lines.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return result.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op5_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, i, line, lower_ascii AS k FROM (
+  SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)) AS s,
+  LATERAL (SELECT translate(regexp_replace(regexp_replace(line, '^[ 	-]+', ''), '[ 	-]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii)),
+r AS (SELECT k, max(doc_id) AS last FROM l WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT l.*, r.k IS NOT NULL AND l.doc_id <> r.last AS gone FROM l LEFT JOIN r USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
 @_query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which copy of each text stays."""

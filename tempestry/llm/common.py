@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,16 +133,29 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64, copy=False).view(np.int64)
 
 
-def chunks(items: Iterable, most: int):
-    """Lists of at most ``most`` items."""
-    part: list = []
-    for item in items:
-        part.append(item)
-        if len(part) >= most:
-            yield part
-            part = []
-    if part:
-        yield part
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of Arrow batches as tuples."""
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns))
+
+
+def batches_of(rows: Iterable[tuple], schema: pa.Schema, most: int = 1000, most_chars: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of at most ``most`` rows, ended early by the row that reaches ``most_chars`` of text."""
+    held: list[tuple] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        arrays = [pa.array(column, field.type) for column, field in zip(zip(*held), schema)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, (str, bytes)))
+        if len(held) >= most or size >= most_chars:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import dedup_exact, dedup_lines, mixing, quality
+from tempestry.llm import chat, dedup_exact, dedup_lines, mixing, quality
 from tempestry.llm.common import reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,29 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted from their event logs, and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    events = chat.events_of_rows(rows.unionByName(chat.control_sample(spark)))
+    return chat.read_back(chat.format_log(events))
+
+
+_CONTROL = "|".join(map(re.escape, chat.CONTROLS))
+ORACLES["op2_chat_format"] = rf"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, length(text) + length(regexp_replace(text, '[^\\]', '', 'g'))
+    + len(regexp_extract_all(text, '{_CONTROL}')) AS escaped FROM r)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(escaped + length(role) + 12 + 1 + 10 + 1) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 @_query
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
@@ -49,7 +73,9 @@ ORACLES["op5_line_dedup"] = r"""
 WITH l AS (SELECT doc_id, i, line, lower_ascii AS k FROM (
   SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)) AS s,
-  LATERAL (SELECT translate(regexp_replace(regexp_replace(line, '^[ 	-]+', ''), '[ 	-]+$', ''),
+  LATERAL (SELECT translate(regexp_replace(regexp_replace(line, '^[ 	-
+]+', ''), '[ 	-
+]+$', ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii)),
 r AS (SELECT k, max(doc_id) AS last FROM l WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
 m AS (SELECT l.*, r.k IS NOT NULL AND l.doc_id <> r.last AS gone FROM l LEFT JOIN r USING (k))

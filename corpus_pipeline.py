@@ -6,25 +6,44 @@ and read again as the input of the next one.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tempestry.llm import mixing, quality
+from tempestry.llm import dedup_lines, mixing, packing, quality
 from tempestry.llm.common import reachable, saved, table
+from tempestry.llm.registered import TOKENIZER
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    reachable(spark)
     return quality.kept(docs, table(spark, sf_dir, "labels"))
 
 
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that many of them share; ``n_chars`` follows the text."""
+    reachable(spark)
+    return dedup_lines.without_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
+    reachable(spark)
     return mixing.mixed(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    reachable(spark)
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
 STAGES = [
     ("quality rules", keep_good),
+    ("line dedup", drop_lines),
     ("mixing sources", mix_sources),
+    ("best-fit packing", pack_sequences),
 ]
 
 #: The rows depend on learned cut-offs and on near duplicates, which SQL cannot express.
@@ -33,7 +52,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages one after the other, from ``documents``."""
-    reachable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")

@@ -6,12 +6,16 @@ import re
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import chat, dedup_exact, dedup_lines, mixing, quality
+from tempestry.llm import chat, dedup_exact, dedup_lines, mixing, packing, quality
 from tempestry.llm.common import reachable, table
 
+#: The tokenizer of the packed sequences; its file is installed beside the library that names it.
+TOKENIZER = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +101,9 @@ g AS (SELECT doc_id, sha256(text) AS text_sha256, min(doc_id) OVER (PARTITION BY
       count(*) OVER (PARTITION BY text) AS group_size FROM t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
+
+
+@_query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))

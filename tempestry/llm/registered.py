@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import chat, dedup_exact, dedup_lines, mixing, packing, quality
+from tempestry.llm import chat, dedup_exact, dedup_lines, mixing, packing, quality, secrets
 from tempestry.llm.common import reachable, table
 
 #: The tokenizer of the packed sequences; its file is installed beside the library that names it.
@@ -66,6 +66,12 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets of every document, by patterns and by character models."""
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 @_query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without lines that many documents share."""

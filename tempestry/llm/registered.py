@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import chat, dedup_exact, dedup_lines, mixing, packing, quality, secrets
+from tempestry.llm import chat, dedup_exact, dedup_lines, html, mixing, packing, quality, secrets
 from tempestry.llm.common import reachable, table
 
 #: The tokenizer of the packed sequences; its file is installed beside the library that names it.
@@ -95,6 +95,12 @@ FROM m GROUP BY doc_id
 """
 
 
+@_query
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which copy of each text stays."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,16 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tempestry.llm.common import mixed, null_safe_join, saved, signed
+from tempestry.llm.common import null_safe_join, saved
+from tempestry.llm.twice import Filters, emitted, seen_twice
 
 #: Shortest key, in code points, and fewest documents of a line that is removed.
 SHORTEST, FEWEST_DOCS = 40, 5
-#: Hashes for one pair of filters, and the bits of each of its filters (16 for each hash).
-SLICE_HASHES, SLICE_BITS = 500_000, 1 << 23
-PROBES = 4
-#: Most bytes of filters that are broadcast at once; more take another scan of the documents each.
-MOST_FILTER_BYTES = 48 << 20
-
 
 def line_keys(text: bytes | None) -> list[bytes]:
     """The key of each line: stripped of white space at both ends, A-Z in lower case."""
@@ -39,86 +33,35 @@ def _digests(text: bytes | None, shortest: int) -> dict[bytes, bytes]:
 
 
 def _hashes(shortest: int):
-    """Batches of texts to the hashes of their keys, once a batch, with a mark on those of several documents."""
+    """Batches of texts to the hashes of their keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [d[:8] for text in batch.column(0).to_pylist() for d in _digests(text, shortest).values()]
-            hashes, counts = np.unique(np.frombuffer(b"".join(found), np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(hashes)), pa.array(counts > 1)], ["hash", "twice"])
+            yield emitted(np.frombuffer(b"".join(found), np.uint64))
 
     return run
 
 
-def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Bits of each hash in a filter, one row per probe. Halving a filter keeps them modulo its size."""
-    second = mixed(hashes) | np.uint64(1)
-    steps = np.arange(PROBES, dtype=np.uint64)[:, None]
-    with np.errstate(over="ignore"):
-        return (mixed(hashes + np.uint64(1)) + steps * second) & np.uint64(bits - 1)
-
-
-def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    places = _places(hashes, len(bits) * 8)
-    return ((bits[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
-
-
-def _put(bits: np.ndarray, hashes: np.ndarray) -> None:
-    places = _places(hashes, len(bits) * 8).ravel()
-    np.bitwise_or.at(bits, places >> np.uint64(3), np.uint8(1) << (places & np.uint64(7)).astype(np.uint8))
-
-
-def folded(bits: np.ndarray) -> np.ndarray:
-    """The filter halved as long as at most a third of its bits would be set."""
-    while len(bits) > 64:
-        half = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
-        if np.bitwise_count(half).sum() > len(half) * 8 / 3:
-            break
-        bits = half
-    return bits
-
-
-def _twice_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per slice, stream its hashes through both filters; return the one of those seen twice."""
-    once: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(SLICE_BITS // 8, np.uint8))
-    again: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(SLICE_BITS // 8, np.uint8))
-    for batch in batches:
-        slices = batch.column("slice").to_numpy()
-        hashes = batch.column("hash").to_numpy().view(np.uint64)
-        twice = batch.column("twice").to_numpy(zero_copy_only=False)
-        for s in np.unique(slices):
-            here, marked = hashes[slices == s], twice[slices == s]
-            different, counts = np.unique(here, return_counts=True)
-            repeated = np.concatenate([here[marked], different[counts > 1], different[_has(once[s], different)]])
-            _put(once[s], different)
-            if len(repeated):
-                _put(again[s], repeated)
-    for s, bits in again.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([s], pa.int64()), pa.array([folded(bits).tobytes()], pa.binary())], ["slice", "bits"]
-        )
-
-
-def _suspects(filters: dict[int, bytes], slices: int, shortest: int):
+def _suspects(filters: Filters, shortest: int):
     """Batches of (doc_id, check, text) to a row for each distinct key whose hash may have been seen twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = {s: np.frombuffer(b, np.uint8) for s, b in filters.value.items()}
         for batch in batches:
-            digests, rows = [], []
+            digests: list[bytes] = []
+            rows: list[int] = []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 found = _digests(text, shortest)
                 digests.extend(found.values())
                 rows.extend([row] * len(found))
-            hashes = np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)
-            part, hit = (hashes >> np.uint64(1)) % np.uint64(slices), np.zeros(len(hashes), bool)
-            for s in np.unique(part):
-                if int(s) in bits:
-                    hit[part == s] = _has(bits[int(s)], hashes[part == s])
-            places = np.flatnonzero(hit)
-            rows = pa.array(np.asarray(rows, np.int64)[places])
+            places = np.flatnonzero(filters.may_repeat(np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)))
+            take = pa.array(np.asarray(rows, np.int64)[places])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(rows), batch.column("check").take(rows), pa.array([digests[i] for i in places], pa.binary())],
+                [
+                    batch.column("doc_id").take(take),
+                    batch.column("check").take(take),
+                    pa.array([digests[i] for i in places], pa.binary()),
+                ],
                 ["doc_id", "check", "digest"],
             )
 
@@ -128,37 +71,15 @@ def _suspects(filters: dict[int, bytes], slices: int, shortest: int):
 def suspects(spark: SparkSession, docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """``doc_id, check, digest`` of each line key that more than one row of ``docs`` may hold.
 
-    Every key seen twice is here, with some others. Hashes are dealt out to
-    slices of the hash space, each with its own pair of filters; the filters
-    of hashes seen twice are folded to the size their contents need, so what
-    is broadcast follows the number of repeated lines. If all together exceed
-    ``MOST_FILTER_BYTES``, they are broadcast in rounds, each scanning the texts.
+    Every key seen twice is here, with a few others; the texts are scanned
+    once for the filters, and once for each round of them.
     """
-    hashes = saved(docs.select("text").mapInArrow(_hashes(shortest), "hash long, twice boolean"), "line-hashes")
-    slices = max(16, hashes.count() // SLICE_HASHES + 1)
-    dealt = F.shiftrightunsigned("hash", 1) % slices
-    filters = saved(
-        hashes.select(dealt.alias("slice"), "hash", "twice")
-        .repartition(slices, "slice")
-        .mapInArrow(_twice_seen, "slice long, bits binary"),
-        "line-filters",
-    )
-    sizes = sorted(filters.select("slice", F.length("bits").alias("size")).collect())
-    found, group, size = [], [], 0
-    for k, row in enumerate(sizes):
-        group.append(row.slice)
-        size += row.size
-        if k + 1 == len(sizes) or size + sizes[k + 1].size > MOST_FILTER_BYTES:
-            bits = {r.slice: bytes(r.bits) for r in filters.where(F.col("slice").isin(group)).collect()}
-            run = _suspects(spark.sparkContext.broadcast(bits), slices, shortest)
-            scanned = docs.select("doc_id", "check", "text").mapInArrow(run, "doc_id long, check long, digest binary")
-            found.append(saved(scanned, "line-suspects"))
-            group, size = [], 0
-    if not found:
-        return spark.createDataFrame([], "doc_id long, check long, digest binary")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+    hashes = saved(docs.select("text").mapInArrow(_hashes(shortest), "hash long"), "line-hashes")
+    schema = "doc_id long, check long, digest binary"
+    out = spark.createDataFrame([], schema)
+    for filters in seen_twice(hashes, hashes.count(), "line-filters"):
+        scanned = docs.select("doc_id", "check", "text").mapInArrow(_suspects(filters, shortest), schema)
+        out = out.unionByName(saved(scanned, "line-suspects"))
     return out
 
 

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import chat, dedup_exact, dedup_lines, html, mixing, packing, quality, secrets
+from tempestry.llm import chat, dedup_exact, dedup_lines, dedup_substrings, html, mixing, packing, quality, secrets
 from tempestry.llm.common import reachable, table
 
 #: The tokenizer of the packed sequences; its file is installed beside the library that names it.
@@ -119,3 +119,24 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@_query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 35 words that occur again."""
+    result = dedup_substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return result.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op10_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM p),
+r AS (SELECT doc_id, i FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM r),
+u AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+k AS (SELECT u.*, c.j IS NOT NULL AS gone FROM u LEFT JOIN c USING (doc_id, j))
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(s.gone, 0) AS n_removed, sha256(coalesce(s.kept, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, count(*) FILTER (gone) AS gone, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept
+  FROM k GROUP BY doc_id) s USING (doc_id)
+"""

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import dedup_lines, mixing, packing, quality
+from tempestry.llm import dedup_lines, mixing, near_dups, packing, quality
 from tempestry.llm.common import reachable, saved, table
 from tempestry.llm.registered import TOKENIZER
 
@@ -27,6 +27,12 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_lines.without_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of similar documents."""
+    reachable(spark)
+    return near_dups.one_of_each(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     reachable(spark)
@@ -42,6 +48,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality rules", keep_good),
     ("line dedup", drop_lines),
+    ("n-gram Jaccard join", one_of_each_group),
     ("mixing sources", mix_sources),
     ("best-fit packing", pack_sequences),
 ]

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import chat, dedup_exact, dedup_lines, dedup_substrings, html, mixing, packing, quality, secrets
+from tempestry.llm import chat, dedup_exact, dedup_lines, dedup_substrings, html, mixing, near_dups, packing, quality, secrets
 from tempestry.llm.common import reachable, table
 
 #: The tokenizer of the packed sequences; its file is installed beside the library that names it.
@@ -101,6 +101,27 @@ def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+@_query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set, and its component of similar documents."""
+    return near_dups.similar_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_ngram_jaccard"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.b, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = d.doc_id
+"""
+
+
 @_query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which copy of each text stays."""

@@ -84,10 +84,10 @@ def _seen_again(slices: int):
 
 
 class Filters:
-    """The filters of hashes seen twice, of some slices of the hash space."""
+    """The filters of hashes seen twice, of some slices of the hash space: one round of ``rounds``."""
 
-    def __init__(self, bits: Broadcast, slices: int) -> None:
-        self.bits, self.slices = bits, slices
+    def __init__(self, bits: Broadcast, slices: int, rounds: int) -> None:
+        self.bits, self.slices, self.rounds = bits, slices, rounds
 
     def may_repeat(self, hashes: np.ndarray) -> np.ndarray:
         """Which hashes these filters hold; false for every hash of another round."""
@@ -106,19 +106,22 @@ def seen_twice(hashes: DataFrame, number: int, label: str) -> Iterator[Filters]:
     to slices of the hash space, each with a pair of filters of fixed size
     through which its hashes stream. The filter of the repeated ones is folded
     to what its contents need. All slices come at once if their filters take
-    at most ``MOST_FILTER_BYTES`` together, otherwise in rounds.
+    at most ``MOST_FILTER_BYTES`` together, otherwise in rounds. There is always
+    one round, also without any repeated hash.
     """
     slices = max(16, number // SLICE_HASHES + 1)
     filters = saved(
         hashes.repartition(slices, _slice_column(slices)).mapInArrow(_seen_again(slices), "slice long, bits binary"), label
     )
     sizes = sorted((r.slice, r.size) for r in filters.select("slice", F.length("bits").alias("size")).collect())
-    group: list[int] = []
+    groups: list[list[int]] = [[]]
     total = 0
-    for k, (s, size) in enumerate(sizes):
-        group.append(s)
+    for s, size in sizes:
+        if total and total + size > MOST_FILTER_BYTES:
+            groups.append([])
+            total = 0
+        groups[-1].append(s)
         total += size
-        if k + 1 == len(sizes) or total + sizes[k + 1][1] > MOST_FILTER_BYTES:
-            bits = {r.slice: bytes(r.bits) for r in filters.where(F.col("slice").isin(group)).collect()}
-            yield Filters(hashes.sparkSession.sparkContext.broadcast(bits), slices)
-            group, total = [], 0
+    for group in groups:
+        bits = {r.slice: bytes(r.bits) for r in filters.where(F.col("slice").isin(group)).collect()}
+        yield Filters(hashes.sparkSession.sparkContext.broadcast(bits), slices, len(groups))

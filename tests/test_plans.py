@@ -31,7 +31,7 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registered.QUERIES))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     plan = plan_of(entry_module.queries()[name](spark, sf_dir))
     for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "NestedLoop"):

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from tempestry import oracles, registered
 
 DUCK_TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
 
@@ -20,10 +21,12 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(registered.QUERIES) == set(oracles.ORACLES)
+    assert set(registered.QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registered.QUERIES))
 def test_query_matches_sql(spark, duck, sf_dir, name):
     actual = entry_module.queries()[name](spark, sf_dir)
     columns = sorted(actual.columns)

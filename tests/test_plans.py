@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 
 import __spark_entry__ as entry_module
+from tempestry import registered
 from tempestry.plans import models
 from tempestry.schemas import EVENTS, FATALITIES
 from tempestry.sources import parquet_files, warehouse

@@ -168,12 +168,12 @@ def _flat(cut: DataFrame) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
+def fit(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """Cut-offs, one row per stratum, from the rows of ``docs`` that ``labels`` (``doc_id, quality``) judge.
 
-    ``docs`` has ``doc_id, stratum`` and the base columns. A row is bad at
+    ``docs`` has ``doc_id, stratum, check`` and the base columns. A row is bad at
     quality 0 and good otherwise; rows that fail a base rule or have no quality are left
-    out. Rows with equal base columns in a stratum count once, since copies
+    out. Rows of one stratum with equal texts (``check``, a hash) count once, since copies
     are no independent trials.
     """
     judged = labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -181,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", risk: flo
     holdout = (
         docs.where(~F.col("base_failed"))
         .join(judged, "doc_id")
-        .groupBy("stratum", *base)
+        .groupBy("stratum", "check", *base)
         .agg((F.max("quality") > 0).alias("good"))
     )
     return saved(_flat(cutoffs(_scores(holdout), risk, error)), "quality-cutoffs")
@@ -203,6 +203,7 @@ def _measured(docs: DataFrame, carry: list[Column], stratum_col: str, id_col: st
         *carry,
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(stratum_col).cast("string").alias("stratum"),
+        F.xxhash64(F.col(text_col)).alias("check"),
         features(F.col(text_col)).alias("measured"),
     ).select("*", *(f"measured.{c}" for c in base))
     return rows.drop("measured").withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
@@ -221,7 +222,7 @@ def judge(
     and without labels the base rules decide. Further columns are ignored.
     """
     measured = saved(_measured(docs, [], stratum_col, id_col, text_col), "quality")
-    return _judged(measured, fit(measured, labels))
+    return _judged(measured, fit(measured, labels)).drop("check")
 
 
 def kept(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

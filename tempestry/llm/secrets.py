@@ -33,7 +33,7 @@ SHORTEST_WORD = 8
 #: Documents of the training sample, in expectation (all of a smaller table).
 SAMPLE_DOCS = 20_000
 #: Count added to each pair, and the log-likelihood ratio from which a string is a secret.
-SMOOTHING, THRESHOLD = 0.5, 12.0
+SMOOTHING, THRESHOLD = 0.5, 10.0
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
@@ -79,8 +79,7 @@ def training_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     The sample takes a document if the hash of its id is below the share that
     ``SAMPLE_DOCS`` is of all. Random strings are what the base patterns find,
-    in its own letters and in capitals, and Base64 and hexadecimal digests of
-    the documents, which are random by construction. Ordinary ones are the longer words.
+    in its own letters and in capitals, and Base64 digests of the documents, which are random by construction. Ordinary ones are the longer words.
     """
     total = docs.count()
     part = min(1.0, SAMPLE_DOCS / max(1, total))
@@ -90,14 +89,17 @@ def training_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(group)), lambda v, n=fewest: F.length(v) >= n)
         for _, pattern, group, fewest in KINDS
     ]
-    digest = F.sha2("text", 256)
-    made = F.array(F.base64(F.unhex(digest)), digest, F.upper(digest))
+    made = F.array(*(F.base64(F.unhex(F.sha2("text", bits))) for bits in (256, 512)))
     found = F.concat(*random)
     stripped = F.regexp_replace("text", "|".join(pattern for _, pattern, _, _ in KINDS), " ")
     words = F.regexp_extract_all(stripped, F.lit(rf"[A-Za-z]{{{SHORTEST_WORD},}}"), F.lit(0))
     labelled = sample.select(
-        F.explode(F.array(F.struct(F.lit(1).alias("label"), F.concat(found, F.transform(found, F.upper), made).alias("values")),
-                          F.struct(F.lit(0).alias("label"), words.alias("values")))).alias("s")
+        F.explode(
+            F.array(
+                F.struct(F.lit(1).alias("label"), F.concat(found, F.transform(found, F.upper), made).alias("values")),
+                F.struct(F.lit(0).alias("label"), words.alias("values")),
+            )
+        ).alias("s")
     )
     return labelled.select("s.label", F.explode("s.values").alias("value"))
 

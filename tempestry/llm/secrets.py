@@ -33,7 +33,7 @@ SHORTEST_WORD = 8
 #: Documents of the training sample, in expectation (all of a smaller table).
 SAMPLE_DOCS = 20_000
 #: Count added to each pair, and the log-likelihood ratio from which a string is a secret.
-SMOOTHING, THRESHOLD = 0.5, 10.0
+SMOOTHING, THRESHOLD = 0.5, 5.0
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 

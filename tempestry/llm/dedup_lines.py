@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tempestry.llm.common import null_safe_join, saved
+from tempestry.llm.common import FEW_ROWS, null_safe_join, saved, share
 from tempestry.llm.twice import Filters, emitted, seen_twice
 
 #: Shortest key, in code points, and fewest documents of a line that is removed.
@@ -140,6 +140,8 @@ def drop_repeated_lines(
         .where(F.col("docs") >= fewest_docs)
         .select("digest", "last")
     )
+    # Read back, so that a line of very many documents is a partition that Spark can split for the join.
+    confirmed = share(saved(confirmed, "repeated-lines"), FEW_ROWS)
     drops = (
         seen.join(confirmed, "digest")
         .where(~F.col("doc_id").eqNullSafe(F.col("last")))

@@ -16,7 +16,7 @@ from tempestry.sources.csv_files import FILE_NAME
 
 _EVENT_TEXT = {
     "EVENT_ID": "if(k % 997 = 0, null, cast(k as string))",
-    "STATE": "n_name",
+    "STATE": """if(k % 50 = 1, concat(n_name, ', "the ', char(10), 'state" of'), n_name)""",
     "EVENT_TYPE": "o_orderpriority",
     "BEGIN_DATE_TIME": "if(k % 97 = 0, 'not a date', upper(date_format(d, 'dd-MMM-yy HH:mm:ss')))",
     "END_DATE_TIME": "upper(date_format(d + make_dt_interval(cast(k % 45 as int)), 'd-MMM-yy HH:mm:ss'))",
@@ -44,7 +44,9 @@ _FATALITY_TEXT = {
                              date_format(l_shipdate, 'dd/MM/yyyy HH:mm:ss'))""",
     "FATALITY_AGE": "if(l_partkey % 9 = 0, '', cast(cast(l_quantity as int) as string))",
     "FATALITY_SEX": "case when l_linestatus = 'F' then 'F' when l_suppkey % 10 = 0 then null else 'M' end",
-    "FATALITY_LOCATION": "case l_partkey % 3 when 0 then 'Outside' when 1 then 'Vehicle' end",
+    "FATALITY_LOCATION": """
+        case when l_partkey % 30 = 0 then concat('"Out', char(10), 'side", there') when l_partkey % 3 = 0 then 'Outside'
+             when l_partkey % 3 = 1 then 'Vehicle' end""",
 }
 
 
@@ -87,6 +89,30 @@ def raw(spark: SparkSession, sf_dir: str, dataset: str, with_year: bool = False)
     return {"events": raw_events, "fatalities": raw_fatalities}[dataset](spark, sf_dir, with_year)
 
 
+def correction(rows: DataFrame, dataset: str) -> DataFrame:
+    """A later load of the same files: other values for every fourth id, and new events."""
+    number = "try_cast(EVENT_ID as bigint)"
+    again = rows.filter(f"{number} % 4 = 0")
+    if dataset == "fatalities":
+        return again.withColumn("FATALITY_AGE", F.lit("99"))
+    new = rows.filter(f"{number} % 1000 = 0").withColumn("EVENT_ID", F.concat(F.lit("N"), "EVENT_ID"))
+    return again.withColumn("DAMAGE_CROPS", F.lit("9K")).unionByName(new)
+
+
+def write_broken_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Event lines out of the orders, some with too few or too many fields."""
+    header = ",".join(EVENTS.raw_columns)
+    fields = len(EVENTS.raw_columns)
+    line = F.expr(
+        f"""case when o_orderkey % 7 = 0 then concat(o_orderkey, ',short,row')
+                 when o_orderkey % 11 = 0 then concat(o_orderkey, repeat(',x', {fields}))
+                 else concat(o_orderkey, repeat(',x', {fields - 1})) end"""
+    )
+    lines = _table(spark, sf_dir, "orders").select(line.alias(header))
+    # A separator and a quote that no line holds leave the lines as they are.
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "\x02").csv(path)
+
+
 #: where :func:`write_year_files` puts a file's parts, for the readers' ``layout``
 FOLDER_LAYOUT = "file={name}"
 
@@ -104,9 +130,16 @@ def write_csv(spark: SparkSession, sf_dir: str, dataset: str, path: str) -> None
 
 
 def write_year_files(spark: SparkSession, sf_dir: str, dataset: str, root: str) -> None:
-    """One folder per file name and year below ``root``, reloads as a later revision of their year."""
+    """One folder per file name and year below ``root``.
+
+    The reloads of events, and one new event for every tenth of them, are a
+    later revision of their year.
+    """
     spec = DATASETS[dataset]
     rows = raw(spark, sf_dir, dataset, with_year=True)
+    if spec is EVENTS:
+        new = rows.filter("SOURCE = 'Reload' and try_cast(EVENT_ID as bigint) % 100 = 0")
+        rows = rows.unionByName(new.withColumn("EVENT_ID", F.concat(F.lit("N"), "EVENT_ID")))
     year = F.col(LOAD_YEAR).cast("string")
     stem = F.concat(F.lit(FILE_NAME.format(kind=spec.file_kind, year="")), year)
     revision = F.when(F.col("SOURCE") == "Reload", "_c20250201").otherwise("_c20250101") if spec is EVENTS else F.lit(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,9 +34,46 @@ def whole_number(text: Column) -> Column:
     return real_number(text).try_cast("bigint")
 
 
+# --- fixed values: letters of date patterns and the texts that can stand for them ---
+_DATE_PARTS = {
+    "d": r"(?:0?[1-9]|[12][0-9]|3[01])",
+    "dd": r"(?:0[1-9]|[12][0-9]|3[01])",
+    "M": r"(?:0?[1-9]|1[0-2])",
+    "MM": r"(?:0[1-9]|1[0-2])",
+    "MMM": r"(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)",
+    "yy": r"[0-9]{2}",
+    "yyyy": r"[0-9]{4}",
+    "H": r"(?:[01]?[0-9]|2[0-3])",
+    "HH": r"(?:[01][0-9]|2[0-3])",
+    "m": r"[0-5]?[0-9]",
+    "mm": r"[0-5][0-9]",
+    "s": r"[0-5]?[0-9]",
+    "ss": r"[0-5][0-9]",
+}
+# --- end of fixed values ---
+
+
+def date_gate(pattern: str) -> str | None:
+    """A regular expression that every text of a date pattern matches, and few others.
+
+    Each letter run is one of the known parts; None if the pattern has others.
+    """
+    parts = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", pattern)
+    if "'" in pattern or "[" in pattern:
+        return None
+    known = [_DATE_PARTS.get(a + b) if a else re.escape(c) for a, b, c in parts]
+    return None if None in known else "^" + "".join(known) + "$"
+
+
 def instant(text: Column, pattern: str) -> Column:
-    """[C4, C5] Text to timestamp in the session's zone."""
-    return F.try_to_timestamp(F.trim(text), F.lit(pattern))
+    """[C4, C5] Text to timestamp in the session's zone.
+
+    Text that cannot be of the pattern is told by a regular expression first,
+    as the parser throws and catches an exception for each.
+    """
+    value = F.try_to_timestamp(F.trim(text), F.lit(pattern))
+    gate = date_gate(pattern)
+    return value if gate is None else F.when(F.trim(text).rlike(gate), value)
 
 
 def in_century_of(value: Column, year: Column) -> Column:

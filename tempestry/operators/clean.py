@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempestry.functions import parsing
-from tempestry.schemas import EVENTS, FATALITIES, LOAD_YEAR, Dataset
+from tempestry.schemas import EVENTS, FATALITIES, LOAD_YEAR, REVISION, Dataset
 
 
 def clean(
@@ -23,7 +23,7 @@ def clean(
     ``date_format`` replaces the dataset's pattern. ``century_from`` names a
     column with the year of the file, see :func:`parsing.in_century_of`.
     ``on_bad="error"`` stops the job at damage text that is no amount. The
-    file's year is kept where the input has it.
+    file's year and revision are kept where the input has them.
     """
     if on_bad not in ("null", "error"):
         raise ValueError(f"on_bad must be 'null' or 'error', not {on_bad!r}")
@@ -40,7 +40,7 @@ def clean(
         "real": lambda text: parsing.real_number(text, single_precision),
         "instant": instant,
     }
-    kept = [LOAD_YEAR] if LOAD_YEAR in raw.columns else []
+    kept = [c for c in (REVISION, LOAD_YEAR) if c in raw.columns]
     return raw.select(*(convert[kind](F.col(source)).alias(name) for source, name, kind in dataset.fields), *kept)
 
 
@@ -54,6 +54,22 @@ def clean_fatalities(raw: DataFrame, **options) -> DataFrame:
     return clean(raw, FATALITIES, **options)
 
 
+def cell_rejects(raw: DataFrame, dataset: Dataset, date_format: str | None = None) -> DataFrame:
+    """Per date and number column, the number of cells with text that did not parse; one pass."""
+    pattern = date_format or dataset.date_format
+    typed = {
+        "whole": parsing.whole_number,
+        "real": parsing.real_number,
+        "instant": lambda text: parsing.instant(text, pattern),
+        "dollars": parsing.damage_dollars,
+    }
+    columns = [source for source, _, kind in dataset.fields if kind in typed]
+    kinds = {source: kind for source, _, kind in dataset.fields}
+    bad = {c: (parsing.strip(F.col(c)) != "") & typed[kinds[c]](F.col(c)).isNull() for c in columns}
+    counts = raw.agg(*(F.count_if(bad[c]).alias(c) for c in columns))
+    return counts.unpivot([], columns, "column", "failures")
+
+
 def damage_rejects(raw: DataFrame) -> DataFrame:
     """Per damage column, the number of cells with text that is no amount; one pass."""
     columns = [source for source, _, kind in EVENTS.fields if kind == "dollars"]

@@ -12,7 +12,8 @@ import re
 
 _RELATIONS = {
     "loaded_orders": """
-        select o_orderkey as k, o_orderdate as d, o_orderpriority as p, o_orderstatus as st, n_name as nm, rl,
+        select o_orderkey as k, o_orderdate as d, o_orderpriority as p, o_orderstatus as st, rl,
+               n_name || case when o_orderkey % 50 = 1 then ', "the ' || chr(10) || 'state" of' else '' end as nm,
                o_orderdate + to_days(cast(o_orderkey % 45 as integer)) as e
         from orders
         join customer on o_custkey = c_custkey
@@ -47,7 +48,8 @@ _RELATIONS = {
           l_shipdate as shipdate,
           case when l_partkey % 9 <> 0 then cast(l_quantity as bigint) end as fatality_age,
           case when l_linestatus = 'F' then 'F' when l_suppkey % 10 <> 0 then 'M' end as fatality_sex,
-          case l_partkey % 3 when 0 then 'Outside' when 1 then 'Vehicle' end as fatality_location
+          case when l_partkey % 30 = 0 then '"Out' || chr(10) || 'side", there' when l_partkey % 3 = 0 then 'Outside'
+               when l_partkey % 3 = 1 then 'Vehicle' end as fatality_location
         from lineitem""",
     "typed_fatalities": """
         select fatality_id, event_id, fatality_type,
@@ -151,11 +153,13 @@ _RAW_FATALITIES = """
            else strftime(l_shipdate, '%d/%m/%Y %H:%M:%S') end as "FATALITY_DATE",
       case when l_partkey % 9 <> 0 then cast(cast(l_quantity as integer) as varchar) end as "FATALITY_AGE",
       case when l_linestatus = 'F' then 'F' when l_suppkey % 10 <> 0 then 'M' end as "FATALITY_SEX",
-      case l_partkey % 3 when 0 then 'Outside' when 1 then 'Vehicle' end as "FATALITY_LOCATION"
+      case when l_partkey % 30 = 0 then '"Out' || chr(10) || 'side", there' when l_partkey % 3 = 0 then 'Outside'
+           when l_partkey % 3 = 1 then 'Vehicle' end as "FATALITY_LOCATION"
     from lineitem"""
 
-_EVENT_MONTH = "select *, strftime(event_start_date, '%Y-%m') as month_key from typed_events"
-_FATALITY_MONTH = "select *, strftime(fatality_date, '%Y-%m') as month_key from typed_fatalities"
+_NO_REVISION = "cast(null as varchar) as revision"
+_EVENT_MONTH = f"select *, {_NO_REVISION}, strftime(event_start_date, '%Y-%m') as month_key from typed_events"
+_FATALITY_MONTH = f"select *, {_NO_REVISION}, strftime(fatality_date, '%Y-%m') as month_key from typed_fatalities"
 
 
 def _failures(check: str, table: str, column: str, count: str) -> str:
@@ -201,7 +205,15 @@ def _all(parts: list[str]) -> str:
 _SQL = {
     "csv_scan": _RAW_EVENTS,
     "csv_scan_fatalities": _RAW_FATALITIES,
-    "year_select": "select * from typed_events where source <> 'Reload'",
+    "csv_rejects": """
+        select cast(count(*) as bigint) as rows,
+               cast(count(*) filter (o_orderkey % 7 = 0 or o_orderkey % 11 = 0) as bigint) as bad_rows from orders""",
+    "year_select": "select *, 'c20250101' as revision from typed_events where source <> 'Reload'",
+    "year_select_latest": """
+        select *, 'c20250201' as revision from typed_events where source = 'Reload'
+        union all
+        select * replace ('N' || event_id as event_id), 'c20250201' from typed_events
+        where source = 'Reload' and cast(event_id as bigint) % 100 = 0""",
     "parse_damage": """
         select event_id, source, damage_property, damage_property is null as damage_property_bad,
                damage_crops, false as damage_crops_bad
@@ -209,6 +221,18 @@ _SQL = {
     "damage_rejects": """
         select 'DAMAGE_PROPERTY' as "column", count(*) as failures from typed_events where damage_property is null
         union all select 'DAMAGE_CROPS', count(*) from typed_events where damage_crops is null""",
+    "cell_rejects": """
+        select 'BEGIN_DATE_TIME' as "column", count(*) filter (event_start_date is null) as failures from typed_events
+        union all select 'END_DATE_TIME', 0
+        union all select 'INJURIES_DIRECT', 0
+        union all select 'INJURIES_INDIRECT', 0
+        union all select 'DEATHS_DIRECT', count(*) filter (deaths_direct is null) from typed_events
+        union all select 'DEATHS_INDIRECT', 0
+        union all select 'DAMAGE_PROPERTY', count(*) filter (damage_property is null) from typed_events
+        union all select 'DAMAGE_CROPS', 0
+        union all select 'MAGNITUDE', 0
+        union all select 'FATALITY_DATE', count(*) filter (fatality_date is null) from typed_fatalities
+        union all select 'FATALITY_AGE', 0""",
     "clean_events": "select * exclude (load_year) from typed_events",
     "clean_events_own_century": """
         select * exclude (load_year) replace (
@@ -231,18 +255,34 @@ _SQL = {
     "load_append_fatalities": f"{_FATALITY_MONTH} union all {_FATALITY_MONTH}",
     "load_replace_year": _EVENT_MONTH,
     "load_replace_year_fatalities": _FATALITY_MONTH,
-    "load_from_files": f"select * from ({_EVENT_MONTH}) where source <> 'Reload'",
+    "load_from_files": f"select * replace ('c20250101' as revision) from ({_EVENT_MONTH}) where source <> 'Reload'",
     "table_by_month": f"""
         select month_key, count(*) as n, max(fatality_date) as last_date from ({_FATALITY_MONTH}) group by month_key""",
-    "table_between": f"select * exclude (load_year) from ({_FATALITY_MONTH}) where fatality_date is not null",
+    "table_between": f"""
+        select * exclude (load_year) from ({_FATALITY_MONTH})
+        where fatality_date >= timestamp '1996-02-10' and fatality_date < timestamp '1997-11-06'""",
+    "catalog_table": "select load_year, count(*) as n from typed_fatalities group by load_year",
     "stg_events": "select * from stg_events",
     "stg_events_latest_load": """
-        select * exclude (load_year) from typed_events
-        qualify row_number() over (partition by event_id order by load_year desc, source desc,
+        select * exclude (load_year, revision) from (
+          select *, 1 as revision from typed_events
+          union all
+          select * replace (9000::bigint as damage_crops), 2 from typed_events where cast(event_id as bigint) % 4 = 0
+          union all
+          select * replace ('N' || event_id as event_id), 2 from typed_events where cast(event_id as bigint) % 1000 = 0)
+        qualify row_number() over (partition by event_id order by revision desc,
           state nulls first, event_type nulls first, event_start_date nulls first, event_end_date nulls first,
           injuries_direct nulls first, injuries_indirect nulls first, deaths_direct nulls first,
-          deaths_indirect nulls first, damage_property nulls first, damage_crops nulls first,
+          deaths_indirect nulls first, damage_property nulls first, damage_crops nulls first, source nulls first,
           magnitude nulls first, magnitude_type nulls first) = 1""",
+    "stg_fatalities_latest_load": """
+        select * exclude (load_year, revision) from (
+          select *, 1 as revision from typed_fatalities
+          union all
+          select * replace (99::bigint as fatality_age), 2 from typed_fatalities where cast(event_id as bigint) % 4 = 0)
+        qualify row_number() over (partition by fatality_id order by revision desc,
+          event_id nulls first, fatality_type nulls first, fatality_date nulls first, fatality_age nulls first,
+          fatality_sex nulls first, fatality_location nulls first) = 1""",
     "stg_fatalities": "select * from stg_fatalities",
     "fact_events": "select * from fact_events",
     "fact_events_start_month": """

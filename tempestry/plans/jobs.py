@@ -26,11 +26,13 @@ def clean_file(
     dataset: str,
     files: int | None = None,
     multiline: bool = True,
+    bad_rows: str = "error",
     **options,
 ) -> None:
     """[S1, S3, P1, P2, K1, K2] One CSV file or folder to cleaned Parquet, without a load year."""
     spec = DATASETS[dataset]
-    raw = parquet_files.spread(csv_files.read_csv(spark, source, spec, multiline=multiline), files=files)
+    rows = csv_files.read_csv(spark, source, spec, multiline=multiline, bad_rows=bad_rows)
+    raw = parquet_files.spread(rows, files=files)
     parquet_files.write_parquet(clean(raw, spec, **options), target)
 
 
@@ -46,15 +48,21 @@ def cleaned_years(
     on_bad: str = "null",
     multiline: bool = True,
     same_header: bool = True,
+    bad_rows: str = "error",
+    revision: str | None = None,
 ) -> DataFrame:
-    """[S1, S2, P1, P2] The files of ``years`` as typed rows with their ``load_year``.
+    """[S1, S2, P1, P2] The files of ``years`` as typed rows with their ``load_year`` and ``revision``.
 
-    ``date_formats`` maps a dataset's name to a pattern other than its own.
+    ``revision`` chooses among several files of a year (:func:`csv_files.year_files`),
+    ``bad_rows`` says what to do with rows that do not fit their header
+    (:func:`csv_files.read_csv`). ``date_formats`` maps a dataset's name to a pattern other than its own.
     ``rebase_century`` is for events, the ones with two-digit years.
     """
     spec = DATASETS[dataset]
-    files = csv_files.year_files(spark, source_root, spec, years, layout)
-    raw = csv_files.read_year_files(spark, files, spec, multiline=multiline, same_header=same_header)
+    files = csv_files.year_files(spark, source_root, spec, years, layout, revision)
+    raw = csv_files.read_year_files(
+        spark, files, spec, multiline=multiline, same_header=same_header, bad_rows=bad_rows
+    )
     return clean(
         csv_files.deal_out(raw, files),
         spec,
@@ -94,17 +102,23 @@ def _store(
     def one(name: str) -> None:
         path, spec = f"{warehouse_root}/{name}", DATASETS[name]
         if mode == "append":
-            warehouse.append(spark, cleaned(name), path, spec)
+            warehouse.append(spark, inputs[name], path, spec)
         else:
-            warehouse.replace_years(spark, cleaned(name), path, spec, years)
+            warehouse.replace_years(spark, inputs[name], path, spec, years)
 
+    # Both inputs are looked up before either table is written.
+    inputs = {name: cleaned(name) for name in DATASETS}
     together(spark, *(partial(one, name) for name in DATASETS))
 
 
 def load(
     spark: SparkSession, lake_root: str, warehouse_root: str, years: Iterable[int], mode: str = "replace"
 ) -> None:
-    """[S4, S5, K4-K8] Cleaned Parquet of ``years`` into the loaded tables."""
+    """[S4, S5, K4-K8] Cleaned Parquet of ``years`` into the loaded tables.
+
+    A year that was not ingested has no folder and raises ``PATH_NOT_FOUND``
+    before anything is written; one that was, without any row, is empty.
+    """
     years = list(years)
 
     def cleaned(name: str) -> DataFrame:
@@ -130,6 +144,8 @@ def backfill(
     there; without it they go straight to the tables, which saves writing and
     reading them once.
     """
+    if first > last:
+        raise ValueError(f"the first year, {first}, is after the last, {last}")
     years = list(range(first, last + 1))
     if lake_root:
         ingest(spark, source_root, lake_root, years, **options)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempestry.functions.calendar import month_key
 from tempestry.operators import dedup, facts, insights, marts, quality
-from tempestry.schemas import EVENTS, FATALITIES, MONTH_KEY
+from tempestry.schemas import EVENTS, FATALITIES, MONTH_KEY, REVISION
 from tempestry.session import together
 from tempestry.sources import warehouse
 
@@ -27,10 +28,10 @@ class Staged:
 def staging_views(spark: SparkSession, warehouse_root: str, latest_load_wins: bool = False) -> Staged:
     """[K9] The de-duplicated tables as temporary views, computed when read.
 
-    ``latest_load_wins`` keeps the row of the latest file of a key instead of
-    the first by value.
+    ``latest_load_wins`` keeps, of the rows of a key, one from the latest
+    revision of its file instead of the first by value; a row loaded without a revision comes last.
     """
-    order = [F.desc("load_year")] if latest_load_wins else []
+    order = [F.desc_nulls_last(REVISION)] if latest_load_wins else []
     staged = Staged(
         dedup.stage_events(warehouse.read_table(spark, f"{warehouse_root}/events", EVENTS), order),
         dedup.stage_fatalities(warehouse.read_table(spark, f"{warehouse_root}/fatalities", FATALITIES), order),
@@ -58,7 +59,13 @@ def rebuild_by_month(spark: SparkSession, fact: DataFrame, path: str, date: str)
 
 
 def build(
-    spark: SparkSession, warehouse_root: str, model_root: str, *, facts_by_month: bool = False, **options
+    spark: SparkSession,
+    warehouse_root: str,
+    model_root: str,
+    *,
+    facts_by_month: bool = False,
+    fix_year_month: bool = False,
+    **options,
 ) -> dict[str, DataFrame]:
     """All models. The facts are written once and read by the marts, which are written too.
 
@@ -69,7 +76,7 @@ def build(
     """
     staged = staging_views(spark, warehouse_root, **options)
     dated = {
-        "fact_events": (facts.fact_events(staged.events), "event_start_date"),
+        "fact_events": (facts.fact_events(staged.events, fix_year_month=fix_year_month), "event_start_date"),
         "fact_fatalities": (facts.fact_fatalities(staged.fatalities), "fatality_date"),
     }
 
@@ -115,12 +122,20 @@ def answers(spark: SparkSession, model_root: str, year: int | None = None, k: in
     }
 
 
-def check(spark: SparkSession, warehouse_root: str, scratch: str, **options) -> DataFrame:
-    """The data tests on the staged tables, which are written to ``scratch`` and read by each test."""
+def check(spark: SparkSession, warehouse_root: str, **options) -> DataFrame:
+    """The data tests' report on the staged tables.
+
+    The tested columns of the staged rows are kept on the executors' disks
+    while the tests run, so that each table is de-duplicated once, and
+    computed again where an executor is lost. Nothing is left behind; the
+    report has one row per test and column.
+    """
     staged = staging_views(spark, warehouse_root, **options)
-    events, fatalities = together(
-        spark,
-        partial(rebuild, spark, staged.events, f"{scratch}/{STG_EVENTS}"),
-        partial(rebuild, spark, staged.fatalities, f"{scratch}/{STG_FATALITIES}"),
-    )
-    return quality.all_checks(events, fatalities)
+    events = staged.events.select(*quality.tested_columns(STG_EVENTS)).persist(StorageLevel.DISK_ONLY)
+    fatalities = staged.fatalities.select(*quality.tested_columns(STG_FATALITIES)).persist(StorageLevel.DISK_ONLY)
+    try:
+        report = quality.all_checks(events, fatalities)
+        return spark.createDataFrame(report.collect(), report.schema)
+    finally:
+        events.unpersist()
+        fatalities.unpersist()

@@ -13,7 +13,7 @@ from tempestry import driver_tables
 from tempestry.functions import parsing
 from tempestry.operators import clean, dedup, facts, insights, marts, quality
 from tempestry.plans import jobs, models
-from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR, MONTH_KEY
+from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR, MONTH_KEY, REVISION
 from tempestry.session import scratch_path, together
 from tempestry.sources import csv_files, parquet_files, warehouse
 
@@ -78,13 +78,23 @@ def _csv_scan(dataset: str) -> Query:
     return query
 
 
-def _year_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "year_files")
-    driver_tables.write_year_files(spark, sf_dir, "events", root)
-    years = driver_tables.years_of(spark, sf_dir, "events")
-    files = csv_files.year_files(spark, root, EVENTS, years, driver_tables.FOLDER_LAYOUT)
-    rows = csv_files.read_year_files(spark, files, EVENTS)
-    return clean.clean_events(rows).withColumn(LOAD_YEAR, F.col(LOAD_YEAR).cast("bigint"))
+def _year_select(revision: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(spark, "year_files")
+        driver_tables.write_year_files(spark, sf_dir, "events", root)
+        years = driver_tables.years_of(spark, sf_dir, "events")
+        files = csv_files.year_files(spark, root, EVENTS, years, driver_tables.FOLDER_LAYOUT, revision)
+        rows = csv_files.read_year_files(spark, files, EVENTS)
+        return clean.clean_events(rows).withColumn(LOAD_YEAR, F.col(LOAD_YEAR).cast("bigint"))
+
+    return query
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "broken_csv")
+    driver_tables.write_broken_csv(spark, sf_dir, path)
+    files = csv_files.csv_rejects(spark, path, multiline=False)
+    return files.agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
 
 
 def _parquet_roundtrip(dataset: str, files_per_core: int | None = None) -> Query:
@@ -133,7 +143,7 @@ def _load_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     driver_tables.write_year_files(spark, sf_dir, "events", f"{root}/files")
     years = driver_tables.years_of(spark, sf_dir, "events")
     layout = driver_tables.FOLDER_LAYOUT
-    cleaned = jobs.cleaned_years(spark, f"{root}/files", "events", years, layout=layout)
+    cleaned = jobs.cleaned_years(spark, f"{root}/files", "events", years, layout=layout, revision="first")
     warehouse.replace_years(spark, cleaned, f"{root}/events", EVENTS, years)
     return _loaded(spark, f"{root}/events", "events")
 
@@ -146,11 +156,11 @@ def _table_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table_between(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A range of dates that holds every dated row."""
+    """A range of dates with rows before and after it."""
     path = scratch_path(spark, "between")
     warehouse.append(spark, _cleaned(spark, sf_dir, "fatalities"), path, FATALITIES)
     table = warehouse.read_table(spark, path, FATALITIES)
-    return warehouse.between(table, FATALITIES, date(1950, 1, 1), date(2099, 12, 31)).drop(LOAD_YEAR)
+    return warehouse.between(table, FATALITIES, date(1996, 2, 10), date(1997, 11, 5)).drop(LOAD_YEAR)
 
 
 def _mart_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,10 +178,16 @@ def _yearly_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
         files = f"{root}/files/{dataset}"
         driver_tables.write_year_files(spark, sf_dir, dataset, files)
         layout = driver_tables.FOLDER_LAYOUT
-        jobs.ingest(spark, files, f"{root}/lake", years[dataset], layout=layout, datasets=[dataset])
+        jobs.ingest(
+            spark, files, f"{root}/lake", years[dataset], layout=layout, datasets=[dataset], revision="first"
+        )
 
     together(spark, *(partial(ingest, dataset) for dataset in DATASETS))
-    jobs.load(spark, f"{root}/lake", f"{root}/tables", set().union(*years.values()))
+    # A year for which one of the datasets has no file was ingested for the other only.
+    for dataset in DATASETS:
+        path, spec = f"{root}/tables/{dataset}", DATASETS[dataset]
+        cleaned = parquet_files.read_years(spark, f"{root}/lake/{dataset}", spec, years[dataset])
+        warehouse.replace_years(spark, cleaned, path, spec, years[dataset])
     return models.build(spark, f"{root}/tables", f"{root}/models")["fact_fatality_type_by_event_type"]
 
 
@@ -206,9 +222,34 @@ def _clean_fatalities_month_first(spark: SparkSession, sf_dir: str) -> DataFrame
 # --- staging and facts ---
 
 
-def _stg_events_latest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = _clean_events(spark, sf_dir, with_year=True)
-    return dedup.stage_events(loaded, [F.desc(LOAD_YEAR), F.desc("source")])
+def _latest_load(dataset: str) -> Query:
+    """Two loads of the same years, the second with other values; staging keeps its rows."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(spark, f"latest_{dataset}")
+        for name, spec in DATASETS.items():
+            warehouse.create_table(spark, f"{root}/{name}", spec)
+        rows = driver_tables.raw(spark, sf_dir, dataset, with_year=True)
+        for revision, load in (("c20250101", rows), ("c20250201", driver_tables.correction(rows, dataset))):
+            cleaned = clean.clean(load.withColumn(REVISION, F.lit(revision)), DATASETS[dataset])
+            warehouse.append(spark, cleaned, f"{root}/{dataset}", DATASETS[dataset])
+        staged = models.staging_views(spark, root, latest_load_wins=True)
+        return {"events": staged.events, "fatalities": staged.fatalities}[dataset]
+
+    return query
+
+
+def _cell_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = clean.cell_rejects(driver_tables.raw_events(spark, sf_dir), EVENTS)
+    return events.unionByName(clean.cell_rejects(driver_tables.raw_fatalities(spark, sf_dir), FATALITIES))
+
+
+def _catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "catalog's")
+    name = f"catalog_{path.rpartition('-')[2]}"
+    warehouse.append(spark, _cleaned(spark, sf_dir, "fatalities"), path, FATALITIES)
+    table = warehouse.register_table(spark, name, path, FATALITIES)
+    return table.groupBy(F.col(LOAD_YEAR).cast("bigint").alias(LOAD_YEAR)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _fact_events_start_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,15 +306,18 @@ def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         warehouse.append(spark, _cleaned(spark, sf_dir, dataset), f"{root}/{dataset}", DATASETS[dataset])
 
     together(spark, *(partial(load, dataset) for dataset in DATASETS))
-    return models.check(spark, root, f"{root}/staged")
+    return models.check(spark, root)
 
 
 QUERIES: dict[str, Query] = {
     "csv_scan": _csv_scan("events"),
     "csv_scan_fatalities": _csv_scan("fatalities"),
-    "year_select": _year_select,
+    "csv_rejects": _csv_rejects,
+    "year_select": _year_select("first"),
+    "year_select_latest": _year_select("latest"),
     "parse_damage": _parse_damage,
     "damage_rejects": _damage_rejects,
+    "cell_rejects": _cell_rejects,
     "clean_events": _clean_events,
     "clean_events_own_century": _clean_events_own_century,
     "clean_fatalities": _clean_fatalities,
@@ -287,8 +331,10 @@ QUERIES: dict[str, Query] = {
     "load_from_files": _load_from_files,
     "table_by_month": _table_by_month,
     "table_between": _table_between,
+    "catalog_table": _catalog_table,
     "stg_events": _stg_events,
-    "stg_events_latest_load": _stg_events_latest_load,
+    "stg_events_latest_load": _latest_load("events"),
+    "stg_fatalities_latest_load": _latest_load("fatalities"),
     "stg_fatalities": _stg_fatalities,
     "fact_events": _fact_events,
     "fact_events_start_month": _fact_events_start_month,

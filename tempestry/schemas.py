@@ -64,6 +64,8 @@ FACT_FATALITY_COLUMNS = (
 
 #: year of the file a row came from; first partition level of the loaded tables
 LOAD_YEAR = "load_year"
+#: revision tag of the file a row came from; later revisions sort after earlier ones
+REVISION = "revision"
 #: ``yyyy-MM`` of the dataset's date column; second partition level
 MONTH_KEY = "month_key"
 
@@ -93,10 +95,10 @@ class Dataset:
 
     @property
     def table_schema(self) -> T.StructType:
-        """The cleaned columns followed by the two partition columns."""
+        """The cleaned columns, the file's revision and the two partition columns."""
         return T.StructType(
             self.schema.fields
-            + [T.StructField(LOAD_YEAR, T.IntegerType()), T.StructField(MONTH_KEY, T.StringType())]
+            + [T.StructField(REVISION, T.StringType()), T.StructField(LOAD_YEAR, T.IntegerType()), T.StructField(MONTH_KEY, T.StringType())]
         )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -25,38 +26,36 @@ SETTINGS = {
 }
 
 SHUFFLE_PARTITION_GB = 0.25
-MOST_SHUFFLE_PARTITIONS = 40_000
 
 
-def shuffle_partitions(data_gb: float) -> int:
-    """Partitions that keep a shuffle of ``data_gb`` near 256 MB each.
+def shuffle_partitions(data_gb: float, most: int | None = None) -> int:
+    """Partitions that keep a shuffle of ``data_gb`` near 256 MB each: 400,000 at 100 TB.
 
     Adaptive execution joins partitions that turn out small but splits only
-    skewed ones, so the number should rather be too high. Beyond some ten
-    thousand the bookkeeping on the driver costs more than larger, spilling
-    partitions do.
+    skewed ones, so the number should rather be too high. ``most`` limits it
+    where a driver cannot keep books on so many; partitions then grow and spill.
     """
-    return min(max(200, ceil(data_gb / SHUFFLE_PARTITION_GB)), MOST_SHUFFLE_PARTITIONS)
-
-
-def output_partition_mb(data_gb: float) -> int:
-    """Size Spark aims at for coalesced partitions and, after a rebalance, for files.
-
-    64 MB, Spark's own value, up to 25 TB; then growing to keep the files
-    below some 400,000.
-    """
-    return min(max(64, ceil(data_gb * 1024 / 400_000)), 1024)
+    wanted = max(200, ceil(data_gb / SHUFFLE_PARTITION_GB))
+    return wanted if most is None else min(wanted, most)
 
 
 def build_session(
-    app: str = "tempestry", master: str | None = None, data_gb: float | None = None, **conf: str
+    app: str = "tempestry",
+    master: str | None = None,
+    data_gb: float | None = None,
+    output_mb: int | None = None,
+    **conf: str,
 ) -> SparkSession:
-    """A session with the settings above; ``conf`` keys use ``__`` for dots."""
+    """A session with the settings above; ``conf`` keys use ``__`` for dots.
+
+    ``output_mb`` is the size Spark aims at for coalesced partitions and, after
+    a rebalance, for files; without it Spark's own 64 MB hold.
+    """
     builder = SparkSession.builder.appName(app)
     if data_gb is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(data_gb)))
-        size = f"{output_partition_mb(data_gb)}m"
-        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    if output_mb is not None:
+        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{output_mb}m")
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
@@ -67,13 +66,13 @@ def build_session(
 
 
 def together(spark: SparkSession, *jobs: Callable[[], Result]) -> list[Result]:
-    """Run independent jobs at the same time and return their results in order.
+    """Run independent jobs at the same time, up to 16, and return their results in order.
 
     The last tasks of one fill the executors together with the first of
     another, which matters where a table has few files. The first error is
     raised after all have ended.
     """
-    with ThreadPoolExecutor(len(jobs)) as pool:
+    with ThreadPoolExecutor(min(len(jobs), 16)) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
     return [job.result() for job in running]
 
@@ -86,7 +85,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or None
     if root is None:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        # A session that does not tell its master may be a remote one.
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "unknown")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tempestry-")
     return f"{root.rstrip('/')}/tempestry/{label}-{uuid.uuid4().hex}"

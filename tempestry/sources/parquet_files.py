@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempestry.schemas import LOAD_YEAR, Dataset
+from tempestry.schemas import LOAD_YEAR, REVISION, Dataset
 from tempestry.sources import partitions
 
 
@@ -33,12 +32,22 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def write_years(spark: SparkSession, df: DataFrame, path: str, years: Iterable[int]) -> None:
-    """[K3] One folder per ``load_year``; ``df`` becomes the whole content of ``years``, others stay."""
-    partitions.replace_years(spark, df, path, [LOAD_YEAR], years)
+    """[K3] One folder per ``load_year``; ``df`` becomes the whole content of ``years``, others stay.
+
+    A year without rows gets a folder with an empty file, which tells it from
+    a year that was never written.
+    """
+    partitions.replace_years(spark, df, path, [LOAD_YEAR], years, mark=True)
 
 
-def read_years(spark: SparkSession, path: str, dataset: Dataset, years: list[int] | None = None) -> DataFrame:
-    """The cleaned rows with their ``load_year``; the filter on years prunes folders."""
-    schema = T.StructType([*dataset.schema.fields, T.StructField(LOAD_YEAR, T.IntegerType())])
-    df = read_parquet(spark, path, schema)
-    return df if years is None else df.filter(F.col(LOAD_YEAR).isin(*years))
+def read_years(spark: SparkSession, path: str, dataset: Dataset, years: Iterable[int] | None = None) -> DataFrame:
+    """The cleaned rows with their ``revision`` and ``load_year``, of all years or of those given.
+
+    Only their folders are listed; a year without a folder raises ``PATH_NOT_FOUND``.
+    """
+    extra = [T.StructField(REVISION, T.StringType()), T.StructField(LOAD_YEAR, T.IntegerType())]
+    schema = T.StructType([*dataset.schema.fields, *extra])
+    if years is None:
+        return read_parquet(spark, path, schema)
+    folders = [f"{path}/{LOAD_YEAR}={year}" for year in sorted(set(years))]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)

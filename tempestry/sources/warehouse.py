@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempestry.functions.calendar import month_key
-from tempestry.schemas import LOAD_YEAR, MONTH_KEY, Dataset
+from tempestry.schemas import LOAD_YEAR, MONTH_KEY, REVISION, Dataset
 from tempestry.sources import partitions
 
 
@@ -32,12 +32,14 @@ def read_table(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
 def register_table(spark: SparkSession, name: str, path: str, dataset: Dataset) -> DataFrame:
     """Make the table known to the session's catalog under ``name``, read in place."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dataset.table_schema.fields)
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
+    folder = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"create table if not exists {name} ({columns}) using parquet "
-        f"partitioned by ({LOAD_YEAR}, {MONTH_KEY}) location '{path}'"
+        f"create table if not exists {quoted} ({columns}) using parquet "
+        f"partitioned by ({LOAD_YEAR}, {MONTH_KEY}) location '{folder}'"
     )
-    spark.sql(f"msck repair table {name}")
-    return spark.table(name)
+    spark.sql(f"msck repair table {quoted}")
+    return spark.table(quoted)
 
 
 def between(df: DataFrame, dataset: Dataset, first: date, last: date) -> DataFrame:
@@ -53,7 +55,8 @@ def _laid_out(cleaned: DataFrame, dataset: Dataset) -> DataFrame:
     The rebalance hint gives files of even size: Spark splits a month that
     holds much of the rows over several tasks and joins small ones.
     """
-    columns: list[Column | str] = [*dataset.columns, F.col(LOAD_YEAR).cast("int").alias(LOAD_YEAR)]
+    tag = F.col(REVISION) if REVISION in cleaned.columns else F.lit(None).cast("string").alias(REVISION)
+    columns: list[Column | str] = [*dataset.columns, tag, F.col(LOAD_YEAR).cast("int").alias(LOAD_YEAR)]
     return cleaned.select(*columns, month_key(F.col(dataset.date)).alias(MONTH_KEY))
 
 

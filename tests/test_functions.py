@@ -146,3 +146,16 @@ def test_decode(apply):
 
 def test_blank_characters_match_the_pattern_of_blanks():
     assert all(re.fullmatch(r"\s", c) for c in parsing.BLANKS)
+
+
+def test_date_gate_lets_every_date_pass():
+    import re
+    from datetime import datetime, timedelta
+
+    days = [datetime(1996, 1, 1) + timedelta(days=i, seconds=9001 * i) for i in range(400)]
+    event, fatality = (re.compile(parsing.date_gate(p)) for p in ("d-MMM-yy HH:mm:ss", "dd/MM/yyyy HH:mm:ss"))
+    assert all(event.search(f"{d.day}-{d:%b-%y %H:%M:%S}".upper()) and event.search(f"{d:%d-%b-%y %H:%M:%S}") for d in days)
+    assert all(fatality.search(f"{d:%d/%m/%Y %H:%M:%S}") for d in days)
+    for bad in ("04/26/2024 00:00:00", "26/04/2024", "26/04/2024 25:00:00", "x", ""):
+        assert not fatality.search(bad)
+    assert parsing.date_gate("yyyy-MM-dd'T'HH:mm") is None and parsing.date_gate("EEE d") is None

@@ -4,11 +4,12 @@ import gzip
 from datetime import date
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from tempestry import __main__ as command_line
 from tempestry.plans import jobs, models
 from tempestry.schemas import EVENTS, FATALITIES
-from tempestry.session import output_partition_mb, scratch_path, shuffle_partitions, together
+from tempestry.session import scratch_path, shuffle_partitions, together
 from tempestry.sources import parquet_files, warehouse
 
 EVENT_HEADER = ",".join(EVENTS.raw_columns)
@@ -71,7 +72,7 @@ def test_from_files_to_marts(spark, files, tmp_path, capsys, with_lake):
     command_line.main(["check", tables])
     printed = capsys.readouterr().out
     assert "relationships" in printed and "warn" in printed
-    report = {(r.check, r.column): r.failures for r in models.check(spark, tables, str(tmp_path / "staged")).collect()}
+    report = {(r.check, r.column): r.failures for r in models.check(spark, tables).collect()}
     assert report[("relationships", "event_id")] == 1
     assert report[("not_null", "fatality_date")] == 1
     assert report[("unique", "event_id")] == 0
@@ -113,8 +114,8 @@ def test_year_to_load():
 
 
 def test_shuffle_partitions_grow_with_the_data():
-    assert [shuffle_partitions(gb) for gb in (0.1, 1_000, 100_000)] == [200, 4_000, 40_000]
-    assert [output_partition_mb(gb) for gb in (0.1, 1_000, 100_000)] == [64, 64, 256]
+    assert [shuffle_partitions(gb) for gb in (0.1, 1_000, 100_000)] == [200, 4_000, 400_000]
+    assert shuffle_partitions(100_000, most=40_000) == 40_000
 
 
 def test_scratch_is_the_shared_folder_of_the_session(spark):
@@ -137,3 +138,57 @@ def test_together_keeps_order_and_raises(spark):
     assert together(spark, lambda: spark.range(3).count(), lambda: "b") == [3, "b"]
     with pytest.raises(ZeroDivisionError):
         together(spark, lambda: 1, lambda: 1 / 0)
+
+
+def test_a_missing_input_empties_no_year(spark, files, tmp_path):
+    lake, tables = str(tmp_path / "lake"), str(tmp_path / "tables")
+    jobs.ingest(spark, str(files), lake, [1999, 2000])
+    jobs.load(spark, lake, tables, [1999, 2000])
+    fresh = str(tmp_path / "fresh")
+    jobs.ingest(spark, str(files), fresh, [2000])
+    for mode in ("replace", "append"):
+        with pytest.raises(AnalysisException, match="load_year=1999"):
+            jobs.load(spark, fresh, tables, [1999, 2000], mode)
+    assert warehouse.read_table(spark, f"{tables}/events", EVENTS).count() == 4
+    assert warehouse.read_table(spark, f"{tables}/fatalities", FATALITIES).count() == 4
+    with pytest.raises(AnalysisException, match="d2001"):
+        jobs.backfill(spark, str(files), tables, 2000, 2001)
+    with pytest.raises(ValueError, match="2001.*2000"):
+        jobs.backfill(spark, str(files), tables, 2001, 2000)
+
+
+def test_a_year_with_a_header_only_is_ingested_as_empty(spark, files, tmp_path):
+    lake, tables = str(tmp_path / "lake"), str(tmp_path / "tables")
+    write(files, "fatalities", 1999, [FATALITY_HEADER])
+    jobs.ingest(spark, str(files), lake, [1999, 2000])
+    for mode in ("replace", "append"):
+        jobs.load(spark, lake, tables, [1999], mode)
+    assert warehouse.read_table(spark, f"{tables}/fatalities", FATALITIES).count() == 0
+    assert warehouse.read_table(spark, f"{tables}/events", EVENTS).count() == 4
+
+
+def test_options_on_the_command_line(spark, files, tmp_path, capsys):
+    tables, built = str(tmp_path / "tables"), str(tmp_path / "built")
+    write(files, "fatalities", 2000, [FATALITY_HEADER, fatality("f3", 3, "02/13/2000"), fatality("f4", 9, "03/22/2000")])
+    revised = files / "StormEvents_details-ftp_v1.0_d2000_c20260101.csv.gz"
+    with gzip.open(revised, "wt") as file:
+        file.write("\n".join([EVENT_HEADER, event(3, "02-FEB-00", "Flood", "9K"), event(4, "03-FEB-00", "Flood", "x"), "5,short"]))
+    arguments = ["backfill", str(files), tables, "--first", "2000", "--last", "2000", "--date-format", "fatalities=MM/dd/yyyy HH:mm:ss"]
+    with pytest.raises(ValueError, match="choose a revision"):
+        command_line.main(arguments)
+    command_line.main([*arguments, "--revision", "first", "--mode", "append"])
+    with pytest.raises(Exception, match="row does not fit the header"):
+        command_line.main([*arguments, "--revision", "latest", "--mode", "append"])
+    with pytest.raises(Exception, match="not a damage amount"):
+        command_line.main([*arguments, "--revision", "latest", "--mode", "append", "--bad-rows", "null", "--on-bad", "error"])
+    command_line.main([*arguments, "--revision", "latest", "--mode", "append", "--bad-rows", "null"])
+    dates = {r.fatality_date for r in warehouse.read_table(spark, f"{tables}/fatalities", FATALITIES).collect()}
+    assert None not in dates and len(dates) == 2
+    command_line.main(["build", tables, built, "--latest-load-wins", "--fix-year-month"])
+    facts = {r.event_id: r for r in spark.read.parquet(f"{built}/fact_events").collect()}
+    assert facts["3"].damage_property == 9_000 and facts["3"].event_start_year_month == "2000-2"
+    assert models.staging_views(spark, tables).events.filter("event_id = '3'").first().damage_property is None
+    command_line.main(["check", tables, "--latest-load-wins"])
+    command_line.main(["answers", built, "-k", "1"])
+    command_line.main(["rejects", str(revised)])
+    assert "bad_rows" in capsys.readouterr().out

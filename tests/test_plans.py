@@ -107,11 +107,24 @@ def test_duplicate_check_of_staged_rows_needs_no_second_shuffle(staged):
     assert plan.count("Exchange") == 1
 
 
-def test_year_filter_prunes_folders(spark, tmp_path):
+def test_only_the_folders_of_the_years_are_listed(spark, tmp_path):
     path = str(tmp_path / "lake")
-    spark.createDataFrame([("1", 2024)], "fatality_id string, load_year int").write.partitionBy("load_year").parquet(path)
-    plan = plan_of(parquet_files.read_years(spark, path, FATALITIES, [2024]))
-    assert re.search(r"PartitionFilters: \[.*load_year#\d+ = 2024", plan)
+    rows = [("1", 2023), ("2", 2024), ("3", 2025)]
+    spark.createDataFrame(rows, "fatality_id string, load_year int").write.partitionBy("load_year").parquet(path)
+    read = parquet_files.read_years(spark, path, FATALITIES, [2025, 2024, 2024])
+    assert {f.split("load_year=")[1][:4] for f in read.inputFiles()} == {"2024", "2025"}
+    assert sorted((r.fatality_id, r.load_year) for r in read.collect()) == [("2", 2024), ("3", 2025)]
+
+
+def test_checks_read_the_fatalities_three_times_and_few_columns(spark, staged, tmp_path):
+    from tempestry.operators import quality
+
+    paths = {}
+    for name, df in (("stg_events", staged.events), ("stg_fatalities", staged.fatalities)):
+        paths[name] = models.rebuild(spark, df.select(*quality.tested_columns(name)), str(tmp_path / name))
+    plan = plan_of(quality.all_checks(paths["stg_events"], paths["stg_fatalities"]))
+    assert plan.count(f"{tmp_path}/stg_fatalities") <= 3 and plan.count(f"{tmp_path}/stg_events") <= 3
+    assert len(paths["stg_fatalities"].columns) == 5 and len(paths["stg_events"].columns) == 2
 
 
 def test_orphans_are_counted_before_the_join(spark, staged, no_broadcast):

@@ -11,8 +11,8 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from tempestry.operators.clean import clean, clean_events, damage_rejects
-from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR, MONTH_KEY
-from tempestry.sources import csv_files, parquet_files, warehouse
+from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR, MONTH_KEY, REVISION
+from tempestry.sources import csv_files, parquet_files, partitions, warehouse
 
 
 def event_line(event_id, begin="01-MAY-24 10:00:00", end="02-MAY-24 10:00:00", damage="1K", state="TEXAS"):
@@ -44,8 +44,8 @@ def small_partitions(spark, size):
         spark.conf.unset(key)
 
 
-def read_years(spark, root, dataset, years):
-    return csv_files.read_year_files(spark, csv_files.year_files(spark, root, dataset, years), dataset)
+def read_years(spark, root, dataset, years, revision="first"):
+    return csv_files.read_year_files(spark, csv_files.year_files(spark, root, dataset, years, revision=revision), dataset)
 
 
 # --- CSV ---
@@ -83,6 +83,13 @@ def year_files(tmp_path):
 def test_first_revision_of_each_year_is_read_in_one_scan(spark, year_files):
     rows = read_years(spark, year_files, EVENTS, [2022, 2024]).collect()
     assert sorted((r.EVENT_ID, r[LOAD_YEAR]) for r in rows) == [("2022-c20250101", 2022), ("2024-c20250101", 2024)]
+    assert [r.revision for r in rows] == ["c20250101"] * 2
+    latest = read_years(spark, year_files, EVENTS, [2022, 2024], "latest").collect()
+    assert sorted((r.EVENT_ID, r.revision) for r in latest) == [("2022-c20250520", "c20250520"), ("2024-c20250520", "c20250520")]
+    with pytest.raises(ValueError, match="2022.*c20250101.*c20250520"):
+        read_years(spark, year_files, EVENTS, [2022, 2024], None)
+    with pytest.raises(ValueError, match="no year"):
+        read_years(spark, year_files, EVENTS, [])
     fatalities = read_years(spark, year_files, FATALITIES, [2023])
     assert [(r.FATALITY_ID, r[LOAD_YEAR]) for r in fatalities.collect()] == [("f2023", 2023)]
 
@@ -114,7 +121,7 @@ def test_a_large_file_is_dealt_out_evenly(spark, tmp_path):
     rows = csv_files.read_year_files(spark, files, EVENTS)
     assert rows.filter(f"{LOAD_YEAR} = 2023").select(F.spark_partition_id()).distinct().count() == 1
     dealt = csv_files.deal_out(rows, files, piece_bytes=files[0].size // 20)
-    assert sorted(dealt.columns) == sorted([*EVENTS.raw_columns, LOAD_YEAR])
+    assert sorted(dealt.columns) == sorted([*EVENTS.raw_columns, REVISION, LOAD_YEAR])
     with small_partitions(spark, "10k"):
         parquet_files.write_years(spark, clean_events(dealt), str(tmp_path / "lake"), [2023, 2024])
     lake = parquet_files.read_years(spark, str(tmp_path / "lake"), EVENTS)
@@ -298,3 +305,52 @@ def test_register_table(spark, tmp_path, loaded):
 
 def test_dataset_names():
     assert list(DATASETS) == ["events", "fatalities"]
+
+
+def broken(tmp_path, lines):
+    path = tmp_path / "broken.csv"
+    path.write_text("\n".join([",".join(FATALITIES.raw_columns), *lines]) + "\n")
+    return str(path)
+
+
+GOOD_ROWS = [f"f{i},{i},D,01/01/2024 00:00:00,41,M,Vehicle" for i in range(50)]
+
+
+@pytest.mark.parametrize(
+    "bad", ['"f99,1,D,01/01/2024 00:00:00,41,M,Vehicle', "f99,1,D", "f99,1,D,01/01/2024 00:00:00,41,M,Vehicle,more"]
+)
+def test_bad_rows_stop_the_job_unless_asked_for(spark, tmp_path, bad):
+    path = broken(tmp_path, [*GOOD_ROWS[:6], bad, *GOOD_ROWS[6:]])
+    with pytest.raises(Exception, match="row does not fit the header"):
+        csv_files.read_csv(spark, path, FATALITIES).collect()
+    found = csv_files.csv_rejects(spark, path).collect()
+    assert [r.bad_rows for r in found] == [1]
+    kept = csv_files.read_csv(spark, path, FATALITIES, bad_rows="null").collect()
+    assert {r.FATALITY_ID for r in kept} >= {f"f{i}" for i in range(6)}
+    assert len(kept) == (7 if bad.startswith('"') else 51)
+
+
+def test_a_quote_that_is_never_closed_ends_with_its_line(spark, tmp_path):
+    path = broken(tmp_path, [*GOOD_ROWS[:6], '"' + GOOD_ROWS[6], *GOOD_ROWS[7:]])
+    rows = csv_files.read_csv(spark, path, FATALITIES, multiline=False, bad_rows="null").collect()
+    assert len(rows) == 50
+
+
+def test_a_table_with_a_keyword_as_name_and_an_apostrophe_in_its_path_is_registered(spark, rows, tmp_path):
+    path = str(tmp_path / "it's")
+    warehouse.create_table(spark, path, FATALITIES)
+    assert warehouse.register_table(spark, "select", path, FATALITIES).count() == 0
+
+
+def test_emptied_folders_are_not_written_again(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "value string, load_year int, month_key string"
+    rows = spark.createDataFrame([("a", 2024, f"2024-{m:02}") for m in range(1, 13)], schema)
+    keys = ["load_year", "month_key"]
+    partitions.replace_years(spark, rows, path, keys, [2024])
+    partitions.replace_years(spark, rows.limit(1), path, keys, [2024])
+    assert spark.read.parquet(path).count() == 1
+    before = sorted(p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet"))
+    partitions.replace_years(spark, rows.limit(0), path, keys, [2023, 2024])
+    assert spark.read.schema(schema).parquet(path).count() == 0
+    after = sorted(p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet"))
+    assert len(set(after) - set(before)) <= 1

@@ -8,7 +8,6 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +24,6 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Most rows of a table that is broadcast, each of a few numbers and a name.
 FEW_ROWS = 50_000
-#: Words a worker remembers the hash of.
-REMEMBERED_WORDS = 300_000
 
 
 def reachable(spark: SparkSession) -> None:
@@ -75,20 +72,62 @@ def share(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most_rows else df
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < REMEMBERED_WORDS:
-            self[word] = value
-        return value
+_BLANK = np.zeros(256, bool)
+_BLANK[list(BLANKS.encode())] = True
+_powers = np.ones(1, np.uint64)
+_inverses = np.ones(1, np.uint64)
+#: An odd multiplier for the bytes of a word, and its inverse modulo 2 ** 64.
+BYTE_STEP = 0x5851F42D4C957F2D
+_INVERSE = pow(BYTE_STEP, -1, 1 << 64)
 
 
-_hashes = _WordHashes()
+def _steps(number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BYTE_STEP and of its inverse, for at least ``number`` bytes."""
+    global _powers, _inverses
+    while len(_powers) < number:
+        more = np.uint64(pow(BYTE_STEP, len(_powers), 1 << 64)), np.uint64(pow(_INVERSE, len(_powers), 1 << 64))
+        with np.errstate(over="ignore"):
+            _powers = np.concatenate([_powers, _powers * more[0]])
+            _inverses = np.concatenate([_inverses, _inverses * more[1]])
+    return _powers, _inverses
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words, the same in every process."""
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+#: Bytes of a text that are hashed at once.
+PART_BYTES = 1 << 20
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of a text's words in order, the same in every process.
+
+    A word's hash is the polynomial of its bytes, from running sums over the
+    text, mixed with its length.
+    """
+    parts, at = [], 0
+    while at < len(text):
+        end = at + PART_BYTES
+        if end < len(text):
+            # Cut after a blank, or else behind the word that has none.
+            cut = max(text.rfind(b, at, end) for b in map(bytes, zip(BLANKS.encode())))
+            if cut < 0:
+                following = [p for p in (text.find(b, end) for b in map(bytes, zip(BLANKS.encode()))) if p >= 0]
+                cut = min(following, default=len(text))
+            end = cut + 1
+        parts.append(_part_hashes(np.frombuffer(text[at:end], np.uint8)))
+        at = end
+    return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.empty(0, np.uint64)
+
+
+def _part_hashes(codes: np.ndarray) -> np.ndarray:
+    inside = np.empty(len(codes) + 2, bool)
+    inside[0] = inside[-1] = False
+    np.logical_not(_BLANK[codes], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    powers, inverses = _steps(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum((codes + np.uint64(1)) * powers[: len(codes)], out=sums[1:])
+        return mixed((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

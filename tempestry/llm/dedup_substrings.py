@@ -8,18 +8,18 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tempestry.llm.common import BLANK_RUN, STEP, covered, null_safe_join, saved, signed, window_hashes, word_count, word_hashes
+from tempestry.llm.common import BLANK_RUN, covered, saved, signed, window_hashes, word_count, word_hashes
 from tempestry.llm.twice import Filters, emitted, seen_twice
 
 #: Words of a passage that is removed if it occurs again.
 PASSAGE = 35
 #: Any two positions have a shift below PERIOD that takes both to a position in COVER modulo PERIOD,
-#: as each number below 21 is a difference of two of these modulo 21.
-PERIOD, COVER = 21, (0, 1, 4, 14, 16)
+#: as each number below 13 is a difference of two of these modulo 13.
+PERIOD, COVER = 13, (0, 1, 3, 9)
 #: A second multiplier, so that a passage is known by two hashes of 64 bits.
 SECOND = np.uint64(0xA0761D6478BD642F)
 
@@ -44,9 +44,9 @@ def _texts_once(batches: Iterator[pa.RecordBatch], passage: int) -> Iterator[lis
         for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
             if key not in seen:
                 seen.add(key)
-                words = (text or b"").split()
-                if len(words) >= passage:
-                    out.append((key, word_hashes(words)))
+                hashes = word_hashes(text or b"")
+                if len(hashes) >= passage:
+                    out.append((key, hashes))
         yield out
 
 
@@ -58,17 +58,24 @@ def _anchor_hashes(passage: int):
     return run
 
 
+_FOUND = "first long, second long, key long, begin int, end int"
+
+
 def _candidates(filters: Filters, passage: int):
-    """Passages that hold an anchor which may occur again: (first, second, key, place)."""
+    """Passages that hold an anchor which may occur again.
+
+    A passage found twice in a batch is confirmed: its words are returned as spans
+    of their texts, without hashes, and one row of its hashes alone tells other tasks.
+    All others are rows of both hashes, text and span.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = passage - PERIOD + 1
         for texts in _texts_once(batches, passage):
             anchors = [_anchors(h, passage) for _, h in texts]
             hit = filters.may_repeat(np.concatenate([np.empty(0, np.uint64), *(a for _, a in anchors)]))
             at = 0
-            columns: list[list[np.ndarray]] = [[], [], [], []]
-            for (key, hashes), (places, _) in zip(texts, anchors):
+            columns: list[list[np.ndarray]] = [[np.empty(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64)]
+            for k, ((_, hashes), (places, _)) in enumerate(zip(texts, anchors)):
                 here = places[hit[at : at + len(places)]]
                 at += len(places)
                 if not len(here):
@@ -78,28 +85,59 @@ def _candidates(filters: Filters, passage: int):
                 starts = np.flatnonzero(inside[: len(hashes) - passage + 1])
                 columns[0].append(window_hashes(hashes, passage)[starts])
                 columns[1].append(window_hashes(hashes, passage, SECOND)[starts])
-                columns[2].append(np.full(len(starts), key, np.int64).view(np.uint64))
-                columns[3].append(starts.astype(np.uint64))
-            parts = [np.concatenate([np.empty(0, np.uint64), *column]) for column in columns]
-            for k in range(0, len(parts[0]), 100_000):
-                piece = [pa.array(signed(p[k : k + 100_000])) for p in parts]
-                piece[3] = piece[3].cast(pa.int32())
-                yield pa.RecordBatch.from_arrays(piece, ["first", "second", "key", "place"])
+                columns[2].append(np.full(len(starts), k))
+                columns[3].append(starts)
+            first, second, text, place = (np.concatenate(column) for column in columns)
+            keys = np.array([key for key, _ in texts], np.int64)
+            order = np.lexsort((second, first))
+            alike = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
+            twice = np.zeros(len(order), bool)
+            twice[order[1:][alike]] = True
+            twice[order[:-1][alike]] = True
+            marks = order[np.flatnonzero(np.concatenate([alike, [False]]) & ~np.concatenate([[False], alike]))[: len(order)]]
+            once = np.flatnonzero(~twice)
+            yield from _found(first[once], second[once], keys[text[once]], place[once], None)
+            yield from _found(first[marks], second[marks], None, None, None)
+            begins, ends = merged(text[twice], place[twice], passage)
+            yield from _found(None, None, keys[begins[0]], begins[1], ends)
 
     return run
 
 
-def _spans(places: pd.Series) -> pd.Series:
-    """Places of passages to the spans of words that they cover, as (begin, end) pairs in one list."""
+def _found(*columns: np.ndarray | None, most: int = 100_000) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("first", pa.int64()), ("second", pa.int64()), ("key", pa.int64()), ("begin", pa.int32()), ("end", pa.int32())])
+    number = next(len(c) for c in columns if c is not None)
+    for at in range(0, number, most):
+        size = min(most, number - at)
+        arrays = [
+            pa.nulls(size, f.type) if c is None else pa.array(c[at : at + size].view(np.int64)).cast(f.type)
+            for c, f in zip(columns, schema)
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
 
-    def join(found: np.ndarray) -> list[int]:
-        starts = np.unique(np.asarray(found, np.int64))
-        new = np.flatnonzero(np.diff(starts) > PASSAGE) + 1
-        begins = starts[np.concatenate([[0], new])]
-        ends = starts[np.concatenate([new - 1, [len(starts) - 1]])] + PASSAGE
-        return np.stack([begins, ends], axis=1).ravel().tolist()
+def merged(texts: np.ndarray, places: np.ndarray, passage: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Spans that passages at sorted places of their texts cover: ((text, begin), end)."""
+    if not len(texts):
+        return (texts, places), places
+    new = np.flatnonzero((np.diff(texts) != 0) | (np.diff(places) > passage)) + 1
+    heads, tails = np.concatenate([[0], new]), np.concatenate([new - 1, [len(texts) - 1]])
+    return (texts[heads], places[heads]), places[tails] + passage
 
-    return places.map(join)
+
+def _spans(found: pd.Series) -> pd.Series:
+    """Spans that touch or overlap as one; (begin, end) of each, one after the other."""
+
+    def join(pairs) -> list[int]:
+        out: list[int] = []
+        for pair in sorted((p["begin"], p["end"]) for p in pairs):
+            if out and pair[0] <= out[-1]:
+                out[-1] = max(out[-1], pair[1])
+            else:
+                out += pair
+        return out
+
+    return found.map(join)
 
 
 def words_joined(text: Column) -> Column:
@@ -110,60 +148,67 @@ def words_joined(text: Column) -> Column:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of words in passages of PASSAGE words that occur more than once in the table.
 
-    Returns ``row`` (the input row), ``doc_id, n_words, words`` (the text's
-    words with one blank between two) and ``spans``: begin and end of each span, one after the other, in words.
+    Returns ``row`` (the input row), ``doc_id, n_words, text`` (empty for null)
+    and ``spans``: begin and end of each span, one after the other, in words.
     Spans do not touch.
 
     Two equal passages have anchors at the same shift in both, since some
     shift below PERIOD takes both to positions of the cover. So only anchors
-    are hashed and shuffled, 5 for 21 words; filters of the repeated ones go
+    are hashed and shuffled, 4 for 13 words; filters of the repeated ones go
     back to the texts, where an anchor found again is extended to all
-    passages around it. These candidates are confirmed by grouping their
-    128-bit hashes, so the result is exact. A text that occurs twice as a whole is one
+    passages around it. These candidates are confirmed by their 128-bit
+    hashes: within a batch at once, which keeps a passage of very many texts
+    from being shuffled, the others by counting them over all tasks. A text that occurs twice as a whole is one
     span, and stands for its copies elsewhere.
 
     Null and blank texts have no words, and shorter ones than a passage no
     spans. Rows repeated are copies of each other. Null ids stay null, an empty table gives no
     rows, further columns can have any name.
     """
-    spark = docs.sparkSession
-    words = words_joined(F.col(text_col))
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
-        word_count(words).alias("n_words"),
-        words.alias("words"),
-    ).withColumn("key", F.xxhash64("words"))
-    slim = rows.select("key", F.col("words").cast("binary").alias("text"))
-    texts = saved(rows.select("key", "n_words").groupBy("key").agg(F.count("*").alias("copies"), F.first("n_words").alias("n_words")), "texts")
-    number = (texts.agg(F.sum("n_words")).first()[0] or 0) * len(COVER) // PERIOD
+        text.alias("text"),
+        F.xxhash64(text).alias("key"),
+    )
+    slim = rows.select("key", F.col("text").cast("binary").alias("text"))
+    copied = saved(rows.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1").select("key"), "copied-texts")
+    number = (docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0) // 6 * len(COVER) // PERIOD
     hashes = slim.mapInArrow(_anchor_hashes(PASSAGE), "hash long")
-    schema = "first long, second long, key long, place int"
     found = [
-        saved(slim.mapInArrow(_candidates(filters, PASSAGE), schema), "passages")
+        saved(slim.mapInArrow(_candidates(filters, PASSAGE), _FOUND), "passages")
         for filters in seen_twice(hashes, number, "anchor-filters")
     ]
-    passages = reduce(DataFrame.unionByName, found, spark.createDataFrame([], schema))
+    passages = reduce(DataFrame.unionByName, found)
+    here = passages.where("first IS NULL").select("key", "begin", "end")
+    rest = passages.where("first IS NOT NULL")
     # A passage can be a candidate of several rounds.
-    passages = passages.distinct() if len(found) > 1 else passages
-    again = passages.groupBy("first", "second").count().where("count > 1").select("first", "second")
-    spans = pandas_udf(_spans, "array<int>")("places")
+    rest = rest.distinct() if len(found) > 1 else rest
+    others = F.count("*").over(Window.partitionBy("first", "second"))
+    again = rest.withColumn("held", others).where("held > 1 AND key IS NOT NULL")
+    again = again.select("key", "begin", (F.col("begin") + PASSAGE).alias("end"))
+    spans = pandas_udf(_spans, "array<int>")("found")
     parts = (
-        passages.join(again, ["first", "second"])
+        here.unionByName(again)
         .groupBy("key")
-        .agg(F.collect_set("place").alias("places"))
+        .agg(F.collect_set(F.struct("begin", "end")).alias("found"))
         .select("key", spans.alias("spans"))
     )
-    whole = texts.where((F.col("copies") > 1) & (F.col("n_words") >= PASSAGE)).select("key", F.array(F.lit(0), F.col("n_words").cast("int")).alias("spans"))
-    spans = whole.unionByName(null_safe_join(parts, whole.select("key"), ["key"], "left_anti"))
-    return null_safe_join(rows, spans, ["key"], "left").select(
-        "row", "doc_id", "n_words", "words", F.coalesce("spans", F.array().cast("array<int>")).alias("spans")
+    everything = F.array(F.lit(0), F.lit(2**31 - 1))
+    whole = copied.select("key", everything.alias("spans"))
+    spans = whole.unionByName(parts.join(copied, "key", "left_anti"))
+    known = rows.join(spans, "key", "left").withColumn("n_words", word_count(F.col("text")))
+    inside = F.transform("spans", lambda place: F.least(place, F.col("n_words").cast("int")))
+    held = F.col("spans").isNotNull() & (F.col("n_words") >= PASSAGE)
+    return known.select(
+        "row", "doc_id", "n_words", "text", F.when(held, inside).otherwise(F.array().cast("array<int>")).alias("spans")
     )
 
 
-def _kept(words: pd.Series, spans: pd.Series) -> pd.Series:
+def _kept(texts: pd.Series, spans: pd.Series) -> pd.Series:
     out = []
-    for text, cut in zip(words, spans):
+    for text, cut in zip(texts, spans):
         if text is None:
             out.append(None)
             continue
@@ -188,11 +233,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lambda total, i: total + F.coalesce(F.try_element_at("spans", i + 1) - F.try_element_at("spans", i), F.lit(0)),
     )
     touched = F.size("spans") > 0
-    kept = pandas_udf(_kept, "binary")(F.when(touched, F.col("words").cast("binary")), F.when(touched, F.col("spans")))
+    kept = pandas_udf(_kept, "binary")(F.when(touched, F.col("text").cast("binary")), F.when(touched, F.col("spans")))
     return found.select(
         "row",
         "doc_id",
         "n_words",
         removed.cast("long").alias("n_removed"),
-        F.coalesce(kept.cast("string"), F.col("words")).alias("kept_text"),
+        F.coalesce(kept.cast("string"), words_joined(F.col("text"))).alias("kept_text"),
     )

@@ -31,8 +31,8 @@ MOST_CELLS, BLOCK = 1 << 22, 1 << 12
 
 def shingles(text: bytes | None) -> np.ndarray:
     """Sorted hashes of a text's distinct shingles; of a shorter text's words as one; empty without words."""
-    words = (text or b"").lower().split()
-    return np.unique(window_hashes(word_hashes(words), min(SHINGLE, len(words)))) if words else np.empty(0, np.uint64)
+    words = word_hashes((text or b"").lower())
+    return np.unique(window_hashes(words, min(SHINGLE, len(words)))) if len(words) else words
 
 
 def least_shared(size):

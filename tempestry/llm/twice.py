@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from tempestry.llm.common import mixed, saved, signed
 
-#: Hashes for one pair of filters, and the bits of each of its filters (16 for each hash).
-SLICE_HASHES, SLICE_BITS = 500_000, 1 << 23
+#: Hashes for one pair of filters, and the bits of each of its filters (32 for each hash).
+SLICE_HASHES, SLICE_BITS = 250_000, 1 << 23
 PROBES = 4
+#: Most of its bits that a filter of repeated hashes has set: one in 4000 other hashes passes at 1/8.
+FILL = 1 / 8
 #: Most bytes of filters that are broadcast at once; more take another round each.
-MOST_FILTER_BYTES = 48 << 20
+MOST_FILTER_BYTES = 64 << 20
 
 
 def emitted(hashes: np.ndarray) -> pa.RecordBatch:
@@ -44,11 +46,11 @@ def _put(bits: np.ndarray, hashes: np.ndarray) -> None:
     np.bitwise_or.at(bits, places >> np.uint64(3), np.uint8(1) << (places & np.uint64(7)).astype(np.uint8))
 
 
-def folded(bits: np.ndarray) -> np.ndarray:
-    """The filter halved as long as at most a third of its bits would be set."""
+def folded(bits: np.ndarray, fill: float = FILL) -> np.ndarray:
+    """The filter halved as long as at most ``fill`` of its bits would be set."""
     while len(bits) > 64:
         half = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
-        if np.bitwise_count(half).sum() > len(half) * 8 / 3:
+        if np.bitwise_count(half).sum() > len(half) * 8 * fill:
             break
         bits = half
     return bits
@@ -62,7 +64,7 @@ def _slice_column(slices: int) -> Column:
     return F.shiftrightunsigned("hash", 1) % slices
 
 
-def _seen_again(slices: int):
+def _seen_again(slices: int, fill: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(SLICE_BITS // 8, np.uint8))
         again: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(SLICE_BITS // 8, np.uint8))
@@ -77,7 +79,7 @@ def _seen_again(slices: int):
                     _put(again[s], repeated)
         for s, bits in again.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([s], pa.int64()), pa.array([folded(bits).tobytes()], pa.binary())], ["slice", "bits"]
+                [pa.array([s], pa.int64()), pa.array([folded(bits, fill).tobytes()], pa.binary())], ["slice", "bits"]
             )
 
     return run
@@ -98,7 +100,7 @@ class Filters:
         return hit
 
 
-def seen_twice(hashes: DataFrame, number: int, label: str) -> Iterator[Filters]:
+def seen_twice(hashes: DataFrame, number: int, label: str, fill: float = FILL) -> Iterator[Filters]:
     """Filters that hold every hash with two rows or more, and few others.
 
     ``hashes`` has one column ``hash`` of about ``number`` rows, for which the
@@ -111,7 +113,7 @@ def seen_twice(hashes: DataFrame, number: int, label: str) -> Iterator[Filters]:
     """
     slices = max(16, number // SLICE_HASHES + 1)
     filters = saved(
-        hashes.repartition(slices, _slice_column(slices)).mapInArrow(_seen_again(slices), "slice long, bits binary"), label
+        hashes.repartition(slices, _slice_column(slices)).mapInArrow(_seen_again(slices, fill), "slice long, bits binary"), label
     )
     sizes = sorted((r.slice, r.size) for r in filters.select("slice", F.length("bits").alias("size")).collect())
     groups: list[list[int]] = [[]]

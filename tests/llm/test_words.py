@@ -11,13 +11,30 @@ from tempestry.llm.dedup_substrings import COVER, PERIOD, anchor_places
 @given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=60), st.integers(1, 20))
 @settings(deadline=None)
 def test_windows_hash_alike_just_when_their_words_are_alike(words, width):
-    hashes = common.window_hashes(common.word_hashes(words), width)
+    hashes = common.window_hashes(common.word_hashes(b" ".join(words)), width)
     windows = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
     assert len(hashes) == len(windows)
     assert len(set(hashes.tolist())) == len(set(windows))
     assert len(set(zip(hashes.tolist(), windows))) == len(set(windows))
 
 
+@given(st.lists(st.sampled_from([b"a", b"\xc3\xa9", b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b"\x00", b"\x1c", b"bc"]), max_size=40).map(b"".join))
+@settings(deadline=None, max_examples=300)
+def test_word_hashes_follow_the_words(text):
+    whole = common.word_hashes(text)
+    assert whole.tolist() == [common.word_hashes(w)[0] for w in text.split()]
+    before, common.PART_BYTES = common.PART_BYTES, 3
+    try:
+        assert common.word_hashes(text).tolist() == whole.tolist()
+    finally:
+        common.PART_BYTES = before
+
+
+def test_different_words_have_different_hashes():
+    words = [b"%d" % i for i in range(100_000)] + [b"\x00" * i for i in range(1, 50)] + [b"a" * i for i in range(1, 50)]
+    assert len(set(common.word_hashes(b" ".join(words)).tolist())) == len(words)
+
+
 def test_covered():
     assert common.covered(np.array([1, 2]), 2, 6).tolist() == [False, True, True, True, False, False]
 

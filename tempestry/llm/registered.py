@@ -66,6 +66,37 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op3_source_mix"] = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS tie
+  FROM d GROUP BY source),
+sw AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][tie % 3 + 1] AS weight, source_size * 2 AS cap,
+  sum(source_size) OVER () * 1.5::DOUBLE AS total FROM s),
+sl AS (SELECT *, (total - coalesce(sum(cap) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS unit
+  FROM sw WINDOW before AS (ORDER BY cap / weight, tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+su AS (SELECT *, arg_min(unit, [cap / weight, tie]) FILTER (unit * weight < cap) OVER () AS level FROM sl),
+t AS (SELECT source, source_size, CASE WHEN level IS NULL THEN CAST(cap AS DOUBLE) ELSE least(CAST(cap AS DOUBLE), level * weight) END AS target FROM su),
+c AS (SELECT d.source, size < 50 AS light, sum(size) AS words, any_value(source_size) AS source_size, any_value(target) AS target
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source GROUP BY d.source, size < 50 HAVING sum(size) > 0),
+cw AS (SELECT *, words * CASE WHEN light THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS weight, words * 2 AS cap, CAST(light AS INTEGER) AS tie FROM c),
+cl AS (SELECT *, (target - coalesce(sum(cap) OVER before, 0)) /
+    (sum(weight) OVER (PARTITION BY source) - coalesce(sum(weight) OVER before, 0)) AS unit
+  FROM cw WINDOW before AS (PARTITION BY source ORDER BY cap / weight, tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+cu AS (SELECT *, arg_min(unit, [cap / weight, tie]) FILTER (unit * weight < cap) OVER (PARTITION BY source) AS level FROM cl),
+e AS (SELECT *, floor(CASE WHEN level IS NULL THEN CAST(cap AS DOUBLE) ELSE least(CAST(cap AS DOUBLE), level * weight) END
+    / words * 1e9 + 0.5) / 1e9 AS expected FROM cu),
+f AS (SELECT source, light, floor(expected) AS certain, (expected - floor(expected)) / (1 - (expected - floor(expected))) AS odds,
+  max(target) OVER (PARTITION BY source) - sum(floor(expected) * words) OVER (PARTITION BY source) AS rest FROM e),
+u AS (SELECT d.*, f.certain, f.odds, f.rest, (CAST('0x' || substr(md5('mix:' || doc_id), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+  FROM d LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source AND (d.size < 50) = f.light),
+r AS (SELECT *, CASE WHEN odds > 0 THEN u / (1 - u) / odds END AS rank FROM u),
+k AS (SELECT *, rank IS NOT NULL AND sum(size) FILTER (rank IS NOT NULL) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size / 2.0::DOUBLE <= rest AS drawn FROM r)
+SELECT k.doc_id, k.size, t.source_size, t.target, CAST((coalesce(k.certain, 0) + CAST(k.drawn AS INTEGER)) * k.size AS BIGINT) AS taken
+FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
+"""
+
+
 @_query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets of every document, by patterns and by character models."""

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from struct import pack as pack_numbers
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +21,8 @@ from tempestry.llm.common import batches_of, saved
 CAPACITY = 4096
 #: The id that ends a document (fixed value).
 END = 1
-#: Words whose ids a worker remembers.
-REMEMBERED_WORDS = 400_000
+#: Words whose ids a worker remembers, some 200 bytes each. It begins anew when several times as many were not.
+REMEMBERED_WORDS = 700_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 _PIECES = pa.schema(
@@ -35,7 +38,32 @@ _PIECES = pa.schema(
 )
 
 
-class Encoder:
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte: its own if it is shown, else one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+
+
+#: Marks at the end of a word, of all ASCII ones but the apostrophe.
+_MARKS = re.compile(rb"[!-&(-/:-@\[-`{-~]+(?![^\x20\x09-\x0D])")
+_LETTER = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def _apart(found: re.Match) -> bytes:
+    """The marks with a blank before them, if they follow a letter or digit surely (A-Z, 0-9, U+00C0 to U+00FF)."""
+    text, at = found.string, found.start()
+    if at and (
+        text[at - 1] in _LETTER or at > 1 and text[at - 2] == 0xC3 and 0x80 <= text[at - 1] <= 0xBF and text[at - 1] not in (0x97, 0xB7)
+    ):
+        return b" " + found[0]
+    return found[0]
+
+
+class Encoder(dict):
     """Ids of texts by a tokenizer that never joins characters across ASCII white space.
 
     So a text's ids are those of its words, one after the other, and a word is
@@ -47,35 +75,38 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def __call__(self, texts: list[bytes | None]) -> Iterator[bytes]:
-        """The ids of each text, without the id that ends it."""
-        split = [(text or b"").split() for text in texts]
-        new = {w for words in split for w in words if w not in self.known}
-        found = {w: self.older[w] for w in new if w in self.older}
-        self.known |= found
-        # Lower case and one mark at the end change nothing about the ids of an ASCII word's stem.
-        stems = {w: _stem(w) for w in new if w not in found}
-        ask = [s for s in {x for pair in stems.values() for x in pair if x} if s not in self.known]
-        encodings = self.tokenizer.encode_batch([s.decode("utf-8", "replace") for s in ask], add_special_tokens=False)
-        self.known |= {s: np.array(e.ids, "<u4").tobytes() for s, e in zip(ask, encodings)}
-        self.known |= {w: self.known[stem] + (self.known[mark] if mark else b"") for w, (stem, mark) in stems.items()}
-        for words in split:
-            yield b"".join(map(self.known.__getitem__, words))
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known, self.older = {}, self.known
-
-
-def _stem(word: bytes) -> tuple[bytes, bytes]:
-    """The word in lower case and a full stop or comma at its end, where that cannot change its ids."""
-    if not word.isascii() or b"<|" in word:
-        return word, b""
-    word = word.lower()
-    if len(word) > 1 and word[-1:] in b".," and word[-2:-1].isalnum():
-        return word[:-1], word[-1:]
-    return word, b""
+        self.model = self.tokenizer.model
+        self.refused = 0
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self._ids(word)
+        ids = pack_numbers(f"<{len(ids)}I", *ids)
+        if len(self) < REMEMBERED_WORDS:
+            self[word] = ids
+        else:
+            self.refused += 1
+        return ids
+
+    def _ids(self, word: bytes) -> list[int]:
+        text = word.decode("utf-8", "replace")
+        # The tokenizer neither changes nor splits letters in lower case and normal form.
+        if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
+            return [t.id for t in self.model.tokenize(word.decode("latin-1").translate(_LETTERS))]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def of(self, text: bytes | None) -> bytes:
+        """The ids of a text, without the id that ends it."""
+        text = text or b""
+        if b"<|" not in text:  # the beginning of a special token
+            text = _MARKS.sub(_apart, text)
+            # The tokenizer lowers letters itself, but after joining them to marks of U+0300 to U+033F.
+            if b"\xcc" not in text:
+                text = text.lower()
+        ids = b"".join(map(self.__getitem__, text.split()))
+        if self.refused > 4 * REMEMBERED_WORDS:
+            self.clear()
+            self.refused = 0
+        return ids
 
 
 _encoders: dict[str, Encoder] = {}
@@ -91,14 +122,13 @@ def _cut(tokenizer: str, capacity: int, end: int):
         encode, places = _encoders[tokenizer], Counter()
         for batch in batches:
             ids, parts, texts = (batch.column(n).to_pylist() for n in ("doc_id", "part", "text"))
-            for at in range(0, len(texts), 256):
-                for doc, part, encoded in zip(ids[at : at + 256], parts[at : at + 256], encode(texts[at : at + 256])):
-                    encoded += last
-                    for number, start in enumerate(range(0, len(encoded), 4 * capacity)):
-                        piece = encoded[start : start + 4 * capacity]
-                        length = len(piece) // 4
-                        yield doc, number, start // 4, length, zlib.crc32(piece), part, places[length]
-                        places[length] += 1
+            for doc, part, text in zip(ids, parts, texts):
+                encoded = encode.of(text) + last
+                for number, start in enumerate(range(0, len(encoded), 4 * capacity)):
+                    piece = encoded[start : start + 4 * capacity]
+                    length = len(piece) // 4
+                    yield doc, number, start // 4, length, zlib.crc32(piece), part, places[length]
+                    places[length] += 1
 
     return lambda batches: batches_of(pieces(batches), _PIECES, 10_000)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempestry.functions import parsing
-from tempestry.schemas import EVENTS, FATALITIES, LOAD_YEAR, REVISION, Dataset
+from tempestry.schemas import EVENTS, FATALITIES, LOAD_YEAR, MONTH_KEY, REVISION, Dataset
 
 
 def clean(
@@ -27,11 +27,9 @@ def clean(
     """
     if on_bad not in ("null", "error"):
         raise ValueError(f"on_bad must be 'null' or 'error', not {on_bad!r}")
-    pattern = date_format or dataset.date_format
 
     def instant(text: Column) -> Column:
-        value = parsing.instant(text, pattern)
-        return parsing.in_century_of(value, F.col(century_from)) if century_from else value
+        return date_of(text, dataset, date_format, century_from)
 
     convert = {
         "text": lambda text: text.cast("string"),
@@ -40,10 +38,16 @@ def clean(
         "real": lambda text: parsing.real_number(text, single_precision),
         "instant": instant,
     }
-    kept = [c for c in (REVISION, LOAD_YEAR) if c in raw.columns]
+    kept = [c for c in (REVISION, LOAD_YEAR, MONTH_KEY) if c in raw.columns]
     return raw.select(*(convert[kind](F.col(source)).alias(name) for source, name, kind in dataset.fields), *kept)
 
 
+def date_of(text: Column, dataset: Dataset, date_format: str | None = None, century_from: str | None = None) -> Column:
+    """A date column of ``dataset``, as :func:`clean` reads it."""
+    value = parsing.instant(text, date_format or dataset.date_format)
+    return parsing.in_century_of(value, F.col(century_from)) if century_from else value
+
+
 def clean_events(raw: DataFrame, **options) -> DataFrame:
     """[P1]"""
     return clean(raw, EVENTS, **options)

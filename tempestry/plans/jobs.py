@@ -7,8 +7,10 @@ from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tempestry.operators.clean import clean
+from tempestry.functions.calendar import month_key
+from tempestry.operators.clean import clean, date_of
 from tempestry.schemas import DATASETS, EVENTS, LOAD_YEAR
 from tempestry.session import together
 from tempestry.sources import csv_files, parquet_files, warehouse
@@ -50,6 +52,7 @@ def cleaned_years(
     same_header: bool = True,
     bad_rows: str = "error",
     revision: str | None = None,
+    by_month: bool = False,
 ) -> DataFrame:
     """[S1, S2, P1, P2] The files of ``years`` as typed rows with their ``load_year`` and ``revision``.
 
@@ -57,19 +60,21 @@ def cleaned_years(
     ``bad_rows`` says what to do with rows that do not fit their header
     (:func:`csv_files.read_csv`). ``date_formats`` maps a dataset's name to a pattern other than its own.
     ``rebase_century`` is for events, the ones with two-digit years.
+    ``by_month`` lays the rows out for the loaded tables, by one shuffle of the
+    raw text for which only the date is read before.
     """
     spec = DATASETS[dataset]
     files = csv_files.year_files(spark, source_root, spec, years, layout, revision)
     raw = csv_files.read_year_files(
         spark, files, spec, multiline=multiline, same_header=same_header, bad_rows=bad_rows
     )
-    return clean(
-        csv_files.deal_out(raw, files),
-        spec,
-        date_format=(date_formats or {}).get(dataset),
-        century_from=LOAD_YEAR if rebase_century and spec is EVENTS else None,
-        on_bad=on_bad,
-    )
+    dates = {
+        "date_format": (date_formats or {}).get(dataset),
+        "century_from": LOAD_YEAR if rebase_century and spec is EVENTS else None,
+    }
+    text = next(F.col(source) for source, name, _ in spec.fields if name == spec.date)
+    month = month_key(date_of(text, spec, **dates)) if by_month else None
+    return clean(csv_files.deal_out(raw, files, month=month), spec, on_bad=on_bad, **dates)
 
 
 def ingest(
@@ -151,5 +156,5 @@ def backfill(
         ingest(spark, source_root, lake_root, years, **options)
         load(spark, lake_root, warehouse_root, years, mode)
     else:
-        cleaned = partial(cleaned_years, spark, source_root, years=years, **options)
+        cleaned = partial(cleaned_years, spark, source_root, years=years, by_month=True, **options)
         _store(spark, cleaned, warehouse_root, years, mode)

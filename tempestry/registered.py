@@ -143,7 +143,7 @@ def _load_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     driver_tables.write_year_files(spark, sf_dir, "events", f"{root}/files")
     years = driver_tables.years_of(spark, sf_dir, "events")
     layout = driver_tables.FOLDER_LAYOUT
-    cleaned = jobs.cleaned_years(spark, f"{root}/files", "events", years, layout=layout, revision="first")
+    cleaned = jobs.cleaned_years(spark, f"{root}/files", "events", years, layout=layout, revision="first", by_month=True)
     warehouse.replace_years(spark, cleaned, f"{root}/events", EVENTS, years)
     return _loaded(spark, f"{root}/events", "events")
 

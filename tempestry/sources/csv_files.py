@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempestry.schemas import LOAD_YEAR, REVISION, Dataset
+from tempestry.schemas import LOAD_YEAR, MONTH_KEY, REVISION, Dataset
 
 # --- fixed value: how the published files are named; a revision tag and .csv.gz follow ---
 FILE_NAME = "StormEvents_{kind}-ftp_v1.0_d{year}"
@@ -176,15 +176,23 @@ def read_year_files(
     return reduce(DataFrame.unionByName, scans)
 
 
-def deal_out(rows: DataFrame, files: Iterable[YearFile], piece_bytes: int = PIECE_BYTES) -> DataFrame:
+def deal_out(
+    rows: DataFrame, files: Iterable[YearFile], piece_bytes: int = PIECE_BYTES, month: Column | None = None
+) -> DataFrame:
     """Spread the rows of each year over as many pieces as the size of its file asks for.
 
+    ``month`` is dealt by too and kept as ``month_key``: the rows then are laid
+    out for the loaded tables, and a month has a twelfth of the pieces.
+
     A gzip file is read by one task, and all its rows are in that task's
     shuffle output, which adaptive execution cannot split. Dealt out in turn,
     a file with a third of all rows is typed and written by many tasks, while
     a small one stays one piece. ``rows`` must come straight from the scan: a
     retried task then reads and deals the same rows in the same order.
     """
-    pieces = F.create_map(*(F.lit(n) for file in files for n in (file.year, -(-file.size // piece_bytes) or 1)))
+    parts = piece_bytes if month is None else 12 * piece_bytes
+    pieces = F.create_map(*(F.lit(n) for file in files for n in (file.year, -(-file.size // parts) or 1)))
     dealt = rows.withColumn("_piece", F.pmod(F.monotonically_increasing_id(), pieces[F.col(LOAD_YEAR)]))
-    return dealt.hint("rebalance", LOAD_YEAR, "_piece").drop("_piece")
+    if month is None:
+        return dealt.hint("rebalance", LOAD_YEAR, "_piece").drop("_piece")
+    return dealt.withColumn(MONTH_KEY, month).hint("rebalance", LOAD_YEAR, MONTH_KEY, "_piece").drop("_piece")

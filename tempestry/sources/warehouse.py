@@ -53,17 +53,21 @@ def _laid_out(cleaned: DataFrame, dataset: Dataset) -> DataFrame:
     """Columns in table order, rows grouped by partition.
 
     The rebalance hint gives files of even size: Spark splits a month that
-    holds much of the rows over several tasks and joins small ones.
+    holds much of the rows over several tasks and joins small ones. Rows that
+    come with their month were dealt out by it already.
     """
     tag = F.col(REVISION) if REVISION in cleaned.columns else F.lit(None).cast("string").alias(REVISION)
     columns: list[Column | str] = [*dataset.columns, tag, F.col(LOAD_YEAR).cast("int").alias(LOAD_YEAR)]
-    return cleaned.select(*columns, month_key(F.col(dataset.date)).alias(MONTH_KEY))
+    if MONTH_KEY in cleaned.columns:
+        return cleaned.select(*columns, MONTH_KEY)
+    laid_out = cleaned.select(*columns, month_key(F.col(dataset.date)).alias(MONTH_KEY))
+    return laid_out.hint("rebalance", LOAD_YEAR, MONTH_KEY)
 
 
 def append(spark: SparkSession, cleaned: DataFrame, path: str, dataset: Dataset) -> None:
     """[K6, K7] Add the rows, by column name. Loading a year twice doubles it until staging."""
     create_table(spark, path, dataset)
-    rows = _laid_out(cleaned, dataset).hint("rebalance", LOAD_YEAR, MONTH_KEY)
+    rows = _laid_out(cleaned, dataset)
     rows.write.mode("append").partitionBy(LOAD_YEAR, MONTH_KEY).parquet(path)
 
 
@@ -72,5 +76,5 @@ def replace_years(
 ) -> None:
     """[K8] Make ``cleaned`` the whole content of ``years``; see :func:`partitions.replace_years`."""
     create_table(spark, path, dataset)
-    rows = _laid_out(cleaned, dataset).hint("rebalance", LOAD_YEAR, MONTH_KEY)
+    rows = _laid_out(cleaned, dataset)
     partitions.replace_years(spark, rows, path, [LOAD_YEAR, MONTH_KEY], years)

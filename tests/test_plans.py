@@ -138,16 +138,25 @@ def test_orphans_are_counted_before_the_join(spark, staged, no_broadcast):
     assert sorted(shuffles) == ["event_id", "event_id", "fatality_id"]
 
 
-def test_rows_straight_from_files_are_dealt_out_and_then_grouped_by_month(spark, sf_dir, tmp_path):
-    """Two shuffles: the first spreads the typing of large files, the second makes the months' files."""
+def test_rows_kept_in_a_lake_are_dealt_out_before_they_are_typed(spark, sf_dir, tmp_path):
+    """One shuffle, which spreads the typing of large files."""
     from tempestry import driver_tables
     from tempestry.plans import jobs
 
     driver_tables.write_year_files(spark, sf_dir, "fatalities", str(tmp_path))
     years = driver_tables.years_of(spark, sf_dir, "fatalities")
     cleaned = jobs.cleaned_years(spark, str(tmp_path), "fatalities", years, layout=driver_tables.FOLDER_LAYOUT)
-    plan = plan_of(warehouse._laid_out(cleaned, FATALITIES).hint("rebalance", "load_year", "month_key"))
-    assert re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)#", plan) == [
-        ("load_year", "month_key"), ("load_year", "_piece"),
-    ]
-    assert plan.index("gettimestamp") < plan.index("_piece")  # typed above the first shuffle
+    plan = plan_of(cleaned)
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)#", plan) == [("load_year", "_piece")]
+    assert plan.index("gettimestamp") < plan.index("_piece")
+
+
+def test_a_backfill_shuffles_its_rows_once(spark, sf_dir, tmp_path):
+    from tempestry import driver_tables
+    from tempestry.plans import jobs
+
+    driver_tables.write_year_files(spark, sf_dir, "fatalities", str(tmp_path))
+    years = driver_tables.years_of(spark, sf_dir, "fatalities")
+    layout = driver_tables.FOLDER_LAYOUT
+    cleaned = jobs.cleaned_years(spark, str(tmp_path), "fatalities", years, layout=layout, by_month=True)
+    assert plan_of(warehouse._laid_out(cleaned, FATALITIES)).count("Exchange") == 1

@@ -7,6 +7,8 @@ of a few thousand rows at most (years x types) for presentation.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,25 +38,28 @@ def fatalities_by_sex(fatalities: DataFrame) -> DataFrame:
     return counts.orderBy("fatality_year")
 
 
-def fatality_type_by_event_type(events: DataFrame, fatalities: DataFrame) -> DataFrame:
+def fatality_type_by_event_type(
+    events: DataFrame, fatalities: DataFrame, labels: Sequence[str] = codes.TYPE_LABELS
+) -> DataFrame:
     """[J1, A4, O3] Fatalities per start year, event type and fatality type.
 
-    Fatalities are counted per event id before the join, one column per label,
-    which :func:`codes.decode` limits to three. This changes no sum, but an
+    Fatalities are counted per event id before the join, one column for each of
+    ``labels``, which are all that :func:`codes.decode` gives; another one
+    stops the job. This changes no sum, but an
     event with a third of all fatalities reaches the shuffle as one row per
     map task and the join as a single row, and as the count is by event id
     alone, the join needs no further shuffle of it. Fatalities without id
     count 0 but keep their group; rows without event id take no part.
     """
     label = F.col("fatality_type")
-    known = F.when(label.isin(*codes.TYPE_LABELS), label).otherwise(F.raise_error(F.lit("not a decoded type")))
+    known = F.when(label.isin(*labels), label).otherwise(F.raise_error(F.concat(F.lit("not a decoded type: "), label)))
     per_event = (
         fatalities.filter(F.col("event_id").isNotNull())
         .select("event_id", "fatality_id", known.alias("_label"))
         .groupBy("event_id")
         .agg(
-            *(F.count_if(F.col("_label") == text).alias(f"rows_{text}") for text in codes.TYPE_LABELS),
-            *(F.count(F.when(F.col("_label") == text, F.col("fatality_id"))).alias(text) for text in codes.TYPE_LABELS),
+            *(F.count_if(F.col("_label") == text).alias(f"rows_{text}") for text in labels),
+            *(F.count(F.when(F.col("_label") == text, F.col("fatality_id"))).alias(text) for text in labels),
         )
     )
     joined = events.select("event_id", "event_start_year", "event_type").join(per_event, "event_id")
@@ -69,7 +74,7 @@ def fatality_type_by_event_type(events: DataFrame, fatalities: DataFrame) -> Dat
                     F.col(text).alias("fatality_count"),
                     F.col(f"rows_{text}").alias("_rows"),
                 )
-                for text in codes.TYPE_LABELS
+                for text in labels
             )
         )
     )

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import re
 
+from tempestry.schemas import EVENTS, FATALITIES, Dataset
+
+# The columns of the facts are fixed values: names and order as in schemas.py.
 _RELATIONS = {
     "loaded_orders": """
         select o_orderkey as k, o_orderdate as d, o_orderpriority as p, o_orderstatus as st, rl,
@@ -62,15 +65,11 @@ _RELATIONS = {
     "stg_events": """
         select * exclude (load_year) from typed_events
         qualify row_number() over (partition by event_id order by
-          state nulls first, event_type nulls first, event_start_date nulls first, event_end_date nulls first,
-          injuries_direct nulls first, injuries_indirect nulls first, deaths_direct nulls first,
-          deaths_indirect nulls first, damage_property nulls first, damage_crops nulls first, source nulls first,
-          magnitude nulls first, magnitude_type nulls first) = 1""",
+          EVENT_ORDER) = 1""",
     "stg_fatalities": """
         select * exclude (load_year) from typed_fatalities
         qualify row_number() over (partition by fatality_id order by
-          event_id nulls first, fatality_type nulls first, fatality_date nulls first, fatality_age nulls first,
-          fatality_sex nulls first, fatality_location nulls first) = 1""",
+          FATALITY_ORDER) = 1""",
     "fact_events": """
         select event_id, state, event_type, event_start_date,
                cast(month(event_start_date) as bigint) as event_start_month,
@@ -120,9 +119,15 @@ def _needed(sql: str) -> list[str]:
     return [name for name in _RELATIONS if name in found]
 
 
+def _order(dataset: Dataset) -> str:
+    """Every column but the key, nulls first."""
+    return ", ".join(f"{c} nulls first" for c in dataset.columns if c != dataset.key)
+
+
 def _query(sql: str) -> str:
     ctes = ",\n".join(f"{name} as ({_RELATIONS[name]})" for name in _needed(sql))
-    return f"with {ctes}\n{sql}" if ctes else sql
+    whole = f"with {ctes}\n{sql}" if ctes else sql
+    return whole.replace("EVENT_ORDER", _order(EVENTS)).replace("FATALITY_ORDER", _order(FATALITIES))
 
 
 _RAW_EVENTS = """
@@ -271,18 +276,14 @@ _SQL = {
           union all
           select * replace ('N' || event_id as event_id), 2 from typed_events where cast(event_id as bigint) % 1000 = 0)
         qualify row_number() over (partition by event_id order by revision desc,
-          state nulls first, event_type nulls first, event_start_date nulls first, event_end_date nulls first,
-          injuries_direct nulls first, injuries_indirect nulls first, deaths_direct nulls first,
-          deaths_indirect nulls first, damage_property nulls first, damage_crops nulls first, source nulls first,
-          magnitude nulls first, magnitude_type nulls first) = 1""",
+          EVENT_ORDER) = 1""",
     "stg_fatalities_latest_load": """
         select * exclude (load_year, revision) from (
           select *, 1 as revision from typed_fatalities
           union all
           select * replace (99::bigint as fatality_age), 2 from typed_fatalities where cast(event_id as bigint) % 4 = 0)
         qualify row_number() over (partition by fatality_id order by revision desc,
-          event_id nulls first, fatality_type nulls first, fatality_date nulls first, fatality_age nulls first,
-          fatality_sex nulls first, fatality_location nulls first) = 1""",
+          FATALITY_ORDER) = 1""",
     "stg_fatalities": "select * from stg_fatalities",
     "fact_events": "select * from fact_events",
     "fact_events_start_month": """

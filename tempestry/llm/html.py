@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 from math import log
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -46,6 +48,12 @@ ENDS = {
 #: Elements that an unclosed inner element does not reach beyond.
 SCOPES = frozenset("table ul ol dl div section article main aside nav footer header form body html td th".split())
 
+#: Elements with a mark of their own, and characters that end a sentence (fixed values).
+TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li td th div span blockquote pre dd dt figcaption".split())
+SENTENCE_ENDS = tuple(".!?…\"'”»")
+#: Most log-odds of one mark.
+MOST_ODDS = 2.0
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
 )
@@ -171,25 +179,74 @@ def blocks(page: str) -> list[Block]:
     return [b for b in out if b.text()]
 
 
-def costs(block: Block) -> tuple[float, float]:
-    """Costs of calling the block boilerplate and content: the softened log-odds of a linear classifier.
+def marks(block: Block) -> tuple[str, ...]:
+    """What a block's text and element say of it, whatever it lies in."""
+    text = block.text()
+    links = min(4, 4 * block.linked // max(1, len(text)))
+    return (
+        f"length:{min(9, int(log(1 + len(text) / 10) * 1.5))}",
+        f"links:{links}",
+        f"ends:{text[-1:] in SENTENCE_ENDS}",
+        f"tag:{block.tag if block.tag in TAGS else 'other'}",
+        f"sign:{'©' in text}",
+    )
+
+
+def weak_label(block: Block) -> int | None:
+    """1 for a block that lies in an article or the main part, 0 in what is surely boilerplate, else unknown."""
+    if block.bad:
+        return 0
+    return 1 if block.good >= 3 else None
+
+
+def counted_marks(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """``mark, content, boilerplate``: in how many weakly labelled blocks of all pages each mark is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter = Counter()
+            for page in batch.column(0).to_pylist():
+                for block in blocks(page or ""):
+                    if (label := weak_label(block)) is not None:
+                        counts.update((mark, label) for mark in marks(block))
+            names = sorted({mark for mark, _ in counts})
+            columns = [pa.array(names, pa.string())] + [pa.array([counts[n, k] for n in names], pa.int64()) for k in (1, 0)]
+            yield pa.RecordBatch.from_arrays(columns, ["mark", "content", "boilerplate"])
+
+    found = pages.select(F.col(html_col).alias("html")).mapInArrow(run, "mark string, content long, boilerplate long")
+    return found.groupBy("mark").agg(F.sum("content").alias("content"), F.sum("boilerplate").alias("boilerplate"))
+
 
-    Features: the evidence of its ancestors, length, share of linked text,
-    headings, and marks of prose.
+def train(pages: DataFrame, html_col: str = "html") -> dict[str, float] | None:
+    """Log-odds of each mark, from blocks whose place in the page labels them, of all pages.
+
+    What is collected is a row per mark, some thirty. None if there is no labelled block of one of the two kinds.
     """
-    text = block.text()
-    length = len(text)
-    links = min(1.0, block.linked / max(1, length))
-    score = 0.6 * log(1 + length / 40) - 0.4
-    score -= 4.0 * links
-    score += 0.8 * (text[-1:] in ".!?\"'”»") + 0.6 * (block.tag in ("p", "h1", "h2", "h3", "blockquote", "pre"))
+    rows = counted_marks(pages, html_col).collect()
+    total = [sum(r[k] for r in rows if r.mark.startswith("ends:")) for k in ("content", "boilerplate")]
+    if not all(total):
+        return None
+    ratio = lambda r: log((r.content + 1) / (total[0] + 2)) - log((r.boilerplate + 1) / (total[1] + 2))
+    return {r.mark: max(-MOST_ODDS, min(MOST_ODDS, ratio(r))) for r in rows}
+
+
+def costs(block: Block, odds: dict[str, float] | None = None) -> tuple[float, float]:
+    """Costs of calling the block boilerplate and content.
+
+    The log-odds of its marks, trained (``train``) or else a rough guess from
+    length, links and sentence ends, and the evidence of what it lies in.
+    """
+    if odds is None:
+        length = len(block.text())
+        score = 0.6 * log(1 + length / 40) - 0.4 - 4.0 * min(1.0, block.linked / max(1, length))
+        score += 0.8 * (block.text()[-1:] in SENTENCE_ENDS) - 2.0 * ("©" in block.text() and length < 300)
+    else:
+        score = sum(odds.get(mark, 0.0) for mark in marks(block))
     score += 1.6 * block.good - 2.6 * block.bad
     if block.good >= 3 and block.bad == 0:
         score = max(score, 2.0)
     if block.bad:
         score = min(score, -2.5)
-    if "©" in text and length < 300:
-        score -= 2.0
     return max(score, 0.0), max(-score, 0.0)
 
 
@@ -288,19 +345,15 @@ def minimum_cut(terminal: list[tuple[float, float]], links: list[tuple[int, int,
                 break
 
 
-def main_text(page: str | None) -> str:
+def main_text(page: str | None, odds: dict[str, float] | None = None) -> str:
     """The content blocks of a page in order, one to a line."""
     found = blocks(page or "")
-    keep = minimum_cut([costs(b) for b in found], edges(found))
+    keep = minimum_cut([costs(b, odds) for b in found], edges(found))
     return "\n".join(b.text() for b, kept in zip(found, keep) if kept)
 
 
-def _main_texts(pages: pd.Series) -> pd.Series:
-    return pages.map(main_text, na_action=None)
-
-
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, url, text, n_chars`` of every page.
+    """``page_id, url, text, n_chars`` of every page, with a classifier trained on the same pages.
 
     The blocks of a page are labelled together: a classifier's costs are the
     capacities to the source (content) and the sink (boilerplate), and edges
@@ -312,7 +365,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     give an empty text. Rows stay as many as they are, repeated ones give
     equal texts; an empty table gives no rows; further columns are ignored.
     """
-    text: Column = pandas_udf(_main_texts, "string")(F.coalesce(F.col(html_col), F.lit("")))
+    odds = train(pages, html_col)
+
+    def main_texts(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda page: main_text(page, odds))
+
+    text = pandas_udf(main_texts, "string")(F.coalesce(F.col(html_col), F.lit("")))
     return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text.alias("text")).withColumn(
         "n_chars", F.length("text").cast("long")
     )

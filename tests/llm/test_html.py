@@ -71,3 +71,22 @@ def test_extract(spark):
     got = html.extract(pages).collect()
     assert sorted((r.page_id or 0, r.url or "", r.n_chars) for r in got) == [(0, "v", 0), (1, "u", 145), (1, "u", 145), (2, "", 0)]
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_trained_classifier_reads_pages_without_semantic_elements(spark):
+    """Trained on pages that tell their parts, and asked for held-out pages that do not."""
+    words = "the of and words tell much about something that happened here in prose".split()
+    sentence = lambda i, n: " ".join(words[(i * 7 + k * k) % len(words)] for k in range(n)).capitalize() + "."
+
+    def page(i, semantic):
+        nav = "".join(f"<li><a href=/{k}>{words[(i + k) % 9]}</a></li>" for k in range(6))
+        body = "".join(f"<p>{sentence(i + k, 12 + k)}</p>" for k in range(5))
+        parts = ("nav", "article", "footer") if semantic else ("div", "div", "div")
+        return f"<body><{parts[0]}><ul>{nav}</ul></{parts[0]}><{parts[1]}>{body}</{parts[1]}><{parts[2]}>&copy; {i} all rights</{parts[2]}></body>"
+
+    pages = spark.createDataFrame([(i, "u", page(i, True)) for i in range(60)], "page_id long, url string, html string")
+    odds = html.train(pages)
+    assert odds["links:4"] < -1 and odds["tag:p"] > 1
+    for i in range(100, 130):
+        assert html.main_text(page(i, False), odds).split("\n") == [sentence(i + k, 12 + k) for k in range(5)]
+    assert html.train(pages.limit(0)) is None

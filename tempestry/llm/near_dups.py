@@ -4,29 +4,38 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil, log
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tempestry.llm.common import mixed, saved, signed, window_hashes, word_hashes
+from tempestry.llm.common import FEW_ROWS, mixed, saved, share, signed, window_hashes, word_hashes
 from tempestry.llm.graph import components
 from tempestry.llm.twice import Filters, emitted, seen_twice
 
+#: Fill of the filters: here a false repeat costs little, and one in 80 passes.
+FILL = 1 / 3
 #: Words of a shingle, and the similarity from which two sets are linked, in percent.
 SHINGLE, PERCENT = 5, 75
 #: Documents that a group holds on average when a larger set of similar ones is split.
 GROUP = 64
+#: The same for teams, sets that have a frequent token in common.
+TEAM = 256
 #: Queries that meet one group in one task, on average.
 QUERIES = 256
 #: Part of a set's size by which the prefixes that are compared first are longer than one shared token needs.
 LONGER = 0.15
+#: The same for the prefixes of rare tokens that make the matrix.
+RARE_LONGER = 0.05
 #: Most cells of the table of token counts, and cells of one of its blocks.
 MOST_CELLS, BLOCK = 1 << 22, 1 << 12
+#: Most rows, of five numbers each, of the table of sets that is broadcast.
+MANY_ROWS = 500_000
 
 
 def shingles(text: bytes | None) -> np.ndarray:
@@ -47,22 +56,22 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
 
 
-def _more(size: int) -> int:
-    return max(1, int(LONGER * size))
+def _more(size: int, longer: float) -> int:
+    return max(1, int(longer * size))
 
 
-def prefix_length(size: int) -> int:
-    """Smallest tokens of a set that are compared first.
+def prefix_length(size: int, longer: float = LONGER) -> int:
+    """First tokens of a set, in any order of all tokens, that are compared.
 
-    Of the tokens that two linked sets share, the smallest ``_more(size)`` are
+    Of the tokens that two linked sets share, the first ``_more(size)`` are
     among these in both sets (with ``size`` that of the smaller set).
     """
-    return size - least_shared(size) + _more(size)
+    return size - least_shared(size) + _more(size, longer)
 
 
-def prefix_shared(size: int) -> int:
+def prefix_shared(size: int, longer: float = LONGER) -> int:
     """Fewest tokens of a set's prefix that are in the prefix of another, if they are linked."""
-    return _more(least_shared(size))
+    return _more(least_shared(size), longer)
 
 
 def _set_key(tokens: np.ndarray) -> int:
@@ -120,6 +129,28 @@ def _suspects(filters: Filters, first: bool):
     return run
 
 
+def _token_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield emitted(np.concatenate([np.empty(0, np.uint64), *map(_tokens, batch.column("tokens").to_pylist())]))
+
+
+def _repeated(filters: Filters):
+    """The sets of which as many tokens as a link needs may be in another set (with several rounds, the part of one)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_tokens(value) for value in batch.column("tokens").to_pylist()]
+            hit = filters.may_repeat(np.concatenate([np.empty(0, np.uint64), *sets]))
+            ends = np.cumsum([len(s) for s in sets])
+            total = np.concatenate([[0], np.cumsum(hit)])
+            enough = [
+                total[end] - total[end - len(s)] >= -(-least_shared(len(s)) // filters.rounds) for s, end in zip(sets, ends)
+            ]
+            yield batch.filter(pa.array(enough, pa.bool_()))
+
+    return run
+
+
 def _tokens(value: bytes) -> np.ndarray:
     return np.frombuffer(value, np.uint64)
 
@@ -146,7 +177,8 @@ def _roots(rows: pd.DataFrame) -> pd.DataFrame:
             a, b = find(i), find(j)
             if a != b and linked(tokens[i], tokens[j]):
                 parent[max(a, b)] = min(a, b)
-    return pd.DataFrame({"key": keys[order], "root": [keys[order][find(i)] for i in range(len(order))]})
+    roots = [keys[order][find(i)] for i in range(len(order))]
+    return pd.DataFrame({"bucket": rows["bucket"].to_numpy(), "key": keys[order], "root": roots})
 
 
 def _groups(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -155,30 +187,27 @@ def _groups(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     Sets with one smallest token (by a second order) are similar in most
     cases. They are dealt out to chunks of about GROUP, and each chunk's
     clusters are groups: bounded in size, and connected by links that were
-    verified. Then the roots of a bucket's groups are chunked and linked in
+    verified. The roots of a bucket that was split are then chunked and linked in
     turn, level by level, as often as the largest bucket needs to come down to
     one chunk. Returns ``key, root`` and ``root, label``.
     """
-    nodes, levels, level = sets.select("key", "bucket", "tokens"), 1, 0
-    out: list[DataFrame] = []
-    while level < levels:
-        counts = nodes.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
-        if not level:
-            counts = saved(counts, "buckets")
-            most = counts.agg(F.max("held")).first()[0] or 1
-            levels = max(1, ceil(log(most) / log(GROUP)))
+    nodes, out = sets.select("key", "bucket", "tokens"), []
+    counts = saved(sets.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1"), "buckets")
+    most = counts.agg(F.max("held")).first()[0] or 1
+    for level in range(max(1, ceil(log(most) / log(GROUP)))):
         chunk = F.pmod(F.xxhash64("key", F.lit(level)), F.ceil(F.col("held") / GROUP))
-        chunked = nodes.join(counts, "bucket").select("bucket", chunk.alias("chunk"), "key", "tokens")
-        roots = saved(chunked.groupBy("bucket", "chunk").applyInPandas(_roots, "key long, root long"), "groups")
+        chunked = nodes.join(share(counts, FEW_ROWS), "bucket").select("bucket", chunk.alias("chunk"), "key", "tokens")
+        roots = chunked.groupBy("bucket", "chunk").applyInPandas(_roots, "bucket long, key long, root long")
+        roots = saved(roots, "groups")
         out.append(roots)
-        stay = roots.where("key = root").select("key")
-        nodes = sets.join(stay, "key").select("key", "bucket", "tokens")
-        level += 1
+        again = roots.where("key = root").join(share(counts.where(F.col("held") > GROUP).select("bucket"), FEW_ROWS), "bucket")
+        nodes = sets.select("key", "tokens").join(share(again.select("key", "bucket"), FEW_ROWS), "key")
+        counts = again.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
     labels = out[0].select("root").distinct().withColumn("label", F.col("root"))
     for roots in out[1:]:
         higher = roots.select(F.col("key").alias("label"), F.col("root").alias("higher"))
         labels = labels.join(higher, "label", "left").select("root", F.coalesce("higher", "label").alias("label"))
-    return out[0], labels
+    return out[0].select("key", "root"), labels
 
 
 def _counted(cells: int):
@@ -227,7 +256,7 @@ def _token_counts(sets: DataFrame, number: int) -> np.ndarray:
 
 
 def _rare_tokens(counts):
-    """Batches of (key, label, tokens) to a row for each token of the set's prefix in the order of rareness."""
+    """Batches of (key, tokens) to a row for each token of the set's prefix in the order of rareness."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
@@ -236,7 +265,7 @@ def _rare_tokens(counts):
             for k, value in enumerate(batch.column("tokens").to_pylist()):
                 found = _tokens(value)
                 order = np.lexsort((found, table[_cell(found, len(table))]))
-                prefix = found[order[: len(found) - least_shared(len(found)) + 1]]
+                prefix = found[order[: prefix_length(len(found), RARE_LONGER)]]
                 tokens.append(prefix)
                 rows.append(np.full(len(prefix), k))
             take = pa.array(np.concatenate([np.empty(0, np.int64), *rows]).astype(np.int64))
@@ -244,71 +273,152 @@ def _rare_tokens(counts):
                 [
                     pa.array(signed(np.concatenate([np.empty(0, np.uint64), *tokens]))),
                     batch.column("key").take(take),
-                    batch.column("label").take(take),
                 ],
-                ["token", "key", "label"],
+                ["token", "key"],
             )
 
     return run
 
 
+def _top_token(counts):
+    """Batches of (key, tokens) to the token of each set that is most frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            top = []
+            for value in batch.column("tokens").to_pylist():
+                tokens = _tokens(value)
+                top.append(int(tokens[np.argmax(counts.value[_cell(tokens, len(counts.value))])].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(top, pa.int64())], ["key", "top"])
+
+    return run
+
+
+def _alike(sets: DataFrame, counts) -> DataFrame:
+    """``key, team``: all sets in teams of about TEAM that have their most frequent token in common."""
+    tops = sets.select("key", "tokens").mapInArrow(_top_token(counts), "key long, top long")
+    tops = saved(tops, "top-tokens")
+    held = tops.groupBy("top").agg(F.ceil(F.count("*") / TEAM).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("key"), F.col("chunks"))
+    return saved(tops.join(share(held, FEW_ROWS), "top").select("key", F.xxhash64("top", chunk).alias("team")), "teams")
+
+
 def _opened(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-    """Links from queries to a group: the union of the group's tokens bounds the overlap, and only a query
-    that it can hold is compared with the members, until one is linked (they are connected among themselves)."""
+    """Links from queries to a group's members of other labels, as pairs of labels.
+
+    The union of the group's tokens bounds the overlap, and only a query that
+    it can hold is compared with the members, with each label until one is linked.
+    """
     sets = [_tokens(bytes(t)) for t in members["tokens"]]
-    union = np.unique(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
-    out = []
-    for label, other, value in zip(queries["label"], queries["other"], queries["query"]):
+    if not sets:
+        return pd.DataFrame([], columns=["a", "b"], dtype="int64")
+    ranks = list(zip(members["held"], members["label"]))
+    union = np.unique(np.concatenate(sets))
+    out = set()
+    for held, label, value in zip(queries["query_held"], queries["query_label"], queries["query"]):
         query = _tokens(bytes(value))
-        if len(np.intersect1d(query, union, assume_unique=True)) >= least_shared(len(query)):
-            if any(linked(query, member) for member in sets):
-                out.append((label, other))
-    return pd.DataFrame(out, columns=["a", "b"])
+        place = np.minimum(np.searchsorted(union, query), len(union) - 1)
+        if (union[place] == query).sum() < least_shared(len(query)):
+            continue
+        for rank, member in zip(ranks, sets):
+            if (held, label) < rank and label != rank[1] and (label, rank[1]) not in out and linked(query, member):
+                out.add((label, rank[1]))
+    return pd.DataFrame(list(out), columns=["a", "b"], dtype="int64")
+
 
+def _open(sets: DataFrame, pairs: DataFrame, group: str) -> DataFrame:
+    """Links (``a, b``) of the pairs of a query (``key, held, label``) and a group of sets.
 
-def _cross_links(sets: DataFrame, number: int) -> DataFrame:
-    """Links between components of ``sets`` (``key, root, label, held, size, tokens``): pairs of labels.
+    A query is compared with members of components of more sets, or as many and a larger label.
+    The members meet the queries in parts of about QUERIES.
+    """
+    parts = pairs.groupBy(group).agg(F.ceil(F.count("*") / QUERIES).alias("parts"))
+    asked = (
+        pairs.join(parts, group)
+        .withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
+        .join(sets.select("key", "tokens"), "key")
+        .select(
+            F.col(group).alias("asked"),
+            F.col("part").alias("asked_part"),
+            F.col("held").alias("query_held"),
+            F.col("label").alias("query_label"),
+            F.col("tokens").alias("query"),
+        )
+    )
+    numbers = F.sequence(F.lit(0), F.col("parts").cast("long") - 1)
+    members = sets.join(parts, group).select(group, F.explode(numbers).alias("part"), "held", "label", "tokens")
+    found = asked.groupBy("asked", "asked_part").cogroup(members.groupBy(group, "part"))
+    return found.applyInPandas(_opened, "a long, b long").distinct()
+
+
+def _several(cells: DataFrame) -> DataFrame:
+    """The cells of tokens that sets of two labels or more have."""
+    labels = cells.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return cells.join(labels.where("low < high").select("token"), "token", "left_semi")
+
+
+def _enough() -> Column:
+    """Whether a query shares as many rare tokens with a group as a link to one of its members needs."""
+    needed = F.ceil(F.col("size") * PERCENT / 100)
+    return F.col("shared") >= F.greatest(F.lit(1), F.floor(needed * F.lit(RARE_LONGER)))
+
+
+def _labelled(known: DataFrame) -> DataFrame:
+    """``known`` with ``held``, the number of sets of its label."""
+    held = known.groupBy("label").agg(F.count("*").alias("held"))
+    return share(saved(known.join(held, "label"), "set-labels"), MANY_ROWS)
+
+
+def _cross_links(sets: DataFrame, known: DataFrame, number: int) -> DataFrame:
+    """Links between components: pairs of labels.
 
-    The token-group matrix has the rare tokens of each group's members, the
-    prefix that one shared token of a linked pair must be in. A set queries the
-    groups of other components that have one of its own rare tokens. Of two
-    components, the one of fewer sets queries the other.
+    ``sets`` has ``key, tokens``, ``known`` has ``key, root, label, size``. The
+    token-group matrix has the rare tokens of each group's members, prefixes of
+    which linked sets share some. A set queries the groups with members of
+    other components with which it shares enough of them.
+
+    First only one group for each token is queried, that of the smallest label,
+    and of each two components only the pair that shares most tokens is opened.
+    This takes a row per cell, and joins what is similar throughout. Then every
+    set queries all groups, which now are teams of sets that share a frequent
+    token: so sets that have a passage in common, but are not linked, are a few groups too.
     """
     counts = sets.sparkSession.sparkContext.broadcast(_token_counts(sets, number))
-    matrix = sets.select("key", "label", "tokens").mapInArrow(_rare_tokens(counts), "token long, key long, label long")
+    matrix = sets.select("key", "tokens").mapInArrow(_rare_tokens(counts), "token long, key long")
     matrix = saved(matrix, "rare-tokens")
-    several = matrix.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    known = sets.select("key", "root", "held", "size")
-    cells = saved(matrix.join(several.select("token"), "token", "left_semi").join(known, "key"), "matrix")
-    queries = cells.select("token", "key", "label", "held", "size")
-    groups = cells.groupBy("token", "root").agg(
-        F.first("label").alias("other"),
-        F.first("held").alias("other_held"),
+    known = _labelled(known)
+    cells = saved(_several(matrix.join(known, "key")), "matrix")
+    center = cells.groupBy("token").agg(F.min(F.struct("held", "label", "root")).alias("center"))
+    star = (
+        cells.join(center, "token")
+        .where(F.col("label") != F.col("center.label"))
+        .groupBy("key", "label", "held", "size", F.col("center.root").alias("root"), F.col("center.label").alias("other"))
+        .agg(F.count("*").alias("shared"))
+        .where(_enough())
+    )
+    best = F.max_by(F.struct("key", "root", "held"), F.struct("shared", "key", "root")).alias("best")
+    star = star.groupBy("label", "other").agg(best).select("best.key", "label", F.lit(-1).alias("held"), "best.root")
+    links = saved(_open(sets.join(known.select("key", "root", "label", "held"), "key"), saved(star, "star"), "root"), "star-links")
+    joined = components(links).select(F.col("node").alias("label"), F.col("label").alias("joined"))
+    known = known.drop("held").join(joined, "label", "left").withColumn("label", F.coalesce("joined", "label")).drop("joined")
+    known = _labelled(known.join(_alike(sets, counts), "key"))
+    cells = saved(_several(cells.select("token", "key").join(known, "key")), "matrix-apart")
+    groups = cells.groupBy("token", "team").agg(
+        F.max(F.struct("held", "label")).alias("largest_label"),
         F.min("size").alias("smallest"),
         F.max("size").alias("largest"),
     )
-    smaller = (F.col("held") < F.col("other_held")) | ((F.col("held") == F.col("other_held")) & (F.col("label") < F.col("other")))
     possible = (F.col("size") * 100 >= F.col("smallest") * PERCENT) & (F.col("largest") * 100 >= F.col("size") * PERCENT)
-    pairs = saved(
-        queries.join(groups, "token")
-        .where((F.col("label") != F.col("other")) & smaller & possible)
-        .select("key", "label", "root", "other")
-        .distinct(),
-        "query-groups",
-    )
-    parts = pairs.groupBy("root").agg(F.ceil(F.count("*") / QUERIES).alias("parts"))
-    asked = (
-        pairs.join(parts, "root")
-        .withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
-        .join(sets.select("key", "tokens"), "key")
-        .select("root", "part", "label", "other", F.col("tokens").alias("query"))
+    pairs = (
+        cells.select("token", "key", "label", "held", "size")
+        .join(groups, "token")
+        .where((F.struct("held", "label") < F.col("largest_label")) & possible)
+        .groupBy("key", "label", "held", "size", "team")
+        .agg(F.count("*").alias("shared"))
+        .where(_enough())
     )
-    members = (
-        sets.join(parts, "root")
-        .select("root", F.explode(F.sequence(F.lit(0), F.col("parts").cast("long") - 1)).alias("part"), "tokens")
-    )
-    found = asked.groupBy("root", "part").cogroup(members.groupBy("root", "part")).applyInPandas(_opened, "a long, b long")
-    return saved(found.distinct(), "cross-links")
+    members = sets.join(known.select("key", "team", "label", "held"), "key")
+    return links.unionByName(saved(_open(members, saved(pairs, "pairs"), "team"), "cross-links"))
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,14 +428,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     words, or of all its words if there are fewer. Two texts are linked if
     they share at least PERCENT percent of all their shingles.
 
-    1. Equal sets are one from here on. Filters of the prefixes' tokens find the sets of which
-       enough may be shared with another; only these go on, as sorted hashes.
+    1. Equal sets are one from here on. Filters of the prefixes' tokens find the
+       sets of which enough may be shared with another, and filters of all
+       their tokens those of which as many as a link needs are in others. Only these go on, as sorted hashes.
     2. Similar sets form groups of bounded size, whose links are verified (``_groups``).
     3. The matrix of tokens and groups finds which sets of other components a group may
        hold links to; overlap with the group's token union decides which groups are opened (``_cross_links``).
     4. Components of all links.
 
-    All three bounds are necessary conditions, so no link between components
+    All these bounds are necessary conditions, so no link between components
     is lost. Links inside a component are not listed, nor are pairs of copies.
     Shingles, and equal sets, are known by 64-bit hashes.
 
@@ -336,28 +447,27 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     words = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     rows = None
-    for filters in seen_twice(slim.mapInArrow(_prefix_hashes, "hash long"), words // 12, "prefix-filters"):
+    for filters in seen_twice(slim.mapInArrow(_prefix_hashes, "hash long"), words // 12, "prefix-filters", FILL):
         found = saved(slim.mapInArrow(_suspects(filters, rows is None), _ROW), "shingles")
         rows = found if rows is None else rows.unionByName(found)
-    sets = saved(
-        rows.where("tokens IS NOT NULL")
-        .groupBy("key")
-        .agg(F.first("n_shingles").alias("size"), F.first("bucket").alias("bucket"), F.first("tokens").alias("tokens")),
-        "sets",
-    )
+    suspects = rows.where("tokens IS NOT NULL").select("key", F.col("n_shingles").alias("size"), "bucket", "tokens")
+    number = suspects.agg(F.sum("size")).first()[0] or 0
+    found = [
+        saved(suspects.mapInArrow(_repeated(filters), suspects.schema), "repeated-sets")
+        for filters in seen_twice(suspects.mapInArrow(_token_hashes, "hash long"), number, "token-filters", FILL)
+    ]
+    sets = saved(reduce(DataFrame.unionByName, found).dropDuplicates(["key"]), "sets")
     roots, labels = _groups(sets)
-    known = saved(
+    known = (
         sets.select("key", "size")
         .join(roots, "key", "left")
         .withColumn("root", F.coalesce("root", "key"))
         .join(labels, "root", "left")
-        .select("key", "size", "root", F.coalesce("label", "root").alias("label")),
-        "set-labels",
+        .withColumn("label", F.coalesce("label", "root"))
     )
-    held = known.groupBy("label").agg(F.count("*").alias("held"))
-    number = sets.agg(F.sum("size")).first()[0] or 0
-    grouped = saved(sets.select("key", "tokens").join(known.join(held, "label"), "key"), "grouped-sets")
-    joined = components(_cross_links(grouped, number))
+    known = saved(known, "set-labels")
+    known = known.select("key", "root", "label", "size")
+    joined = components(_cross_links(sets.select("key", "tokens"), known, number))
     joined = joined.select(F.col("node").alias("label"), F.col("label").alias("joined"))
     label = known.join(joined, "label", "left").select("key", F.coalesce("joined", "label").alias("label"))
     listed = rows.where("listed").select("doc_id", "key", "n_shingles")

@@ -151,6 +151,7 @@ def brute_components(rows):
 def test_near_duplicates(documents, monkeypatch, most, group, queries):
     monkeypatch.setattr(twice, "MOST_FILTER_BYTES", most)
     monkeypatch.setattr(near_dups, "GROUP", group)
+    monkeypatch.setattr(near_dups, "TEAM", group)
     monkeypatch.setattr(near_dups, "QUERIES", queries)
     r = Random(5)
     base = [f"b{i}" for i in range(90)]

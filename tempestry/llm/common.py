@@ -172,6 +172,19 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64, copy=False).view(np.int64)
 
 
+def values(column: pa.Array) -> Iterator:
+    """The values of an Arrow column one by one, so that long texts are not all copied at once."""
+    return (value.as_py() for value in column)
+
+
+def parts_of(batches: Iterable[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows``. Memory that a task no longer needs is given back at its end."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples."""
     for batch in batches:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tempestry.llm.common import FEW_ROWS, null_safe_join, saved, share
+from tempestry.llm.common import FEW_ROWS, null_safe_join, parts_of, saved, share, values
 from tempestry.llm.twice import Filters, emitted, seen_twice
 
 #: Shortest key, in code points, and fewest documents of a line that is removed.
@@ -36,8 +36,8 @@ def _hashes(shortest: int):
     """Batches of texts to the hashes of their keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [d[:8] for text in batch.column(0).to_pylist() for d in _digests(text, shortest).values()]
+        for batch in parts_of(batches, 10_000):
+            found = [d[:8] for text in values(batch.column(0)) for d in _digests(text, shortest).values()]
             yield emitted(np.frombuffer(b"".join(found), np.uint64))
 
     return run
@@ -47,10 +47,10 @@ def _suspects(filters: Filters, shortest: int):
     """Batches of (doc_id, check, text) to a row for each distinct key whose hash may have been seen twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, 10_000):
             digests: list[bytes] = []
             rows: list[int] = []
-            for row, text in enumerate(batch.column("text").to_pylist()):
+            for row, text in enumerate(values(batch.column("text"))):
                 found = _digests(text, shortest)
                 digests.extend(found.values())
                 rows.extend([row] * len(found))

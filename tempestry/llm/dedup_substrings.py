@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tempestry.llm.common import BLANK_RUN, covered, saved, signed, window_hashes, word_count, word_hashes
+from tempestry.llm.common import BLANK_RUN, covered, parts_of, saved, signed, window_hashes, word_count, word_hashes, values
 from tempestry.llm.twice import Filters, emitted, seen_twice
 
 #: Words of a passage that is removed if it occurs again.
@@ -39,9 +39,9 @@ def _anchors(hashes: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray]:
 def _texts_once(batches: Iterator[pa.RecordBatch], passage: int) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Per batch, (key, word hashes) of its texts that are long enough, a text repeated in the partition only once."""
     seen: set[int] = set()
-    for batch in batches:
+    for batch in parts_of(batches, 10_000):
         out = []
-        for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+        for key, text in zip(values(batch.column("key")), values(batch.column("text"))):
             if key not in seen:
                 seen.add(key)
                 hashes = word_hashes(text or b"")

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from tempestry.llm.common import parts_of, values
+
 #: Elements whose text is never shown, whose text is no prose, that have no end tag, and that do not break a block (fixed values).
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
 HIDDEN = RAW | frozenset("head select option button object audio video canvas datalist".split())
@@ -203,9 +205,9 @@ def counted_marks(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``mark, content, boilerplate``: in how many weakly labelled blocks of all pages each mark is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             counts: Counter = Counter()
-            for page in batch.column(0).to_pylist():
+            for page in values(batch.column(0)):
                 for block in blocks(page or ""):
                     if (label := weak_label(block)) is not None:
                         counts.update((mark, label) for mark in marks(block))

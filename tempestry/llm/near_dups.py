@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tempestry.llm.common import FEW_ROWS, mixed, saved, share, signed, window_hashes, word_hashes
+from tempestry.llm.common import FEW_ROWS, mixed, parts_of, saved, share, signed, values, window_hashes, word_hashes
 from tempestry.llm.graph import components
 from tempestry.llm.twice import Filters, emitted, seen_twice
 
@@ -82,9 +82,9 @@ def _set_key(tokens: np.ndarray) -> int:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, int, np.ndarray, bool]]]:
     """Per batch: doc_id, key, tokens of each row, and whether the set is new in this partition."""
     seen: set[int] = set()
-    for batch in batches:
+    for batch in parts_of(batches):
         out = []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for doc, text in zip(values(batch.column("doc_id")), values(batch.column("text"))):
             tokens = shingles(text)
             key = _set_key(tokens)
             out.append((doc, key, tokens, bool(len(tokens)) and key not in seen))
@@ -130,7 +130,7 @@ def _suspects(filters: Filters, first: bool):
 
 
 def _token_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts_of(batches):
         yield emitted(np.concatenate([np.empty(0, np.uint64), *map(_tokens, batch.column("tokens").to_pylist())]))
 
 
@@ -138,7 +138,7 @@ def _repeated(filters: Filters):
     """The sets of which as many tokens as a link needs may be in another set (with several rounds, the part of one)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             sets = [_tokens(value) for value in batch.column("tokens").to_pylist()]
             hit = filters.may_repeat(np.concatenate([np.empty(0, np.uint64), *sets]))
             ends = np.cumsum([len(s) for s in sets])

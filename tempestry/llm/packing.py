@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempestry.llm.common import batches_of, saved
+from tempestry.llm.common import batches_of, parts_of, saved, values
 
 CAPACITY = 4096
 #: The id that ends a document (fixed value).
 END = 1
 #: Words whose ids a worker remembers, some 200 bytes each. It begins anew when several times as many were not.
-REMEMBERED_WORDS = 700_000
+REMEMBERED_WORDS = 400_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 _PIECES = pa.schema(
@@ -120,8 +120,8 @@ def _cut(tokenizer: str, capacity: int, end: int):
         if tokenizer not in _encoders:
             _encoders[tokenizer] = Encoder(tokenizer)
         encode, places = _encoders[tokenizer], Counter()
-        for batch in batches:
-            ids, parts, texts = (batch.column(n).to_pylist() for n in ("doc_id", "part", "text"))
+        for batch in parts_of(batches):
+            ids, parts, texts = (values(batch.column(n)) for n in ("doc_id", "part", "text"))
             for doc, part, text in zip(ids, parts, texts):
                 encoded = encode.of(text) + last
                 for number, start in enumerate(range(0, len(encoded), 4 * capacity)):

@@ -55,6 +55,12 @@ TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li td th div span blockquote pre dd dt fig
 SENTENCE_ENDS = tuple(".!?…\"'”»")
 #: Most log-odds of one mark.
 MOST_ODDS = 2.0
+#: Evidence of an element by its tag, by a whole word of class, id or role, and by a part of such a word; most for
+#: boilerplate in all. Log-odds of a unit of evidence for content and for boilerplate.
+BY_TAG, BY_WORD, BY_PART, MOST_BAD = 3.0, 2.0, 1.0, 3.0
+GOOD_ODDS, BAD_ODDS = 1.6, 2.6
+#: Log-odds of a block's place from which it labels the block for training: content, and boilerplate, which a part alone is not.
+SURE_CONTENT, SURE_BOILERPLATE = 2.0, -5.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
@@ -83,33 +89,74 @@ class Block:
 class _Element:
     tag: str
     number: int
-    bad: float
+    tags: float
+    words: float
     good: float
     hidden: bool
     linked: bool
 
 
-def _evidence(tag: str, attributes: str) -> tuple[float, float, bool]:
-    """What an element says for boilerplate and for content, and whether it is hidden."""
-    bad, good = float(tag in BOILERPLATE) * 3, float(tag in CONTENT) * 3
-    hidden = tag in HIDDEN
+@dataclass
+class _Evidence:
+    """What an element says by its tag and by its words, and whether it is hidden."""
+
+    tag: float
+    bad: float
+    good: float
+    hidden: bool
+
+
+def _evidence(tag: str, attributes: str) -> _Evidence:
+    """The evidence of one element; of the tag, it is below zero for boilerplate.
+
+    A word such as ``sidebar`` that is a whole class says more than the same
+    word as a part of one (``has-sidebar``). Parts for both, as in
+    ``content-sidebar-wrap``, count for both unless the last one names boilerplate.
+    """
+    out = _Evidence(BY_TAG * ((tag in CONTENT) - (tag in BOILERPLATE)), 0.0, 0.0, tag in HIDDEN)
+    if tag == "form":
+        # Some sites wrap a whole page in a form; it says as much as a word.
+        out.tag, out.bad = 0.0, BY_WORD
     if attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _UNSEEN.search(value):
-                hidden = True
+                out.hidden = True
             elif name in ("class", "id", "role", "itemprop") and tag not in ("body", "html"):
-                words = {w.lower() for w in _WORDS.findall(value)} | set(value.lower().split())
-                if words & BAD_WORDS:
-                    bad = max(bad, 3.0)
-                elif words & GOOD_WORDS:
-                    good = max(good, 1.5)
-    return bad, good, hidden
+                for word in value.split():
+                    parts = [w.lower() for w in _WORDS.findall(word)]
+                    whole = word.lower() in BAD_WORDS or len(parts) == 1 and parts[0] in BAD_WORDS
+                    if whole or not BAD_WORDS.isdisjoint(parts):
+                        out.bad = max(out.bad, BY_WORD if whole else BY_PART)
+                    if not (whole or parts and parts[-1] in BAD_WORDS) and not GOOD_WORDS.isdisjoint([*parts, word.lower()]):
+                        out.good = 1.5
+    return out
+
+
+def _inside(top: _Element, tag: str, own: _Evidence) -> tuple[float, float, float]:
+    """Evidence of an element's place: boilerplate by tags, boilerplate by words, content.
+
+    What is nearer outweighs what is farther: an article or main part halves
+    the words around it and its own, a tag or whole word for boilerplate ends the content
+    evidence around it, and a part of a word halves that. Boilerplate by tag
+    stays, as an article in an aside is still aside.
+    """
+    tags, words, good = top.tags, top.words, top.good
+    # A header inside an article heads that article, and not the site.
+    if tag == "header" and good >= BY_TAG and tags == 0:
+        return tags, words, good
+    if own.tag > 0 and own.bad < BY_WORD:
+        return tags, (words + own.bad) / 2, own.tag
+    if own.tag < 0 or own.bad >= BY_WORD:
+        good = 0.0
+    elif own.bad:
+        good /= 2
+    return max(tags, -own.tag), max(words, own.bad), max(good, own.good)
 
 
 def blocks(page: str) -> list[Block]:
     """The shown text blocks of a page, in order. Markup may be unclosed or cut off."""
-    root = _Element("html", 0, 0.0, 0.0, False, False)
+    root = _Element("html", 0, 0.0, 0.0, 0.0, False, False)
     stack, out, block, count, at = [root], [], None, 0, 0
 
     def say(text: str) -> None:
@@ -122,7 +169,8 @@ def blocks(page: str) -> list[Block]:
             if not text.strip():
                 return
             holder = next(e for e in reversed(stack) if e.tag not in INLINE)
-            block = Block(tuple(e.number for e in stack if e.tag not in INLINE), holder.tag, top.bad, top.good)
+            bad = min(MOST_BAD, top.tags + top.words)
+            block = Block(tuple(e.number for e in stack if e.tag not in INLINE), holder.tag, bad, top.good)
             out.append(block)
         block.parts.append(text)
         if top.linked:
@@ -163,21 +211,15 @@ def blocks(page: str) -> list[Block]:
                     break
         if tag in VOID or attributes.endswith("/") and tag not in RAW:
             continue
-        bad, good, hidden = _evidence(tag, attributes)
+        own = _evidence(tag, attributes)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
             continue
         top = stack[-1]
         count += 1
-        # A header inside an article heads that article, and not the site.
-        if tag == "header" and top.good >= 3 and top.bad == 0:
-            bad = 0.0
-        stack.append(
-            _Element(
-                tag, count, max(top.bad, bad), 0.0 if bad else max(top.good, good), top.hidden or hidden, top.linked or tag == "a"
-            )
-        )
+        place = _inside(top, tag, own)
+        stack.append(_Element(tag, count, *place, top.hidden or own.hidden, top.linked or tag == "a"))
     return [b for b in out if b.text()]
 
 
@@ -194,11 +236,15 @@ def marks(block: Block) -> tuple[str, ...]:
     )
 
 
+def place_odds(block: Block) -> float:
+    """Log-odds of content by what a block lies in."""
+    return GOOD_ODDS * block.good - BAD_ODDS * block.bad
+
+
 def weak_label(block: Block) -> int | None:
     """1 for a block that lies in an article or the main part, 0 in what is surely boilerplate, else unknown."""
-    if block.bad:
-        return 0
-    return 1 if block.good >= 3 else None
+    odds = place_odds(block)
+    return 1 if odds >= SURE_CONTENT else 0 if odds <= SURE_BOILERPLATE else None
 
 
 def counted_marks(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -236,7 +282,8 @@ def costs(block: Block, odds: dict[str, float] | None = None) -> tuple[float, fl
     """Costs of calling the block boilerplate and content.
 
     The log-odds of its marks, trained (``train``) or else a rough guess from
-    length, links and sentence ends, and the evidence of what it lies in.
+    length, links and sentence ends, and those of what it lies in, are added.
+    Neither has the last word: marks, place or neighbours may each turn a block.
     """
     if odds is None:
         length = len(block.text())
@@ -244,11 +291,7 @@ def costs(block: Block, odds: dict[str, float] | None = None) -> tuple[float, fl
         score += 0.8 * (block.text()[-1:] in SENTENCE_ENDS) - 2.0 * ("©" in block.text() and length < 300)
     else:
         score = sum(odds.get(mark, 0.0) for mark in marks(block))
-    score += 1.6 * block.good - 2.6 * block.bad
-    if block.good >= 3 and block.bad == 0:
-        score = max(score, 2.0)
-    if block.bad:
-        score = min(score, -2.5)
+    score += place_odds(block)
     return max(score, 0.0), max(-score, 0.0)
 
 

@@ -90,3 +90,41 @@ def test_trained_classifier_reads_pages_without_semantic_elements(spark):
     for i in range(100, 130):
         assert html.main_text(page(i, False), odds).split("\n") == [sentence(i + k, 12 + k) for k in range(5)]
     assert html.train(pages.limit(0)) is None
+
+
+def _wrapped(i):
+    """A page whose article lies in elements with words for boilerplate in their classes."""
+    prose = [f"Paragraph {i + k} tells at some length of something that happened, in a whole sentence as prose does." for k in range(4)]
+    body = "".join(f"<p>{p}</p>" for p in [*prose[:2], "So it is.", *prose[2:]])
+    page = (
+        f'<body><nav><ul><li><a href=1>One</a></li><li><a href=2>Two {i}</a></li></ul></nav>'
+        f'<div id="page" class="site has-sidebar"><div class="content-sidebar-wrap"><article class="long-form">{body}</article></div>'
+        f'<div class="sidebar"><ul><li><a href=3>Other</a></li></ul><p>Read more.</p></div></div><footer>&copy; {i} me</footer></body>'
+    )
+    return page, [*prose[:2], "So it is.", *prose[2:]]
+
+
+def test_article_outweighs_words_of_its_wrappers(spark):
+    pages = [_wrapped(i) for i in range(30)]
+    odds = html.train(spark.createDataFrame([(i, p) for i, (p, _) in enumerate(pages)], "page_id long, html string"))
+    assert odds["tag:p"] > 0 > odds["links:4"]
+    for page, text in pages:
+        assert html.main_text(page).split("\n") == text
+        assert html.main_text(page, odds).split("\n") == text
+        in_form = page.replace("<body>", '<body><form id="aspnetForm">')
+        assert html.main_text(in_form).split("\n") == html.main_text(in_form, odds).split("\n") == text
+    for page in ('<aside><article><p>A teaser.</p></article></aside>', '<article class="ad"><p>Buy it.</p></article>'):
+        assert html.main_text(page) == ""
+
+
+def test_marks_and_neighbours_turn_blocks_of_an_article():
+    odds = {"tag:p": 2.0, "ends:True": 1.0, "links:0": 1.0, "tag:li": -2.0, "links:4": -2.0, "ends:False": -2.0, "length:0": -2.0}
+    links = "".join(f"<li><a href={i}>Share {i}</a></li>" for i in range(4))
+    page = f"<article><p>Some prose of this text.</p><ul>{links}</ul></article>"
+    assert html.main_text(page, odds) == "Some prose of this text."
+    prose = "<p>This paragraph tells of something in a whole sentence, as prose does.</p>"
+    page = f"<article>{prose * 2}<p><a href=x>&copy; the photographer</a></p>{prose * 2}</article>"
+    alone = "<article><p><a href=x>&copy; the photographer</a></p></article>"
+    source, sink = html.costs(html.blocks(page)[2])
+    assert source == 0 < sink and html.main_text(alone) == ""
+    assert html.main_text(page).split("\n")[2] == "© the photographer"

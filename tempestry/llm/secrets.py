@@ -28,12 +28,17 @@ KINDS = (
 #: Characters of the models, and strings that are scored: runs of at least this many of them.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SHORTEST_RUN = 20
-#: Ordinary identifiers of the training sample are words of at least this many letters.
-SHORTEST_WORD = 8
+#: Ordinary strings of the training sample are runs of at least this many characters of the alphabet, of which it
+#: takes so many, and strings made of so many words of a document.
+SHORTEST_ORDINARY, MOST_OF_RUN, MADE_OF_WORDS = 8, 64, 12
 #: Documents of the training sample, in expectation (all of a smaller table).
 SAMPLE_DOCS = 20_000
 #: Count added to each pair, and the log-likelihood ratio from which a string is a secret.
 SMOOTHING, THRESHOLD = 0.5, 5.0
+#: Share of the ordinary model that knows only the classes of the next character: capitals, small letters, digits, and
+#: each other sign. It bounds what letters that the corpus never has side by side say for a secret.
+BACK_OFF = 0.2
+CLASSES = tuple("A" if c.isupper() else "a" if c.islower() else "0" if c.isdigit() else c for c in ALPHABET)
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
@@ -74,12 +79,51 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def ordinary_strings(text: Column, seed: Column) -> Column:
+    """Strings made as people and programs make them, of a text's first words and a hash.
+
+    Names in snake, kebab and camel case and in capitals, paths, numbered names, dates,
+    numbers, and rulers: a corpus may have few of them, and a prose corpus none.
+    """
+    words = F.transform(F.slice(F.regexp_extract_all(text, F.lit("[A-Za-z]{2,}"), F.lit(0)), 1, MADE_OF_WORDS), F.lower)
+    join = lambda by: F.array_join(words, by)
+    seps = F.array(*map(F.lit, "_-/="))
+    numbered = F.transform(
+        words,
+        lambda w, i: F.concat(w, F.pmod(F.xxhash64(w, seed), F.pow(F.lit(10), 1 + i % 4).cast("long")), F.get(seps, i % 4)),
+    )
+    # Up to 2033, at any second.
+    time = F.timestamp_seconds(F.pmod(seed, F.lit(2_000_000_000)))
+    dates = [F.date_format(time, f) for f in ("yyyy-MM-dd-HH-mm-ss-SSS", "yyyy/MM/dd/HH", "yyyyMMddHHmmss", "yyyy_MM_dd")]
+    numbers = [
+        F.pmod(seed, F.lit(10**18)).cast("string"),
+        F.lpad(F.pmod(seed, F.lit(1000)).cast("string"), SHORTEST_RUN, "0"),
+    ]
+    any_place = (F.pmod(seed, F.lit(len(ALPHABET))) + 1).cast("int")
+    ruled = [F.repeat(F.lit(c), F.lit(SHORTEST_RUN // len(c))) for c in ("=", "-", "_", "+", "/", "+----", "-=")]
+    return F.array(
+        join("_"),
+        join("-"),
+        F.concat(F.lit("/"), join("/")),
+        F.array_join(F.transform(words, F.initcap), ""),
+        F.upper(join("_")),
+        F.array_join(numbered, ""),
+        *dates,
+        *numbers,
+        *ruled,
+        F.repeat(F.substring(F.lit(ALPHABET), any_place, F.lit(1)), F.lit(SHORTEST_RUN)),
+    )
+
+
 def training_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``label, value``: random strings (1) and ordinary identifiers (0) of a sample of the documents.
 
     The sample takes a document if the hash of its id is below the share that
     ``SAMPLE_DOCS`` is of all. Random strings are what the base patterns find,
-    in its own letters and in capitals, and Base64 digests of the documents, which are random by construction. Ordinary ones are the longer words.
+    in its own letters and in capitals, and Base64 digests of the documents
+    in both alphabets and without padding, which are random by construction.
+    Ordinary ones are the runs of the alphabet outside those patterns, and
+    the strings of ``ordinary_strings``, ordinary by construction.
     """
     total = docs.count()
     part = min(1.0, SAMPLE_DOCS / max(1, total))
@@ -89,15 +133,18 @@ def training_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(group)), lambda v, n=fewest: F.length(v) >= n)
         for _, pattern, group, fewest in KINDS
     ]
-    made = F.array(*(F.base64(F.unhex(F.sha2("text", bits))) for bits in (256, 512)))
+    digests = [F.rtrim(F.base64(F.unhex(F.sha2("text", bits))), F.lit("=")) for bits in (256, 512)]
+    made = F.array(*digests, *(F.translate(d, "+/", "-_") for d in digests))
     found = F.concat(*random)
     stripped = F.regexp_replace("text", "|".join(pattern for _, pattern, _, _ in KINDS), " ")
-    words = F.regexp_extract_all(stripped, F.lit(rf"[A-Za-z]{{{SHORTEST_WORD},}}"), F.lit(0))
-    labelled = sample.select(
+    run = rf"[A-Za-z0-9+/_=-]{{{SHORTEST_ORDINARY},}}"
+    runs = F.transform(F.regexp_extract_all("stripped", F.lit(run), F.lit(0)), lambda v: F.substring(v, 1, MOST_OF_RUN))
+    ordinary = F.concat(runs, ordinary_strings(F.col("stripped"), F.xxhash64("text")))
+    labelled = sample.withColumn("stripped", stripped).select(
         F.explode(
             F.array(
                 F.struct(F.lit(1).alias("label"), F.concat(found, F.transform(found, F.upper), made).alias("values")),
-                F.struct(F.lit(0).alias("label"), words.alias("values")),
+                F.struct(F.lit(0).alias("label"), ordinary.alias("values")),
             )
         ).alias("s")
     )
@@ -108,7 +155,8 @@ def pair_scores(strings: DataFrame) -> list[int]:
     """Thousandths of the log-likelihood ratio of each pair of characters, random to ordinary.
 
     Entry ``a * len(ALPHABET) + b`` is that of character b after a, by first-order Markov
-    models with smoothed counts. The counts collected are at most two for each pair.
+    models with smoothed counts, the ordinary one with a share of ``BACK_OFF`` spread
+    evenly over each class. The counts collected are at most two for each pair.
     """
     size = len(ALPHABET)
     places = F.sequence(F.lit(1), F.length("value") - 1)
@@ -123,10 +171,11 @@ def pair_scores(strings: DataFrame) -> list[int]:
         counts[row.label][a * size + b] += row["count"]
     out = []
     for a in range(size):
-        ordinary, random = (sum(c[a * size : (a + 1) * size]) for c in counts)
-        for b in range(size):
-            o, r = (c[a * size + b] for c in counts)
-            out.append(round(1000 * (log(r / random) - log(o / ordinary))))
+        ordinary, random = (c[a * size : (a + 1) * size] for c in counts)
+        even = {k: sum(o for o, c in zip(ordinary, CLASSES) if c == k) / CLASSES.count(k) for k in CLASSES}
+        for o, r, k in zip(ordinary, random, CLASSES):
+            smooth = (1 - BACK_OFF) * o + BACK_OFF * even[k]
+            out.append(round(1000 * (log(r / sum(random)) - log(smooth / sum(ordinary)))))
     return out
 
 

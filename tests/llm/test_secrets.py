@@ -68,6 +68,35 @@ def test_models_tell_held_out_strings_apart(spark, trained, documents):
     assert sum(got[i] == "" for i in range(200, 400)) >= 198
 
 
+def test_held_out_identifiers_are_ordinary(trained, documents):
+    """Names, paths, dates, numbers and rulers that no training text has, at the threshold of the query."""
+    scores, word = trained
+    r = Random(5)
+    words = lambda n: [word() for _ in range(n)]
+    makers = [
+        lambda: "".join(w.capitalize() for w in words(4)),
+        lambda: "_".join(words(3)) + f"_{r.randrange(1900, 2100)}",
+        lambda: "/" + "/".join(words(3)) + f"{r.randrange(10)}/" + "-".join(words(2)) + "/",
+        lambda: "_".join(words(4)).upper(),
+        lambda: f"{r.randrange(1990, 2030)}-{r.randrange(1, 13):02}-{r.randrange(1, 29):02}-00-00-00-{r.randrange(1000):03}",
+        lambda: str(r.randrange(10**21, 10**22)),
+        lambda: r.choice("=-_+/0x") * r.randrange(20, 60),
+    ]
+    plain = [m() for m in makers for _ in range(60)]
+    plain += ["org/apache/spark/sql/catalyst", "getUserAccountInformationByName", "/usr/local/lib/python3/dist-packages/"]
+    plain += ["user_profile_backup_table_2024", "2024-01-01-00-00-00-000", "=" * 20, "0" * 22]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secret = ["".join(r.choice(letters + more) for _ in range(40)) for more in ("", "+/", "-_") for _ in range(60)]
+    secret += ["".join(r.choice("0123456789ABCDEF") for _ in range(40)) for _ in range(60)]
+    plain = [p + "_" * (20 - len(p)) for p in plain]
+    got = {
+        x.doc_id: "random" in x.spans
+        for x in secrets.find_secrets(documents([(i, f"see {s} here") for i, s in enumerate(plain + secret)]), scores).collect()
+    }
+    assert [p for i, p in enumerate(plain) if got[i]] == []
+    assert sum(got[len(plain) + i] for i in range(len(secret))) >= len(secret) - 3
+
+
 def test_random_spans_do_not_overlap_base_spans(documents, trained):
     rows = [(1, 'token = "d74f1d06034ff67f14d7a089e" and q7VtX0bZk3JwR9fYp2LsGd8HuNcE')]
     got = secrets.find_secrets(documents(rows), trained[0]).collect()[0]

@@ -115,20 +115,25 @@ def ordinary_strings(text: Column, seed: Column) -> Column:
     )
 
 
+def in_sample(hash64: Column, total: int) -> Column:
+    """Whether a 64-bit hash is in the share that ``SAMPLE_DOCS`` is of all rows; of the full range, as a share may be tiny."""
+    if total <= SAMPLE_DOCS:
+        return F.lit(True)
+    return hash64 < F.lit(-(2**63) + 2**64 * SAMPLE_DOCS // total).cast("long")
+
+
 def training_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``label, value``: random strings (1) and ordinary identifiers (0) of a sample of the documents.
 
-    The sample takes a document if the hash of its id is below the share that
-    ``SAMPLE_DOCS`` is of all. Random strings are what the base patterns find,
+    The sample takes a document if the hash of its id and text is in the share of
+    all hashes that ``SAMPLE_DOCS`` is of all documents. Random strings are what the base patterns find,
     in its own letters and in capitals, and Base64 digests of the documents
     in both alphabets and without padding, which are random by construction.
     Ordinary ones are the runs of the alphabet outside those patterns, and
     the strings of ``ordinary_strings``, ordinary by construction.
     """
-    total = docs.count()
-    part = min(1.0, SAMPLE_DOCS / max(1, total))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    sample = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)) < int(part * 1_000_000)).select(text.alias("text"))
+    sample = docs.where(in_sample(F.xxhash64(F.col(id_col), text), docs.count())).select(text.alias("text"))
     random = [
         F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(group)), lambda v, n=fewest: F.length(v) >= n)
         for _, pattern, group, fewest in KINDS
@@ -157,6 +162,7 @@ def pair_scores(strings: DataFrame) -> list[int]:
     Entry ``a * len(ALPHABET) + b`` is that of character b after a, by first-order Markov
     models with smoothed counts, the ordinary one with a share of ``BACK_OFF`` spread
     evenly over each class. The counts collected are at most two for each pair.
+    Raises if a class has no pairs, as no score would then mean anything.
     """
     size = len(ALPHABET)
     places = F.sequence(F.lit(1), F.length("value") - 1)
@@ -165,6 +171,8 @@ def pair_scores(strings: DataFrame) -> list[int]:
     )
     inside = F.col("pair").rlike("^[A-Za-z0-9+/_=-]{2}$")
     counted = pairs.where(inside).groupBy("label", "pair").count().collect()
+    if missing := {0, 1} - {row.label for row in counted}:
+        raise ValueError(f"no training strings of class {sorted(missing)} (0 ordinary, 1 random)")
     counts = [[SMOOTHING] * (size * size) for _ in range(2)]
     for row in counted:
         a, b = (ALPHABET.index(c) for c in row.pair)
@@ -237,4 +245,6 @@ def find_secrets(docs: DataFrame, scores: list[int], id_col: str = "doc_id", tex
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``find_secrets`` with models trained on a sample of the same documents."""
+    if docs.isEmpty():
+        return find_secrets(docs, [0] * len(ALPHABET) ** 2, id_col, text_col)
     return find_secrets(docs, pair_scores(training_strings(docs, id_col, text_col)), id_col, text_col)

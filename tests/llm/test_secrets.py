@@ -5,6 +5,7 @@ from hashlib import sha256
 from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tempestry.llm import secrets
 from tests.llm.conftest import ODD
@@ -103,5 +104,26 @@ def test_random_spans_do_not_overlap_base_spans(documents, trained):
     assert got.spans == "assign:0:34,hex:9:34,random:40:68" and got.n_hex == 1
 
 
+def test_sample_of_huge_tables_and_of_null_ids(spark, monkeypatch):
+    # Hashes spread evenly over their whole range, as those of 100 billion rows would be.
+    step = 2**64 // 100_000
+    hashes = spark.range(100_000).select(((F.col("id") - 50_000) * F.lit(step)).alias("h"))
+    small = hashes.withColumn("h", F.lit(-(2**63)).cast("long") + F.pmod("h", F.lit(2**30)))
+    assert hashes.where(secrets.in_sample(F.col("h"), 10**6)).count() == 2_000
+    assert small.where(secrets.in_sample(F.col("h"), 10**11)).count() == 100_000
+    assert hashes.where(secrets.in_sample(F.col("h"), 10**11)).count() == 1
+    monkeypatch.setattr(secrets, "SAMPLE_DOCS", 200)
+    rows = spark.range(4_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("some text "), "id").alias("text"))
+    # Four digests of each sampled document are random strings.
+    random = secrets.training_strings(rows).where("label = 1").count()
+    assert 100 * 4 < random < 300 * 4
+
+
+def test_missing_class_raises(spark):
+    for label in (0, 1):
+        with pytest.raises(ValueError, match="no training strings"):
+            secrets.pair_scores(spark.createDataFrame([(label, "abcdefgh")], "label int, value string"))
+
+
 def test_empty_table(documents):
     assert secrets.scan(documents(ODD).limit(0)).count() == 0

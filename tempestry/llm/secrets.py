@@ -165,10 +165,10 @@ def pair_scores(strings: DataFrame) -> list[int]:
     Raises if a class has no pairs, as no score would then mean anything.
     """
     size = len(ALPHABET)
-    places = F.sequence(F.lit(1), F.length("value") - 1)
-    pairs = strings.where(F.length("value") > 1).select(
-        "label", F.explode(F.transform(places, lambda i: F.substring(F.col("value"), i, F.lit(2)))).alias("pair")
-    )
+    chars = strings.where(F.length("value") > 1).withColumn("chars", F.split("value", ""))
+    # A character past the end is null, and so is its pair.
+    pair = F.zip_with("chars", F.slice("chars", 2, F.length("value")), lambda a, b: F.concat(a, b))
+    pairs = chars.select("label", F.explode(pair).alias("pair"))
     inside = F.col("pair").rlike("^[A-Za-z0-9+/_=-]{2}$")
     counted = pairs.where(inside).groupBy("label", "pair").count().collect()
     if missing := {0, 1} - {row.label for row in counted}:
@@ -188,19 +188,21 @@ def pair_scores(strings: DataFrame) -> list[int]:
 
 
 def random_score(value: Column, scores: list[int]) -> Column:
-    """Sum of the pair scores of a string over ``ALPHABET``, in thousandths."""
-    table = F.split(F.lit(",".join(map(str, scores))), ",").cast("array<int>")
-
-    def add(total: Column, i: Column) -> Column:
-        place = (_code(value, i) - 1) * len(ALPHABET) + _code(value, i + 1)
-        return total + F.element_at(table, place)
+    """Sum of the pair scores of a string over ``ALPHABET``, in thousandths.
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(value) - 1, F.lit(1))), F.lit(0), add)
+    The characters are split once and carried one by one, so time grows with
+    the length, and the sum is a long, as an embedded file may be one run.
+    """
+    table = F.split(F.lit(",".join(map(str, scores))), ",").cast("array<int>")
 
+    def add(state: Column, char: Column) -> Column:
+        code = F.position(char, F.lit(ALPHABET))
+        score = F.when(state["last"] > 0, F.element_at(table, (state["last"] - 1) * len(ALPHABET) + code)).otherwise(0)
+        return F.struct(code.alias("last"), (state["total"] + score).alias("total"))
 
-def _code(value: Column, i: Column) -> Column:
-    """Place of a character in the alphabet, from 1; 1 beyond the end of the string."""
-    return F.greatest(F.position(F.substring(value, i, F.lit(1)), F.lit(ALPHABET)), F.lit(1))
+    start = F.struct(F.lit(0).alias("last"), F.lit(0).cast("long").alias("total"))
+    chars = F.filter(F.split(value, ""), lambda char: char != "")
+    return F.aggregate(chars, start, add, lambda state: state["total"])
 
 
 def find_secrets(docs: DataFrame, scores: list[int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

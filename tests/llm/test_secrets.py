@@ -125,5 +125,22 @@ def test_missing_class_raises(spark):
             secrets.pair_scores(spark.createDataFrame([(label, "abcdefgh")], "label int, value string"))
 
 
+def test_run_of_a_million_characters(documents, trained):
+    r = Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    image = "x" + "".join(r.choices(letters, k=999_999))
+    place = {c: i for i, c in enumerate(secrets.ALPHABET)}
+    # Scores as high as those of pairs that no ordinary string has.
+    scores = [s + 5_000 for s in trained[0]]
+    want = sum(scores[place[a] * len(place) + place[b]] for a, b in zip(image, image[1:]))
+    assert want > 2**31
+    rows = documents([(1, f"see {image} here")])
+    got = rows.select(secrets.random_score(F.substring("text", 5, len(image)), scores).alias("score")).collect()[0]
+    assert got.score == want
+    assert secrets.find_secrets(rows, scores).collect()[0].spans.split(",")[-1] == f"random:4:{4 + len(image)}"
+    # Training on a text with such a run ends too.
+    assert secrets.training_strings(rows).where(F.length("value") > secrets.MOST_OF_RUN).where("label = 0").count() < 6
+
+
 def test_empty_table(documents):
     assert secrets.scan(documents(ODD).limit(0)).count() == 0

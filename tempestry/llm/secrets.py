@@ -205,6 +205,22 @@ def random_score(value: Column, scores: list[int]) -> Column:
     return F.aggregate(chars, start, add, lambda state: state["total"])
 
 
+def _outside(run: Column, base: Column) -> Column:
+    """Stretches of a run outside the base spans, which are in order, without those shorter than ``SHORTEST_RUN``."""
+    inside = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def with_stretch(state: Column, end: Column) -> Column:
+        span = F.struct(state["at"].alias("start"), run["rank"].alias("rank"), run["kind"].alias("kind"), end.alias("end"))
+        return F.when(end - state["at"] >= SHORTEST_RUN, F.concat(state["found"], F.array(span))).otherwise(state["found"])
+
+    def cut(state: Column, b: Column) -> Column:
+        return F.struct(F.greatest(state["at"], b["end"]).alias("at"), with_stretch(state, b["start"]).alias("found"))
+
+    start = F.struct(run["start"].alias("at"), none.alias("found"))
+    return F.aggregate(inside, start, cut, lambda state: with_stretch(state, run["end"]))
+
+
 def find_secrets(docs: DataFrame, scores: list[int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of secrets of every document.
 
@@ -212,8 +228,8 @@ def find_secrets(docs: DataFrame, scores: list[int], id_col: str = "doc_id", tex
     ``found``, all spans as structs of code points (end exclusive), ordered by
     start and then kind. ``spans`` joins them as ``kind:start:end``;
     ``base_sha256`` digests those of the base kinds alone. Of kind ``random``
-    are runs of the alphabet that overlap no base span and that the models
-    (``pair_scores``) call random.
+    are the stretches of runs of the alphabet outside all base spans that have
+    ``SHORTEST_RUN`` characters and that the models (``pair_scores``) call random.
 
     Null and empty texts have no spans. Repeated rows give equal results, null ids stay null, an empty
     table gives no rows, and further columns are ignored.
@@ -226,11 +242,11 @@ def find_secrets(docs: DataFrame, scores: list[int], id_col: str = "doc_id", tex
     rows = rows.withColumn("base", F.array_sort(F.concat(*kinds)))
 
     def random(span: Column) -> Column:
-        free = ~F.exists("base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
         value = F.substring(F.col("text"), span["start"] + 1, span["end"] - span["start"])
-        return free & (random_score(value, scores) >= int(THRESHOLD * 1000))
+        return random_score(value, scores) >= int(THRESHOLD * 1000)
 
-    found = F.when(F.size("run") > 0, F.array_sort(F.concat("base", F.filter("run", random)))).otherwise(F.col("base"))
+    free = F.flatten(F.transform("run", lambda run: _outside(run, F.col("base"))))
+    found = F.when(F.size("run") > 0, F.array_sort(F.concat("base", F.filter(free, random)))).otherwise(F.col("base"))
     rows = rows.withColumn("found", found)
 
     def joined(spans: str) -> Column:

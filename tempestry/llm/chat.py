@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempestry.llm.common import batches_of, rows_of
@@ -18,6 +18,8 @@ CONTROLS = (OPEN, CLOSE, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<
 
 #: Code points of one delta in the log that ``events_of_rows`` writes.
 DELTA = 512
+#: Code points of a superseded draft in that log, at most.
+DRAFT = 32
 #: Most messages of one rendered piece of a conversation.
 PIECE_TURNS, PIECE_CHARS = 64, 1 << 20
 
@@ -178,23 +180,35 @@ def events_of_rows(rows: DataFrame, delta: int = DELTA) -> DataFrame:
     """An event log of a table of messages (``conv_id, turn, role, text``).
 
     Rows of a conversation take their places by turn, then role and text, so
-    that rows repeated with one turn are messages of their own. An assistant's
-    text is streamed as deltas of ``delta`` code points after an empty message.
+    that rows repeated with one turn are messages of their own. The log has a
+    history that folds back to the rows. An assistant's message opens with a
+    draft, which the next message answers; then it is regenerated, which takes
+    away both, and its text is streamed as deltas of ``delta`` code points.
+    Other messages are a draft that is edited, and a further message, which
+    has an odd place, is deleted.
     """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     text = F.coalesce("text", F.lit(""))
+    draft = F.concat(F.lit("draft "), F.substring(text, 1, DRAFT))
     length = F.greatest(F.length(text), F.lit(1))
+    none = F.lit(None).cast("string")
+
+    def event(kind: str, value: Column, ahead: int = 0) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("text"), F.lit(ahead).alias("ahead"))
+
     deltas = F.transform(
         F.sequence(F.lit(0), F.floor((length - 1) / delta).cast("int")),
-        lambda k: F.struct(F.lit("delta").alias("kind"), F.substring(text, k * delta + 1, F.lit(delta)).alias("text")),
+        lambda k: event("delta", F.substring(text, k * delta + 1, F.lit(delta))),
     )
-    opened = F.struct(F.lit("message").alias("kind"), F.when(F.col("role") != "assistant", text).alias("text"))
-    events = F.when(F.col("role") == "assistant", F.concat(F.array(opened), deltas)).otherwise(F.array(opened.withField("text", text)))
-    placed = rows.select("conv_id", "role", "text", F.row_number().over(order).cast("long").alias("message"), F.col("turn"))
-    return placed.select("conv_id", "message", "role", F.posexplode(events).alias("step", "event")).select(
+    # Places are even, so a message 2 ahead is the next one.
+    before = F.array(event("message", none), event("delta", draft), event("message", draft, 2), event("regenerate", none))
+    edited = F.array(event("message", draft), event("edit", text), event("message", draft, 1), event("delete", none, 1))
+    events = F.when(F.col("role") == "assistant", F.concat(before, deltas)).otherwise(edited)
+    placed = rows.select("conv_id", "role", "text", F.row_number().over(order).cast("long").alias("number"))
+    return placed.select("conv_id", "number", "role", F.posexplode(events).alias("step", "event")).select(
         "conv_id",
-        "message",
-        (F.col("message") * (1 << 32) + F.col("step")).alias("seq"),
+        (F.col("number") * 2 + F.col("event.ahead")).alias("message"),
+        (F.col("number") * (1 << 32) + F.col("step")).alias("seq"),
         "event.kind",
         F.coalesce("role", F.lit("")).alias("role"),
         "event.text",

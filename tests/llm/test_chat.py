@@ -80,6 +80,18 @@ def test_rows_round_trip(spark, monkeypatch):
     assert got[-1].n_turns == 2 and got[-1].loss_chars == 21
 
 
+def test_log_of_rows_has_a_history_that_folds_away(spark):
+    rows = [(c, t, ("user", "assistant", None)[t % 3], f"text {t} " * 9) for c in (1, None) for t in range(9)]
+    events = chat.events_of_rows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    log = [tuple(r) for r in events.collect()]
+    assert {e[3] for e in log} == {"message", "delta", "edit", "regenerate", "delete"}
+    # Some message was begun before an earlier one was regenerated.
+    cuts = [e for e in log if e[3] == "regenerate"]
+    assert any(e[0] == c[0] and e[1] > c[1] and e[2] < c[2] for e in log for c in cuts)
+    log.sort(key=lambda e: (e[0] or 0, *e[1:3]))
+    assert [(c, role, text) for c, _, role, text in chat.fold(iter(log))] == [(c, r or "", x) for c, _, r, x in sorted(rows, key=lambda r: r[0] or 0)]
+
+
 def test_empty_log(spark):
     rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_log(chat.events_of_rows(rows))).count() == 0

@@ -99,8 +99,14 @@ def ingest(
 
 
 def _store(
-    spark: SparkSession, cleaned: Callable[[str], DataFrame], warehouse_root: str, years: list[int], mode: str
+    spark: SparkSession,
+    cleaned: Callable[[str], DataFrame],
+    warehouse_root: str,
+    years: list[int],
+    mode: str,
+    datasets: Iterable[str] = tuple(DATASETS),
 ) -> None:
+    datasets = list(datasets)
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
 
@@ -111,13 +117,18 @@ def _store(
         else:
             warehouse.replace_years(spark, inputs[name], path, spec, years)
 
-    # Both inputs are looked up before either table is written.
-    inputs = {name: cleaned(name) for name in DATASETS}
-    together(spark, *(partial(one, name) for name in DATASETS))
+    # All inputs are looked up before any table is written.
+    inputs = {name: cleaned(name) for name in datasets}
+    together(spark, *(partial(one, name) for name in datasets))
 
 
 def load(
-    spark: SparkSession, lake_root: str, warehouse_root: str, years: Iterable[int], mode: str = "replace"
+    spark: SparkSession,
+    lake_root: str,
+    warehouse_root: str,
+    years: Iterable[int],
+    mode: str = "replace",
+    datasets: Iterable[str] = tuple(DATASETS),
 ) -> None:
     """[S4, S5, K4-K8] Cleaned Parquet of ``years`` into the loaded tables.
 
@@ -129,7 +140,7 @@ def load(
     def cleaned(name: str) -> DataFrame:
         return parquet_files.read_years(spark, f"{lake_root}/{name}", DATASETS[name], years)
 
-    _store(spark, cleaned, warehouse_root, years, mode)
+    _store(spark, cleaned, warehouse_root, years, mode, datasets)
 
 
 def backfill(

@@ -185,9 +185,7 @@ def _yearly_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     together(spark, *(partial(ingest, dataset) for dataset in DATASETS))
     # A year for which one of the datasets has no file was ingested for the other only.
     for dataset in DATASETS:
-        path, spec = f"{root}/tables/{dataset}", DATASETS[dataset]
-        cleaned = parquet_files.read_years(spark, f"{root}/lake/{dataset}", spec, years[dataset])
-        warehouse.replace_years(spark, cleaned, path, spec, years[dataset])
+        jobs.load(spark, f"{root}/lake", f"{root}/tables", years[dataset], datasets=[dataset])
     return models.build(spark, f"{root}/tables", f"{root}/models")["fact_fatality_type_by_event_type"]
 
 

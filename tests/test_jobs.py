@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from tempestry import __main__ as command_line
+from tempestry import registered
 from tempestry.plans import jobs, models
 from tempestry.schemas import EVENTS, FATALITIES
 from tempestry.session import scratch_path, shuffle_partitions, together
@@ -192,3 +193,16 @@ def test_options_on_the_command_line(spark, files, tmp_path, capsys):
     command_line.main(["answers", built, "-k", "1"])
     command_line.main(["rejects", str(revised)])
     assert "bad_rows" in capsys.readouterr().out
+
+
+def test_registered_backfill_runs_the_load_job(spark, sf_dir, monkeypatch):
+    """A year without ingested files stops the registered query, by the check of ``jobs.load``."""
+    ingest = jobs.ingest
+    monkeypatch.setattr(jobs, "ingest", lambda spark, files, lake, years, **options: ingest(spark, files, lake, years[1:], **options))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        registered.QUERIES["yearly_backfill"](spark, sf_dir).collect()
+    monkeypatch.undo()
+    loaded, load = [], jobs.load
+    monkeypatch.setattr(jobs, "load", lambda *args, datasets, **options: loaded.extend(datasets) or load(*args, datasets=datasets, **options))
+    assert registered.QUERIES["yearly_backfill"](spark, sf_dir).count() > 0
+    assert sorted(loaded) == ["events", "fatalities"]

@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,15 +23,20 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 #: An odd multiplier for hashes of windows, and one for their last mix (fixed values).
 STEP = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
+#: Bytes at which a batch for the Python workers ends, the setting for it, and Spark's own value.
+BATCH_BYTES, _BATCH_BYTES, _BATCH_DEFAULT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 #: Most rows of a table that is broadcast, each of a few numbers and a name.
 FEW_ROWS = 50_000
 
 
 def reachable(spark: SparkSession) -> None:
-    """Let the Python workers find this package where it lies outside their working folder.
+    """Let the Python workers find this package where it lies outside their working folder, and bound Arrow batches.
 
-    On a cluster the package is shipped with ``--py-files``, and this changes nothing.
+    On a cluster the package is shipped with ``--py-files``, and the path changes nothing. Batches
+    that Spark sends to the workers are ended by BATCH_BYTES, unless the session sets a size itself.
     """
+    if spark.conf.get(_BATCH_BYTES, None) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
@@ -63,6 +69,26 @@ def uniform(key: Column, seed: str) -> Column:
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
+def known_apart(df: DataFrame, key: str, more: list[str], label: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with different ``key`` where rows of one 64-bit key differ in ``more``, and the counts of all repeated keys.
+
+    ``more`` are further hashes or sizes of what ``key`` stands for. The second table has ``key, copies`` of each
+    key with two rows or more. Rows of equal ``key`` and ``more`` keep one key; such clashes are about one
+    pair of keys among six billion different ones, so as a rule none is there and the join is left out.
+    """
+    other = F.struct(*more)
+    counts = saved(
+        df.groupBy(key).agg(F.count("*").alias("copies"), F.min(other).alias("low"), F.max(other).alias("high")).where("copies > 1"),
+        label,
+    )
+    clash = counts.where(F.col("low") != F.col("high")).select(key)
+    if clash.isEmpty():
+        return df, counts.select(key, "copies")
+    marked = df.join(share(clash.withColumn("_clash", F.lit(True)), FEW_ROWS), key, "left")
+    apart = marked.withColumn(key, F.when(F.col("_clash"), F.xxhash64(key, *more)).otherwise(F.col(key))).drop("_clash")
+    return apart, apart.groupBy(key).agg(F.count("*").alias("copies")).where("copies > 1")
+
+
 def share(df: DataFrame, most_rows: int) -> DataFrame:
     """``df``, with the hint to broadcast it if it has few rows.
 
@@ -74,33 +100,21 @@ def share(df: DataFrame, most_rows: int) -> DataFrame:
 
 _BLANK = np.zeros(256, bool)
 _BLANK[list(BLANKS.encode())] = True
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
-#: An odd multiplier for the bytes of a word, and its inverse modulo 2 ** 64.
-BYTE_STEP = 0x5851F42D4C957F2D
-_INVERSE = pow(BYTE_STEP, -1, 1 << 64)
-
-
-def _steps(number: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BYTE_STEP and of its inverse, for at least ``number`` bytes."""
-    global _powers, _inverses
-    while len(_powers) < number:
-        more = np.uint64(pow(BYTE_STEP, len(_powers), 1 << 64)), np.uint64(pow(_INVERSE, len(_powers), 1 << 64))
-        with np.errstate(over="ignore"):
-            _powers = np.concatenate([_powers, _powers * more[0]])
-            _inverses = np.concatenate([_inverses, _inverses * more[1]])
-    return _powers, _inverses
-
-
+#: The low bytes of a number of eight that belong to a word of 0 to 8 bytes.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longest words, in bytes, that are hashed together with others.
+LANES = 64
 #: Bytes of a text that are hashed at once.
 PART_BYTES = 1 << 20
 
 
-def word_hashes(text: bytes) -> np.ndarray:
+def word_hashes(text: bytes, seed: int = 0) -> np.ndarray:
     """64-bit hashes of a text's words in order, the same in every process.
 
-    A word's hash is the polynomial of its bytes, from running sums over the
-    text, mixed with its length.
+    Words are taken eight bytes at a time, each time mixed into the hash by a
+    one-to-one function, so different words of one length up to eight bytes
+    never collide. Words above LANES bytes get their XXH3. Hashes by two
+    seeds are independent.
     """
     parts, at = [], 0
     while at < len(text):
@@ -112,22 +126,30 @@ def word_hashes(text: bytes) -> np.ndarray:
                 following = [p for p in (text.find(b, end) for b in map(bytes, zip(BLANKS.encode()))) if p >= 0]
                 cut = min(following, default=len(text))
             end = cut + 1
-        parts.append(_part_hashes(np.frombuffer(text[at:end], np.uint8)))
+        parts.append(_part_hashes(text[at:end], seed))
         at = end
     return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.empty(0, np.uint64)
 
 
-def _part_hashes(codes: np.ndarray) -> np.ndarray:
+def _part_hashes(text: bytes, seed: int) -> np.ndarray:
+    codes = np.frombuffer(text, np.uint8)
     inside = np.empty(len(codes) + 2, bool)
     inside[0] = inside[-1] = False
     np.logical_not(_BLANK[codes], out=inside[1:-1])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    powers, inverses = _steps(len(codes) + 1)
-    sums = np.zeros(len(codes) + 1, np.uint64)
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    eights = np.ndarray(len(text) + 1, "<u8", text + bytes(8), strides=(1,))
     with np.errstate(over="ignore"):
-        np.cumsum((codes + np.uint64(1)) * powers[: len(codes)], out=sums[1:])
-        return mixed((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
+        out = mixed((eights[starts] & _LOW[np.minimum(sizes, 8)]) + mixed(np.array([seed], np.uint64)))
+        out = mixed(out ^ sizes.astype(np.uint64) * STEP)
+        for at in range(8, LANES, 8):
+            more = np.flatnonzero((sizes > at) & (sizes <= LANES))
+            if not len(more):
+                break
+            out[more] = mixed(out[more] ^ (eights[starts[more] + at] & _LOW[np.minimum(sizes[more] - at, 8)]))
+    for k in np.flatnonzero(sizes > LANES):
+        out[k] = xxhash.xxh3_64_intdigest(text[starts[k] : starts[k] + sizes[k]], seed)
+    return out
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tempestry.llm.common import BLANK_RUN, covered, parts_of, saved, signed, window_hashes, word_count, word_hashes, values
+from tempestry.llm.common import BLANK_RUN, covered, known_apart, parts_of, saved, signed, window_hashes, word_count, word_hashes, values
 from tempestry.llm.twice import Filters, emitted, seen_twice
 
 #: Words of a passage that is removed if it occurs again.
@@ -20,8 +20,10 @@ PASSAGE = 35
 #: Any two positions have a shift below PERIOD that takes both to a position in COVER modulo PERIOD,
 #: as each number below 13 is a difference of two of these modulo 13.
 PERIOD, COVER = 13, (0, 1, 3, 9)
-#: A second multiplier, so that a passage is known by two hashes of 64 bits.
-SECOND = np.uint64(0xA0761D6478BD642F)
+#: A second multiplier and a second seed of words, so that a passage is known by two independent hashes of 64 bits.
+SECOND, SECOND_SEED = np.uint64(0xA0761D6478BD642F), 0x2545F4914F6CDD1D
+#: Words of the texts that one part of a task holds at once.
+PART_WORDS = 2_000_000
 
 
 def anchor_places(n_words: int, passage: int = PASSAGE) -> np.ndarray:
@@ -36,24 +38,28 @@ def _anchors(hashes: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray]:
     return places, window_hashes(hashes, passage - PERIOD + 1)[places]
 
 
-def _texts_once(batches: Iterator[pa.RecordBatch], passage: int) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """Per batch, (key, word hashes) of its texts that are long enough, a text repeated in the partition only once."""
+def _texts_once(batches: Iterator[pa.RecordBatch], passage: int) -> Iterator[list[tuple[int, bytes, np.ndarray]]]:
+    """(key, text, word hashes) of texts that are long enough, a text repeated in the partition only once; PART_WORDS at once."""
     seen: set[int] = set()
-    for batch in parts_of(batches, 10_000):
-        out = []
+    out, words = [], 0
+    for batch in parts_of(batches):
         for key, text in zip(values(batch.column("key")), values(batch.column("text"))):
             if key not in seen:
                 seen.add(key)
                 hashes = word_hashes(text or b"")
                 if len(hashes) >= passage:
-                    out.append((key, hashes))
-        yield out
+                    out.append((key, text, hashes))
+                    words += len(hashes)
+            if words >= PART_WORDS:
+                yield out
+                out, words = [], 0
+    yield out
 
 
 def _anchor_hashes(passage: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _texts_once(batches, passage):
-            yield emitted(np.concatenate([np.empty(0, np.uint64), *(_anchors(h, passage)[1] for _, h in texts)]))
+            yield emitted(np.concatenate([np.empty(0, np.uint64), *(_anchors(h, passage)[1] for _, _, h in texts)]))
 
     return run
 
@@ -71,11 +77,11 @@ def _candidates(filters: Filters, passage: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _texts_once(batches, passage):
-            anchors = [_anchors(h, passage) for _, h in texts]
+            anchors = [_anchors(h, passage) for _, _, h in texts]
             hit = filters.may_repeat(np.concatenate([np.empty(0, np.uint64), *(a for _, a in anchors)]))
             at = 0
             columns: list[list[np.ndarray]] = [[np.empty(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64)]
-            for k, ((_, hashes), (places, _)) in enumerate(zip(texts, anchors)):
+            for k, ((_, text, hashes), (places, _)) in enumerate(zip(texts, anchors)):
                 here = places[hit[at : at + len(places)]]
                 at += len(places)
                 if not len(here):
@@ -84,11 +90,11 @@ def _candidates(filters: Filters, passage: int):
                 inside = covered(here, PERIOD, len(hashes) + PERIOD)[PERIOD - 1 :]
                 starts = np.flatnonzero(inside[: len(hashes) - passage + 1])
                 columns[0].append(window_hashes(hashes, passage)[starts])
-                columns[1].append(window_hashes(hashes, passage, SECOND)[starts])
+                columns[1].append(window_hashes(word_hashes(text, SECOND_SEED), passage, SECOND)[starts])
                 columns[2].append(np.full(len(starts), k))
                 columns[3].append(starts)
-            first, second, text, place = (np.concatenate(column) for column in columns)
-            keys = np.array([key for key, _ in texts], np.int64)
+            first, second, owner, place = (np.concatenate(column) for column in columns)
+            keys = np.array([key for key, _, _ in texts], np.int64)
             order = np.lexsort((second, first))
             alike = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
             twice = np.zeros(len(order), bool)
@@ -96,9 +102,9 @@ def _candidates(filters: Filters, passage: int):
             twice[order[:-1][alike]] = True
             marks = order[np.flatnonzero(np.concatenate([alike, [False]]) & ~np.concatenate([[False], alike]))[: len(order)]]
             once = np.flatnonzero(~twice)
-            yield from _found(first[once], second[once], keys[text[once]], place[once], None)
+            yield from _found(first[once], second[once], keys[owner[once]], place[once], None)
             yield from _found(first[marks], second[marks], None, None, None)
-            begins, ends = merged(text[twice], place[twice], passage)
+            begins, ends = merged(owner[twice], place[twice], passage)
             yield from _found(None, None, keys[begins[0]], begins[1], ends)
 
     return run
@@ -145,6 +151,11 @@ def words_joined(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), BLANK_RUN, " "))
 
 
+def text_key(text: Column) -> Column:
+    """64 bits of a text; texts that share them by chance are told apart by ``known_apart``."""
+    return F.xxhash64(text)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans of words in passages of PASSAGE words that occur more than once in the table.
 
@@ -159,7 +170,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     passages around it. These candidates are confirmed by their 128-bit
     hashes: within a batch at once, which keeps a passage of very many texts
     from being shuffled, the others by counting them over all tasks. A text that occurs twice as a whole is one
-    span, and stands for its copies elsewhere.
+    span, and stands for its copies elsewhere; copies are known by two hashes and their length.
 
     Null and blank texts have no words, and shorter ones than a passage no
     spans. Rows repeated are copies of each other. Null ids stay null, an empty table gives no
@@ -170,10 +181,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
         text.alias("text"),
-        F.xxhash64(text).alias("key"),
+        text_key(text).alias("key"),
+        F.xxhash64(F.lit(SECOND_SEED), text).alias("check"),
+        F.octet_length(text).alias("bytes"),
     )
+    rows, copied = known_apart(rows, "key", ["check", "bytes"], "copied-texts")
     slim = rows.select("key", F.col("text").cast("binary").alias("text"))
-    copied = saved(rows.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1").select("key"), "copied-texts")
     number = (docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0) // 6 * len(COVER) // PERIOD
     hashes = slim.mapInArrow(_anchor_hashes(PASSAGE), "hash long")
     found = [
@@ -183,7 +196,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     passages = reduce(DataFrame.unionByName, found)
     here = passages.where("first IS NULL").select("key", "begin", "end")
     rest = passages.where("first IS NOT NULL")
-    # A passage can be a candidate of several rounds.
+    # A passage can be a candidate in several rounds.
     rest = rest.distinct() if len(found) > 1 else rest
     others = F.count("*").over(Window.partitionBy("first", "second"))
     again = rest.withColumn("held", others).where("held > 1 AND key IS NOT NULL")

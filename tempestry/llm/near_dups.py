@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tempestry.llm.common import FEW_ROWS, mixed, parts_of, saved, share, signed, values, window_hashes, word_hashes
+from tempestry.llm.common import FEW_ROWS, known_apart, mixed, parts_of, saved, share, signed, values, window_hashes, word_hashes
 from tempestry.llm.graph import components
 from tempestry.llm.twice import Filters, emitted, seen_twice
 
@@ -74,21 +74,22 @@ def prefix_shared(size: int, longer: float = LONGER) -> int:
     return _more(least_shared(size), longer)
 
 
-def _set_key(tokens: np.ndarray) -> int:
-    key = xxhash.xxh3_64_intdigest(tokens.tobytes())
-    return key - (1 << 64) if key >> 63 else key
+def _set_keys(tokens: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set."""
+    digest = xxhash.xxh3_128_digest(tokens.tobytes())
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, int, np.ndarray, bool]]]:
-    """Per batch: doc_id, key, tokens of each row, and whether the set is new in this partition."""
-    seen: set[int] = set()
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, tuple[int, int], np.ndarray, bool]]]:
+    """Per batch: doc_id, keys, tokens of each row, and whether the set is new in this partition."""
+    seen: set[tuple[int, int]] = set()
     for batch in parts_of(batches):
         out = []
         for doc, text in zip(values(batch.column("doc_id")), values(batch.column("text"))):
             tokens = shingles(text)
-            key = _set_key(tokens)
-            out.append((doc, key, tokens, bool(len(tokens)) and key not in seen))
-            seen.add(key)
+            keys = _set_keys(tokens)
+            out.append((doc, keys, tokens, bool(len(tokens)) and keys not in seen))
+            seen.add(keys)
         yield out
 
 
@@ -98,7 +99,7 @@ def _prefix_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield emitted(np.concatenate([np.empty(0, np.uint64), *prefixes]))
 
 
-_ROW = "doc_id long, key long, n_shingles long, bucket long, tokens binary, listed boolean"
+_ROW = "doc_id long, key long, check long, n_shingles long, bucket long, tokens binary, listed boolean"
 
 
 def _suspects(filters: Filters, first: bool):
@@ -114,14 +115,14 @@ def _suspects(filters: Filters, first: bool):
             ends = np.cumsum([len(p) for p in prefixes])
             total = np.concatenate([[0], np.cumsum(hit)])
             out = []
-            for k, (doc, key, tokens, new) in enumerate(rows):
+            for k, (doc, keys, tokens, new) in enumerate(rows):
                 shared = total[ends[k]] - total[ends[k] - len(prefixes[k])]
                 suspect = new and shared >= max(1, -(-prefix_shared(len(tokens)) // filters.rounds))
                 if first or suspect:
                     bucket = int(mixed(tokens).min().view(np.int64)) if suspect else None
-                    out.append((doc, key, len(tokens), bucket, tokens.tobytes() if suspect else None, first))
-            columns = list(zip(*out)) if out else [[]] * 6
-            types = [pa.int64()] * 4 + [pa.binary(), pa.bool_()]
+                    out.append((doc, *keys, len(tokens), bucket, tokens.tobytes() if suspect else None, first))
+            columns = list(zip(*out)) if out else [[]] * 7
+            types = [pa.int64()] * 5 + [pa.binary(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)], [c.split()[0] for c in _ROW.split(", ")]
             )
@@ -438,7 +439,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     All these bounds are necessary conditions, so no link between components
     is lost. Links inside a component are not listed, nor are pairs of copies.
-    Shingles, and equal sets, are known by 64-bit hashes.
+    Shingles are known by 64-bit hashes of their words, equal sets by 128 bits and their size.
 
     Null and blank texts have no shingles and are linked with nothing, each a
     component of its own id. Rows repeated are equal sets. A null id is no component's id unless there is no other.
@@ -450,6 +451,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     for filters in seen_twice(slim.mapInArrow(_prefix_hashes, "hash long"), words // 12, "prefix-filters", FILL):
         found = saved(slim.mapInArrow(_suspects(filters, rows is None), _ROW), "shingles")
         rows = found if rows is None else rows.unionByName(found)
+    rows, _ = known_apart(rows, "key", ["check", "n_shingles"], "equal-sets")
     suspects = rows.where("tokens IS NOT NULL").select("key", F.col("n_shingles").alias("size"), "bucket", "tokens")
     number = suspects.agg(F.sum("size")).first()[0] or 0
     found = [

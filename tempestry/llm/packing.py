@@ -8,7 +8,9 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from struct import pack as pack_numbers
+from threading import Timer
 from unicodedata import is_normalized
 
 import numpy as np
@@ -110,6 +112,25 @@ class Encoder(dict):
 
 
 _encoders: dict[str, Encoder] = {}
+#: Seconds after its last task in which a worker forgets its words.
+FORGET_AFTER = 2.0
+_forget: Timer | None = None
+
+
+@contextmanager
+def _encoder(tokenizer: str) -> Iterator[Encoder]:
+    """The worker's encoder: its words last from task to task, but not while the worker waits for other work."""
+    global _forget
+    if _forget is not None:
+        _forget.cancel()
+    encoder = _encoders.pop(tokenizer, None) or Encoder(tokenizer)
+    try:
+        yield encoder
+    finally:
+        _encoders[tokenizer] = encoder
+        _forget = Timer(FORGET_AFTER, _encoders.clear)
+        _forget.daemon = True
+        _forget.start()
 
 
 def _cut(tokenizer: str, capacity: int, end: int):
@@ -117,18 +138,17 @@ def _cut(tokenizer: str, capacity: int, end: int):
     last = np.array([end], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = Encoder(tokenizer)
-        encode, places = _encoders[tokenizer], Counter()
-        for batch in parts_of(batches):
-            ids, parts, texts = (values(batch.column(n)) for n in ("doc_id", "part", "text"))
-            for doc, part, text in zip(ids, parts, texts):
-                encoded = encode.of(text) + last
-                for number, start in enumerate(range(0, len(encoded), 4 * capacity)):
-                    piece = encoded[start : start + 4 * capacity]
-                    length = len(piece) // 4
-                    yield doc, number, start // 4, length, zlib.crc32(piece), part, places[length]
-                    places[length] += 1
+        places: Counter = Counter()
+        with _encoder(tokenizer) as encode:
+            for batch in parts_of(batches):
+                ids, parts, texts = (values(batch.column(n)) for n in ("doc_id", "part", "text"))
+                for doc, part, text in zip(ids, parts, texts):
+                    encoded = encode.of(text) + last
+                    for number, start in enumerate(range(0, len(encoded), 4 * capacity)):
+                        piece = encoded[start : start + 4 * capacity]
+                        length = len(piece) // 4
+                        yield doc, number, start // 4, length, zlib.crc32(piece), part, places[length]
+                        places[length] += 1
 
     return lambda batches: batches_of(pieces(batches), _PIECES, 10_000)
 

@@ -109,7 +109,8 @@ def seen_twice(hashes: DataFrame, number: int, label: str, fill: float = FILL) -
     through which its hashes stream. The filter of the repeated ones is folded
     to what its contents need. All slices come at once if their filters take
     at most ``MOST_FILTER_BYTES`` together, otherwise in rounds. There is always
-    one round, also without any repeated hash.
+    one round, also without any repeated hash. A round's filters are given
+    back when the next one is asked for, so write what needs them before.
     """
     slices = max(16, number // SLICE_HASHES + 1)
     filters = saved(
@@ -126,4 +127,6 @@ def seen_twice(hashes: DataFrame, number: int, label: str, fill: float = FILL) -
         total += size
     for group in groups:
         bits = {r.slice: bytes(r.bits) for r in filters.where(F.col("slice").isin(group)).collect()}
-        yield Filters(hashes.sparkSession.sparkContext.broadcast(bits), slices, len(groups))
+        shared = hashes.sparkSession.sparkContext.broadcast(bits)
+        yield Filters(shared, slices, len(groups))
+        shared.unpersist()

@@ -7,6 +7,7 @@ from random import Random
 import pytest
 
 from tempestry.llm import dedup_exact, dedup_lines, dedup_substrings, near_dups, twice
+from tempestry.llm.common import known_apart
 from tempestry.llm.graph import components
 from tests.llm.conftest import ODD
 
@@ -165,6 +166,48 @@ def test_near_duplicates(documents, monkeypatch, most, group, queries):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
 
 
+def thue_morse(size, first="a", second="b"):
+    """A word that polynomial hashes modulo a power of two cannot tell from its complement."""
+    return "".join(second if i.bit_count() % 2 else first for i in range(size))
+
+
+TWINS = [(thue_morse(n), thue_morse(n, "b", "a")) for n in (1024, 4096)]
+
+
+def test_long_words_of_regular_patterns_are_different(documents):
+    rows = []
+    for k, twins in enumerate(TWINS):
+        rows += [(10 * k + j, " ".join([*(f"s{k}x{i}" for i in range(34)), word])) for j, word in enumerate(twins)]
+        rows += [(10 * k + 5 + j, word) for j, word in enumerate(twins)]
+        # Passages of two words in the same pattern.
+        rows += [(10 * k + 7 + j, " ".join(("u v" if c == "a" else "v u") + f"{k}" for c in word[:64])) for j, word in enumerate(twins)]
+    df = documents(rows)
+    got = dedup_substrings.without_repeats(df).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == brute_substrings(rows)
+    assert all(r.n_removed == 0 for r in got if r.doc_id % 10 < 5)
+    got = near_dups.similar_documents(df).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
+
+
+def test_texts_with_one_key_are_told_apart(documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(r[0], r[1]) for r in ROWS if r[0] not in (7, 8)]
+    monkeypatch.setattr(dedup_substrings, "text_key", lambda text: F.pmod(F.xxhash64(text), F.lit(20)))
+    got = dedup_substrings.without_repeats(documents(rows)).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == brute_substrings(rows)
+
+
+def test_known_apart(spark):
+    rows = spark.createDataFrame([(1, 5, 1), (1, 5, 1), (2, 6, 1), (2, 7, 1), (2, 7, 1), (3, 8, 1), (3, 8, 2)], "key long, a long, b int")
+    apart, counts = known_apart(rows, "key", ["a", "b"], "test")
+    found = apart.collect()
+    assert len({(r.key, r.a, r.b) for r in found}) == len({(r.a, r.b) for r in found}) == len({r.key for r in found}) == 5
+    assert sorted(r.copies for r in counts.collect()) == [2, 2]
+    same, counts = known_apart(rows.where("key = 1"), "key", ["a", "b"], "test")
+    assert same.columns == rows.columns and [tuple(r) for r in counts.collect()] == [(1, 2)]
+
+
 def test_one_of_each(documents):
     df = documents(ROWS)
     got = near_dups.one_of_each(df)

@@ -35,6 +35,13 @@ def test_different_words_have_different_hashes():
     assert len(set(common.word_hashes(b" ".join(words)).tolist())) == len(words)
 
 
+def test_seeds_are_independent():
+    words = [b"%d" % i for i in range(50_000)] + [b"a" * i for i in range(1, 200)]
+    one, two = (common.word_hashes(b" ".join(words), seed) for seed in (0, 5))
+    assert len(set(one.tolist()) | set(two.tolist())) == 2 * len(words)
+    assert abs(np.bitwise_count(one ^ two).mean() - 32) < 0.2
+
+
 def test_covered():
     assert common.covered(np.array([1, 2]), 2, 6).tolist() == [False, True, True, True, False, False]
 

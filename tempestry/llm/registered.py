@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import chat, dedup_exact, dedup_lines, dedup_substrings, html, mixing, near_dups, packing, quality, secrets
+from tempestry.llm import chat, dedup_exact, dedup_lines, dedup_substrings, html, mixing, near_dups, packing, quality, secrets, whitening
 from tempestry.llm.common import reachable, table
 
 #: The tokenizer of the packed sequences; its file is installed beside the library that names it.
@@ -192,3 +192,9 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(s.gone, 0) AS n_r
 FROM d LEFT JOIN (SELECT doc_id, count(*) FILTER (gone) AS gone, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept
   FROM k GROUP BY doc_id) s USING (doc_id)
 """
+
+
+@_query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings along the principal components of their different vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

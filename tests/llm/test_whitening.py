@@ -1,0 +1,106 @@
+"""Whitening against a plain covariance of the same vectors, in exact fractions."""
+
+from fractions import Fraction
+from math import floor
+from random import Random
+
+import numpy as np
+import pytest
+
+from tempestry.llm import whitening
+
+SCHEMA = "vec_id long, embedding array<float>, label int, x long, n string, whitened double"
+
+
+def brute(rows, most=16):
+    """(n, per kept row deviation and whitened values up to sign, explained), by the definition."""
+    kept = []
+    for vec_id, vector in rows:
+        if vector and all(c is not None and np.isfinite(c) for c in vector):
+            kept.append((vec_id, [floor(float(np.float32(c)) * 64) + 1_000_000 for c in vector]))
+    fit = sorted({tuple(x) for _, x in kept})
+    n, dims = len(fit), len(fit[0])
+    sums = [sum(x[i] for x in fit) for i in range(dims)]
+    z = [[n * v - s for v, s in zip(x, sums)] for x in fit]
+    cov = np.array([[float(Fraction(sum(r[i] * r[j] for r in z), n**3)) for j in range(dims)] for i in range(dims)])
+    values, vectors = np.linalg.eigh(cov)
+    order = [k for k in np.argsort(-values)[:most] if values[k] > 1e-12 * values.max()]
+    out = []
+    for vec_id, x in kept:
+        centred = [n * v - s for v, s in zip(x, sums)]
+        y = np.array(centred) / n @ vectors[:, order] / np.sqrt(values[order])
+        out.append((vec_id, sum(v * v for v in centred), y))
+    return n, out, values[order] / np.trace(cov)
+
+
+def vectors(seed, number, dims, spread=1.0):
+    r = np.random.default_rng(seed)
+    mix = r.normal(size=(dims, dims)) * np.linspace(2.0, 0.3, dims)
+    return (r.normal(size=(number, dims)) @ mix.T * spread).astype(np.float32).tolist()
+
+
+def collected(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, 1, 2, "n", 0.5) for i, v in rows], SCHEMA).repartition(3)
+    return whitening.whiten(df, **options).collect()
+
+
+@pytest.mark.parametrize("number,dims,spread", [(200, 20, 1.0), (40, 5, 30000.0), (30, 3, 0.01)])
+def test_equals_the_definition(spark, number, dims, spread):
+    rows = list(enumerate(vectors(number, number, dims, spread)))
+    rows += [(1000, rows[0][1]), (1001, rows[0][1]), (0, rows[0][1]), (None, rows[1][1]), (5000, None), (5001, [])]
+    rows += [(5002, [None] + rows[0][1][1:]), (5003, [float("nan")] + rows[0][1][1:]), (5004, [float("-inf")] * dims)]
+    rows += [(5005, [0.5] * (dims + 1))]
+    got = collected(spark, rows)
+    n, want, explained = brute([r for r in rows if r[0] != 5005])
+    k = min(16, dims)
+    assert len(got) == len(want) * k and {r.n for r in got} == {n} and len(explained) == k
+    assert len({r.identity_error for r in got}) == 1 and got[0].identity_error < 1e-9
+    by_row = {}
+    for r in sorted(got, key=lambda r: (r.vec_id is None, r.vec_id or 0, r.component)):
+        by_row.setdefault((r.vec_id, r.deviation), []).append(r)
+        assert abs(r.explained - explained[r.component - 1]) <= 1e-9 * explained[r.component - 1]
+    signs = None
+    for vec_id, deviation, y in want:
+        found = by_row[vec_id, deviation]
+        ours = np.array([r.whitened for r in found[:: len(found) // k]][:k])
+        if signs is None:
+            signs = np.sign(ours * y)
+        assert np.allclose(ours * signs, y, atol=1e-7)
+
+
+def test_polarisation_gives_the_covariance_of_whole_numbers():
+    r = Random(4)
+    z = np.array([[r.randrange(-(1 << 50), 1 << 50) for _ in range(4)] for _ in range(5000)])
+    exact = [[sum(int(a) * int(b) for a, b in zip(z[:, i], z[:, j])) for j in range(4)] for i in range(4)]
+    sums = {(i, j): int(whitening._square_sums((z[:, [i]] if i == j else z[:, [i]] + z[:, [j]]))[0]) for i in range(4) for j in range(i, 4)}
+    assert all(sums[i, i] == exact[i][i] for i in range(4))
+    got = whitening.covariance(sums, 4, 1)
+    assert all(got[i, j] == float(exact[i][j]) for i in range(4) for j in range(4))
+
+
+def test_vectors_without_variance(spark):
+    assert collected(spark, []) == []
+    assert collected(spark, [(1, [0.5, 1.0]), (2, [0.5, 1.0]), (3, None)]) == []
+    got = collected(spark, [(i, [float(i), 3.0, float(i)]) for i in range(5)])
+    assert {r.component for r in got} == {1} and len(got) == 5 and abs(got[0].explained - 1) < 1e-12
+
+
+def test_far_entries(spark):
+    rows = [(i, [float(i) * 1e6, -float(i % 3) * 1e6]) for i in range(20)]
+    got = collected(spark, rows)
+    assert len(got) == 40 and got[0].identity_error < 1e-9
+    assert {r.vec_id: r.deviation for r in got} == {i: d if d < 1 << 63 else None for i, d, _ in brute(rows)[1]}
+    with pytest.raises(Exception, match="too large"):
+        collected(spark, [(i, [float(i) * 1e12, 0.0]) for i in range(3)])
+
+
+def test_all_given_vectors(spark, sf_dir):
+    from tempestry.llm import registered
+
+    got = registered.QUERIES["op13_embedding_whitening"](spark, sf_dir).collect()
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    n, want, explained = brute(rows)
+    assert len(got) == 16 * len(want) and {r.n for r in got} == {n} and {r.deviation for r in got} == {d for _, d, _ in want}
+    assert got[0].identity_error < 1e-9
+    for r in got:
+        assert abs(r.explained - explained[r.component - 1]) <= 1e-9

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import chat, dedup_exact, dedup_lines, dedup_substrings, html, mixing, near_dups, packing, quality, secrets, whitening
+from tempestry.llm import chat, dedup_exact, dedup_lines, dedup_substrings, html, mixing, near_dups, packing, quality, secrets, warc, whitening
 from tempestry.llm.common import reachable, table
 
 #: The tokenizer of the packed sequences; its file is installed beside the library that names it.
@@ -194,6 +194,23 @@ FROM d LEFT JOIN (SELECT doc_id, count(*) FILTER (gone) AS gone, string_agg(word
 """
 
 
+@_query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back through the merged index of captures."""
+    captures = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op11_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT *, CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+
 @_query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings along the principal components of their different vectors."""

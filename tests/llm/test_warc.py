@@ -1,0 +1,165 @@
+"""WARC archives: round trips, what other programs write, and the merged index."""
+
+import gzip
+from collections import Counter, defaultdict
+from hashlib import sha256
+from random import Random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tempestry.llm import warc
+
+SCHEMA = "page_id long, url string, html string, archive string, payload string, digest string, bytes string, run int"
+BIG = "<p>" + "é\n\r\nWARC/1.1\r\n\r\n" * 40
+ROWS = [
+    (5, "https://www.a.example.org/x?y#z", BIG),
+    (3, "http://b.example.org/", BIG),
+    (9, "http://b.example.org/", BIG),
+    (9, "http://b.example.org/", BIG),
+    (3, "http://b.example.org/", BIG),
+    (None, "http://b.example.org/", BIG),
+    (1, "http://a.example.org/x?y", "short"),
+    (2, None, "short"),
+    (4, "http://[::1]:8080", None),
+    (6, " odd url\r\nX-Page-ID: 7\n", ""),
+    (7, "", "\n" * 99),
+    (8, "u", "\n" * 100),
+    (10, "u", "\r\n" * 50),
+    (11, "u", "\n" * 100),
+    (12, "v", "x" * 300_000),
+    (13, "v", "x" * 300_000 + "\n"),
+    (None, None, None),
+    (None, "n", "no id, but long enough to be stored only once if it had one. " * 3),
+    (None, "m", "no id, but long enough to be stored only once if it had one. " * 3),
+    (14, "c", "\x00<b>\x1c \x85" * 30),
+]
+
+
+def brute(rows):
+    first = defaultdict(list)
+    for page, _, html in rows:
+        if page is not None and len((html or "").encode()) >= 100:
+            first[html].append(page)
+    out = Counter()
+    for page, _, html in rows:
+        payload = (html or "").encode()
+        least = min(first.get(html, []), default=None)
+        revisit = least is not None and least != page
+        out[(page, len(payload), sha256(payload).hexdigest(), "revisit" if revisit else "response", least if revisit else None)] += 1
+    return out
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "a", "p", "d", "b", 1) for r in rows], SCHEMA)
+
+
+def test_round_trip(spark):
+    got = warc.archive_pages(pages(spark, ROWS).repartition(4)).collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == brute(ROWS)
+    assert {(r.page_id, r.url_key) for r in got if r.page_id in (1, 5)} == {(1, "org,example,a)/x?y"), (5, "org,example,a)/x?y")}
+    assert all(r.url is None for r in got if r.page_id == 2)
+    assert warc.archive_pages(pages(spark, ROWS[:0])).count() == 0
+
+
+def test_captures_point_into_the_archives(spark, tmp_path):
+    path = str(tmp_path / "archives")
+    warc.write(pages(spark, ROWS).repartition(3), path)
+    held = {f.name: gzip.decompress(f.read_bytes()) for f in (tmp_path / "archives").glob("part-*")}
+    found = warc.read(spark, path).collect()
+    assert len(found) == len(ROWS) and len(held) == 3
+    for r in found:
+        record = held[r.archive.rsplit("/", 1)[1]][r.offset : r.offset + r.length]
+        assert record.startswith(b"WARC/1.1\r\n") and r.record_id.encode() in record
+        if r.record_type == "response":
+            body = record.split(b"\r\n\r\n", 2)[2]
+            assert len(body) == r.payload_bytes and sha256(body).hexdigest() == r.payload_digest == r.claimed_digest
+
+
+def _record(kind, block, **fields):
+    names = {k.replace("_", "-"): v for k, v in fields.items()}
+    head = "".join(f"{k}: {v}\r\n" for k, v in {"WARC-Type": kind, **names, "Content-Length": len(block)}.items())
+    return b"WARC/1.0\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_programs(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    records = [
+        _record("warcinfo", b"software: other\r\n", Content_Type="application/warc-fields"),
+        _record("request", b"GET / HTTP/1.1\r\n\r\n", Content_Type="application/http;msgtype=request"),
+        _record("response", http + b"one\n\ntwo", WARC_Record_ID="<a>", WARC_Date="2024-05-06T07:08:09.5Z",
+                WARC_Target_URI="http://x.org/b", Content_Type="application/http; msgtype=response"),
+        _record("response", http, WARC_Record_ID="<b>", WARC_Date="2023-05-06T07:08:09Z",
+                WARC_Target_URI="http://X.org/b", Content_Type="application/http; msgtype=response"),
+        _record("revisit", http, WARC_Record_ID="<c>", WARC_Refers_To="<a>", WARC_Date="2025-01-01T00:00:00Z",
+                WARC_Target_URI="http://x.org/a", Content_Type="application/http; msgtype=response"),
+    ]
+    (tmp_path / "other.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    got = warc.resolved(warc.histories(warc.read(spark, str(tmp_path)))).collect()
+    two = sha256(b"one\n\ntwo").hexdigest()
+    assert [(r.record_id, r.url_key, r.captured, r.payload_bytes, r.payload_digest) for r in got] == [
+        ("<c>", "org,x)/a", "20250101000000", 8, two),
+        ("<b>", "org,x)/b", "20230506070809", 0, sha256(b"").hexdigest()),
+        ("<a>", "org,x)/b", "20240506070809", 8, two),
+    ]
+
+
+@pytest.mark.parametrize(
+    "raw", [b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc", b"no record\r\n", b"WARC/1.1\r\nA: b\r\n\r\n", b"WARC/1.1\r\nA", b"WARC/1.1\r\nContent-Length: 2\r\n\r\nabcd\r\n\r\n"]
+)
+def test_broken_archives_are_errors(raw):
+    with pytest.raises(warc.Broken):
+        list(warc.parsed(raw.split(b"\n")))
+
+
+def test_wrong_payloads_are_errors(spark, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\n\r\nx"
+    fields = {"Content_Type": "application/http", "WARC_Record_ID": "<a>", "WARC_Payload_Digest": "sha256:" + "0" * 64}
+    (tmp_path / "x.warc.gz").write_bytes(gzip.compress(_record("response", block, **fields)))
+    with pytest.raises(Exception, match="not what its digest says"):
+        warc.resolved(warc.histories(warc.read(spark, str(tmp_path)))).collect()
+
+
+def test_the_index_is_ordered_over_all_ranges(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_ROWS", 40)
+    r = Random(3)
+    hosts = ["hot.example.org"] * 5 + [f"h{i}.example.net" for i in range(5)]
+    rows = [(i, f"http://{r.choice(hosts)}/{r.randrange(4)}", f"text {i % 90} " * 12) for i in range(600)]
+    df = pages(spark, rows).repartition(7)
+    got = warc.archive_pages(df).collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == brute(rows)
+    path = warc.scratch_path(spark, "test")
+    warc.write(df, path)
+    merged = warc.histories(warc.read(spark, path))
+    sizes = Counter(r.range for r in merged.select("range").collect())
+    assert len(sizes) > 8 and max(sizes.values()) < 200  # one host has half of all captures
+    order, at = [], {}
+    for row in merged.collect():  # files keep the order of their rows
+        at.setdefault(row.range, []).append((row.url_key, row.captured, row.archive, row.place))
+    for k in sorted(at):
+        order += at[k]
+    assert len(order) == len(rows) and order == sorted(order)
+
+
+@given(st.lists(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 3))), max_size=9))
+@settings(deadline=None)
+def test_loser_tree_merges(runs):
+    tagged = [[(*item, k) for item in sorted(run)] for k, run in enumerate(runs)]
+    assert list(warc.merged_runs([iter(run) for run in tagged])) == sorted(x for run in tagged for x in run)
+    plain = [sorted(run) for run in runs]
+    assert list(warc.merged_runs([iter(run) for run in plain])) == sorted(x for run in plain for x in run)
+
+
+def test_url_keys():
+    for url, key in {
+        "https://www.Example.org:443/a?b#c": "org,example)/a?b",
+        "http://example.org": "org,example)/",
+        "http://u:p@a.b.example.org:8080?q": "org,example,b,a:8080)/?q",
+        "ftp://www.org/": "org,www)/",
+        "http://[::1]:80/x": "[::1])/x",
+        "": "",
+        None: "",
+        "?": ")/?",
+    }.items():
+        assert warc.url_key(url) == key

@@ -10,7 +10,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempestry.llm import chat, dedup_exact, dedup_lines, dedup_substrings, html, mixing, near_dups, packing, quality, secrets, warc, whitening
+from tempestry.llm import (
+    chat,
+    dedup_exact,
+    dedup_lines,
+    dedup_substrings,
+    html,
+    mixing,
+    near_dups,
+    packing,
+    quality,
+    ranked_search,
+    secrets,
+    warc,
+    whitening,
+)
 from tempestry.llm.common import reachable, table
 
 #: The tokenizer of the packed sequences; its file is installed beside the library that names it.
@@ -211,6 +225,29 @@ FROM f
 """
 
 
+@_query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for each benchmark item."""
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"""unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+ORACLES["op12_ranked_search"] = f"""
+WITH t AS (SELECT doc_id, {_TERMS} FROM documents),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM p, c GROUP BY term, docs),
+m AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM d, c),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, {_TERMS} FROM benchmark) GROUP BY item_id, term),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
 @_query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings along the principal components of their different vectors."""

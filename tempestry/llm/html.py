@@ -20,6 +20,7 @@ from tempestry.llm.common import parts_of, values
 #: Elements whose text is never shown, whose text is no prose, that have no end tag, and that do not break a block (fixed values).
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
 HIDDEN = RAW | frozenset("head select option button object audio video canvas datalist".split())
+FOREIGN = frozenset(["svg", "math"])  # may end themselves, as in <svg/>
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span "
@@ -53,6 +54,8 @@ SCOPES = frozenset("table ul ol dl div section article main aside nav footer hea
 #: Elements with a mark of their own, and characters that end a sentence (fixed values).
 TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li td th div span blockquote pre dd dt figcaption".split())
 SENTENCE_ENDS = tuple(".!?…\"'”»")
+#: Elements inside each other that are told apart; deeper ones count as part of the last of these.
+MOST_DEPTH = 200
 #: Most log-odds of one mark.
 MOST_ODDS = 2.0
 #: Evidence of an element by its tag, by a whole word of class, id or role, and by a part of such a word; most for
@@ -62,10 +65,13 @@ GOOD_ODDS, BAD_ODDS = 1.6, 2.6
 #: Log-odds of a block's place from which it labels the block for training: content, and boilerplate, which a part alone is not.
 SURE_CONTENT, SURE_BOILERPLATE = 2.0, -5.0
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
-)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden|itemprop)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+#: A comment or declaration, or the beginning of a tag up to the end of its name.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)", re.DOTALL)
+_STOP = re.compile(r"[>=]")
+_VALUE = re.compile(r"\s*([\"'])")
+_ATTRIBUTE = re.compile(r"""([^\s=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|\S*))?""")
+#: Attributes that are evidence (fixed values).
+TELLING = frozenset("class id role hidden style aria-hidden itemprop".split())
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -120,6 +126,8 @@ def _evidence(tag: str, attributes: str) -> _Evidence:
     if attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
+            if name not in TELLING:
+                continue
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _UNSEEN.search(value):
                 out.hidden = True
             elif name in ("class", "id", "role", "itemprop") and tag not in ("body", "html"):
@@ -154,8 +162,27 @@ def _inside(top: _Element, tag: str, own: _Evidence) -> tuple[float, float, floa
     return max(tags, -own.tag), max(words, own.bad), max(good, own.good)
 
 
+def _tag_end(page: str, at: int) -> int:
+    """The place of the ``>`` that ends a tag whose name ends at ``at``; -1 if the page ends before.
+
+    Quotes open only behind ``=``. One that is never closed is a character as any other.
+    """
+    while found := _STOP.search(page, at):
+        if found[0] == ">":
+            return found.start()
+        at = found.end()
+        if quote := _VALUE.match(page, at):
+            close = page.find(quote[1], quote.end())
+            at = quote.end() if close < 0 else close + 1
+    return -1
+
+
 def blocks(page: str) -> list[Block]:
-    """The shown text blocks of a page, in order. Markup may be unclosed or cut off."""
+    """The shown text blocks of a page, in order, in time that grows with its length. Markup may be unclosed or cut off.
+
+    Where the page ends inside a tag, this tag and all later ones end at the next ``>`` whatever quotes are open.
+    """
+    quoted, deeper = True, Counter()
     root = _Element("html", 0, 0.0, 0.0, 0.0, False, False)
     stack, out, block, count, at = [root], [], None, 0, 0
 
@@ -178,25 +205,35 @@ def blocks(page: str) -> list[Block]:
 
     while at < len(page):
         found = _TOKEN.search(page, at)
-        if not found:
+        end = -1
+        if found and found[2]:
+            end = _tag_end(page, found.end()) if quoted else -1
+            if end < 0:
+                quoted, end = False, page.find(">", found.end())
+        if not found or found[2] and end < 0:
             rest = page[at:]
             # A tag cut off at the end of the page is no text.
             cut = re.search(r"</?[A-Za-z!][^<>]*$", rest)
             say(rest[: cut.start()] if cut else rest)
             break
         say(page[at : found.start()])
-        at = found.end()
-        closing, tag, attributes = found[1], (found[2] or "").lower(), found[3] or ""
-        if not tag:
+        if not found[2]:
+            at = found.end()
             continue
+        at = end + 1
+        closing, tag, attributes = found[1], found[2].lower(), page[found.end() : end]
         if tag not in INLINE:
             block = None
         elif tag == "br" and block is not None:
             block.parts.append(" ")
         if closing:
+            if deeper[tag]:
+                deeper[tag] -= 1
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
                     del stack[depth:]
+                    deeper.clear()
                     break
                 if tag in INLINE and stack[depth].tag not in INLINE or tag not in SCOPES and stack[depth].tag in SCOPES:
                     break
@@ -209,12 +246,15 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[depth].tag in SCOPES:
                     break
-        if tag in VOID or attributes.endswith("/") and tag not in RAW:
+        if tag in VOID or attributes.endswith("/") and (tag not in RAW or tag in FOREIGN):
             continue
         own = _evidence(tag, attributes)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else len(page)
+            over = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
+            at = over.end() if over else len(page)
+            continue
+        if len(stack) > MOST_DEPTH:
+            deeper[tag] += 1
             continue
         top = stack[-1]
         count += 1

@@ -70,7 +70,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: floa
 def plan(sizes: DataFrame, seed: str = SEED) -> DataFrame:
     """Per source and weight class: certain copies, inclusion probability, and the last document sampled.
 
-    ``sizes`` has ``doc_id, source, size`` of all documents and is read four times, so save it first.
+    ``sizes`` has ``doc_id, source, size, mark`` of all documents and is read four times, so save it first.
     Returns ``source, source_size, target, light, certain, odds, cut``.
     """
     classes = sizes.withColumn("light", _light()).groupBy("source", "light").agg(F.sum("size").alias("words"))
@@ -105,7 +105,7 @@ def plan(sizes: DataFrame, seed: str = SEED) -> DataFrame:
     steps = steps.where((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest")))
     step = share(saved(steps.select("source", "step", "before", "rest"), "mix-steps"), FEW_ROWS)
     inside = null_safe_join(ranked, step, ["source", "step"])
-    running = Window.partitionBy("source").orderBy("rank", F.coalesce("doc_id", F.lit(0)), "size").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy("source").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, 0)
     # A document belongs to the sample if that brings the words nearer to the rest.
     reached = F.col("before") + F.sum("size").over(running) - F.col("size") / 2
     cuts = saved(
@@ -124,19 +124,26 @@ def _light() -> Column:
 
 
 def _rank(seed: str) -> Column:
-    """Pareto rank: the odds of a uniform number over the odds of inclusion; the smallest are sampled."""
-    u = uniform(F.col("doc_id"), seed)
+    """Pareto rank: the odds of a uniform number over the odds of inclusion; the smallest are sampled.
+
+    The number follows from the id, and for a row without id from its text.
+    """
+    u = uniform(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), "mark")), seed)
     return u / (1 - u) / F.col("odds")
 
 
+def _order() -> list[Column]:
+    """Columns that order the documents of a source; a null id sorts as 0."""
+    return [F.col("rank"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("size"), F.coalesce("mark", F.lit("")).alias("mark")]
+
+
 def _key() -> Column:
-    """Order of the documents of a source; a null id sorts as 0."""
-    return F.struct("rank", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "size")
+    return F.struct(*_order())
 
 
 def copies(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """``docs``, of ``doc_id, source, size`` and any others, with ``copies`` and the numbers of its source."""
-    sizes = saved(docs.select("doc_id", "source", "size"), "mix-sizes")
+    """``docs``, of ``doc_id, source, size, mark`` and any others, with ``copies`` and the numbers of its source."""
+    sizes = saved(docs.select("doc_id", "source", "size", "mark"), "mix-sizes")
     classes = saved(plan(sizes, seed), "mix-plan")
     sources = saved(targets(sizes), "mix-targets")
     known = null_safe_join(docs.withColumn("light", _light()), share(sources, FEW_ROWS), ["source"], "left")
@@ -153,12 +160,16 @@ def copies(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
 
 def prepared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows as a struct beside the three columns that the sampling needs, so that no name can clash."""
+    """The rows as a struct beside the columns that the sampling needs, so that no name can clash.
+
+    ``mark`` is a digest of the text for rows without id, and null for others.
+    """
     return docs.select(
         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col)).alias("size"),
+        F.when(F.col(id_col).isNull(), F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("mark"),
     )
 
 
@@ -175,8 +186,9 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     source come nearest to its target: fixed size, unequal probabilities.
 
     Everything follows from ``doc_id`` and ``seed``, so reruns agree. Rows
-    that share id, size and source are taken or left together. Null text and
-    texts without words have size 0 and are taken 0 words; null ids share a rank.
+    that share id, size and source are taken or left together; of rows
+    without id those that share text and source, as their rank follows from the text. Null text and
+    texts without words have size 0 and are taken 0 words.
     An empty table gives no rows; further columns are ignored.
     """
     known = copies(prepared(docs).drop("row"), seed)

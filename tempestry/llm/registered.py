@@ -81,7 +81,8 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_source_mix"] = r"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+  CASE WHEN doc_id IS NULL THEN md5(coalesce(text, '')) END AS mark FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS tie
   FROM d GROUP BY source),
 sw AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][tie % 3 + 1] AS weight, source_size * 2 AS cap,
@@ -101,10 +102,10 @@ e AS (SELECT *, floor(CASE WHEN level IS NULL THEN CAST(cap AS DOUBLE) ELSE leas
     / words * 1e9 + 0.5) / 1e9 AS expected FROM cu),
 f AS (SELECT source, light, floor(expected) AS certain, (expected - floor(expected)) / (1 - (expected - floor(expected))) AS odds,
   max(target) OVER (PARTITION BY source) - sum(floor(expected) * words) OVER (PARTITION BY source) AS rest FROM e),
-u AS (SELECT d.*, f.certain, f.odds, f.rest, (CAST('0x' || substr(md5('mix:' || doc_id), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+u AS (SELECT d.*, f.certain, f.odds, f.rest, (CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || mark)), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
   FROM d LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source AND (d.size < 50) = f.light),
 r AS (SELECT *, CASE WHEN odds > 0 THEN u / (1 - u) / odds END AS rank FROM u),
-k AS (SELECT *, rank IS NOT NULL AND sum(size) FILTER (rank IS NOT NULL) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id, size
+k AS (SELECT *, rank IS NOT NULL AND sum(size) FILTER (rank IS NOT NULL) OVER (PARTITION BY source ORDER BY rank NULLS LAST, coalesce(doc_id, 0), size, coalesce(mark, '')
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size / 2.0::DOUBLE <= rest AS drawn FROM r)
 SELECT k.doc_id, k.size, t.source_size, t.target, CAST((coalesce(k.certain, 0) + CAST(k.drawn AS INTEGER)) * k.size AS BIGINT) AS taken
 FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source

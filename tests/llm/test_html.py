@@ -1,5 +1,6 @@
 """Main text of pages, and the minimum cut behind it."""
 
+from html.parser import HTMLParser
 from itertools import product
 
 from hypothesis import given, settings
@@ -65,6 +66,83 @@ def test_cut_is_minimal(case):
     assert abs(cost(html.minimum_cut(terminal, links)) - best) < 1e-6
 
 
+def test_elements_that_end_themselves_and_stray_quotes():
+    prose = "This paragraph tells of something in a whole sentence, as prose does."
+    for odd in (
+        '<svg class="icon" viewBox="0 0 1 1"/>',
+        "<svg/>",
+        "<math />",
+        "<svg><path d='M0'/></svg>",
+        "<p title=it's>",
+        '<p title=5">',
+        '<p "odd" data-x>',
+        "<p title = 'a > b'>",
+        '<img alt="class=ad" src=x>',
+        "<p data-a='\"' data-b=\"'\">",
+    ):
+        assert html.main_text(f"<article><p>{prose}</p>{odd}<p>{prose}</p><p>{prose}</p></article>").split("\n") == [prose] * 3, odd
+    # A quote that is never closed takes no more than its tag.
+    assert html.main_text(f"<article><p title=\"x>{prose}</p><p>{prose}</p></article>").split("\n") == [prose] * 2
+    assert html.main_text(f"<article><p>{prose}</p><p class=\"ad\" title=\">{prose}</p></article>") == prose
+
+
+def test_long_odd_pages_take_little_time():
+    from time import perf_counter
+
+    pieces = ['<a "', "<a '", "<", "<a", '<a x="', "<a x='\"", "<!", "<!-", "</", "<p>", "<a =", "&", "<div><p>x", "x <y ", "<svg>", "<a b=c>", '="', "='<", "<b>x"]
+    for piece in pieces:
+        size = 1_000_000 if '"' in piece else 200_000
+        page = f"<article><p>Some prose of this text.{piece * (size // len(piece))}"
+        start = perf_counter()
+        list(html.blocks(page))
+        assert perf_counter() - start < 2, piece
+    deep = "<div>" * 300 + "<p>Some prose of this text.</p>" + "</div>" * 300
+    assert html.main_text(f"<article>{deep}<p>And some more of it.</p></article><p class=ad>Buy.</p>").split("\n") == [
+        "Some prose of this text.", "And some more of it.",
+    ]
+
+
+class _Article(HTMLParser):
+    """Blocks of text in the articles of a page, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.unseen, self.blocks = 0, 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.unseen += tag in ("script", "style", "form", "aside")
+        if tag == "br":
+            self.blocks[-1] += " "
+        elif tag not in html.INLINE:
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        self.unseen -= tag in ("script", "style", "form", "aside")
+        if tag not in html.INLINE:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.depth and not self.unseen:
+            self.blocks[-1] += data
+
+    def text(self):
+        return "\n".join(" ".join(b.split()) for b in self.blocks if b.strip())
+
+
+def test_all_given_pages_against_another_parser(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    held = {r.page_id: r.html for r in pages.collect()}
+    found = {r.page_id: r for r in html.extract(pages).collect()}
+    assert found.keys() == held.keys()
+    for page_id, page in held.items():
+        parser = _Article()
+        parser.feed(page or "")
+        parser.close()
+        assert found[page_id].text == parser.text(), page_id
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, 3), (1, "u", PAGE, 3), (2, None, None, 4), (None, "v", "", 5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text long")

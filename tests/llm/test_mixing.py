@@ -78,3 +78,17 @@ def test_odd_documents(documents):
     assert mixing.mix(documents(ODD).limit(0)).count() == 0
     empty = mixing.mix(documents([(1, None), (2, "")])).collect()
     assert [(r.size, r.source_size, r.target, r.taken) for r in empty] == [(0, 0, 0.0, 0)] * 2
+
+
+def test_documents_without_id_are_sampled_one_by_one(documents):
+    """Their share taken follows the odds of their class and not their size."""
+    r = Random(8)
+    rows = [(None, f"{i} " + "w " * (60 + r.randrange(200)), "en", "b") for i in range(900)]
+    rows += [(i, "w " * 90, "en", "b") for i in range(300)] + [(5000, "w " * 120_000, "en", "a")]
+    got = [x for x in mixing.mix(documents(rows)).collect() if x.doc_id is None]
+    rate = lambda some: sum(x.taken / x.size for x in some) / len(some)
+    short, long = ([x for x in got if (x.size < 160) == side] for side in (True, False))
+    assert len(got) == 900 and 0 < rate(got) < 2 and abs(rate(short) - rate(long)) < 0.12
+    assert {x.taken // x.size for x in short} == {x.taken // x.size for x in long} and len({x.taken // x.size for x in short}) == 2
+    again = mixing.mix(documents(rows).repartition(5))
+    assert sorted((x.size, x.taken) for x in again.where("doc_id IS NULL").collect()) == sorted((x.size, x.taken) for x in got)

@@ -25,6 +25,8 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes at which a batch for the Python workers ends, the setting for it, and Spark's own value.
 BATCH_BYTES, _BATCH_BYTES, _BATCH_DEFAULT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+#: Settings with which the workers' allocators keep little of what was freed.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576"}
 #: Most rows of a table that is broadcast, each of a few numbers and a name.
 FEW_ROWS = 50_000
 
@@ -33,11 +35,14 @@ def reachable(spark: SparkSession) -> None:
     """Let the Python workers find this package where it lies outside their working folder, and bound Arrow batches.
 
     On a cluster the package is shipped with ``--py-files``, and the path changes nothing. Batches
-    that Spark sends to the workers are ended by BATCH_BYTES, unless the session sets a size itself.
+    that Spark sends to the workers are ended by BATCH_BYTES, unless the session sets a size itself, and the
+    workers give memory back that they no longer need.
     """
     if spark.conf.get(_BATCH_BYTES, None) == _BATCH_DEFAULT:
         spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))

@@ -228,8 +228,8 @@ def judge(
 def kept(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their own columns.
 
-    The measured rows are written once, with all their columns, so that texts are measured once and nothing is joined to them.
+    The texts are measured a second time here, which needs no disk for a copy of them.
     """
+    cut = fit(saved(_measured(docs, [], stratum_col, id_col, text_col), "quality"), labels)
     row = F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row")
-    measured = saved(_measured(docs, [row], stratum_col, id_col, text_col), "quality")
-    return _judged(measured, fit(measured.drop("row"), labels)).where("kept").select("row.*")
+    return _judged(_measured(docs, [row], stratum_col, id_col, text_col), cut).where("kept").select("row.*")

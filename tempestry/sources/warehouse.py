@@ -1,8 +1,9 @@
 """[K4-K8, S6] Loaded tables: all years, partitioned by file year and month of the date.
 
-A table is a folder of Parquet with the layout ``load_year=Y/month_key=yyyy-MM``.
-The file's year comes first because a reload replaces the file's rows, and rows
-with a null date of different years would otherwise share a partition.
+A table has versions (:mod:`versions`), and each load is a folder of Parquet
+with the layout ``load_year=Y/month_key=yyyy-MM``. The file's year comes first
+because a reload replaces the file's rows, and rows with a null date of
+different years would otherwise share a partition.
 """
 
 from __future__ import annotations
@@ -15,31 +16,54 @@ from pyspark.sql import functions as F
 
 from tempestry.functions.calendar import month_key
 from tempestry.schemas import LOAD_YEAR, MONTH_KEY, REVISION, Dataset
-from tempestry.sources import partitions
+from tempestry.sources import versions
 
 
 def create_table(spark: SparkSession, path: str, dataset: Dataset) -> None:
     """[K4, K5] An empty table with the fixed schema; an existing one stays as it is."""
-    empty = spark.createDataFrame([], dataset.table_schema)
-    empty.write.mode("ignore").partitionBy(LOAD_YEAR, MONTH_KEY).parquet(path)
+    versions.create(spark, path)
 
 
-def read_table(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
-    """[S6] The table; filters on ``load_year`` and ``month_key`` prune folders."""
-    return spark.read.schema(dataset.table_schema).parquet(path)
+def read_table(spark: SparkSession, path: str, dataset: Dataset, at: versions.Version | None = None) -> DataFrame:
+    """[S6] The newest version of the table, or ``at``; filters on ``load_year`` and ``month_key`` prune folders."""
+    return versions.read(spark, path, dataset.table_schema, at)
+
+
+def quoted(name: str) -> str:
+    """A table name with its parts in backticks."""
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def literal(text: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def register_table(spark: SparkSession, name: str, path: str, dataset: Dataset) -> DataFrame:
-    """Make the table known to the session's catalog under ``name``, read in place."""
+    """Make the newest version known to the catalog under ``name``, read in place.
+
+    ``name`` is a view of the published parts of the table ``<name>_loads``,
+    which has a partition for each month of each load. The view is replaced
+    at once, so its readers see one version or the next; to follow the table, register it again.
+    """
+    at = versions.current(spark, path)
+    if at is None:
+        raise ValueError(f"there is no table at {path}")
+    loads = quoted(f"{name}_loads")
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dataset.table_schema.fields)
-    quoted = ".".join(f"`{part}`" for part in name.split("."))
-    folder = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"create table if not exists {quoted} ({columns}) using parquet "
-        f"partitioned by ({LOAD_YEAR}, {MONTH_KEY}) location '{folder}'"
+        f"create table if not exists {loads} ({columns}, {versions.LOAD_ID} string) using parquet "
+        f"partitioned by ({versions.LOAD_ID}, {LOAD_YEAR}, {MONTH_KEY}) location {literal(f'{path}/loads')}"
     )
-    spark.sql(f"msck repair table {quoted}")
-    return spark.table(quoted)
+    if at.parts:
+        spark.sql(f"msck repair table {loads}")
+    published = [
+        f"({versions.LOAD_ID} = {literal(load)} and {folder.replace('=', ' = ')})" for load, folder in at.parts
+    ]
+    listed = ", ".join(f.name for f in dataset.table_schema.fields)
+    where = " or ".join(published) or "false"
+    spark.sql(f"create or replace view {quoted(name)} as select {listed} from {loads} where {where}")
+    return spark.table(quoted(name))
 
 
 def between(df: DataFrame, dataset: Dataset, first: date, last: date) -> DataFrame:
@@ -66,15 +90,11 @@ def _laid_out(cleaned: DataFrame, dataset: Dataset) -> DataFrame:
 
 def append(spark: SparkSession, cleaned: DataFrame, path: str, dataset: Dataset) -> None:
     """[K6, K7] Add the rows, by column name. Loading a year twice doubles it until staging."""
-    create_table(spark, path, dataset)
-    rows = _laid_out(cleaned, dataset)
-    rows.write.mode("append").partitionBy(LOAD_YEAR, MONTH_KEY).parquet(path)
+    versions.append(spark, _laid_out(cleaned, dataset), path, [LOAD_YEAR, MONTH_KEY])
 
 
 def replace_years(
     spark: SparkSession, cleaned: DataFrame, path: str, dataset: Dataset, years: Iterable[int]
 ) -> None:
-    """[K8] Make ``cleaned`` the whole content of ``years``; see :func:`partitions.replace_years`."""
-    create_table(spark, path, dataset)
-    rows = _laid_out(cleaned, dataset)
-    partitions.replace_years(spark, rows, path, [LOAD_YEAR, MONTH_KEY], years)
+    """[K8] Make ``cleaned`` the whole content of ``years``, at once; see :func:`versions.replace_years`."""
+    versions.replace_years(spark, _laid_out(cleaned, dataset), path, [LOAD_YEAR, MONTH_KEY], years)

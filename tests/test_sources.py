@@ -286,7 +286,7 @@ def test_a_hot_month_is_written_by_several_tasks(spark, tmp_path):
     )
     with small_partitions(spark, "500k"):
         warehouse.append(spark, rows, str(path), FATALITIES)
-    files = {d.name: len(list(d.glob("*.parquet"))) for d in (path / "load_year=2024").iterdir()}
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in path.glob("loads/*/load_year=2024/month_key=*")}
     assert files.pop("month_key=2024-05") > 4
     assert min(files.values()) == 1
     assert warehouse.read_table(spark, str(path), FATALITIES).count() == 60_000
@@ -300,7 +300,8 @@ def test_register_table(spark, tmp_path, loaded):
         assert sorted(r.fatality_id for r in table.collect()) == list("abcde")
         assert table.schema == FATALITIES.table_schema
     finally:
-        spark.sql("drop table loaded_fatalities")
+        spark.sql("drop view loaded_fatalities")
+        spark.sql("drop table loaded_fatalities_loads")
 
 
 def test_dataset_names():

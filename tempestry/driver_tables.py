@@ -8,7 +8,7 @@ null keys and duplicates among them. Whole tables are used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR
@@ -99,18 +99,31 @@ def correction(rows: DataFrame, dataset: str) -> DataFrame:
     return again.withColumn("DAMAGE_CROPS", F.lit("9K")).unionByName(new)
 
 
-def write_broken_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Event lines out of the orders, some with too few or too many fields."""
+#: files that :func:`write_broken_csv` writes, and the row of every fifth file whose quote is never closed
+BROKEN_FILES, OPEN_ROW = 50, 30
+
+
+def write_broken_csv(spark: SparkSession, sf_dir: str, path: str) -> list[str]:
+    """Event lines out of the orders, in files by key, and the files' folders.
+
+    Some lines have too few or too many fields, and one line of every fifth file has a quote that is never closed.
+    """
     header = ",".join(EVENTS.raw_columns)
     fields = len(EVENTS.raw_columns)
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % BROKEN_FILES).alias("file"))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("o_orderkey"))
     line = F.expr(
-        f"""case when o_orderkey % 7 = 0 then concat(o_orderkey, ',short,row')
-                 when o_orderkey % 11 = 0 then concat(o_orderkey, repeat(',x', {fields}))
-                 else concat(o_orderkey, repeat(',x', {fields - 1})) end"""
+        f"""concat(if(file % 5 = 0 and place = {OPEN_ROW}, '"', ''),
+                   case when o_orderkey % 7 = 0 then concat(o_orderkey, ',short,row')
+                        when o_orderkey % 11 = 0 then concat(o_orderkey, repeat(',x', {fields}))
+                        else concat(o_orderkey, repeat(',x', {fields - 1})) end)"""
     )
-    lines = _table(spark, sf_dir, "orders").select(line.alias(header))
+    # The window leaves each file's lines in one task and in their order.
+    lines = orders.withColumn("place", place).select(line.alias(header), "file")
     # A separator and a quote that no line holds leave the lines as they are.
-    lines.write.option("header", True).option("sep", "\x01").option("quote", "\x02").csv(path)
+    lines.write.partitionBy("file").option("header", True).option("sep", "\x01").option("quote", "\x02").csv(path)
+    files = [row.file for row in orders.select("file").distinct().collect()]
+    return [f"{path}/file={file}" for file in sorted(files)]
 
 
 #: where :func:`write_year_files` puts a file's parts, for the readers' ``layout``

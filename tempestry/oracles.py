@@ -162,6 +162,12 @@ _RAW_FATALITIES = """
            when l_partkey % 3 = 1 then 'Vehicle' end as "FATALITY_LOCATION"
     from lineitem"""
 
+# Orders as lines of files; a file's 30th line may have a quote that is never closed.
+_BROKEN = """
+    select *, o_orderkey % 7 = 0 or o_orderkey % 11 = 0 or (file % 5 = 0 and place = 30) as bad
+    from (select o_orderkey, o_orderkey % 50 as file,
+                 row_number() over (partition by o_orderkey % 50 order by o_orderkey) as place from orders)"""
+
 _NO_REVISION = "cast(null as varchar) as revision"
 _EVENT_MONTH = f"select *, {_NO_REVISION}, strftime(event_start_date, '%Y-%m') as month_key from typed_events"
 _FATALITY_MONTH = f"select *, {_NO_REVISION}, strftime(fatality_date, '%Y-%m') as month_key from typed_fatalities"
@@ -210,9 +216,11 @@ def _all(parts: list[str]) -> str:
 _SQL = {
     "csv_scan": _RAW_EVENTS,
     "csv_scan_fatalities": _RAW_FATALITIES,
-    "csv_rejects": """
-        select cast(count(*) as bigint) as rows,
-               cast(count(*) filter (o_orderkey % 7 = 0 or o_orderkey % 11 = 0) as bigint) as bad_rows from orders""",
+    "csv_rejects": f"""
+        select cast(count(*) as bigint) as rows, cast(count(*) filter (bad) as bigint) as bad_rows from ({_BROKEN})""",
+    "csv_rejects_multiline": f"""
+        select cast(count(*) as bigint) as rows, cast(count(*) filter (bad) as bigint) as bad_rows
+        from ({_BROKEN}) where file % 5 <> 0 or place <= 30""",
     "year_select": "select *, 'c20250101' as revision from typed_events where source <> 'Reload'",
     "year_select_latest": """
         select *, 'c20250201' as revision from typed_events where source = 'Reload'
@@ -266,6 +274,14 @@ _SQL = {
     "table_between": f"""
         select * exclude (load_year) from ({_FATALITY_MONTH})
         where fatality_date >= timestamp '1996-02-10' and fatality_date < timestamp '1997-11-06'""",
+    "external_table": "select * from typed_events",
+    "external_table_fatalities": "select * from typed_fatalities",
+    "load_sql": f"""
+        select * from ({_EVENT_MONTH})
+        union all select * from ({_EVENT_MONTH}) where load_year = (select min(load_year) from typed_events)""",
+    "load_sql_fatalities": f"""
+        select * from ({_FATALITY_MONTH})
+        union all select * from ({_FATALITY_MONTH}) where load_year = (select min(load_year) from typed_fatalities)""",
     "catalog_table": "select load_year, count(*) as n from typed_fatalities group by load_year",
     "stg_events": "select * from stg_events",
     "stg_events_latest_load": """

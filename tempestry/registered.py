@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from tempestry.operators import clean, dedup, facts, insights, marts, quality
 from tempestry.plans import jobs, models
 from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR, MONTH_KEY, REVISION
 from tempestry.session import scratch_path, together
-from tempestry.sources import csv_files, parquet_files, warehouse
+from tempestry.sources import catalog, csv_files, parquet_files, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,11 +90,15 @@ def _year_select(revision: str) -> Query:
     return query
 
 
-def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "broken_csv")
-    driver_tables.write_broken_csv(spark, sf_dir, path)
-    files = csv_files.csv_rejects(spark, path, multiline=False)
-    return files.agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
+def _csv_rejects(multiline: bool) -> Query:
+    """Rows that do not fit; a quote that is never closed takes its line, or the rest of its file."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folders = driver_tables.write_broken_csv(spark, sf_dir, scratch_path(spark, "broken_csv"))
+        files = csv_files.csv_rejects(spark, folders, multiline=multiline)
+        return files.agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
+
+    return query
 
 
 def _parquet_roundtrip(dataset: str, files_per_core: int | None = None) -> Query:
@@ -163,6 +167,54 @@ def _table_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.between(table, FATALITIES, date(1996, 2, 10), date(1997, 11, 5)).drop(LOAD_YEAR)
 
 
+def _external_years(spark: SparkSession, sf_dir: str, dataset: str) -> dict[int, str]:
+    """External tables over the cleaned folders of all years, by year."""
+    root = scratch_path(spark, f"external_{dataset}")
+    years = driver_tables.years_of(spark, sf_dir, dataset)
+    parquet_files.write_years(spark, _cleaned(spark, sf_dir, dataset), root, years)
+    names = {year: f"{dataset}_{year}_{root.rpartition('-')[2]}" for year in years}
+    for year, name in names.items():
+        catalog.external_table(spark, name, f"{root}/{LOAD_YEAR}={year}")
+    return names
+
+
+def _external_table(dataset: str) -> Query:
+    """Every year's folder read in place as a table of its own."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        names = _external_years(spark, sf_dir, dataset)
+        return reduce(
+            DataFrame.unionByName,
+            (spark.table(name).withColumn(LOAD_YEAR, F.lit(year).cast("bigint")) for year, name in names.items()),
+        )
+
+    return query
+
+
+def _load_sql(dataset: str) -> Query:
+    """External tables inserted by SQL into a partitioned one, a year after the other, the first one twice.
+
+    The columns come in another order than the table's. At the end the last year is replaced by itself.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        names, spec = _external_years(spark, sf_dir, dataset), DATASETS[dataset]
+        path = scratch_path(spark, f"sql_{dataset}")
+        target = f"loaded_{dataset}_{path.rpartition('-')[2]}"
+        catalog.create_partitioned(spark, target, spec, path)
+        turned = {year: f"turned_{name}" for year, name in names.items()}
+        for year, name in names.items():
+            table = spark.table(name)
+            table.select(F.lit("x").alias("further"), *reversed(table.columns)).createOrReplaceTempView(turned[year])
+            catalog.insert(spark, turned[year], target, spec, year)
+        first, last = min(names), max(names)
+        catalog.insert(spark, turned[first], target, spec, first)
+        catalog.replace_year(spark, turned[last], target, spec, last)
+        return spark.table(target).withColumn(LOAD_YEAR, F.col(LOAD_YEAR).cast("bigint"))
+
+    return query
+
+
 def _mart_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "mart")
     models.rebuild(spark, _costliest(spark, sf_dir), path)
@@ -310,7 +362,8 @@ def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "csv_scan": _csv_scan("events"),
     "csv_scan_fatalities": _csv_scan("fatalities"),
-    "csv_rejects": _csv_rejects,
+    "csv_rejects": _csv_rejects(multiline=False),
+    "csv_rejects_multiline": _csv_rejects(multiline=True),
     "year_select": _year_select("first"),
     "year_select_latest": _year_select("latest"),
     "parse_damage": _parse_damage,
@@ -330,6 +383,10 @@ QUERIES: dict[str, Query] = {
     "table_by_month": _table_by_month,
     "table_between": _table_between,
     "catalog_table": _catalog_table,
+    "external_table": _external_table("events"),
+    "external_table_fatalities": _external_table("fatalities"),
+    "load_sql": _load_sql("events"),
+    "load_sql_fatalities": _load_sql("fatalities"),
     "stg_events": _stg_events,
     "stg_events_latest_load": _latest_load("events"),
     "stg_fatalities_latest_load": _latest_load("fatalities"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tempestry.functions.calendar import month_key
 from tempestry.schemas import LOAD_YEAR, MONTH_KEY, REVISION, Dataset
 from tempestry.sources import versions
+from tempestry.sources.catalog import columns_sql, literal, quoted
 
 
 def create_table(spark: SparkSession, path: str, dataset: Dataset) -> None:
@@ -29,16 +30,6 @@ def read_table(spark: SparkSession, path: str, dataset: Dataset, at: versions.Ve
     return versions.read(spark, path, dataset.table_schema, at)
 
 
-def quoted(name: str) -> str:
-    """A table name with its parts in backticks."""
-    return ".".join(f"`{part}`" for part in name.split("."))
-
-
-def literal(text: str) -> str:
-    """A text as an SQL literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def register_table(spark: SparkSession, name: str, path: str, dataset: Dataset) -> DataFrame:
     """Make the newest version known to the catalog under ``name``, read in place.
 
@@ -50,9 +41,8 @@ def register_table(spark: SparkSession, name: str, path: str, dataset: Dataset)
     if at is None:
         raise ValueError(f"there is no table at {path}")
     loads = quoted(f"{name}_loads")
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dataset.table_schema.fields)
     spark.sql(
-        f"create table if not exists {loads} ({columns}, {versions.LOAD_ID} string) using parquet "
+        f"create table if not exists {loads} ({columns_sql(dataset.table_schema)}, {versions.LOAD_ID} string) using parquet "
         f"partitioned by ({versions.LOAD_ID}, {LOAD_YEAR}, {MONTH_KEY}) location {literal(f'{path}/loads')}"
     )
     if at.parts:

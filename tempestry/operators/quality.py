@@ -103,15 +103,43 @@ def tested_columns(table: str) -> list[str]:
     return sorted(found)
 
 
-def all_checks(stg_events: DataFrame, stg_fatalities: DataFrame) -> DataFrame:
+def observed(table: str) -> list[Column]:
+    """Counts of a table that :meth:`DataFrame.observe` can take while its rows are written: nulls, and rows of unlisted values."""
+    accepted = ACCEPTED if table == "stg_fatalities" else {}
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"not_null:{c}") for c in NOT_NULL[table]]
+    return nulls + [F.count_if(~F.col(c).isin(*values)).alias(f"accepted_values:{c}") for c, values in accepted.items()]
+
+
+def _observed_report(df: DataFrame, table: str, counts: Mapping[str, int]) -> DataFrame:
+    """The tests that :func:`observed` counted. How many different values are unlisted takes a pass, if there are any."""
+    known, odd = [], {}
+    for name, number in counts.items():
+        check, column = name.split(":")
+        if check == "accepted_values" and number:
+            odd[column] = ACCEPTED[column]
+        else:
+            known.append((check, table, column, number))
+    report = df.sparkSession.createDataFrame(known, "check string, table string, column string, failures long")
+    return report.unionByName(accepted_values(df, table, odd)) if odd else report
+
+
+def all_checks(
+    stg_events: DataFrame, stg_fatalities: DataFrame, counts: Mapping[str, Mapping[str, int]] | None = None
+) -> DataFrame:
     """The nine tests, in three passes over the fatalities and three over the events.
 
-    Pass tables, not long plans: each pass reads its table anew.
+    Pass tables, not long plans: each pass reads its table anew. ``counts``
+    has what :func:`observed` counted of each table when it was written, and saves a
+    pass over each, or over those columns with values that are not listed.
     """
     tables = {"stg_events": stg_events, "stg_fatalities": stg_fatalities}
     accepted = {"stg_events": {}, "stg_fatalities": ACCEPTED}
+    counted = [
+        _observed_report(tables[t], t, counts[t]) if counts else _counted(tables[t], t, _nulls(columns) | _unlisted(accepted[t]))
+        for t, columns in NOT_NULL.items()
+    ]
     return _union(
         [unique(tables[t], t, key) for t, key in UNIQUE.items()]
-        + [_counted(tables[t], t, _nulls(columns) | _unlisted(accepted[t])) for t, columns in NOT_NULL.items()]
+        + counted
         + [relationships(stg_fatalities, stg_events, "stg_fatalities", "event_id")]
     ).withColumn("severity", F.lit(SEVERITY))

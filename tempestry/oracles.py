@@ -310,6 +310,14 @@ _SQL = {
     "fatalities_by_sex": "select * from by_sex",
     "fatality_type_by_event_type": "select * from type_by_event",
     "mart_rebuild": "select * from costliest",
+    "mart_bucketed": "select * from type_by_event",
+    "facts_by_date": """
+        select * from fact_events
+        where event_start_date >= timestamp '2096-02-10' and event_start_date < timestamp '2097-11-06'""",
+    "stg_events_incremental": "select * from stg_events",
+    "stg_fatalities_incremental": "select * from stg_fatalities",
+    "stg_events_view": "select * from stg_events",
+    "stg_fatalities_view": "select * from stg_fatalities",
     "yearly_backfill": "select * from type_by_event",
     "top_fatality_type": """
         select * from type_by_event

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tempestry import driver_tables
 from tempestry.functions import parsing
 from tempestry.operators import clean, dedup, facts, insights, marts, quality
-from tempestry.plans import jobs, models
+from tempestry.plans import jobs, models, staging
 from tempestry.schemas import DATASETS, EVENTS, FATALITIES, LOAD_YEAR, MONTH_KEY, REVISION
 from tempestry.session import scratch_path, together
 from tempestry.sources import catalog, csv_files, parquet_files, warehouse
@@ -221,6 +221,52 @@ def _mart_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.rebuild(spark, _costliest(spark, sf_dir), path)
 
 
+def _mart_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined mart out of facts that are dealt into buckets by event id."""
+    root = scratch_path(spark, "bucketed")
+    prefix = f"b{root.rpartition('-')[2]}_"
+    for name, fact in (("events", _fact_events(spark, sf_dir)), ("fatalities", _fact_fatalities(spark, sf_dir))):
+        catalog.write_bucketed(spark, fact, f"{prefix}{name}", f"{root}/{name}", "event_id", 16)
+    return marts.fatality_type_by_event_type(spark.table(f"{prefix}events"), spark.table(f"{prefix}fatalities"))
+
+
+def _facts_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of dates out of facts whose files are in the order of the date."""
+    fact = models.rebuild(spark, _fact_events(spark, sf_dir), scratch_path(spark, "by_date"), "event_start_date")
+    start = F.col("event_start_date")
+    return fact.filter((start >= F.lit(datetime(2096, 2, 10))) & (start < F.lit(datetime(2097, 11, 6))))
+
+
+def _stg_incremental(dataset: str) -> Query:
+    """Staged after each of three loads: some rows of all years, then all rows of the first years, then of the others."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, spec = scratch_path(spark, f"incremental_{dataset}"), DATASETS[dataset]
+        loaded, staged = f"{root}/loaded", f"{root}/staged"
+        rows = _cleaned(spark, sf_dir, dataset)
+        years = driver_tables.years_of(spark, sf_dir, dataset)
+        some = rows.filter(F.pmod(F.xxhash64(spec.key), F.lit(3)) != 0)
+        for load, of in ((some, years), (rows, years[:3]), (rows, years[3:])):
+            warehouse.replace_years(spark, load, loaded, spec, of)
+            staging.refresh(spark, loaded, staged, spec)
+        return staging.read_staged(spark, staged, spec)
+
+    return query
+
+
+def _stg_view(dataset: str) -> Query:
+    """A view of the catalog over the registered loads of all years."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, spec = scratch_path(spark, f"view_{dataset}"), DATASETS[dataset]
+        name = f"loaded_{path.rpartition('-')[2]}"
+        warehouse.append(spark, _cleaned(spark, sf_dir, dataset), path, spec)
+        warehouse.register_table(spark, name, path, spec)
+        return catalog.staging_view(spark, f"stg_{name}", name, spec)
+
+    return query
+
+
 def _yearly_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly files of both datasets through every job, down to the joined mart."""
     root = scratch_path(spark, "backfill")
@@ -399,6 +445,12 @@ QUERIES: dict[str, Query] = {
     "fatalities_by_sex": _by_sex,
     "fatality_type_by_event_type": fatality_type_by_event_type,
     "mart_rebuild": _mart_rebuild,
+    "mart_bucketed": _mart_bucketed,
+    "facts_by_date": _facts_by_date,
+    "stg_events_incremental": _stg_incremental("events"),
+    "stg_fatalities_incremental": _stg_incremental("fatalities"),
+    "stg_events_view": _stg_view("events"),
+    "stg_fatalities_view": _stg_view("fatalities"),
     "yearly_backfill": _yearly_backfill,
     "top_fatality_type": lambda spark, sf_dir: insights.top_fatality_type(fatality_type_by_event_type(spark, sf_dir)),
     "fatality_balance": lambda spark, sf_dir: insights.fatality_balance(fatality_type_by_event_type(spark, sf_dir)),

@@ -1,4 +1,4 @@
-"""[K4-K7, S4, S5] The yearly loads as SQL over tables of the catalog.
+"""[K4-K7, K9, K10, S4, S5] The yearly loads as SQL over tables of the catalog, staging views, and bucketed facts.
 
 Tables of :mod:`warehouse` are paths with versions; these are for users who
 work in SQL with names. A year's cleaned folder becomes an external table, read
@@ -89,3 +89,42 @@ def replace_year(spark: SparkSession, source: str, target: str, dataset: Dataset
         f"insert overwrite {quoted(target)} partition ({LOAD_YEAR} = {int(year)}, {MONTH_KEY}) "
         f"select {', '.join(map(quoted, columns))} from ({_rows(spark, source, dataset, year)})"
     )
+
+
+def staging_view(spark: SparkSession, name: str, source: str, dataset: Dataset, latest_load_wins: bool = False) -> DataFrame:
+    """[K9] A view of the catalog with one row per key of ``source``, for every session that shares the catalog.
+
+    It is computed when it is read, and equals :func:`dedup.stage`. ``source`` is a table or view of the catalog.
+    """
+    order = [f"{REVISION} desc nulls last"] if latest_load_wins else []
+    # The revision takes part in no other way, so that rows equal but for it are one.
+    order += [f"{quoted(c)} asc nulls first" for c in dataset.columns if c != dataset.key]
+    listed = ", ".join(map(quoted, dataset.columns))
+    spark.sql(
+        f"create or replace view {quoted(name)} as select {listed} from (select *, row_number() over "
+        f"(partition by {quoted(dataset.key)} order by {', '.join(order)}) as _rn from {quoted(source)}) where _rn = 1"
+    )
+    return spark.table(quoted(name))
+
+
+def write_bucketed(spark: SparkSession, df: DataFrame, name: str, path: str, key: str, buckets: int, dealt: bool = False) -> DataFrame:
+    """[K10] Replace table ``name``, whose files at ``path`` are dealt into buckets by ``key`` and sorted by it.
+
+    Joins and aggregates of such tables by ``key`` need no shuffle if they have
+    equally many buckets. ``dealt`` says that the rows come partitioned by ``key`` already, as those of staging
+    do; others are shuffled once here. A key with very many rows is one
+    bucket, which Spark does not split, so take this for facts that are read often and whose keys are even.
+    """
+    spark.sql(f"drop table if exists {quoted(name)}")
+    rows = df if dealt else df.repartition(buckets, key)
+    rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(quoted(name))
+    return spark.table(quoted(name))
+
+
+def attach_bucketed(spark: SparkSession, name: str, path: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+    """[K10] Make files of :func:`write_bucketed` known to a catalog that does not have them, without reading them."""
+    spark.sql(
+        f"create table if not exists {quoted(name)} ({columns_sql(schema)}) using parquet "
+        f"clustered by ({quoted(key)}) sorted by ({quoted(key)}) into {buckets} buckets location {literal(path)}"
+    )
+    return spark.table(quoted(name))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -52,17 +54,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders written by ``saved`` within the innermost ``tidied``.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written below the shared folder and read back.
 
     Cuts the lineage with files that outlive executors, and fixes values such
-    as partition ids that a second run of the plan could number anew.
+    as partition ids that a second run of the plan could number anew. The
+    files stay until ``tidied`` or the owner of the shared folder removes them.
     """
     path = scratch_path(df.sparkSession, label)
+    if (written := _written.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[None]:
+    """Remove, when the block ends, the tables that operators saved inside.
+
+    Results are lazy and may read these tables, so write a result inside the block, to a place of its own::
+
+        with tidied(spark):
+            near_dups.similar_documents(docs).write.parquet(path)
+    """
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        folders = _written.get() or []
+        _written.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for folder in folders:
+            path = hadoop.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempestry.llm.common import BLANK_RUN, saved
 
-#: Runs that one node of the tree merges.
+#: Fewest runs that one node of the tree merges.
 FAN_IN = 16
 
 
@@ -19,8 +21,11 @@ def normalised(text: Column) -> Column:
 def _merge(runs: DataFrame, node: Column) -> DataFrame:
     """One round: the runs that ``node`` puts together, one row per digest with its smallest identifier.
 
-    A node is spread over tasks by digest, so no task holds a whole run; the
-    merge and its order are those of Spark's aggregate over (node, digest).
+    This is a multiway merge as Spark does it: as the smallest identifier is
+    a struct, the aggregate sorts by (node, digest) and passes over the sorted rows once, in each task before
+    the shuffle, which makes the run, and behind it, which merges the pieces of the runs that
+    meet there. A node is spread over tasks by digest, so no task holds a whole run.
+    Digest, length and second hash are compared in every round, so rows that share a digest alone stay apart.
     """
     return (
         runs.withColumn("node", node)
@@ -29,6 +34,20 @@ def _merge(runs: DataFrame, node: Column) -> DataFrame:
     )
 
 
+def rounds(parts: int, fan_in: int = FAN_IN) -> list[int]:
+    """How many of the first runs a node of each round holds, up to all ``parts``.
+
+    Each round costs a shuffle of what is left, so the nodes of many runs are
+    wider: the square root of their number, which makes two rounds at any size. The first one ends the copies that lie near
+    each other, which is where crawls have most of them, before rows travel to their last place.
+    """
+    width = max(fan_in, isqrt(max(parts - 1, 0)) + 1)
+    out = [width]
+    while out[-1] < parts:
+        out.append(out[-1] * width)
+    return out
+
+
 def exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = FAN_IN
 ) -> DataFrame:
@@ -38,11 +57,10 @@ def exact_duplicates(
     become one blank. They are compared by SHA-256, length and a second hash
     together, which also verifies each identifier kept at every level.
 
-    Every input partition makes one run: a row per digest with the smallest
+    Every input partition makes one run, sorted by digest: a row per digest with the smallest
     identifier, so a large group of copies shrinks where it is read. Rounds
-    then merge the runs of up to ``fan_in`` neighbouring partitions until one
-    is left, which stays spread over tasks by digest. Rounds: the logarithm of
-    the partitions to the base ``fan_in``.
+    (``rounds``) then merge the runs of neighbouring partitions until one
+    is left, which stays spread over tasks by digest.
 
     Returns one row per input row: ``doc_id, keep_id, group_size, kept,
     text_sha256``. Null text counts as empty. A null id counts as larger than
@@ -64,12 +82,9 @@ def exact_duplicates(
     )
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
     runs = _merge(rows.select("part", "digest", "length", "check", first.alias("first"), F.lit(1).alias("copies")), F.col("part"))
-    width, parts = 1, rows.agg(F.max("part")).first()[0] or 0
-    while True:
-        width *= fan_in
+    parts = (rows.agg(F.max("part")).first()[0] or 0) + 1
+    for width in rounds(parts, fan_in):
         runs = _merge(runs, F.floor(F.col("node") / width) * width)
-        if width > parts:
-            break
     keep = runs.select("digest", "length", "check", "first", "copies")
     return rows.join(keep, ["digest", "length", "check"]).select(
         F.col("id").alias("doc_id"),

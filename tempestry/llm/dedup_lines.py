@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tempestry.llm.common import FEW_ROWS, null_safe_join, parts_of, saved, share, values
-from tempestry.llm.twice import Filters, emitted, seen_twice
+from tempestry.llm.twice import kinds, repeats
 
 #: Shortest key, in code points, and fewest documents of a line that is removed.
 SHORTEST, FEWEST_DOCS = 40, 5
 
+
 def line_keys(text: bytes | None) -> list[bytes]:
     """The key of each line: stripped of white space at both ends, A-Z in lower case."""
     return [line.strip().lower() for line in (text or b"").split(b"\n")]
@@ -27,60 +29,41 @@ def long_enough(key: bytes, shortest: int = SHORTEST) -> bool:
     return len(key) >= shortest and len(key.decode("utf-8", "replace")) >= shortest
 
 
-def _digests(text: bytes | None, shortest: int) -> dict[bytes, bytes]:
-    """128-bit digest of each distinct long key."""
-    return {key: xxhash.xxh3_128_digest(key) for key in set(line_keys(text)) if long_enough(key, shortest)}
-
-
-def _hashes(shortest: int):
-    """Batches of texts to the hashes of their keys."""
+def _digests(text: bytes | None, shortest: int) -> set[bytes]:
+    """128-bit digests of the distinct long keys."""
+    return {xxhash.xxh3_128_digest(key) for key in set(line_keys(text)) if long_enough(key, shortest)}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts_of(batches, 10_000):
-            found = [d[:8] for text in values(batch.column(0)) for d in _digests(text, shortest).values()]
-            yield emitted(np.frombuffer(b"".join(found), np.uint64))
 
-    return run
+_LINES = "hash long, rest long, doc_id long, check long, kind int"
 
 
-def _suspects(filters: Filters, shortest: int):
-    """Batches of (doc_id, check, text) to a row for each distinct key whose hash may have been seen twice."""
+def _lines(shortest: int):
+    """Batches of (doc_id, check, text) to rows of each distinct key of a text (``twice.kinds``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts_of(batches, 10_000):
-            digests: list[bytes] = []
+            found: list[bytes] = []
             rows: list[int] = []
             for row, text in enumerate(values(batch.column("text"))):
-                found = _digests(text, shortest)
-                digests.extend(found.values())
-                rows.extend([row] * len(found))
-            places = np.flatnonzero(filters.may_repeat(np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)))
-            take = pa.array(np.asarray(rows, np.int64)[places])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(take),
-                    batch.column("check").take(take),
-                    pa.array([digests[i] for i in places], pa.binary()),
-                ],
-                ["doc_id", "check", "digest"],
-            )
+                digests = _digests(text, shortest)
+                found.extend(digests)
+                rows.extend([row] * len(digests))
+            halves = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
+            which, kind = kinds(halves[:, 0])
+            take = pa.array(np.asarray(rows, np.int64)[which])
+            columns = [pa.array(halves[which, 0]), pa.array(halves[which, 1])]
+            columns += [batch.column(c).take(take) for c in ("doc_id", "check")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(kind)], [c.split()[0] for c in _LINES.split(", ")])
 
     return run
 
 
-def suspects(spark: SparkSession, docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
-    """``doc_id, check, digest`` of each line key that more than one row of ``docs`` may hold.
+def suspects(docs: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+    """``hash, rest, doc_id, check`` of each line key that more than one row of ``docs`` may hold.
 
-    Every key seen twice is here, with a few others; the texts are scanned
-    once for the filters, and once for each round of them.
+    Every key seen twice is here, with a few others. The texts are read once, whatever their number.
     """
-    hashes = saved(docs.select("text").mapInArrow(_hashes(shortest), "hash long"), "line-hashes")
-    schema = "doc_id long, check long, digest binary"
-    out = spark.createDataFrame([], schema)
-    for filters in seen_twice(hashes, hashes.count(), "line-filters"):
-        scanned = docs.select("doc_id", "check", "text").mapInArrow(_suspects(filters, shortest), schema)
-        out = out.unionByName(saved(scanned, "line-suspects"))
-    return out
+    return repeats(docs.select("doc_id", "check", "text").mapInArrow(_lines(shortest), _LINES), "line-digests")
 
 
 def _without(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
@@ -90,7 +73,7 @@ def _without(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
         if text is None or drop is None:
             out.append((None, 0))
             continue
-        gone = {bytes(d) for d in drop}
+        gone = {pack("<qq", d["hash"], d["rest"]) for d in drop}
         lines = text.split(b"\n")
         stay = [
             line
@@ -115,16 +98,16 @@ def drop_repeated_lines(
     that at least ``fewest_docs`` rows hold loses its lines in all rows but
     those of the largest id among them. Keys are compared by 128-bit digests.
 
-    Only lines that the filters suspect are shuffled, as digests: an aggregate
-    confirms them and finds the largest id, a join brings that back to each
-    document. The texts are shuffled once, to meet their lists.
+    Lines meet as rows of numbers in slices, where two filters find the suspects; only
+    these are confirmed, by an aggregate of their digests that also
+    finds the largest id, and a join brings that back to each
+    document. The texts are read twice and shuffled once, to meet their lists.
 
     Null or empty text is one empty line and stays so. A null id is smaller
     than any other; if all holders have none, all keep the line. Rows with one
     id and text count as a document each and get the same result. An empty
     table gives no rows, and further columns can have any name.
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
@@ -133,20 +116,20 @@ def drop_repeated_lines(
         text.alias("text"),
     )
     slim = rows.select("doc_id", "check", F.col("text").cast("binary").alias("text"))
-    seen = suspects(spark, slim, shortest)
+    seen = suspects(slim, shortest)
     confirmed = (
-        seen.groupBy("digest")
+        seen.groupBy("hash", "rest")
         .agg(F.count("*").alias("docs"), F.max("doc_id").alias("last"))
         .where(F.col("docs") >= fewest_docs)
-        .select("digest", "last")
+        .select("hash", "rest", "last")
     )
     # Read back, so that a line of very many documents is a partition that Spark can split for the join.
     confirmed = share(saved(confirmed, "repeated-lines"), FEW_ROWS)
     drops = (
-        seen.join(confirmed, "digest")
+        seen.join(confirmed, ["hash", "rest"])
         .where(~F.col("doc_id").eqNullSafe(F.col("last")))
         .groupBy("doc_id", "check")
-        .agg(F.collect_set("digest").alias("drops"))
+        .agg(F.collect_set(F.struct("hash", "rest")).alias("drops"))
     )
     joined = null_safe_join(rows, drops, ["doc_id", "check"], "left")
     changed = F.when(F.col("drops").isNotNull(), F.col("text").cast("binary"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tempestry.llm.common import BLANK_RUN, covered, known_apart, parts_of, saved, signed, window_hashes, word_count, word_hashes, values
-from tempestry.llm.twice import Filters, emitted, seen_twice
+from tempestry.llm.twice import KEYED, Filters, emitted, repeats, seen_twice, told
 
 #: Words of a passage that is removed if it occurs again.
 PASSAGE = 35
@@ -38,17 +37,24 @@ def _anchors(hashes: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray]:
     return places, window_hashes(hashes, passage - PERIOD + 1)[places]
 
 
-def _texts_once(batches: Iterator[pa.RecordBatch], passage: int) -> Iterator[list[tuple[int, bytes, np.ndarray]]]:
-    """(key, text, word hashes) of texts that are long enough, a text repeated in the partition only once; PART_WORDS at once."""
+def _texts_once(
+    batches: Iterator[pa.RecordBatch], passage: int
+) -> Iterator[list[tuple[int, bytes, np.ndarray, np.ndarray | None]]]:
+    """(key, text, word hashes, anchors that may be repeated if the batch says so) of texts that are long enough.
+
+    A text repeated in the partition is there only once, and PART_WORDS at a time.
+    """
     seen: set[int] = set()
     out, words = [], 0
     for batch in parts_of(batches):
-        for key, text in zip(values(batch.column("key")), values(batch.column("text"))):
+        listed = batch.column("anchors") if "anchors" in batch.schema.names else [None] * batch.num_rows
+        for key, text, some in zip(values(batch.column("key")), values(batch.column("text")), listed):
             if key not in seen:
                 seen.add(key)
                 hashes = word_hashes(text or b"")
                 if len(hashes) >= passage:
-                    out.append((key, text, hashes))
+                    anchors = None if some is None else some.values.to_numpy().view(np.uint64)
+                    out.append((key, text, hashes, anchors))
                     words += len(hashes)
             if words >= PART_WORDS:
                 yield out
@@ -59,7 +65,19 @@ def _texts_once(batches: Iterator[pa.RecordBatch], passage: int) -> Iterator[lis
 def _anchor_hashes(passage: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _texts_once(batches, passage):
-            yield emitted(np.concatenate([np.empty(0, np.uint64), *(_anchors(h, passage)[1] for _, _, h in texts)]))
+            yield emitted(np.concatenate([np.empty(0, np.uint64), *(_anchors(h, passage)[1] for _, _, h, _ in texts)]))
+
+    return run
+
+
+def _keyed_anchors(passage: int):
+    """Batches of texts to rows of each of their anchors (``twice.KEYED``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in _texts_once(batches, passage):
+            found = [_anchors(hashes, passage)[1] for _, _, hashes, _ in texts]
+            keys = np.repeat(np.array([t[0] for t in texts], np.int64), [len(f) for f in found])
+            yield told(np.concatenate([np.empty(0, np.uint64), *found]), keys)
 
     return run
 
@@ -67,8 +85,8 @@ def _anchor_hashes(passage: int):
 _FOUND = "first long, second long, key long, begin int, end int"
 
 
-def _candidates(filters: Filters, passage: int):
-    """Passages that hold an anchor which may occur again.
+def _candidates(filters: Filters | None, passage: int):
+    """Passages that hold an anchor which may occur again, by the filters or else by the list beside the text.
 
     A passage found twice in a batch is confirmed: its words are returned as spans
     of their texts, without hashes, and one row of its hashes alone tells other tasks.
@@ -77,11 +95,14 @@ def _candidates(filters: Filters, passage: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _texts_once(batches, passage):
-            anchors = [_anchors(h, passage) for _, _, h in texts]
-            hit = filters.may_repeat(np.concatenate([np.empty(0, np.uint64), *(a for _, a in anchors)]))
+            anchors = [_anchors(h, passage) for _, _, h, _ in texts]
+            if filters is None:
+                hit = np.concatenate([np.empty(0, bool), *(np.isin(a, t[3]) for t, (_, a) in zip(texts, anchors))])
+            else:
+                hit = filters.may_repeat(np.concatenate([np.empty(0, np.uint64), *(a for _, a in anchors)]))
             at = 0
             columns: list[list[np.ndarray]] = [[np.empty(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64)]
-            for k, ((_, text, hashes), (places, _)) in enumerate(zip(texts, anchors)):
+            for k, ((_, text, hashes, _), (places, _)) in enumerate(zip(texts, anchors)):
                 here = places[hit[at : at + len(places)]]
                 at += len(places)
                 if not len(here):
@@ -94,7 +115,7 @@ def _candidates(filters: Filters, passage: int):
                 columns[2].append(np.full(len(starts), k))
                 columns[3].append(starts)
             first, second, owner, place = (np.concatenate(column) for column in columns)
-            keys = np.array([key for key, _, _ in texts], np.int64)
+            keys = np.array([t[0] for t in texts], np.int64)
             order = np.lexsort((second, first))
             alike = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
             twice = np.zeros(len(order), bool)
@@ -167,7 +188,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shift below PERIOD takes both to positions of the cover. So only anchors
     are hashed and shuffled, 4 for 13 words; filters of the repeated ones go
     back to the texts, where an anchor found again is extended to all
-    passages around it. These candidates are confirmed by their 128-bit
+    passages around it. Where the filters are too large to be broadcast, the anchors meet them instead, and the
+    lists of those repeated are joined to the texts. The candidates are confirmed by their 128-bit
     hashes: within a batch at once, which keeps a passage of very many texts
     from being shuffled, the others by counting them over all tasks. A text that occurs twice as a whole is one
     span, and stands for its copies elsewhere; copies are known by two hashes and their length.
@@ -188,16 +210,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows, copied = known_apart(rows, "key", ["check", "bytes"], "copied-texts")
     slim = rows.select("key", F.col("text").cast("binary").alias("text"))
     number = (docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0) // 6 * len(COVER) // PERIOD
-    hashes = slim.mapInArrow(_anchor_hashes(PASSAGE), "hash long")
-    found = [
-        saved(slim.mapInArrow(_candidates(filters, PASSAGE), _FOUND), "passages")
-        for filters in seen_twice(hashes, number, "anchor-filters")
-    ]
-    passages = reduce(DataFrame.unionByName, found)
+    filters = seen_twice(slim.mapInArrow(_anchor_hashes(PASSAGE), "hash long"), number, "anchor-filters")
+    if filters is None:
+        repeated = repeats(slim.mapInArrow(_keyed_anchors(PASSAGE), KEYED), "anchors")
+        listed = repeated.groupBy("key").agg(F.collect_set("hash").alias("anchors"))
+        # One of the rows of each text; a text of very many rows leaves each task as one.
+        passages = saved(slim.dropDuplicates(["key"]).join(listed, "key").mapInArrow(_candidates(None, PASSAGE), _FOUND), "passages")
+    else:
+        passages = saved(slim.mapInArrow(_candidates(filters, PASSAGE), _FOUND), "passages")
+        filters.release()
     here = passages.where("first IS NULL").select("key", "begin", "end")
     rest = passages.where("first IS NOT NULL")
-    # A passage can be a candidate in several rounds.
-    rest = rest.distinct() if len(found) > 1 else rest
     others = F.count("*").over(Window.partitionBy("first", "second"))
     again = rest.withColumn("held", others).where("held > 1 AND key IS NOT NULL")
     again = again.select("key", "begin", (F.col("begin") + PASSAGE).alias("end"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 from math import ceil, log
 
 import numpy as np
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tempestry.llm.common import FEW_ROWS, known_apart, mixed, parts_of, saved, share, signed, values, window_hashes, word_hashes
 from tempestry.llm.graph import components
-from tempestry.llm.twice import Filters, emitted, seen_twice
+from tempestry.llm.twice import KEYED, Filters, emitted, repeats, seen_twice, told
 
 #: Fill of the filters: here a false repeat costs little, and one in 80 passes.
 FILL = 1 / 3
@@ -102,11 +101,20 @@ def _prefix_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 _ROW = "doc_id long, key long, check long, n_shingles long, bucket long, tokens binary, listed boolean"
 
 
-def _suspects(filters: Filters, first: bool):
-    """Rows of all documents (in the first round), with tokens where enough of the prefix may be shared.
+def _bucket(tokens: np.ndarray) -> int:
+    """The smallest token by a second order."""
+    return int(mixed(tokens).min().view(np.int64))
 
-    With several rounds, a linked set shares its part of the tokens needed in at least one.
-    """
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    types = {"long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+    fields = [c.split() for c in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
+
+
+def _suspects(filters: Filters):
+    """Rows of all documents, with tokens where enough of the prefix may be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _sets(batches):
@@ -117,26 +125,77 @@ def _suspects(filters: Filters, first: bool):
             out = []
             for k, (doc, keys, tokens, new) in enumerate(rows):
                 shared = total[ends[k]] - total[ends[k] - len(prefixes[k])]
-                suspect = new and shared >= max(1, -(-prefix_shared(len(tokens)) // filters.rounds))
-                if first or suspect:
-                    bucket = int(mixed(tokens).min().view(np.int64)) if suspect else None
-                    out.append((doc, *keys, len(tokens), bucket, tokens.tobytes() if suspect else None, first))
-            columns = list(zip(*out)) if out else [[]] * 7
-            types = [pa.int64()] * 5 + [pa.binary(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], [c.split()[0] for c in _ROW.split(", ")]
-            )
+                suspect = new and shared >= prefix_shared(len(tokens))
+                out.append((doc, *keys, len(tokens), _bucket(tokens) if suspect else None, tokens.tobytes() if suspect else None, True))
+            yield _batch(out, _ROW)
 
     return run
 
 
+_SIZES = "doc_id long, key long, check long, n_shingles long, text_key long, text_check long"
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of all documents, with the keys of their texts."""
+    for batch in parts_of(batches):
+        out = []
+        for doc, text, *known in zip(*(values(batch.column(c)) for c in ("doc_id", "text", "text_key", "text_check"))):
+            tokens = shingles(text)
+            out.append((doc, *_set_keys(tokens), len(tokens), *known))
+        yield _batch(out, _SIZES)
+
+
+def _keyed_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of texts to rows of each token of their sets' prefixes (``twice.KEYED``)."""
+    for rows in _sets(batches):
+        found = [(keys[0], tokens[: prefix_length(len(tokens))]) for _, keys, tokens, new in rows if new]
+        keys = np.repeat(np.array([k for k, _ in found], np.int64), [len(t) for _, t in found])
+        yield told(np.concatenate([np.empty(0, np.uint64), *(t for _, t in found)]), keys)
+
+
+def _tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of the texts of suspects to their tokens."""
+    for batch in parts_of(batches):
+        out = []
+        for text in values(batch.column("text")):
+            tokens = shingles(text)
+            out.append((None, *_set_keys(tokens), len(tokens), _bucket(tokens), tokens.tobytes(), False))
+        yield _batch(out, _ROW)
+
+
+def _suspects_by_join(slim: DataFrame) -> DataFrame:
+    """As ``_suspects``, where the filters are too large to be broadcast: prefixes meet the filters, and what they
+    find is joined to the texts. The texts are read three times and shuffled once, whatever their number."""
+    known = slim.withColumns({"text_key": F.xxhash64("text"), "text_check": F.xxhash64(F.lit(1), "text")})
+    sizes = saved(known.mapInArrow(_sizes, _SIZES), "set-sizes")
+    shared = repeats(slim.mapInArrow(_keyed_prefixes, KEYED), "prefix-tokens")
+    shared = shared.groupBy("key").agg(F.size(F.collect_set("hash")).alias("shared"))
+    least = F.ceil(F.col("n_shingles") * PERCENT / 100)
+    enough = F.col("shared") >= F.greatest(F.lit(1), F.floor(least * F.lit(LONGER)))
+    sets = sizes.where("n_shingles > 0").groupBy("key", "check", "n_shingles").agg(F.min(F.struct("text_key", "text_check")).alias("t"))
+    texts = saved(sets.join(shared, "key").where(enough).select("t.*").distinct(), "suspected-texts")
+    tokens = known.join(texts, ["text_key", "text_check"], "left_semi").dropDuplicates(["text_key", "text_check"])
+    listed = sizes.select(
+        "doc_id", "key", "check", "n_shingles", F.lit(None).cast("long").alias("bucket"), F.lit(None).cast("binary").alias("tokens"),
+        F.lit(True).alias("listed"),
+    )
+    return listed.unionByName(saved(tokens.select("text").mapInArrow(_tokenized, _ROW), "shingles"))
+
+
 def _token_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in parts_of(batches):
         yield emitted(np.concatenate([np.empty(0, np.uint64), *map(_tokens, batch.column("tokens").to_pylist())]))
 
 
+def _keyed_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in parts_of(batches):
+        sets = [_tokens(value) for value in batch.column("tokens").to_pylist()]
+        keys = np.repeat(batch.column("key").to_numpy(), [len(s) for s in sets])
+        yield told(np.concatenate([np.empty(0, np.uint64), *sets]), keys)
+
+
 def _repeated(filters: Filters):
-    """The sets of which as many tokens as a link needs may be in another set (with several rounds, the part of one)."""
+    """The sets of which as many tokens as a link needs may be in another set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts_of(batches):
@@ -144,14 +203,25 @@ def _repeated(filters: Filters):
             hit = filters.may_repeat(np.concatenate([np.empty(0, np.uint64), *sets]))
             ends = np.cumsum([len(s) for s in sets])
             total = np.concatenate([[0], np.cumsum(hit)])
-            enough = [
-                total[end] - total[end - len(s)] >= -(-least_shared(len(s)) // filters.rounds) for s, end in zip(sets, ends)
-            ]
+            enough = [total[end] - total[end - len(s)] >= least_shared(len(s)) for s, end in zip(sets, ends)]
             yield batch.filter(pa.array(enough, pa.bool_()))
 
     return run
 
 
+def _sets_with_partners(suspects: DataFrame, number: int) -> DataFrame:
+    """Those of the sets that have as many tokens in other sets as a link needs; one row of each."""
+    filters = seen_twice(suspects.mapInArrow(_token_hashes, "hash long"), number, "token-filters", FILL)
+    if filters is None:
+        shared = repeats(suspects.mapInArrow(_keyed_tokens, KEYED), "set-tokens")
+        shared = shared.groupBy("key").agg(F.size(F.collect_set("hash")).alias("shared"))
+        found = suspects.join(shared, "key").where(F.col("shared") >= F.ceil(F.col("size") * PERCENT / 100)).drop("shared")
+        return saved(found.dropDuplicates(["key"]), "sets")
+    found = saved(suspects.mapInArrow(_repeated(filters), suspects.schema), "repeated-sets")
+    filters.release()
+    return saved(found.dropDuplicates(["key"]), "sets")
+
+
 def _tokens(value: bytes) -> np.ndarray:
     return np.frombuffer(value, np.uint64)
 
@@ -447,18 +517,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     words = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    rows = None
-    for filters in seen_twice(slim.mapInArrow(_prefix_hashes, "hash long"), words // 12, "prefix-filters", FILL):
-        found = saved(slim.mapInArrow(_suspects(filters, rows is None), _ROW), "shingles")
-        rows = found if rows is None else rows.unionByName(found)
+    filters = seen_twice(slim.mapInArrow(_prefix_hashes, "hash long"), words // 12, "prefix-filters", FILL)
+    if filters is None:
+        rows = _suspects_by_join(slim)
+    else:
+        rows = saved(slim.mapInArrow(_suspects(filters), _ROW), "shingles")
+        filters.release()
     rows, _ = known_apart(rows, "key", ["check", "n_shingles"], "equal-sets")
     suspects = rows.where("tokens IS NOT NULL").select("key", F.col("n_shingles").alias("size"), "bucket", "tokens")
     number = suspects.agg(F.sum("size")).first()[0] or 0
-    found = [
-        saved(suspects.mapInArrow(_repeated(filters), suspects.schema), "repeated-sets")
-        for filters in seen_twice(suspects.mapInArrow(_token_hashes, "hash long"), number, "token-filters", FILL)
-    ]
-    sets = saved(reduce(DataFrame.unionByName, found).dropDuplicates(["key"]), "sets")
+    sets = _sets_with_partners(suspects, number)
     roots, labels = _groups(sets)
     known = (
         sets.select("key", "size")

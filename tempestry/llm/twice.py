@@ -1,4 +1,8 @@
-"""Hashes seen at least twice, by two Bloom filters: one of hashes seen once, one of those seen again."""
+"""Hashes seen at least twice, by two Bloom filters: one of hashes seen once, one of those seen again.
+
+Filters of a bounded size are broadcast to the rows (``seen_twice``). Beyond
+that size the rows go to the filters (``repeats``), so that no work grows faster than the data.
+"""
 
 from __future__ import annotations
 
@@ -18,8 +22,12 @@ SLICE_HASHES, SLICE_BITS = 250_000, 1 << 23
 PROBES = 4
 #: Most of its bits that a filter of repeated hashes has set: one in 4000 other hashes passes at 1/8.
 FILL = 1 / 8
-#: Most bytes of filters that are broadcast at once; more take another round each.
+#: Most bytes of filters that are broadcast.
 MOST_FILTER_BYTES = 64 << 20
+#: What a row of a hash and its owner says: the hash has to be looked for elsewhere; it is one of several in its
+#: batch and so repeated for sure; or it only tells the others that there are such.
+ASKED, SURE, MARK = 0, 1, 2
+KEYED = "hash long, key long, kind int"
 
 
 def emitted(hashes: np.ndarray) -> pa.RecordBatch:
@@ -28,6 +36,24 @@ def emitted(hashes: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate([different, different[counts > 1]])))], ["hash"])
 
 
+def kinds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a batch's hashes: which hash each is of, and its kind.
+
+    Hashes found several times in the batch are repeated for sure, so their rows need not meet those of other
+    tasks; one mark stands for them there, however many they are.
+    """
+    _, first, place, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+    marks = first[count > 1]
+    which = np.concatenate([np.arange(len(hashes)), marks])
+    return which, np.concatenate([np.where(count[place] > 1, SURE, ASKED), np.full(len(marks), MARK)]).astype(np.int32)
+
+
+def told(hashes: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """Rows of KEYED of a batch's hashes and their owners."""
+    which, kind = kinds(hashes)
+    return pa.RecordBatch.from_arrays([pa.array(signed(hashes[which])), pa.array(keys[which]), pa.array(kind)], ["hash", "key", "kind"])
+
+
 def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
     """Bits of each hash in a filter, one row per probe. Halving a filter keeps them modulo its size."""
     second = mixed(hashes) | np.uint64(1)
@@ -85,48 +111,79 @@ def _seen_again(slices: int, fill: float):
     return run
 
 
+def repeated_within(hashes: np.ndarray, step: int = 100_000) -> np.ndarray:
+    """Which of some hashes two filters hold as seen twice: every repeated one, and few others.
+
+    The hashes pass the filter of those seen once in steps, and what it holds already goes to the filter of those seen again.
+    """
+    once, again = (np.zeros(max(64, 4 << max(1, len(hashes)).bit_length()), np.uint8) for _ in range(2))
+    for at in range(0, len(hashes), step):
+        here, counts = np.unique(hashes[at : at + step], return_counts=True)
+        repeated = here[(counts > 1) | _has(once, here)]
+        _put(once, here)
+        if len(repeated):
+            _put(again, repeated)
+    return _has(again, hashes) if len(hashes) else np.zeros(0, bool)
+
+
+def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A slice's rows to those asked for whose hash its two filters may have seen twice."""
+    held = list(batches)
+    if held:
+        hashes = np.concatenate([b.column("hash").to_numpy() for b in held]).view(np.uint64)
+        suspect, at = repeated_within(hashes), 0
+        for batch in held:
+            keep = suspect[at : at + batch.num_rows] & (batch.column("kind").to_numpy() == ASKED)
+            at += batch.num_rows
+            yield batch.filter(pa.array(keep))
+
+
+def repeats(rows: DataFrame, label: str) -> DataFrame:
+    """The rows whose hash may be that of several rows: every such row, and a few others.
+
+    ``rows`` has ``hash`` and ``kind`` (``kinds``) beside other columns. They are written once and dealt out by
+    hash to slices of bounded size, each with its own two filters. A hash that
+    very many rows have is in most batches several times, and these rows stay where they are.
+    """
+    rows = saved(rows, label)
+    slices = max(16, rows.count() // SLICE_HASHES + 1)
+    asked = rows.where(F.col("kind") != SURE).repartition(slices, _slice_column(slices)).mapInArrow(_suspects, rows.schema)
+    return rows.where(F.col("kind") == SURE).unionByName(saved(asked, f"{label}-suspected")).drop("kind")
+
+
 class Filters:
-    """The filters of hashes seen twice, of some slices of the hash space: one round of ``rounds``."""
+    """The filters of hashes seen twice, of all slices of the hash space."""
 
-    def __init__(self, bits: Broadcast, slices: int, rounds: int) -> None:
-        self.bits, self.slices, self.rounds = bits, slices, rounds
+    def __init__(self, bits: Broadcast, slices: int) -> None:
+        self.bits, self.slices = bits, slices
 
     def may_repeat(self, hashes: np.ndarray) -> np.ndarray:
-        """Which hashes these filters hold; false for every hash of another round."""
+        """Which hashes the filters hold."""
         part, hit = _slice_of(hashes, self.slices), np.zeros(len(hashes), bool)
         for s in np.unique(part):
             if (bits := self.bits.value.get(int(s))) is not None:
                 hit[part == s] = _has(np.frombuffer(bits, np.uint8), hashes[part == s])
         return hit
 
+    def release(self) -> None:
+        """Free the executors' copies. Call it when what needs them is written."""
+        self.bits.unpersist()
+
 
-def seen_twice(hashes: DataFrame, number: int, label: str, fill: float = FILL) -> Iterator[Filters]:
+def seen_twice(hashes: DataFrame, number: int, label: str, fill: float = FILL) -> Filters | None:
     """Filters that hold every hash with two rows or more, and few others.
 
     ``hashes`` has one column ``hash`` of about ``number`` rows, for which the
     caller combines rows before the shuffle (``emitted``). They are dealt out
     to slices of the hash space, each with a pair of filters of fixed size
     through which its hashes stream. The filter of the repeated ones is folded
-    to what its contents need. All slices come at once if their filters take
-    at most ``MOST_FILTER_BYTES`` together, otherwise in rounds. There is always
-    one round, also without any repeated hash. A round's filters are given
-    back when the next one is asked for, so write what needs them before.
+    to what its contents need. None if they take more than ``MOST_FILTER_BYTES`` together: then take ``repeats``.
     """
     slices = max(16, number // SLICE_HASHES + 1)
     filters = saved(
         hashes.repartition(slices, _slice_column(slices)).mapInArrow(_seen_again(slices, fill), "slice long, bits binary"), label
     )
-    sizes = sorted((r.slice, r.size) for r in filters.select("slice", F.length("bits").alias("size")).collect())
-    groups: list[list[int]] = [[]]
-    total = 0
-    for s, size in sizes:
-        if total and total + size > MOST_FILTER_BYTES:
-            groups.append([])
-            total = 0
-        groups[-1].append(s)
-        total += size
-    for group in groups:
-        bits = {r.slice: bytes(r.bits) for r in filters.where(F.col("slice").isin(group)).collect()}
-        shared = hashes.sparkSession.sparkContext.broadcast(bits)
-        yield Filters(shared, slices, len(groups))
-        shared.unpersist()
+    if (filters.agg(F.sum(F.length("bits"))).first()[0] or 0) > MOST_FILTER_BYTES:
+        return None
+    bits = {r.slice: bytes(r.bits) for r in filters.collect()}
+    return Filters(hashes.sparkSession.sparkContext.broadcast(bits), slices)

@@ -65,6 +65,37 @@ def test_exact(documents):
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
+def test_exact_rounds():
+    assert dedup_exact.rounds(1) == dedup_exact.rounds(16) == [16]
+    assert dedup_exact.rounds(17) == dedup_exact.rounds(256) == [16, 256]
+    for parts in (1000, 100_000, 3_000_000):
+        widths = dedup_exact.rounds(parts)
+        assert len(widths) == 2 and widths[-1] >= parts
+    assert dedup_exact.rounds(5, 2) == [3, 9]
+
+
+def test_exact_merges_sorted_runs(documents):
+    """Each round sorts and merges: one sorted aggregate before its shuffle and one behind it."""
+    plan = dedup_exact.exact_duplicates(documents(ROWS).repartition(20))._jdf.queryExecution().executedPlan().toString()
+    merges = [line for line in plan.splitlines() if "SortAggregate(key=[node" in line]
+    assert len(merges) == 2 * (1 + len(dedup_exact.rounds(20))) and "Python" not in plan and "Arrow" not in plan
+
+
+def test_exact_keeps_texts_of_one_digest_apart(documents, monkeypatch):
+    """With digests that many texts share, length and second hash still tell texts apart in every round."""
+    from pyspark.sql import functions as F
+
+    rows = [(r[0], r[1]) for r in ROWS if r[0] is not None]
+    real = F.sha2
+    monkeypatch.setattr(dedup_exact.F, "sha2", lambda text, bits: F.lpad(F.pmod(F.xxhash64(text), F.lit(3)).cast("string"), 64, "0"))
+    try:
+        got = dedup_exact.exact_duplicates(documents(rows).repartition(5), fan_in=2).collect()
+    finally:
+        monkeypatch.setattr(dedup_exact.F, "sha2", real)
+    want = dedup_exact.exact_duplicates(documents(rows)).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == Counter((r.doc_id, r.keep_id, r.group_size) for r in want)
+
+
 def brute_lines(rows):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(lower)
@@ -82,14 +113,25 @@ def brute_lines(rows):
     return out
 
 
-@pytest.mark.parametrize("most", [twice.MOST_FILTER_BYTES, 1000])
-def test_lines(documents, monkeypatch, most):
-    monkeypatch.setattr(twice, "MOST_FILTER_BYTES", most)
+def test_lines(documents, monkeypatch):
+    """In one batch per task and in small ones, with small slices; the lines of a text are hashed once at any size."""
     rows = [(r[0], r[1]) for r in ROWS]
-    got = dedup_lines.drop_repeated_lines(documents(ROWS).repartition(4)).collect()
     want = brute_lines(rows)
     assert sum(k[2] for k in want) > 10
-    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in got) == want
+    for batch, slices in ((None, twice.SLICE_HASHES), ("20", 10)):
+        df = documents(ROWS).repartition(4)
+        conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        calls, lines = [], dedup_lines._lines
+        monkeypatch.setattr(dedup_lines, "_lines", lambda shortest: calls.append(shortest) or lines(shortest))
+        monkeypatch.setattr(twice, "SLICE_HASHES", slices)
+        df.sparkSession.conf.set(conf, batch) if batch else None
+        try:
+            got = dedup_lines.drop_repeated_lines(df).collect()
+        finally:
+            df.sparkSession.conf.unset(conf)
+            monkeypatch.undo()
+        assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in got) == want
+        assert len(calls) == 1
 
 
 def test_lines_keep_other_columns(documents):

@@ -5,12 +5,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
 from tempestry.llm import quality
 from tempestry.llm.common import table
+from tests.llm.conftest import ODD
 from tests.llm.test_dedup import brute_components, brute_lines
 from tests.llm.test_mixing import brute_targets
 
@@ -56,9 +58,72 @@ def test_stages(spark, sf_dir, tmp_path):
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == pieces
 
 
+@pytest.fixture
+def chained(spark, sf_dir, tmp_path):
+    def run(docs):
+        """What each stage returns, each from what the one before it wrote."""
+        found = []
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            path = str(tmp_path / f"{len(list(tmp_path.iterdir()))}-{k}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+            found.append(docs)
+        return found
+
+    return run
+
+
+def test_stages_take_odd_rows(documents, chained):
+    """Null ids, texts and sources, repeated rows and ids, blank and very long texts, and columns of clashing names."""
+    prose = [" ".join(f"w{(i * 31 + k * k) % 977}" for k in range(40)) for i in range(12)]
+    shared = "one line that very many documents share, word for word"
+    rows = ODD + [(100 + i, f"{p}\n{shared}") for i, p in enumerate(prose)]
+    rows += [(None, prose[0] + " and more words than that one has"), (None, prose[0]), (None, prose[0]), (101, f"{prose[1]}\n{shared}")]
+    rows += [(200, prose[2], None, None), (201, prose[3] + " " + prose[4], "xx", "other"), (300, "short text of few words")]
+    docs = documents(rows)
+    good, lined, single, mixed, packed = chained(docs)
+    assert all(df.columns == docs.columns for df in (good, lined, single, mixed))
+
+    kept = [(r.doc_id, r.text) for r in good.collect()]
+    assert Counter(kept) == Counter((r[0], r[1]) for r in rows if len((r[1] or "").split()) >= 20 and "x y" not in r[1])
+    want = brute_lines(kept)
+    assert Counter((r.doc_id, r.text) for r in lined.collect()) == Counter((k[0], k[3]) for k in want.elements())
+    assert any(k[2] for k in want) and all(r.n_chars == len(r.text) for r in lined.collect())
+
+    texts = [(r.doc_id, r.text) for r in lined.collect()]
+    with_id = {doc for doc, _, least in brute_components(texts).elements() if doc is not None and doc == least}
+    stay = Counter((r.doc_id, r.text) for r in single.collect())
+    # Of rows that share an id each different text stays once; rows without id stay, equal texts once.
+    assert stay == Counter({(doc, text) for doc, text in texts if doc is None or doc in with_id})
+    copies = Counter((r.doc_id, r.text) for r in mixed.collect())
+    assert set(copies) <= set(stay) and max(copies.values()) <= 2 and None in {doc for doc, _ in copies}
+    pieces = Counter(r.doc_id for r in packed.collect() if r.piece == 0)
+    assert pieces == Counter(doc for doc, _ in copies.elements())
+
+
+def test_stages_take_empty_tables(documents, chained):
+    docs = documents(ODD).limit(0)
+    for found in chained(docs):
+        assert found.count() == 0
+    # Nothing passes the first stage.
+    assert [df.count() for df in chained(documents([(1, None), (2, ""), (3, "few words")]))] == [0] * 5
+
+
+def test_run_leaves_the_results_of_stages_only(spark, sf_dir, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        result = corpus_pipeline.run(spark, sf_dir)
+        assert result.count() > 0
+        left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "tempestry").iterdir()}
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+    assert left == {*(f"pipeline-{name.replace(' ', '-')}" for name, _ in corpus_pipeline.STAGES[:-1]), "pieces", "piece-counts"}
+
+
 def test_every_operator_is_registered():
     names = entry_module.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "line dedup", "n-gram Jaccard join", "mixing sources", "best-fit packing",
     ]

@@ -64,12 +64,29 @@ def test_filters_hold_all_repeated_hashes_and_few_others(spark, monkeypatch):
     again = spark.range(0, number, 10).selectExpr("xxhash64(id) AS hash")
     known = np.array([r.hash for r in again.collect()]).view(np.uint64)
     others = np.array([r.hash for r in rows.exceptAll(again).collect()]).view(np.uint64)
-    for most in (1 << 20, 2000):
-        monkeypatch.setattr(twice, "MOST_FILTER_BYTES", most)
-        found = list(twice.seen_twice(rows.unionByName(again), number, "test"))
-        assert (len(found) > 1) == (most == 2000) and {f.rounds for f in found} == {len(found)}
-        assert np.any([f.may_repeat(known) for f in found], axis=0).all()
-        assert np.any([f.may_repeat(others) for f in found], axis=0).mean() < 0.1
+    found = twice.seen_twice(rows.unionByName(again), number, "test")
+    assert found.may_repeat(known).all() and found.may_repeat(others).mean() < 0.1
+    monkeypatch.setattr(twice, "MOST_FILTER_BYTES", 2000)
+    assert twice.seen_twice(rows.unionByName(again), number, "test") is None
+
+
+def test_repeats_are_all_rows_of_repeated_hashes_and_few_others(spark, monkeypatch):
+    """One hash of a third of all rows, among others."""
+    monkeypatch.setattr(twice, "SLICE_HASHES", 500)
+    ids = spark.range(30_000).repartition(6)
+    hashes = ids.selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN xxhash64(id div 100) ELSE xxhash64(-id) END AS hash", "id AS key")
+
+    def run(batches):
+        for batch in batches:
+            yield twice.told(batch.column("hash").to_numpy().view(np.uint64), batch.column("key").to_numpy())
+
+    found = {(r.hash, r.key) for r in twice.repeats(hashes.mapInArrow(run, twice.KEYED), "test").collect()}
+    held = [(r.hash, r.key) for r in hashes.collect()]
+    counts = {}
+    for value, _ in held:
+        counts[value] = counts.get(value, 0) + 1
+    several = {row for row in held if counts[row[0]] > 1}
+    assert len(several) > 10_000 and several <= found <= set(held) and len(found - several) < 0.02 * len(held)
 
 
 def test_folded_keeps_what_a_filter_holds():
@@ -78,3 +95,14 @@ def test_folded_keeps_what_a_filter_holds():
     twice._put(bits, hashes)
     small = twice.folded(bits)
     assert len(small) < len(bits) and twice._has(small, hashes).all()
+
+
+def test_repeated_within_holds_all_repeated_hashes_and_few_others():
+    r = np.random.default_rng(3)
+    for number, step in ((0, 10), (1, 10), (5, 1), (30_000, 1000), (30_000, 100_000)):
+        hashes = r.integers(0, 1 << 63, number, dtype=np.uint64)
+        hashes = np.concatenate([hashes, hashes[::7], hashes[:: number or 1]])
+        r.shuffle(hashes)
+        _, place, count = np.unique(hashes, return_inverse=True, return_counts=True)
+        found = twice.repeated_within(hashes, step)
+        assert found[count[place] > 1].all() and found[count[place] == 1].mean() < 0.01 if number > 9 else found[count[place] > 1].all()

@@ -28,7 +28,12 @@ MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes at which a batch for the Python workers ends, the setting for it, and Spark's own value.
 BATCH_BYTES, _BATCH_BYTES, _BATCH_DEFAULT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 #: Settings with which the workers' allocators keep little of what was freed.
-WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576"}
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(16 << 20),
+}
 #: Most rows of a table that is broadcast, each of a few numbers and a name.
 FEW_ROWS = 50_000
 
@@ -161,12 +166,46 @@ def word_hashes(text: bytes, seed: int = 0) -> np.ndarray:
                 following = [p for p in (text.find(b, end) for b in map(bytes, zip(BLANKS.encode()))) if p >= 0]
                 cut = min(following, default=len(text))
             end = cut + 1
-        parts.append(_part_hashes(text[at:end], seed))
+        parts.append(_part_hashes(text[at:end], seed)[0])
         at = end
     return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.empty(0, np.uint64)
 
 
-def _part_hashes(text: bytes, seed: int) -> np.ndarray:
+def hashed_texts(texts: Iterable[bytes | None], width: int, lower: bool = False) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """Each text, the hashes of its words, and those of every ``width`` consecutive words of it.
+
+    Texts are hashed PART_BYTES at a time, as one array operation costs more to begin than a short text to
+    hash; longer ones come alone. Null is empty. ``lower`` hashes A-Z as small letters.
+    """
+    held: list[bytes] = []
+    size = 0
+
+    def done() -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+        joined = b"\n".join(held)
+        hashes, starts = _part_hashes(joined.lower() if lower else joined, 0)
+        ends = np.cumsum([len(t) + 1 for t in held])
+        bounds = np.concatenate([[0], np.searchsorted(starts, ends)])
+        windows = window_hashes(hashes, width)
+        for text, a, b in zip(held, bounds[:-1].tolist(), bounds[1:].tolist()):
+            yield text, hashes[a:b], windows[a : max(a, b - width + 1)]
+
+    for text in texts:
+        text = text or b""
+        if held and size + len(text) > PART_BYTES:
+            yield from done()
+            held, size = [], 0
+        if len(text) > PART_BYTES:
+            hashes = word_hashes(text.lower() if lower else text)
+            yield text, hashes, window_hashes(hashes, width)
+        else:
+            held.append(text)
+            size += len(text)
+    if held:
+        yield from done()
+
+
+def _part_hashes(text: bytes, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words, and where the words begin."""
     codes = np.frombuffer(text, np.uint8)
     inside = np.empty(len(codes) + 2, bool)
     inside[0] = inside[-1] = False
@@ -184,7 +223,7 @@ def _part_hashes(text: bytes, seed: int) -> np.ndarray:
             out[more] = mixed(out[more] ^ (eights[starts[more] + at] & _LOW[np.minimum(sizes[more] - at, 8)]))
     for k in np.flatnonzero(sizes > LANES):
         out[k] = xxhash.xxh3_64_intdigest(text[starts[k] : starts[k] + sizes[k]], seed)
-    return out
+    return out, starts
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

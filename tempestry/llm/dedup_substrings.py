@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import tee
 
 import numpy as np
 import pandas as pd
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tempestry.llm.common import BLANK_RUN, covered, known_apart, parts_of, saved, signed, window_hashes, word_count, word_hashes, values
+from tempestry.llm.common import BLANK_RUN, covered, hashed_texts, known_apart, parts_of, saved, signed, window_hashes, word_count, word_hashes, values
 from tempestry.llm.twice import KEYED, Filters, emitted, repeats, seen_twice, told
 
 #: Words of a passage that is removed if it occurs again.
@@ -32,40 +34,51 @@ def anchor_places(n_words: int, passage: int = PASSAGE) -> np.ndarray:
     return places[places <= last]
 
 
-def _anchors(hashes: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray]:
-    places = anchor_places(len(hashes), passage)
-    return places, window_hashes(hashes, passage - PERIOD + 1)[places]
+@dataclass
+class _Text:
+    """A text with the hashes of its words, and its anchors: their places and hashes.
 
+    ``listed`` has the anchors that may be repeated, if the batch says so.
+    """
 
-def _texts_once(
-    batches: Iterator[pa.RecordBatch], passage: int
-) -> Iterator[list[tuple[int, bytes, np.ndarray, np.ndarray | None]]]:
-    """(key, text, word hashes, anchors that may be repeated if the batch says so) of texts that are long enough.
+    key: int
+    text: bytes
+    hashes: np.ndarray
+    places: np.ndarray
+    anchors: np.ndarray
+    listed: np.ndarray | None
 
-    A text repeated in the partition is there only once, and PART_WORDS at a time.
-    """
+
+def _texts_once(batches: Iterator[pa.RecordBatch], passage: int) -> Iterator[list[_Text]]:
+    """The texts that are long enough, one repeated in the partition only once, PART_WORDS at a time."""
     seen: set[int] = set()
+
+    def new() -> Iterator[tuple[int, bytes, np.ndarray | None]]:
+        for batch in parts_of(batches):
+            listed = batch.column("anchors") if "anchors" in batch.schema.names else [None] * batch.num_rows
+            for key, text, some in zip(values(batch.column("key")), values(batch.column("text")), listed):
+                if key not in seen:
+                    seen.add(key)
+                    yield key, text, None if some is None else some.values.to_numpy().view(np.uint64)
+
+    keys, again = tee(new())
     out, words = [], 0
-    for batch in parts_of(batches):
-        listed = batch.column("anchors") if "anchors" in batch.schema.names else [None] * batch.num_rows
-        for key, text, some in zip(values(batch.column("key")), values(batch.column("text")), listed):
-            if key not in seen:
-                seen.add(key)
-                hashes = word_hashes(text or b"")
-                if len(hashes) >= passage:
-                    anchors = None if some is None else some.values.to_numpy().view(np.uint64)
-                    out.append((key, text, hashes, anchors))
-                    words += len(hashes)
-            if words >= PART_WORDS:
-                yield out
-                out, words = [], 0
+    width = passage - PERIOD + 1
+    for (key, _, listed), (text, hashes, windows) in zip(keys, hashed_texts((text for _, text, _ in again), width)):
+        if len(hashes) >= passage:
+            places = anchor_places(len(hashes), passage)
+            out.append(_Text(key, text, hashes, places, windows[places], listed))
+            words += len(hashes)
+        if words >= PART_WORDS:
+            yield out
+            out, words = [], 0
     yield out
 
 
 def _anchor_hashes(passage: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _texts_once(batches, passage):
-            yield emitted(np.concatenate([np.empty(0, np.uint64), *(_anchors(h, passage)[1] for _, _, h, _ in texts)]))
+            yield emitted(np.concatenate([np.empty(0, np.uint64), *(t.anchors for t in texts)]))
 
     return run
 
@@ -75,9 +88,8 @@ def _keyed_anchors(passage: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _texts_once(batches, passage):
-            found = [_anchors(hashes, passage)[1] for _, _, hashes, _ in texts]
-            keys = np.repeat(np.array([t[0] for t in texts], np.int64), [len(f) for f in found])
-            yield told(np.concatenate([np.empty(0, np.uint64), *found]), keys)
+            keys = np.repeat(np.array([t.key for t in texts], np.int64), [len(t.anchors) for t in texts])
+            yield told(np.concatenate([np.empty(0, np.uint64), *(t.anchors for t in texts)]), keys)
 
     return run
 
@@ -95,27 +107,26 @@ def _candidates(filters: Filters | None, passage: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _texts_once(batches, passage):
-            anchors = [_anchors(h, passage) for _, _, h, _ in texts]
             if filters is None:
-                hit = np.concatenate([np.empty(0, bool), *(np.isin(a, t[3]) for t, (_, a) in zip(texts, anchors))])
+                hit = np.concatenate([np.empty(0, bool), *(np.isin(t.anchors, t.listed) for t in texts)])
             else:
-                hit = filters.may_repeat(np.concatenate([np.empty(0, np.uint64), *(a for _, a in anchors)]))
+                hit = filters.may_repeat(np.concatenate([np.empty(0, np.uint64), *(t.anchors for t in texts)]))
             at = 0
             columns: list[list[np.ndarray]] = [[np.empty(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64)]
-            for k, ((_, text, hashes, _), (places, _)) in enumerate(zip(texts, anchors)):
-                here = places[hit[at : at + len(places)]]
-                at += len(places)
+            for k, text in enumerate(texts):
+                here, hashes = text.places[hit[at : at + len(text.places)]], text.hashes
+                at += len(text.places)
                 if not len(here):
                     continue
                 # A passage holds the anchor if it begins at most PERIOD - 1 words before it.
                 inside = covered(here, PERIOD, len(hashes) + PERIOD)[PERIOD - 1 :]
                 starts = np.flatnonzero(inside[: len(hashes) - passage + 1])
                 columns[0].append(window_hashes(hashes, passage)[starts])
-                columns[1].append(window_hashes(word_hashes(text, SECOND_SEED), passage, SECOND)[starts])
+                columns[1].append(window_hashes(word_hashes(text.text, SECOND_SEED), passage, SECOND)[starts])
                 columns[2].append(np.full(len(starts), k))
                 columns[3].append(starts)
             first, second, owner, place = (np.concatenate(column) for column in columns)
-            keys = np.array([t[0] for t in texts], np.int64)
+            keys = np.array([t.key for t in texts], np.int64)
             order = np.lexsort((second, first))
             alike = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
             twice = np.zeros(len(order), bool)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import ceil, log
 
 import numpy as np
@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tempestry.llm.common import FEW_ROWS, known_apart, mixed, parts_of, saved, share, signed, values, window_hashes, word_hashes
+from tempestry.llm.common import FEW_ROWS, hashed_texts, known_apart, mixed, parts_of, saved, share, signed, values, window_hashes
 from tempestry.llm.graph import components
 from tempestry.llm.twice import KEYED, Filters, emitted, repeats, seen_twice, told
 
@@ -37,10 +37,13 @@ MOST_CELLS, BLOCK = 1 << 22, 1 << 12
 MANY_ROWS = 500_000
 
 
-def shingles(text: bytes | None) -> np.ndarray:
-    """Sorted hashes of a text's distinct shingles; of a shorter text's words as one; empty without words."""
-    words = word_hashes((text or b"").lower())
-    return np.unique(window_hashes(words, min(SHINGLE, len(words)))) if len(words) else words
+def shingles(texts: Iterable[bytes | None]) -> Iterator[np.ndarray]:
+    """Sorted hashes of each text's distinct shingles; of a shorter text's words as one; empty without words."""
+    for _, words, windows in hashed_texts(texts, SHINGLE, lower=True):
+        if 0 < len(words) < SHINGLE:
+            windows = window_hashes(words, len(words))
+        found = np.sort(windows)
+        yield found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
 
 
 def least_shared(size):
@@ -84,8 +87,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None,
     seen: set[tuple[int, int]] = set()
     for batch in parts_of(batches):
         out = []
-        for doc, text in zip(values(batch.column("doc_id")), values(batch.column("text"))):
-            tokens = shingles(text)
+        for doc, tokens in zip(values(batch.column("doc_id")), shingles(values(batch.column("text")))):
             keys = _set_keys(tokens)
             out.append((doc, keys, tokens, bool(len(tokens)) and keys not in seen))
             seen.add(keys)
@@ -139,9 +141,9 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of all documents, with the keys of their texts."""
     for batch in parts_of(batches):
         out = []
-        for doc, text, *known in zip(*(values(batch.column(c)) for c in ("doc_id", "text", "text_key", "text_check"))):
-            tokens = shingles(text)
-            out.append((doc, *_set_keys(tokens), len(tokens), *known))
+        known = zip(*(values(batch.column(c)) for c in ("doc_id", "text_key", "text_check")))
+        for (doc, *keys), tokens in zip(known, shingles(values(batch.column("text")))):
+            out.append((doc, *_set_keys(tokens), len(tokens), *keys))
         yield _batch(out, _SIZES)
 
 
@@ -157,8 +159,7 @@ def _tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of the texts of suspects to their tokens."""
     for batch in parts_of(batches):
         out = []
-        for text in values(batch.column("text")):
-            tokens = shingles(text)
+        for tokens in shingles(values(batch.column("text"))):
             out.append((None, *_set_keys(tokens), len(tokens), _bucket(tokens), tokens.tobytes(), False))
         yield _batch(out, _ROW)
 

@@ -35,6 +35,17 @@ def test_different_words_have_different_hashes():
     assert len(set(common.word_hashes(b" ".join(words)).tolist())) == len(words)
 
 
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from([b"a", b"B", b"cc", b" ", b"\n", b"\t"]), max_size=12).map(b"".join)), max_size=8), st.integers(1, 4))
+@settings(deadline=None)
+def test_texts_hashed_together_are_as_hashed_alone(texts, width):
+    for lower in (False, True):
+        found = list(common.hashed_texts(texts, width, lower))
+        assert [t for t, _, _ in found] == [t or b"" for t in texts]
+        for text, hashes, windows in found:
+            alone = common.word_hashes(text.lower() if lower else text)
+            assert hashes.tolist() == alone.tolist() and windows.tolist() == common.window_hashes(alone, width).tolist()
+
+
 def test_seeds_are_independent():
     words = [b"%d" % i for i in range(50_000)] + [b"a" * i for i in range(1, 200)]
     one, two = (common.word_hashes(b" ".join(words), seed) for seed in (0, 5))

@@ -134,11 +134,16 @@ def training_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     sample = docs.where(in_sample(F.xxhash64(F.col(id_col), text), docs.count())).select(text.alias("text"))
-    random = [
-        F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(group)), lambda v, n=fewest: F.length(v) >= n)
-        for _, pattern, group, fewest in KINDS
-    ]
-    digests = [F.rtrim(F.base64(F.unhex(F.sha2("text", bits))), F.lit("=")) for bits in (256, 512)]
+    # The sample is bounded and may lie in few files, so its rows are dealt out to all cores.
+    sample = sample.repartition(docs.sparkSession.sparkContext.defaultParallelism)
+
+    def found_by(pattern: str, group: int, fewest: int) -> Column:
+        return F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(group)), lambda value: F.length(value) >= fewest)
+
+    random = [found_by(pattern, group, fewest) for _, pattern, group, fewest in KINDS]
+    # Spark ends a line of Base64 after 76 characters.
+    base64 = lambda bits: F.translate(F.base64(F.unhex(F.sha2("text", bits))), "\r\n", "")
+    digests = [F.rtrim(base64(bits), F.lit("=")) for bits in (256, 512)]
     made = F.array(*digests, *(F.translate(d, "+/", "-_") for d in digests))
     found = F.concat(*random)
     stripped = F.regexp_replace("text", "|".join(pattern for _, pattern, _, _ in KINDS), " ")

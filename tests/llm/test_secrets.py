@@ -1,10 +1,15 @@
 """Spans of secrets against Python's patterns, and the models on held-out strings."""
 
 import re
-from hashlib import sha256
+from base64 import b64encode
+from collections import Counter
+from datetime import datetime, timezone
+from hashlib import sha256, sha512
 from random import Random
+from struct import pack
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tempestry.llm import secrets
@@ -122,6 +127,43 @@ def test_stretches_outside_base_spans_are_scored(documents, trained):
     assert seen > 50
 
 
+def plain_training_strings(text):
+    """(label, value) of a document's training strings, in plain Python."""
+    hash64 = lambda data, seed=42: xxhash.xxh64_intdigest(data, seed)
+    signed = lambda n: n - (1 << 64) if n >> 63 else n
+    seed = signed(hash64(text.encode()))
+    found = [m[group] for pattern, group, fewest in PATTERNS.values() for m in pattern.finditer(text) if len(m[group]) >= fewest]
+    upper = str.maketrans({c: c.upper() for c in "abcdefghijklmnopqrstuvwxyz"})
+    out = [(1, v) for v in found] + [(1, v.translate(upper)) for v in found]
+    for digest in (sha256(text.encode()), sha512(text.encode())):
+        plain = b64encode(digest.digest()).decode().rstrip("=")
+        out += [(1, plain), (1, plain.replace("+", "-").replace("/", "_"))]
+    # The base patterns as one, each match gone, whatever its length.
+    gone = re.compile("|".join((PATTERNS["assign"][0].pattern, "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}")), re.ASCII)
+    stripped = gone.sub(" ", text)
+    out += [(0, run[:64]) for run in re.findall(r"[A-Za-z0-9+/_=-]{8,}", stripped)]
+    words = [w.lower() for w in re.findall("[A-Za-z]{2,}", stripped)[:12]]
+    numbered = "".join(
+        f"{w}{signed(hash64(pack('<q', seed), hash64(w.encode()))) % 10 ** (1 + i % 4)}{'_-/='[i % 4]}" for i, w in enumerate(words)
+    )
+    time = datetime.fromtimestamp(seed % 2_000_000_000, timezone.utc)
+    out += [(0, v) for v in ("_".join(words), "-".join(words), "/" + "/".join(words), "".join(w.capitalize() for w in words))]
+    out += [(0, "_".join(words).upper()), (0, numbered)]
+    out += [(0, time.strftime(f)) for f in ("%Y-%m-%d-%H-%M-%S-000", "%Y/%m/%d/%H", "%Y%m%d%H%M%S", "%Y_%m_%d")]
+    out += [(0, str(seed % 10**18)), (0, str(seed % 1000).rjust(20, "0"))]
+    out += [(0, c * (20 // len(c))) for c in ("=", "-", "_", "+", "/", "+----", "-=")]
+    return out + [(0, secrets.ALPHABET[seed % len(secrets.ALPHABET)] * 20)]
+
+
+def test_training_strings_equal_plain_python(documents):
+    r = Random(6)
+    words = ["alpha", "Beta", "x", "gamma_delta/epsilon", "q7VtX0bZk3JwR9fYp2LsGd8HuNcE", "f" * 90, "AKIA" + "Z" * 16, "0123456789abcdef" * 2]
+    texts = [" ".join(r.choice(words) for _ in range(r.randrange(40))) for _ in range(60)] + list(samples())[:60]
+    texts += ["", "one", 'token = "abcdefgh" and TOKEN: xyzxyz', "password=short secret: longer/than+six"]
+    got = Counter(map(tuple, secrets.training_strings(documents(list(enumerate(texts)))).collect()))
+    assert got == Counter(x for t in texts for x in plain_training_strings(t))
+
+
 def test_sample_of_huge_tables_and_of_null_ids(spark, monkeypatch):
     # Hashes spread evenly over their whole range, as those of 100 billion rows would be.
     step = 2**64 // 100_000

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from fractions import Fraction
 from math import exp, lgamma, log, log1p
 
 import numpy as np
@@ -20,8 +22,8 @@ SYMBOLS = b"#*$%&|<>"
 #: together, in all strata at once with probability 1 - ERROR.
 RISK, ERROR = 0.03, 0.05
 
-#: The learned rules, each a badness of a document that is scaled to 0..1, and its cut-offs from
-#: lenient to strict: (name, SQL over the base columns, cut-offs). A document is rejected above the cut-off.
+#: The learned rules, each a badness of a document that is scaled to 0..1: (name, SQL over the base columns). A
+#: document is rejected above the rule's cut-off, which is one of GRID, finer where most scores are small.
 RULES = (
     ("symbols", "n_symbols / greatest(n_symbols + n_words, 1)"),
     ("lines", "n_dup_lines / (n_dup_lines + 5.0)"),
@@ -29,6 +31,8 @@ RULES = (
     ("short_words", "n_words / greatest(n_words + 0.25 * word_chars, 1)"),
 )
 
+GRID = tuple(round((k / 24) ** 2, 4) for k in range(1, 24))
+
 _FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -116,45 +120,73 @@ def most_errors(trials: int, rate: float, alpha: float) -> int:
     return low
 
 
+def tightened(levels: np.ndarray, good: np.ndarray, bad: np.ndarray) -> Iterator[np.ndarray]:
+    """Cut-offs of all rules, by places in GRID, each set stricter than the one before.
+
+    ``levels`` has for each kind of row how many cut-offs each rule's score is
+    above, and the other two how many rows of it are good and bad. The next
+    step lowers that one cut-off, to that place, which rejects most more bad rows for each more good one
+    (counted from a half on), and more bad than good ones. Of equal steps the one of fewer good
+    rows, the first rule and the more lenient place is taken.
+    """
+    places = np.full(levels.shape[1], len(GRID))
+    rejected = np.zeros(len(levels), bool)
+    while True:
+        best, step = None, None
+        for rule in range(len(places)):
+            for place in range(int(places[rule]) - 1, -1, -1):
+                more = ~rejected & (levels[:, rule] > place)
+                lost, caught = int(good[more].sum()), int(bad[more].sum())
+                value = (Fraction(2 * caught, 2 * lost + 1), -lost)
+                if caught > lost and (best is None or value > best):
+                    best, step = value, (rule, place)
+        if step is None:
+            return
+        places[step[0]] = step[1]
+        rejected = (levels > places).any(axis=1)
+        yield places.copy()
+
+
 def cutoffs(holdout: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """``stratum, rule, cutoff`` from rows of ``stratum, good`` and a score column per rule.
-
-    For each stratum and rule the cut-offs are tested in a fixed order, from
-    lenient to strict, up to the first failure; such a sequence needs no
-    correction of its own. Of those passed, the one that rejects most bad less good rows is chosen. Strata and rules
-    share the allowed error evenly (Bonferroni), and the rules of a stratum
-    share its risk, so that together they reject at most ``risk`` of its good
-    documents. Only good rows are counted: those above each cut-off. A rule
-    that passes no cut-off with such a gain has no row here.
+    """``stratum, rule, cutoff`` from rows of ``stratum, good, half`` and a score column per rule.
+
+    In each stratum one half of the rows (``half`` 0) proposes a sequence of
+    ever stricter cut-offs (``tightened``), and the other half tests it: a step passes if its rejected good rows,
+    by all rules together, are so few that the exact bound of their rate is at most ``risk``. Steps are
+    tested in their order up to the first that fails, which needs no correction as the sequence was fixed before;
+    the last one passed is taken. Strata share the allowed error evenly
+    (Bonferroni). A rule without a cut-off has no row here.
+
+    What a stratum's task sees is a count for each combination of cut-offs passed, so it is bounded by the
+    grid and not by the rows.
     """
     names = [name for name, _ in RULES]
-    step = F.ceil(F.col("score") * 200).cast("int")
-    scored = holdout.select(
-        "stratum", "good", F.explode(F.create_map(*(x for n in names for x in (F.lit(n), F.col(n))))).alias("rule", "score")
-    )
-    counts = scored.groupBy("stratum", "rule", step.alias("step")).agg(
+
+    def level(name: str) -> Column:
+        """How many cut-offs the rule's score is above."""
+        return sum((F.col(name) > c).cast("int") for c in GRID).alias(f"level_{name}")
+
+    counts = holdout.groupBy("stratum", "half", *map(level, names)).agg(
         F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad")
     )
     strata = holdout.select("stratum").distinct().count()
-    alpha = error / max(1, strata * len(names))
+    alpha = error / max(1, strata)
 
     def choose(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        good, bad = np.zeros(202, np.int64), np.zeros(202, np.int64)
-        steps = rows["step"].clip(0, 201).to_numpy()
-        np.add.at(good, steps, rows["good"].to_numpy())
-        np.add.at(bad, steps, rows["bad"].to_numpy())
-        allowed = most_errors(int(good.sum()), risk / len(names), alpha)
-        chosen, most = None, 0
-        for cut in range(199, 0, -1):  # a score of step s is above the cut-off cut / 200 if s > cut
-            if good[cut + 1 :].sum() > allowed:
+        rows = rows.sort_values([f"level_{n}" for n in names])
+        tuning, test = (rows[rows["half"] == half] for half in (0, 1))
+        levels = lambda df: df[[f"level_{n}" for n in names]].to_numpy()
+        good, tested = test["good"].to_numpy(), levels(test)
+        allowed = most_errors(int(good.sum()), risk, alpha)
+        chosen = None
+        for places in tightened(levels(tuning), tuning["good"].to_numpy(), tuning["bad"].to_numpy()):
+            if good[(tested > places).any(axis=1)].sum() > allowed:
                 break
-            gain = int(bad[cut + 1 :].sum() - good[cut + 1 :].sum())
-            if gain > most:
-                chosen, most = cut, gain
-        found = [] if chosen is None else [(*key, chosen / 200)]
+            chosen = places
+        found = [] if chosen is None else [(*key, n, GRID[p]) for n, p in zip(names, chosen) if p < len(GRID)]
         return pd.DataFrame(found, columns=["stratum", "rule", "cutoff"])
 
-    return counts.groupBy("stratum", "rule").applyInPandas(choose, "stratum string, rule string, cutoff double")
+    return counts.groupBy("stratum").applyInPandas(choose, "stratum string, rule string, cutoff double")
 
 
 def _scores(df: DataFrame) -> DataFrame:
@@ -174,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = E
     ``docs`` has ``doc_id, stratum, check`` and the base columns. A row is bad at
     quality 0 and good otherwise; rows that fail a base rule or have no quality are left
     out. Rows of one stratum with equal texts (``check``, a hash) count once, since copies
-    are no independent trials.
+    are no independent trials; the hash also deals them to the two halves.
     """
     judged = labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IS NOT NULL")
     base = [x.split()[0] for x in _FEATURES.split(", ")]
@@ -183,6 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = E
         .join(judged, "doc_id")
         .groupBy("stratum", "check", *base)
         .agg((F.max("quality") > 0).alias("good"))
+        .withColumn("half", F.pmod("check", F.lit(2)).cast("int"))
     )
     return saved(_flat(cutoffs(_scores(holdout), risk, error)), "quality-cutoffs")
 

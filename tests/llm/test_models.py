@@ -2,15 +2,18 @@
 
 import re
 from collections import Counter, defaultdict
-from math import ceil, log
+from math import log
 from random import Random
 
+import xxhash
+
 import corpus_pipeline
 from tempestry.llm import quality, secrets
 from tempestry.llm.common import table
 from tests.llm.test_quality import brute as measures
 from tests.llm.test_secrets import brute as base_spans
 
+GRID = [round((k / 24) ** 2, 4) for k in range(1, 24)]
 RATES = {
     "symbols": lambda n, chars, symbols, lines: symbols / max(symbols + n, 1),
     "lines": lambda n, chars, symbols, lines: lines / (lines + 5.0),
@@ -38,21 +41,34 @@ def plain_verdicts(docs, labels):
     strata = {stratum for stratum, _ in holdout}
     cuts = {}
     for stratum in strata:
-        of = [v for (s, _), v in holdout.items() if s == stratum]
-        trials, rate = sum(good for good, _ in of), 0.03 / len(RATES)
+        halves = [], []
+        for (of, text), row in holdout.items():
+            if of == stratum:
+                halves[xxhash.xxh64_intdigest((text or "").encode(), 42) % 2].append(row)
+        trials = sum(good for good, _ in halves[1])
         # P(X <= k) term by term; the largest k at which it is at most alpha.
-        allowed, term, total = -1, (1 - rate) ** trials, 0.0
-        while (total := total + term) <= 0.05 / (len(strata) * len(RATES)):
+        allowed, term, total = -1, 0.97**trials, 0.0
+        while (total := total + term) <= 0.05 / len(strata):
             allowed += 1
-            term *= (trials - allowed) / (allowed + 1) * rate / (1 - rate)
-        for rule in RATES:
-            best = 0
-            for cut in range(199, 0, -1):
-                above = [good for good, scores in of if ceil(scores[rule] * 200) > cut]
-                if sum(above) > allowed:
-                    break
-                if len(above) - 2 * sum(above) > best:
-                    best, cuts[stratum, rule] = len(above) - 2 * sum(above), cut / 200
+            term *= (trials - allowed) / (allowed + 1) * 0.03 / 0.97
+        cut, passed = dict.fromkeys(RATES, 2.0), None
+        above = lambda scores, cut: any(scores[r] > cut[r] for r in RATES)
+        while True:
+            steps = []
+            for k, rule in enumerate(RATES):
+                for place in [g for g in GRID if g < cut[rule]]:
+                    rows_more = [good for good, scores in halves[0] if not above(scores, cut) and scores[rule] > place]
+                    lost, caught = sum(rows_more), len(rows_more) - sum(rows_more)
+                    if caught > lost:
+                        steps.append((-caught / (lost + 0.5), lost, k, -place, rule))
+            if not steps:
+                break
+            *_, place, rule = min(steps)
+            cut = cut | {rule: -place}
+            if sum(good for good, scores in halves[1] if above(scores, cut)) > allowed:
+                break
+            passed = cut
+        cuts |= {(stratum, rule): c for rule, c in (passed or {}).items() if c < 2}
     kept = [
         (doc, not fails and not any(scores[r] > cuts.get((stratum, r), 2) for r in RATES)) for doc, _, stratum, fails, scores in rows
     ]
@@ -95,6 +111,18 @@ def test_first_stage_equals_plain_python(spark, sf_dir):
     assert Counter((r.doc_id, True) for r in got) == Counter({k: n for k, n in want.items() if k[1]})
 
 
+def test_every_language_gets_cutoffs(spark):
+    """At a tenth of the scale, where the smallest language has some 320 good labels."""
+    docs, labels = (table(spark, "/root/testdata/sf0.1", name) for name in ("documents", "labels"))
+    judged = quality.judge(docs, labels).where("NOT base_failed")
+    rejected = {r.stratum: r["count"] for r in judged.where("NOT kept").groupBy("stratum").count().collect()}
+    assert {"en", "de", "es", "fr"} <= set(rejected)
+    good = judged.join(labels.where("quality = 1"), "doc_id").groupBy("stratum").agg({"*": "count"}).collect()
+    lost = judged.where("NOT kept").join(labels.where("quality = 1"), "doc_id").groupBy("stratum").agg({"*": "count"}).collect()
+    lost = {r.stratum: r["count(1)"] for r in lost}
+    assert all(lost.get(r.stratum, 0) <= quality.RISK * r["count(1)"] for r in good)
+
+
 def test_pair_models_and_random_spans_equal_plain_python(spark, sf_dir, documents):
     r = Random(2)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"

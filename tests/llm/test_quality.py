@@ -4,6 +4,7 @@ from collections import Counter
 from math import comb
 from random import Random
 
+import numpy as np
 import pytest
 
 from tempestry.llm import quality
@@ -74,8 +75,30 @@ def test_junk_goes_and_good_documents_stay(documents, spark):
     assert kept.columns == docs.columns and kept.count() == count[(1, True)]
 
 
+def test_the_risk_holds_in_simulations(spark):
+    """Two strata of many simulated tables in which good and bad scores overlap: how often any rejects more than the risk."""
+    r = np.random.default_rng(5)
+    tables, names = 120, [name for name, _ in quality.RULES]
+    rows, limits = [], {}
+    for table in range(tables):
+        for stratum in range(2):
+            number = 700
+            good = r.random(number) < 0.7
+            # Each rule's score of good rows is uniform below 0.9, so its true rate of false rejection is known.
+            scores = np.where(good[:, None], 0.9 * r.random((number, 4)), 0.75 + 0.25 * r.random((number, 4)))
+            rows += [(f"{table}-{stratum}", bool(g), k % 2, *map(float, s)) for k, (g, s) in enumerate(zip(good, scores))]
+    schema = "stratum string, good boolean, half int, " + ", ".join(f"{n} double" for n in names)
+    # Each simulated table has two strata, hence the error of each.
+    found = quality.cutoffs(spark.createDataFrame(rows, schema), quality.RISK, quality.ERROR / 2 * 2 * tables).collect()
+    for row in found:
+        limits.setdefault(row.stratum, []).append(row.cutoff)
+    rate = {s: 1 - np.prod([min(1.0, c / 0.9) for c in cuts]) for s, cuts in limits.items()}
+    broken = {s.split("-")[0] for s, false in rate.items() if false > quality.RISK}
+    assert len(limits) > tables and len(broken) <= quality.ERROR * tables + 3 * (tables * quality.ERROR) ** 0.5
+
+
 def test_no_cutoff_without_evidence(documents, spark):
-    docs, labels = labelled(documents, spark, 2, number=300)
+    docs, labels = labelled(documents, spark, 2, number=250)
     assert quality.judge(docs, labels).where("not kept").count() == 0
     # Labels that say nothing about the text cannot show that a cut-off is safe.
     docs, labels = labelled(documents, spark, 3, flip=0.5)

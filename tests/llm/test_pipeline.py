@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +16,7 @@ from tempestry.llm.common import table
 from tests.llm.conftest import ODD
 from tests.llm.test_dedup import brute_components, brute_lines
 from tests.llm.test_mixing import brute_targets
+from tests.llm.test_quality import brute as measures
 
 
 def test_stages(spark, sf_dir, tmp_path):
@@ -80,12 +82,14 @@ def test_stages_take_odd_rows(documents, chained):
     rows = ODD + [(100 + i, f"{p}\n{shared}") for i, p in enumerate(prose)]
     rows += [(None, prose[0] + " and more words than that one has"), (None, prose[0]), (None, prose[0]), (101, f"{prose[1]}\n{shared}")]
     rows += [(200, prose[2], None, None), (201, prose[3] + " " + prose[4], "xx", "other"), (300, "short text of few words")]
+    rows += [(400, " ".join(f"v{i}" for i in range(30_000)))]
     docs = documents(rows)
     good, lined, single, mixed, packed = chained(docs)
     assert all(df.columns == docs.columns for df in (good, lined, single, mixed))
 
     kept = [(r.doc_id, r.text) for r in good.collect()]
-    assert Counter(kept) == Counter((r[0], r[1]) for r in rows if len((r[1] or "").split()) >= 20 and "x y" not in r[1])
+    measured = [(r[0], r[1], measures(r[1])) for r in rows]
+    assert Counter(kept) == Counter((doc, text) for doc, text, (n, *_, repeated) in measured if n >= 20 and 100 * repeated <= 30 * n)
     want = brute_lines(kept)
     assert Counter((r.doc_id, r.text) for r in lined.collect()) == Counter((k[0], k[3]) for k in want.elements())
     assert any(k[2] for k in want) and all(r.n_chars == len(r.text) for r in lined.collect())
@@ -109,15 +113,11 @@ def test_stages_take_empty_tables(documents, chained):
     assert [df.count() for df in chained(documents([(1, None), (2, ""), (3, "few words")]))] == [0] * 5
 
 
-def test_run_leaves_the_results_of_stages_only(spark, sf_dir, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        result = corpus_pipeline.run(spark, sf_dir)
-        assert result.count() > 0
-        left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "tempestry").iterdir()}
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+def test_run_leaves_the_results_of_stages_only(spark, sf_dir):
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"), "tempestry")
+    before = set(shared.iterdir()) if shared.exists() else set()
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+    left = {p.name.rsplit("-", 1)[0] for p in set(shared.iterdir()) - before}
     assert left == {*(f"pipeline-{name.replace(' ', '-')}" for name, _ in corpus_pipeline.STAGES[:-1]), "pieces", "piece-counts"}
 
 

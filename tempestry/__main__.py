@@ -8,7 +8,7 @@ from datetime import date
 from tempestry.plans import jobs, models
 from tempestry.schemas import DATASETS
 from tempestry.session import build_session
-from tempestry.sources import csv_files
+from tempestry.sources import csv_files, versions
 
 
 def _reading(job: argparse.ArgumentParser) -> None:
@@ -57,10 +57,17 @@ def _parser() -> argparse.ArgumentParser:
     job = commands.add_parser("build", help="loaded tables to facts and marts")
     job.add_argument("warehouse_root")
     job.add_argument("model_root")
-    job.add_argument("--facts-by-month", action="store_true", help="partition the fact tables by month")
+    layout = job.add_mutually_exclusive_group()
+    layout.add_argument("--facts-by-month", action="store_true", help="partition the fact tables by month")
+    layout.add_argument("--facts-by-date", action="store_true", help="keep the fact tables in the order of their dates")
+    job.add_argument("--staged", help="keep the staged tables here, and stage only what loads have changed")
     job.add_argument("--fix-year-month", action="store_true", help="label months by the start of the event")
     job.add_argument("--latest-load-wins", **latest)
 
+    job = commands.add_parser("vacuum", help="remove loads that none of the newest versions of the loaded tables has")
+    job.add_argument("warehouse_root")
+    job.add_argument("--keep", type=int, default=2, help="versions that stay readable")
+
     job = commands.add_parser("answers", help="print what the marts say")
     job.add_argument("model_root")
     job.add_argument("--year", type=int)
@@ -93,9 +100,12 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.job == "build":
         models.build(
-            spark, args.warehouse_root, args.model_root, facts_by_month=args.facts_by_month,
-            fix_year_month=args.fix_year_month, latest_load_wins=args.latest_load_wins,
+            spark, args.warehouse_root, args.model_root, facts_by_month=args.facts_by_month, facts_by_date=args.facts_by_date,
+            fix_year_month=args.fix_year_month, latest_load_wins=args.latest_load_wins, staged_root=args.staged,
         )
+    elif args.job == "vacuum":
+        for name in DATASETS:
+            print(name, len(versions.vacuum(spark, f"{args.warehouse_root}/{name}", args.keep)))
     elif args.job == "answers":
         for question, answer in models.answers(spark, args.model_root, args.year, args.k).items():
             print(question)

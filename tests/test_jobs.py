@@ -11,7 +11,7 @@ from tempestry import registered
 from tempestry.plans import jobs, models
 from tempestry.schemas import EVENTS, FATALITIES
 from tempestry.session import scratch_path, shuffle_partitions, together
-from tempestry.sources import parquet_files, warehouse
+from tempestry.sources import parquet_files, versions, warehouse
 
 EVENT_HEADER = ",".join(EVENTS.raw_columns)
 FATALITY_HEADER = ",".join(FATALITIES.raw_columns)
@@ -79,6 +79,22 @@ def test_from_files_to_marts(spark, files, tmp_path, capsys, with_lake):
     assert report[("unique", "event_id")] == 0
 
 
+def test_yearly_loads_with_staged_tables_on_the_command_line(spark, files, tmp_path, capsys):
+    tables, built, staged = (str(tmp_path / name) for name in ("tables", "models", "staged"))
+    for year in ("1999", "2000"):
+        command_line.main(["backfill", str(files), tables, "--first", year, "--last", year, "--rebase-century"])
+        command_line.main(["build", tables, built, "--staged", staged, "--facts-by-date"])
+    assert counts(spark.read.parquet(f"{built}/fact_fatalities_by_month")) == [(1999, 4, 1), (1999, 12, 1), (2000, 2, 1)]
+    # The first year's staged folder was not written again.
+    parts = versions.current(spark, f"{staged}/events").years()
+    assert len(parts) == 2
+    assert parts["load_year=1999"] != parts["load_year=2000"]
+    command_line.main(["backfill", str(files), tables, "--first", "2000", "--last", "2000"])
+    command_line.main(["vacuum", tables, "--keep", "1"])
+    assert capsys.readouterr().out.split()[-4:] == ["events", "1", "fatalities", "1"]
+    assert warehouse.read_table(spark, f"{tables}/events", EVENTS).count() == 4
+
+
 def test_append_mode_doubles_until_staging(spark, files, tmp_path):
     lake, tables = str(tmp_path / "lake"), str(tmp_path / "tables")
     jobs.ingest(spark, str(files), lake, [1999, 2000])

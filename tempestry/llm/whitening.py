@@ -37,7 +37,7 @@ def _matrix(batch: pa.RecordBatch, dims: int) -> np.ndarray:
 
 
 def _totals(dims: int) -> Callable:
-    """Batches of vectors to a row: how many, the sums of each dimension, the smallest and the largest entry."""
+    """Batches of vectors to a row per dimension: how many, their sum, the smallest and the largest entry of all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, sums, least, most = 0, np.zeros(dims, object), 1 << 63, -1 << 63
@@ -48,12 +48,13 @@ def _totals(dims: int) -> Callable:
                 number += len(x)
                 sums = sums + (x >> 32).sum(axis=0).astype(object) * (1 << 32) + (x & 0xFFFFFFFF).sum(axis=0).astype(object)
         if number:
-            yield pa.RecordBatch.from_pylist([{"n": number, "sums": [str(v) for v in sums], "least": least, "most": most}], _TOTALS)
+            rows = [{"dim": i, "total": str(v), "n": number, "least": least, "most": most} for i, v in enumerate(sums)]
+            yield pa.RecordBatch.from_pylist(rows, _TOTALS)
 
     return run
 
 
-_TOTALS = pa.schema({"n": pa.int64(), "sums": pa.list_(pa.string()), "least": pa.int64(), "most": pa.int64()})
+_TOTALS = pa.schema({"dim": pa.int32(), "total": pa.string(), "n": pa.int64(), "least": pa.int64(), "most": pa.int64()})
 
 
 def _square_sums(values: np.ndarray) -> np.ndarray:
@@ -118,7 +119,7 @@ class Whitening:
 
 
 def _measured(model: Whitening) -> Callable:
-    """Batches of vectors to the sums of their whitened values and of the products of these."""
+    """Batches of vectors to rows (a, b, value): sums of products of whitened values, and of these alone (b = -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(model.values)
@@ -127,7 +128,15 @@ def _measured(model: Whitening) -> Callable:
             y = model.project(_matrix(batch, model.dims))
             sums += y.sum(axis=0)
             products += y.T @ y
-        yield pa.RecordBatch.from_pylist([{"sums": sums.tolist(), "products": products.ravel().tolist()}])
+        place = np.arange(k)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([place, np.repeat(place, k)]), pa.int32()),
+                pa.array(np.concatenate([np.full(k, -1), np.tile(place, k)]), pa.int32()),
+                pa.array(np.concatenate([sums, products.ravel()])),
+            ],
+            ["a", "b", "value"],
+        )
 
     return run
 
@@ -153,17 +162,19 @@ def fit(vectors: DataFrame, dims: int, most: int = COMPONENTS) -> Whitening | No
     """
     if dims > MOST_DIMENSIONS:
         raise ValueError(f"vectors of {dims} dimensions have more pairs of dimensions than the driver takes")
-    n, sums, least, most_entry = 0, np.zeros(dims, object), 1 << 63, -1 << 63
-    for row in vectors.mapInArrow(_totals(dims), "n long, sums array<string>, least long, most long").toLocalIterator():
-        n, sums = n + row.n, sums + np.array([int(v) for v in row.sums], object)
-        least, most_entry = min(least, row.least), max(most_entry, row.most)
-    if not n:
+    exact = F.sum(F.col("total").cast("decimal(38,0)")).alias("total")
+    totals = vectors.mapInArrow(_totals(dims), "dim int, total string, n long, least long, most long")
+    rows = totals.groupBy("dim").agg(exact, F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+    rows = sorted(rows.collect())
+    if not rows:
         return None
+    sums, n = np.array([int(r.total) for r in rows], object), rows[0].n
+    least, most_entry = rows[0].least, rows[0].most
     if max(-least, most_entry) > MOST_ENTRY or 2 * n * max(-least, most_entry) >= 1 << 63 or n * (most_entry - least) > MOST_RANGE:
         raise ValueError("the entries are too large for exact sums of squares in longs")
     sums = sums.astype(np.int64)
     pairs = vectors.mapInArrow(_squares(dims, n, sums), "i int, j int, total string")
-    pairs = pairs.groupBy("i", "j").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total")).collect()
+    pairs = pairs.groupBy("i", "j").agg(exact).collect()
     cov = covariance({(r.i, r.j): int(r.total) for r in pairs}, dims, n)
     values, components = np.linalg.eigh(cov)
     order = np.argsort(-values, kind="stable")[:most]
@@ -173,8 +184,12 @@ def fit(vectors: DataFrame, dims: int, most: int = COMPONENTS) -> Whitening | No
     model = Whitening(dims, n, sums, components[:, order], values[order], float(np.trace(cov)))
     k = len(order)
     total, products = np.zeros(k), np.zeros((k, k))
-    for row in vectors.mapInArrow(_measured(model), "sums array<double>, products array<double>").toLocalIterator():
-        total, products = total + np.array(row.sums), products + np.array(row.products).reshape(k, k)
+    measured = vectors.mapInArrow(_measured(model), "a int, b int, value double")
+    for row in measured.groupBy("a", "b").agg(F.sum("value").alias("value")).collect():
+        if row.b < 0:
+            total[row.a] = row.value
+        else:
+            products[row.a, row.b] = row.value
     whitened = products / n - np.outer(total / n, total / n)
     model.identity_error = float(np.abs(whitened - np.eye(k)).max())
     return model

@@ -13,7 +13,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tempestry.llm.common import BLANK_RUN, covered, hashed_texts, known_apart, parts_of, saved, signed, window_hashes, word_count, word_hashes, values
+from tempestry.llm.common import (
+    BLANK_RUN,
+    covered,
+    hashed_texts,
+    known_apart,
+    parts_of,
+    saved,
+    values,
+    window_hashes,
+    word_count,
+    word_hashes,
+)
 from tempestry.llm.twice import KEYED, Filters, emitted, repeats, seen_twice, told
 
 #: Words of a passage that is removed if it occurs again.

@@ -500,7 +500,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     words, or of all its words if there are fewer. Two texts are linked if
     they share at least PERCENT percent of all their shingles.
 
-    1. Equal sets are one from here on. Filters of the prefixes' tokens find the
+    1. Equal sets are one from here on. Filters of the prefixes' tokens, which go to the texts or, if they are too
+       large for that, are met by the tokens, find the
        sets of which enough may be shared with another, and filters of all
        their tokens those of which as many as a link needs are in others. Only these go on, as sorted hashes.
     2. Similar sets form groups of bounded size, whose links are verified (``_groups``).

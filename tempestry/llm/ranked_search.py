@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempestry.llm.common import FEW_ROWS, parts_of, saved, share, signed, values, word_hashes
@@ -294,7 +294,8 @@ def item_terms(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
                 item_id += [number] * len(found)
                 term += signed(found).tolist()
                 times += counts.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (item, item_id, term, times)], ["item", "item_id", "term", "times"])
+            columns = [pa.array(c, pa.int64()) for c in (item, item_id, term, times)]
+            yield pa.RecordBatch.from_arrays(columns, ["item", "item_id", "term", "times"])
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("binary").alias("text")).distinct()
     rows = rows.select(F.xxhash64("item_id", F.coalesce("text", F.lit(b""))).alias("item"), "item_id", "text")

@@ -235,10 +235,7 @@ def test_a_range_of_dates_reads_few_row_groups_of_ordered_facts(spark, tmp_path)
     date = F.col("event_start_date")
     some = ordered.filter((date >= F.lit(start[0])) & (date < F.lit(start[1])))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(event_start_date", plan_of(some))
-    rows = some.collect()
-    assert rows and content(ordered) == content(events)
-    scanned = some._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
-    assert len({r.event_id for r in rows}) > 0 and scanned is not None
+    assert some.count() > 0 and content(ordered) == content(events)
 
 
 def test_checks_count_while_they_write(spark, tmp_path, monkeypatch):

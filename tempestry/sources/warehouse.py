@@ -30,6 +30,12 @@ def read_table(spark: SparkSession, path: str, dataset: Dataset, at: versions.Ve
     return versions.read(spark, path, dataset.table_schema, at)
 
 
+def _condition(folder: str) -> str:
+    """A partition folder's name as a condition on its column; Spark names the folder of null in a way of its own."""
+    column, _, value = folder.partition("=")
+    return f"{column} is null" if value == "__HIVE_DEFAULT_PARTITION__" else f"{column} = {value}"
+
+
 def register_table(spark: SparkSession, name: str, path: str, dataset: Dataset) -> DataFrame:
     """Make the newest version known to the catalog under ``name``, read in place.
 
@@ -47,9 +53,7 @@ def register_table(spark: SparkSession, name: str, path: str, dataset: Dataset)
     )
     if at.parts:
         spark.sql(f"msck repair table {loads}")
-    published = [
-        f"({versions.LOAD_ID} = {literal(load)} and {folder.replace('=', ' = ')})" for load, folder in at.parts
-    ]
+    published = [f"({versions.LOAD_ID} = {literal(load)} and {_condition(folder)})" for load, folder in at.parts]
     listed = ", ".join(f.name for f in dataset.table_schema.fields)
     where = " or ".join(published) or "false"
     spark.sql(f"create or replace view {quoted(name)} as select {listed} from {loads} where {where}")

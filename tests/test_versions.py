@@ -114,6 +114,20 @@ def test_a_table_that_is_not_there(spark, tmp_path):
         warehouse.read_table(spark, str(tmp_path / "none"), FATALITIES)
 
 
+def test_rows_without_year_are_loaded_and_registered(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    df = rows("a", [2024])
+    warehouse.append(spark, df.withColumn(LOAD_YEAR, F.when(F.col("fatality_date").isNotNull(), F.col(LOAD_YEAR))), path, FATALITIES)
+    warehouse.replace_years(spark, rows("b", [2024]), path, FATALITIES, [2024])
+    try:
+        table = warehouse.register_table(spark, "some_without_year", path, FATALITIES)
+        for found in (table, warehouse.read_table(spark, path, FATALITIES)):
+            assert sorted(r.fatality_id for r in found.collect()) == ["a-2024-0", *(f"b-2024-{i}" for i in range(4))]
+    finally:
+        spark.sql("drop view some_without_year")
+        spark.sql("drop table some_without_year_loads")
+
+
 def test_the_catalog_shows_published_loads_only(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     warehouse.replace_years(spark, rows("a", [2023, 2024]), path, FATALITIES, [2023, 2024])

@@ -14,6 +14,8 @@ from tempestry.sources import versions
 #: stands for the null key in joins; a row whose key is this text is only looked at once more than needed
 _NO_KEY = "\x00"
 _KEY = "_key"
+#: one in so many keys is looked up first, see :func:`all_shared`
+PROBE = 64
 
 
 def staged_schema(dataset: Dataset) -> T.StructType:
@@ -54,6 +56,17 @@ def shared_keys(others: DataFrame, keys: DataFrame, dataset: Dataset) -> DataFra
     return others.select(_key(dataset), LOAD_YEAR).join(few, _KEY, "left_semi").distinct()
 
 
+def all_shared(others: DataFrame, keys: DataFrame, dataset: Dataset, years: set[str]) -> bool:
+    """Whether the keys of one slice, of :data:`PROBE`, already occur in every one of the other ``years``.
+
+    If so, :func:`shared_keys` of all keys would name these years too; if not, only that one can tell.
+    """
+    part = keys.filter(F.pmod(F.xxhash64(_KEY), F.lit(PROBE)) == 0).distinct()
+    among = others.filter(F.pmod(F.xxhash64(_key(dataset)), F.lit(PROBE)) == 0)
+    found = shared_keys(among, part, dataset).select(LOAD_YEAR).distinct().collect()
+    return {versions.year_folder(row[LOAD_YEAR]) for row in found} == years
+
+
 def refresh(
     spark: SparkSession, loaded_root: str, staged_root: str, dataset: Dataset, latest_load_wins: bool = False
 ) -> list[str]:
@@ -64,17 +77,23 @@ def refresh(
     years. They are staged again from the changed years, and from those other years that
     share keys with them; of the staged table, the folders of
     both are replaced at once. The first run, and one with another ``latest_load_wins``, stage everything.
+    So does one where changed years and those that share keys are all years: every folder is written anew then,
+    and one pass over the loaded rows takes the place of looking up each key and of three joins and shuffles of whole rows.
     """
     at = versions.current(spark, loaded_root)
     if at is None:
         raise ValueError(f"there is no table at {loaded_root}")
     base = versions.current(spark, staged_root)
     notes = {"loaded": [list(part) for part in at.parts], "latest_load_wins": latest_load_wins}
-    if base is None or base.notes.get("latest_load_wins") != latest_load_wins:
+
+    def stage_all() -> set[str]:
         rows = versions.read(spark, loaded_root, dataset.table_schema, at)
         load = versions.write_load(spark, _first(rows, dataset, latest_load_wins), staged_root, [LOAD_YEAR])
         versions.publish_after(spark, staged_root, base, load, notes)
-        return sorted({folder for _, folder in load})
+        return {folder for _, folder in load}
+
+    if base is None or base.notes.get("latest_load_wins") != latest_load_wins:
+        return sorted(stage_all())
     before = versions.Version(0, tuple((load, folder) for load, folder in base.notes["loaded"]))
     changed = set(versions.changed_years(before, at))
     if not changed:
@@ -89,8 +108,12 @@ def refresh(
         return versions.read(spark, staged_root, staged_schema(dataset), some)
 
     now = loaded(changed)
-    keys = _written(now.select(_key(dataset)).union(staged(changed).select(_key(dataset))).distinct(), "changed_keys")
+    changed_keys = now.select(_key(dataset)).union(staged(changed).select(_key(dataset)))
     other_years = {folder for _, folder in at.parts} - changed
+    if not other_years or all_shared(loaded(other_years), changed_keys, dataset, other_years):
+        stage_all()
+        return sorted(changed | other_years)
+    keys = _written(changed_keys.distinct(), "changed_keys")
     shared = _written(shared_keys(loaded(other_years), keys, dataset), "shared_keys")
     years = {versions.year_folder(row[LOAD_YEAR]) for row in shared.select(LOAD_YEAR).distinct().collect()}
     again, kept = now, staged(years)

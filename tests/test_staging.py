@@ -91,6 +91,27 @@ def test_refresh_touches_the_years_of_a_load_and_those_that_share_its_keys(spark
     assert found["2017-1"] == 1 and found["2024-9"] == 2 and "2024-1" not in found and len(found) == 29
 
 
+def test_a_load_that_shares_keys_with_all_years_is_staged_in_one_pass(spark, tmp_path, monkeypatch):
+    tables, staged = str(tmp_path / "loaded"), str(tmp_path / "staged")
+    rows = [(f"k{i}", (i + year) % 4, year, None) for year in range(2020, 2024) for i in range(400)]
+    warehouse.append(spark, loaded(spark, rows), tables, FATALITIES)
+    staging.refresh(spark, tables, staged, FATALITIES)
+    labels, write = [], staging._written
+    monkeypatch.setattr(staging, "_written", lambda df, label: labels.append(label) or write(df, label))
+
+    def refreshed(year, keys):
+        warehouse.replace_years(spark, loaded(spark, [(key, 2, year, None) for key in keys]), tables, FATALITIES, [year])
+        found = staging.refresh(spark, tables, staged, FATALITIES)
+        whole = dedup.stage(warehouse.read_table(spark, tables, FATALITIES), FATALITIES)
+        assert content(staging.read_staged(spark, staged, FATALITIES)) == content(whole)
+        return [int(folder.split("=")[1]) for folder in found]
+
+    assert refreshed(2023, [f"k{i}" for i in range(100, 500)]) == [2020, 2021, 2022, 2023] and labels == []
+    # A year that shares no key is still staged alone, and one that shares few keys of some years with these.
+    assert refreshed(2024, [f"n{i}" for i in range(400)]) == [2024] and labels == ["changed_keys", "shared_keys"]
+    assert refreshed(2024, ["k0", "n1"]) == [2020, 2021, 2022, 2024] and len(labels) == 4
+
+
 def test_other_years_are_read_by_key_alone_and_behind_a_bloom_filter(spark, tmp_path, without_broadcast):
     tables = str(tmp_path / "loaded")
     rows = [(f"{year}-{i}", 1, year, None) for year in (2023, 2024) for i in range(200)]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tempestry.functions.calendar import month_key
 from tempestry.operators import dedup, facts, insights, marts, quality
 from tempestry.plans import staging
-from tempestry.schemas import EVENTS, FATALITIES, MONTH_KEY, REVISION
+from tempestry.schemas import EVENTS, FATALITIES, MONTH_KEY, REVISION, Dataset
 from tempestry.session import scratch_path, together
 from tempestry.sources import catalog, warehouse
 
@@ -32,10 +32,13 @@ def staging_views(spark: SparkSession, warehouse_root: str, latest_load_wins: bo
     revision of its file instead of the first by value; a row loaded without a revision comes last.
     """
     order = [F.desc_nulls_last(REVISION)] if latest_load_wins else []
-    staged = Staged(
-        dedup.stage_events(warehouse.read_table(spark, f"{warehouse_root}/events", EVENTS), order),
-        dedup.stage_fatalities(warehouse.read_table(spark, f"{warehouse_root}/fatalities", FATALITIES), order),
-    )
+
+    def loaded(dataset: Dataset) -> DataFrame:
+        # Year and month of the load would be sorted and shuffled, but never decide which values are kept.
+        rows = warehouse.read_by_year(spark, f"{warehouse_root}/{dataset.name}", dataset)
+        return rows.select(*dataset.columns, *([REVISION] if latest_load_wins else []))
+
+    staged = Staged(dedup.stage_events(loaded(EVENTS), order), dedup.stage_fatalities(loaded(FATALITIES), order))
     staged.events.createOrReplaceTempView(STG_EVENTS)
     staged.fatalities.createOrReplaceTempView(STG_FATALITIES)
     return staged

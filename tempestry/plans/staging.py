@@ -87,7 +87,7 @@ def refresh(
     notes = {"loaded": [list(part) for part in at.parts], "latest_load_wins": latest_load_wins}
 
     def stage_all() -> set[str]:
-        rows = versions.read(spark, loaded_root, dataset.table_schema, at)
+        rows = versions.read_by_year(spark, loaded_root, dataset.table_schema, at)
         load = versions.write_load(spark, _first(rows, dataset, latest_load_wins), staged_root, [LOAD_YEAR])
         versions.publish_after(spark, staged_root, base, load, notes)
         return {folder for _, folder in load}

@@ -30,6 +30,11 @@ def read_table(spark: SparkSession, path: str, dataset: Dataset, at: versions.Ve
     return versions.read(spark, path, dataset.table_schema, at)
 
 
+def read_by_year(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+    """As :func:`read_table`, for whoever sorts what a task reads; see :func:`versions.read_by_year`."""
+    return versions.read_by_year(spark, path, dataset.table_schema)
+
+
 def _condition(folder: str) -> str:
     """A partition folder's name as a condition on its column; Spark names the folder of null in a way of its own."""
     column, _, value = folder.partition("=")

@@ -124,6 +124,25 @@ def test_other_years_are_read_by_key_alone_and_behind_a_bloom_filter(spark, tmp_
     assert [tuple(r) for r in shared.collect()] == [("2023-5", 2023)]
 
 
+def test_staging_scans_each_year_for_itself_and_sorts_no_load_columns(spark, tmp_path):
+    tables = str(tmp_path / "tables")
+    warehouse.create_table(spark, f"{tables}/events", EVENTS)
+    rows = [(f"k{i}", (i + year) % 4, year, rev) for year in range(2020, 2024) for i in range(20) for rev in ("c1", "c2", None)]
+    for load in (rows, rows[:50]):
+        warehouse.append(spark, loaded(spark, load), f"{tables}/fatalities", FATALITIES)
+    table = warehouse.read_table(spark, f"{tables}/fatalities", FATALITIES)
+    by_year = warehouse.read_by_year(spark, f"{tables}/fatalities", FATALITIES)
+    assert by_year.schema == table.schema and content(by_year) == content(table)
+    assert warehouse.read_by_year(spark, f"{tables}/events", EVENTS).count() == 0
+    for latest, order in ((False, []), (True, [F.desc_nulls_last(REVISION)])):
+        staged = models.staging_views(spark, tables, latest_load_wins=latest).fatalities
+        plan = plan_of(staged)
+        assert plan.count("FileScan parquet") == 4 and plan.count("Exchange") == 1 and plan.count("WindowGroupLimit") == 2
+        sorts = [line for line in plan.splitlines() if "Sort [" in line or "Exchange" in line or "Window" in line]
+        assert len(sorts) >= 5 and not any(c in line for line in sorts for c in (f"{LOAD_YEAR}#", "month_key#"))
+        assert content(staged) == content(dedup.stage(table, FATALITIES, order))
+
+
 def test_a_refresh_that_was_overtaken_is_an_error(spark, tmp_path, monkeypatch):
     tables, staged = str(tmp_path / "loaded"), str(tmp_path / "staged")
     warehouse.append(spark, loaded(spark, [("a", 1, 2024, None)]), tables, FATALITIES)

@@ -159,3 +159,12 @@ def test_date_gate_lets_every_date_pass():
     for bad in ("04/26/2024 00:00:00", "26/04/2024", "26/04/2024 25:00:00", "x", ""):
         assert not fatality.search(bad)
     assert parsing.date_gate("yyyy-MM-dd'T'HH:mm") is None and parsing.date_gate("EEE d") is None
+
+
+def test_month_key_is_that_of_the_formatter_in_all_years(spark):
+    days = spark.range(-2_200_000, 40_000_000, 9_973).select(F.timestamp_seconds(F.col("id") * 86_400).alias("at"))
+    days = days.union(spark.sql("select cast(null as timestamp)"))
+    odd = days.filter(~calendar.month_key(F.col("at")).eqNullSafe(F.date_format("at", "yyyy-MM")))
+    assert odd.count() == 0 and days.filter("year(at) > 9999").count() > 0 and days.filter("year(at) < 1000").count() > 0
+    usual = spark.sql("select timestamp'2024-09-30 23:00:00' as at union all select timestamp'1999-10-01 00:00:00'")
+    assert sorted(r[0] for r in usual.select(calendar.month_key(F.col("at"))).collect()) == ["1999-10", "2024-09"]

@@ -1,6 +1,7 @@
 """The jobs from yearly files to marts, and the command line."""
 
 import gzip
+import threading
 from datetime import date
 
 import pytest
@@ -222,3 +223,15 @@ def test_registered_backfill_runs_the_load_job(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(jobs, "load", lambda *args, datasets, **options: loaded.extend(datasets) or load(*args, datasets=datasets, **options))
     assert registered.QUERIES["yearly_backfill"](spark, sf_dir).count() > 0
     assert sorted(loaded) == ["events", "fatalities"]
+
+
+def test_registered_backfill_loads_both_tables_at_the_same_time(spark, sf_dir, monkeypatch):
+    """One load waits for the other to begin, and neither would end if they came one by one."""
+    both, load = threading.Barrier(2, timeout=60), jobs.load
+
+    def meet(*args, **options):
+        both.wait()
+        load(*args, **options)
+
+    monkeypatch.setattr(jobs, "load", meet)
+    assert registered.QUERIES["yearly_backfill"](spark, sf_dir).count() > 0
